@@ -1,0 +1,99 @@
+"""A data source for ``.xz`` line archives.
+
+Spark's text reader has no xz codec and would return the compressed bytes as rows. Here each file
+is one partition, decompressed as a stream; files may hold several concatenated xz streams. Paths
+may be local or any URI that Arrow can open.
+"""
+
+from __future__ import annotations
+
+import lzma
+import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+# Executors need no installed copy of this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+CHUNK = 4 << 20
+SCHEMA = "value string, file string"
+
+
+@dataclass
+class XzFile(InputPartition):
+    path: str
+
+
+def open_path(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system and the inner path of a local path or URI."""
+    if path.startswith("file:"):
+        path = "/" + path[len("file:") :].lstrip("/")
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def line_batches(stream: Iterator[bytes], name: str) -> Iterator[pa.RecordBatch]:
+    """Cut byte chunks at newlines; the last line may be unterminated."""
+
+    def batch(lines: list[bytes]) -> pa.RecordBatch:
+        values = pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
+        names = pa.DictionaryArray.from_arrays(pa.array([0] * len(lines), pa.int32()), pa.array([name]))
+        return pa.RecordBatch.from_arrays([values, names.cast(pa.string())], ["value", "file"])
+
+    pending: list[bytes] = []
+    for chunk in stream:
+        head, newline, rest = chunk.rpartition(b"\n")
+        if not newline:
+            pending.append(chunk)
+            continue
+        yield batch((b"".join(pending) + head).split(b"\n"))
+        pending = [rest] if rest else []
+    if pending:
+        yield batch([b"".join(pending)])
+
+
+class XzLinesReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.path = options["path"]
+        self.prefix = options.get("prefix", "")
+        self.contains = options.get("contains", "")
+        self.excludes = options.get("excludes", "")
+
+    def _wanted(self, name: str) -> bool:
+        if not name.endswith(".xz") or not name.startswith(self.prefix) or self.contains not in name:
+            return False
+        return not self.excludes.strip() or self.excludes not in name
+
+    def partitions(self) -> list[XzFile]:
+        system, path = open_path(self.path)
+        info = system.get_file_info(path)
+        infos = [info] if info.is_file else system.get_file_info(fs.FileSelector(path))
+        return [XzFile(item.path) for item in infos if item.is_file and self._wanted(item.base_name)]
+
+    def read(self, partition: XzFile) -> Iterator[pa.RecordBatch]:
+        system = open_path(self.path)[0]
+        with system.open_input_stream(partition.path) as raw, lzma.open(raw) as data:
+            yield from line_batches(iter(lambda: data.read(CHUNK), b""), partition.path.rsplit("/", 1)[-1])
+
+
+class XzLines(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "xz_lines"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def reader(self, schema) -> XzLinesReader:
+        return XzLinesReader(dict(self.options))
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(XzLines)
