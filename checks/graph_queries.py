@@ -1,0 +1,166 @@
+"""The co-participation graph, its scores and exports."""
+
+from __future__ import annotations
+
+from checks import inputs as i
+from checks.count_queries import histogram_sql
+from checks.registry import query
+from pyspark.sql import functions as F
+from threadloom.operators import filters as f
+from threadloom.operators import graph as g
+from threadloom.operators import reload as r
+from threadloom.operators.histogram import histograms
+from threadloom.plans import participation_graph as pg
+from threadloom.plans.materialize import scratch_path
+from threadloom.sinks import files
+
+G = i.GRAPH
+SCORES = """degree_i, degree_j, weighted_degree_i, weighted_degree_j, avg_weighted_edge_weight_i,
+avg_weighted_edge_weight_j, w_ij"""
+
+
+@query(f"WITH {G} SELECT i, j, u AS u_ij FROM e")
+def co_membership(spark, sf):
+    return g.co_membership(i.memberships(spark, sf))
+
+
+SUPPLIERS = """m AS (SELECT DISTINCT l_suppkey AS s, o_custkey AS a FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT x.s AS i, y.s AS j, count(*) AS u_ij FROM m x JOIN m y ON x.a = y.a AND x.s < y.s GROUP BY x.s, y.s"""
+
+
+@query(f"WITH {SUPPLIERS}")
+def co_membership_of_busy_authors(spark, sf):
+    """Authors far beyond one tile, and lookups too large to broadcast."""
+    return g.co_membership(i.supplier_memberships(spark, sf), tile=8, limit=0)
+
+
+@query(f"WITH {G} SELECT i, j, u_ij, {SCORES} FROM es")
+def edge_scores(spark, sf):
+    return i.scored_graph(spark, sf).edges
+
+
+def _rounded(vertices):
+    return vertices.withColumn("weighted_degree_degree", F.round("weighted_degree_degree", 6))
+
+
+@query(f"WITH {G} SELECT * FROM vx")
+def vertex_scores(spark, sf):
+    return _rounded(i.scored_graph(spark, sf).vertices)
+
+
+@query(f"WITH {G} SELECT * FROM vx")
+def vertex_scores_with_large_lookups(spark, sf):
+    """The same scores when no table may be broadcast."""
+    return _rounded(g.build_graph(i.memberships(spark, sf), limit=0).vertices)
+
+
+@query(f"WITH {G} SELECT i, local_clustering_coefficient FROM vx")
+def clustering_by_bit_blocks(spark, sf):
+    """Clustering by the method for dense graphs."""
+    edges = i.scored_graph(spark, sf).edges
+    low = F.struct("degree_i", "i") < F.struct("degree_j", "j")
+    ends = edges.select(
+        F.col("i").alias("a"),
+        F.col("j").alias("b"),
+        F.when(low, F.col("i")).otherwise(F.col("j")).alias("lo"),
+        F.when(low, F.col("j")).otherwise(F.col("i")).alias("hi"),
+    )
+    links = g.linked_neighbours(ends, method="blocks").withColumnRenamed("v", "i")
+    k = F.col("degree")
+    ratio = F.coalesce("links", F.lit(0)).cast("double") / (k.cast("double") * (k - 1))
+    joined = i.scored_graph(spark, sf).vertices.select("i", "degree").join(links, "i", "left")
+    return joined.select("i", F.when(k > 1, ratio).otherwise(0.0).alias("local_clustering_coefficient"))
+
+
+@query(f"WITH {G} SELECT 'vertices' AS part, count(*) AS count FROM vx UNION ALL SELECT 'edges', count(*) FROM es")
+def graph_summary(spark, sf):
+    return g.graph_summary(i.scored_graph(spark, sf))
+
+
+@query(f"WITH {G} SELECT i, j, u_ij, {SCORES} FROM es WHERE w_ij >= 1.5 ORDER BY w_ij DESC, i, j")
+def filter_edges(spark, sf):
+    return f.filter_edges(i.scored_graph(spark, sf).edges, 1.5)
+
+
+EDGE_COLUMNS = [
+    "u_ij",
+    "degree_i",
+    "degree_j",
+    "weighted_degree_i",
+    "weighted_degree_j",
+    "avg_weighted_edge_weight_i",
+    "avg_weighted_edge_weight_j",
+    "w_ij",
+]
+VERTEX_COLUMNS = ["ui", "degree", "weighted_degree", "degree_degree", "local_clustering_coefficient"]
+
+
+@query(histogram_sql("es", EDGE_COLUMNS, 100, G))
+def histogram_of_edges(spark, sf):
+    return histograms(i.scored_graph(spark, sf).edges, EDGE_COLUMNS)
+
+
+@query(histogram_sql("vx", VERTEX_COLUMNS, 100, G))
+def histogram_of_vertices(spark, sf):
+    return histograms(i.scored_graph(spark, sf).vertices, VERTEX_COLUMNS)
+
+
+def _exported(spark, sf):
+    def make():
+        paths = {name: scratch_path(spark, name) for name in ("edge_path", "vertex_path", "dot_path")}
+        pg.export_graph(i.scored_graph(spark, sf), **paths)
+        return paths
+
+    return i.keep(spark, sf, "exports", make)
+
+
+@query(f"WITH {G} SELECT CAST(i AS VARCHAR) AS i, CAST(j AS VARCHAR) AS j, u_ij, {SCORES} FROM es")
+def edge_list_round_trip(spark, sf):
+    return pg.read_edge_list(spark, _exported(spark, sf)["edge_path"])
+
+
+@query(f"WITH {G} SELECT * REPLACE (CAST(i AS VARCHAR) AS i) FROM vx")
+def vertex_list_round_trip(spark, sf):
+    return _rounded(pg.read_vertex_list(spark, _exported(spark, sf)["vertex_path"]))
+
+
+@query(f"WITH {G} SELECT * REPLACE (CAST(i AS VARCHAR) AS i) FROM vx")
+def load_graph_vertices(spark, sf):
+    paths = _exported(spark, sf)
+    return _rounded(pg.graph_from_lists(spark, paths["vertex_path"], paths["edge_path"]).vertices)
+
+
+@query(f"WITH {G} SELECT CAST(i AS VARCHAR) AS i, CAST(j AS VARCHAR) AS j, u_ij, {SCORES} FROM es")
+def load_graph_edges(spark, sf):
+    paths = _exported(spark, sf)
+    return pg.graph_from_lists(spark, paths["vertex_path"], paths["edge_path"]).edges
+
+
+@query(f"WITH {G} SELECT i, j, unnest([i, j]) AS missing FROM e WHERE false")
+def unknown_endpoints(spark, sf):
+    graph = i.scored_graph(spark, sf)
+    return r.unknown_endpoints(graph.edges, graph.vertices)
+
+
+@query(
+    f"""WITH {G} SELECT 0 AS section, 'strict graph G {{' AS line UNION ALL SELECT 3, '}}'
+    UNION ALL SELECT 1, '  "' || i || '" [ degree="' || degree || '" weightedDegree="' || ui || '" degreeDegree="'
+      || degree_degree || '" ];' FROM vx
+    UNION ALL SELECT 2, '  "' || i || '" -- "' || j || '" ];' FROM es"""
+)
+def graph_to_dot_lines(spark, sf):
+    """DOT statements; the decimals are cut out here, their text form differs between engines."""
+    lines = files.graph_to_dot_lines(i.scored_graph(spark, sf))
+    cut = F.regexp_replace("line", r' (\[ weight|weightedDegreeDegree|localClusteringCoefficient)="[^"]*"', "")
+    return lines.select("section", cut.alias("line"))
+
+
+@query("SELECT 'a' AS dot_id, CAST(0 AS BIGINT) AS vertices, CAST(0 AS BIGINT) AS first_i FROM lineitem WHERE false")
+def dot_id_collisions(spark, sf):
+    return files.dot_id_collisions(i.scored_graph(spark, sf).vertices)
+
+
+@query(f"WITH {G} SELECT d.v, k, ui, CAST(ui AS DOUBLE) / k AS avg FROM d")
+def vertex_degrees(spark, sf):
+    graph = i.scored_graph(spark, sf)
+    return g.vertex_degrees(graph.edges.selectExpr("i as a", "j as b", "u_ij as u"))

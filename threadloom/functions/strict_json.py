@@ -75,9 +75,12 @@ def is_valid(text: Sequence[str], numbers: Sequence[str] = ()) -> Column:
 def reject_reason(text: Sequence[str], numbers: Sequence[str] = ()) -> Column:
     """Why a line breaks the contract; NULL for a valid line."""
     value = F.col("value")
+    # Only for lines the strict decoder refused: is it well-formed JSON of another kind?
+    other = F.schema_of_variant(F.try_parse_json(value))
     reason = (
         F.when(F.trim(value) == "", "blank")
         .when(F.ascii(value) == 0, "nul")
+        .when(~is_single_document() & other.isNotNull() & ~other.startswith("OBJECT"), "not_object")
         .when(~is_single_document(), "malformed")
         .when(~is_object(), "not_object")
     )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadloom.operators.lookup import BROADCAST_BYTES, lookup_join
-from threadloom.operators.triangles import linked_neighbours
+from threadloom.operators.triangles import linked_neighbours  # noqa: F401
 from threadloom.plans.materialize import Stored, store
 
 VERTICES_PER_BUCKET = 1 << 16

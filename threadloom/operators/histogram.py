@@ -20,7 +20,7 @@ def _bin(value: Column, low: float, high: float, bins: int) -> Column:
     # Rounding can put a value that lies on an edge one bin off; the edges decide.
     down = F.when(value < F.lit(low) + guess * F.lit(step), 1).otherwise(0)
     up = F.when((guess < bins - 1) & (value >= F.lit(low) + (guess + 1) * F.lit(step)), 1).otherwise(0)
-    return (guess - down + up + 1).cast("int")
+    return F.when(value.isNotNull(), guess - down + up + 1).cast("int")
 
 
 def histograms(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFrame:

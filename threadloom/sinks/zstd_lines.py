@@ -19,16 +19,9 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
+from threadloom.sources.paths import open_path
 
-def open_path(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system and the inner path of a local path or URI."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 @dataclass
@@ -87,7 +80,7 @@ class ZstdLinesWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         system, root = open_path(self.path)
         if self.overwrite:
-            for info in system.get_file_info(fs.FileSelector(root)):
+            for info in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
                 if info.is_file:
                     system.delete_file(info.path)
         for message in messages:

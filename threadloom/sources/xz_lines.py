@@ -18,6 +18,8 @@ from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from threadloom.sources.paths import open_path
+
 # Executors need no installed copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -30,15 +32,6 @@ class XzFile(InputPartition):
     path: str
 
 
-def open_path(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system and the inner path of a local path or URI."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:") :].lstrip("/")
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
-
-
 def line_batches(stream: Iterator[bytes], name: str) -> Iterator[pa.RecordBatch]:
     """Cut byte chunks at newlines; the last line may be unterminated."""
 
@@ -77,7 +70,9 @@ class XzLinesReader(DataSourceReader):
         infos = [info] if info.is_file else system.get_file_info(fs.FileSelector(path))
         return [XzFile(item.path) for item in infos if item.is_file and self._wanted(item.base_name)]
 
-    def read(self, partition: XzFile) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: XzFile | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # Spark plans one empty partition when no file matches.
+            return
         system = open_path(self.path)[0]
         with system.open_input_stream(partition.path) as raw, lzma.open(raw) as data:
             yield from line_batches(iter(lambda: data.read(CHUNK), b""), partition.path.rsplit("/", 1)[-1])
