@@ -60,10 +60,10 @@ def clustering_by_bit_blocks(spark, sf):
     edges = i.scored_graph(spark, sf).edges
     low = F.struct("degree_i", "i") < F.struct("degree_j", "j")
     ends = edges.select(
-        F.col("i").alias("a"),
-        F.col("j").alias("b"),
-        F.when(low, F.col("i")).otherwise(F.col("j")).alias("lo"),
-        F.when(low, F.col("j")).otherwise(F.col("i")).alias("hi"),
+        F.col("i").cast("int").alias("a"),
+        F.col("j").cast("int").alias("b"),
+        F.when(low, F.col("i")).otherwise(F.col("j")).cast("int").alias("lo"),
+        F.when(low, F.col("j")).otherwise(F.col("i")).cast("int").alias("hi"),
     )
     links = g.linked_neighbours(ends, method="blocks").withColumnRenamed("v", "i")
     k = F.col("degree")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.operators import graph
-from threadloom.plans.materialize import scratch_path
+from threadloom.plans.materialize import scratch_path, store
 from threadloom.sinks.files import write_zstd_lines
 from threadloom.sources.paths import open_path
 
@@ -70,7 +70,7 @@ ORDER_CONTRIBUTIONS = """c AS (
   FROM orders)"""
 
 
-def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _make_comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as archive lines ``(value, file)``; the low value bands are broken in different ways."""
     named = table(spark, sf_dir, "events").selectExpr(
         "value as band",
@@ -112,7 +112,7 @@ COMMENTS = """c AS (
   FROM events WHERE value >= 7)"""
 
 
-def submission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _make_submission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as archive lines, whole texts as titles."""
     return table(spark, sf_dir, "documents").selectExpr(
         "to_json(struct(source as subreddit, concat('d', doc_id) as id, concat('w', n_chars) as author,"
@@ -127,7 +127,7 @@ SUBMISSIONS = """s AS (
   FROM documents)"""
 
 
-def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _make_author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as account lines; price bands give the creation time as text, with a fraction, or not at all."""
     seconds = "unix_timestamp(o_orderdate)"
     account = table(spark, sf_dir, "orders").selectExpr(
@@ -150,6 +150,18 @@ ACCOUNTS = """a AS (
   FROM orders WHERE o_totalprice >= 60000 OR (o_totalprice >= 20000 AND o_totalprice < 40000))"""
 
 
+def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keep(spark, sf_dir, "comments", lambda: store(_make_comment_lines(spark, sf_dir), "comments").table)
+
+
+def submission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keep(spark, sf_dir, "submissions", lambda: store(_make_submission_lines(spark, sf_dir), "submissions").table)
+
+
+def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keep(spark, sf_dir, "authors", lambda: store(_make_author_lines(spark, sf_dir), "authors").table)
+
+
 def _by_file(lines: DataFrame) -> DataFrame:
     return lines.repartition("file").sortWithinPartitions("file")
 

@@ -146,6 +146,7 @@ def test_both_triangle_methods_agree(spark):
     graph = g.build_graph(members(spark, pairs))
     numbers = {row["i"]: n for n, row in enumerate(graph.vertices.collect())}
     number = spark.createDataFrame(list(numbers.items()), "name string, n bigint")
+    number = number.selectExpr("name", "cast(n as int) as n")
     ends = graph.edges.select("i", "j", "degree_i", "degree_j")
     for end in "ij":
         ends = ends.join(number.selectExpr(f"name as {end}", f"n as n{end}"), end)
@@ -165,9 +166,9 @@ def test_both_triangle_methods_agree(spark):
 def test_vertex_numbers_are_unique_over_buckets(spark, monkeypatch):
     monkeypatch.setattr(g, "VERTICES_PER_BUCKET", 10)
     pairs = random_members(5, 60, 80, 1)
-    index = g.vertex_index(members(spark, pairs))
+    index = g.vertex_index(members(spark, pairs), 60)
     assert index.select("vid").distinct().count() == index.count() == len({s for s, _ in pairs})
-    assert index.selectExpr("shiftright(vid, 32)").distinct().count() > 1
+    assert index.agg({"vid": "max"}).first()[0] >= 60
     assert scores(g.build_graph(members(spark, pairs))) == brute_force(pairs)[2]
 
 

@@ -66,52 +66,39 @@ def merge_counts(*counts: DataFrame) -> DataFrame:
     return drop_empty_subreddit(merged).groupBy("subreddit").agg(F.sum("count").alias("count"))
 
 
+def _levels(months: DataFrame, *columns: str) -> DataFrame:
+    """Every row three times: for its month, its year and all periods."""
+    levels = f"""inline(array(
+        struct('month' as level, _month as period),
+        struct('year' as level, substring(_month, 1, 4) as period),
+        struct('{ALL_PERIODS}' as level, '{ALL_PERIODS}' as period)))"""
+    return months.selectExpr(*columns, levels)
+
+
 def contributions_per_period(df: DataFrame, period: str = "period") -> DataFrame:
     """Contributions per month, per year and in total, from one pass.
 
-    ``period`` starts with ``yyyy-MM``. Years and the total are rolled up from the month counts.
+    ``period`` starts with ``yyyy-MM``. Years and the total are added up from the month counts.
     """
-    month = F.substring(F.col(period), 1, 7)
     months = (
         _labelled(df.where("author IS NOT NULL"))
-        .groupBy(F.substring(month, 1, 4).alias("_year"), month.alias("_month"), "subreddit")
+        .groupBy(F.substring(F.col(period), 1, 7).alias("_month"), "subreddit")
         .agg(F.count("*").alias("count"))
     )
-    levels = F.array(
-        F.struct(F.lit("month").alias("level"), F.col("_month").alias("period")),
-        F.struct(F.lit("year").alias("level"), F.col("_year").alias("period")),
-        F.struct(F.lit(ALL_PERIODS).alias("level"), F.lit(ALL_PERIODS).alias("period")),
-    )
-    return (
-        months.select("subreddit", "count", F.inline(levels))
-        .groupBy("level", "period", "subreddit")
-        .agg(F.sum("count").alias("count"))
-    )
+    levelled = _levels(months, "subreddit", "count").groupBy("level", "period", "subreddit")
+    return levelled.agg(F.sum("count").alias("count"))
 
 
 def users_per_period(df: DataFrame, period: str = "period") -> DataFrame:
-    """Distinct users per month, per year and in total, from one heavy shuffle.
+    """Distinct users per month, per year and in total, from one pass and one heavy shuffle.
 
-    Each (subreddit, author) pair is reduced to the set of months it was active in, which the
-    calendar bounds; the months, their years and the total are then counted from that row.
+    Distinct counts do not add up over periods, so all three levels are made distinct together;
+    each task first removes its own repeats, and only those rows are shuffled.
     """
     named = _labelled(drop_deleted_authors(df))
-    active = named.groupBy("subreddit", "author").agg(
-        F.collect_set(F.substring(F.col(period), 1, 7)).alias("_months")
-    )
-    years = F.array_distinct(F.transform("_months", lambda m: F.substring(m, 1, 4)))
-
-    def level(name: str, values):
-        return F.transform(values, lambda v: F.struct(F.lit(name).alias("level"), v.alias("period")))
-
-    levels = F.concat(
-        level("month", F.col("_months")), level("year", years), level(ALL_PERIODS, F.array(F.lit(ALL_PERIODS)))
-    )
-    return (
-        active.select("subreddit", F.inline(levels))
-        .groupBy("level", "period", "subreddit")
-        .agg(F.count("*").alias("count"))
-    )
+    months = named.select(F.substring(F.col(period), 1, 7).alias("_month"), "subreddit", "author")
+    members = _levels(months, "subreddit", "author").distinct()
+    return members.groupBy("level", "period", "subreddit").agg(F.count("*").alias("count"))
 
 
 def accounts_per_year(authors: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The co-participation graph and its scores.
 
 Vertices are subreddits; an edge joins two subreddits that share an author and is weighted by the
-number of shared authors. Inside this module subreddits are 64-bit numbers.
+number of shared authors. Inside this module subreddits are numbers below ``2**31``, so a pair of
+them is one 64-bit key.
 """
 
 from __future__ import annotations
@@ -13,10 +14,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadloom.operators.lookup import BROADCAST_BYTES, lookup_join
-from threadloom.operators.triangles import linked_neighbours  # noqa: F401
+from threadloom.operators.triangles import linked_neighbours, pair_key
 from threadloom.plans.materialize import Stored, store
 
 VERTICES_PER_BUCKET = 1 << 16
+MOST_VERTICES = 1 << 30
 TILE = 256
 ROWS_PER_TASK = 1_000_000
 
@@ -26,28 +28,28 @@ class Graph(NamedTuple):
     edges: DataFrame
 
 
-def vertex_index(memberships: DataFrame) -> DataFrame:
-    """A number for every subreddit: ``(subreddit, vid)``.
+def vertex_index(memberships: DataFrame, expected: int) -> DataFrame:
+    """A number for every subreddit: ``(subreddit, vid)``; ``expected`` is their rough count.
 
-    The high half is a hash bucket, the low half the position inside the bucket, largest
-    subreddits first. The number of buckets follows the number of subreddits, so no step sees
-    more than a fixed share, and popular subreddits get neighbouring numbers, which the triangle
-    count packs into the same words.
+    Subreddits are dealt into hash buckets and ranked by size inside each; the number is the rank
+    first, the bucket second. The number of buckets follows the number of subreddits, so no step
+    sees more than a fixed share of them, and popular subreddits get neighbouring numbers, which
+    the triangle count packs into the same words.
     """
-    sizes = store(memberships.groupBy("subreddit").agg(F.expr("count(*) as _n")), "subreddit-sizes")
-    buckets = math.ceil(max(sizes.rows, 1) / VERTICES_PER_BUCKET)
-    bucketed = sizes.table.selectExpr("subreddit", "_n", f"pmod(xxhash64(subreddit), {buckets}) as _bucket")
-    return bucketed.selectExpr(
-        "subreddit",
-        "shiftleft(_bucket, 32)"
-        " + row_number() over (partition by _bucket order by _n desc, subreddit) - 1 as vid",
-    )
+    if expected > MOST_VERTICES:
+        raise ValueError(f"about {expected} subreddits do not fit 31-bit numbers")
+    buckets = math.ceil(max(expected, 1) / VERTICES_PER_BUCKET)
+    sizes = memberships.groupBy("subreddit").agg(F.expr("count(*) as _n"))
+    bucketed = sizes.selectExpr("subreddit", "_n", f"pmod(xxhash64(subreddit), {buckets}) as _bucket")
+    rank = "row_number() over (partition by _bucket order by _n desc, subreddit) - 1"
+    return bucketed.selectExpr("subreddit", f"cast(({rank}) * {buckets} + _bucket as int) as vid")
 
 
 def _pairs_in(tiles: DataFrame) -> DataFrame:
     """All pairs ``a < b`` of every sorted tile, with the tile's weight."""
     firsts = tiles.selectExpr("n", "tile", "posexplode(tile) as (at, a)")
-    return firsts.selectExpr("n", "a", "explode(slice(tile, at + 2, size(tile))) as b")
+    pairs = firsts.selectExpr("n", "a", "explode(slice(tile, at + 2, size(tile))) as b")
+    return pairs.selectExpr("n", f"{pair_key('a', 'b')} as pair")
 
 
 def _pairs_across(tiles: DataFrame) -> DataFrame:
@@ -62,7 +64,7 @@ def _pairs_across(tiles: DataFrame) -> DataFrame:
     right = tiles.selectExpr("author", "tile as y", "_part as _q", "explode(slice(sequence(0, _cuts), 1, _part)) as _p")
     met = left.join(right, ["author", "_p", "_q"])
     pairs = met.selectExpr("explode(x) as p", "y").selectExpr("p", "explode(y) as q")
-    return pairs.selectExpr("1L as n", "least(p, q) as a", "greatest(p, q) as b")
+    return pairs.selectExpr("1L as n", f"{pair_key('least(p, q)', 'greatest(p, q)')} as pair")
 
 
 def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -98,14 +100,15 @@ def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_
     pairs = _pairs_in(profiles)
     if heavy.rows:
         pairs = pairs.unionByName(_pairs_across(tiles.where("_cuts IS NOT NULL")))
-    return pairs.groupBy("a", "b").agg(F.sum("n").alias("u"))
+    counted = pairs.groupBy("pair").agg(F.expr("sum(n) as u"))
+    return counted.selectExpr("cast(shiftright(pair, 32) as int) as a", "cast(pair & 2147483647 as int) as b", "u")
 
 
 def _numbered(memberships: DataFrame, limit: int) -> tuple[Stored, DataFrame]:
     """The vertex index and the memberships by number."""
-    members = store(memberships, "memberships").table
-    index = store(vertex_index(members), "vertex-index")
-    numbered = lookup_join(members, index.table, ["subreddit"], index.bytes <= limit).select("vid", "author")
+    members = store(memberships, "memberships", F.expr("approx_count_distinct(subreddit) as subreddits"))
+    index = store(vertex_index(members.table, members.seen["subreddits"]), "vertex-index")
+    numbered = lookup_join(members.table, index.table, ["subreddit"], index.bytes <= limit).select("vid", "author")
     return index, numbered
 
 

@@ -4,66 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _number(column: str) -> Column:
-    value = F.col(f"`{column}`").cast("double")
-    return F.when(~F.isnan(value), value)
-
-
-def _bin(value: Column, low: float, high: float, bins: int) -> Column:
-    """Bin number from 1. Bins are closed on the left, the last one on both sides."""
-    step = (high - low) / bins
-    guess = F.least(F.floor((value - F.lit(low)) * F.lit(bins) / F.lit(high - low)), F.lit(bins - 1))
-    # Rounding can put a value that lies on an edge one bin off; the edges decide.
-    down = F.when(value < F.lit(low) + guess * F.lit(step), 1).otherwise(0)
-    up = F.when((guess < bins - 1) & (value >= F.lit(low) + (guess + 1) * F.lit(step)), 1).otherwise(0)
-    return F.when(value.isNotNull(), guess - down + up + 1).cast("int")
+def _values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row ``(column, v)`` per number; NULL and NaN are left out."""
+    entries = ", ".join(f"struct('{c}' as column, cast(`{c}` as double) as v)" for c in columns)
+    return df.selectExpr(f"inline(array({entries}))").where("v is not null and not isnan(v)")
 
 
 def histograms(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFrame:
     """Counts per (column, bin) of several columns: one pass for the bounds, one for the counts.
 
-    NULL and NaN are left out. A constant column gets a range of one around its value. Empty bins
-    are kept.
+    Bins are numbered from 1, closed on the left, the last one on both sides. A constant column
+    gets a range of one around its value. Empty bins are kept.
     """
-    ends = [f(_number(c)).alias(f"{n}_{k}") for k, c in enumerate(columns) for n, f in (("lo", F.min), ("hi", F.max))]
-    bounds = df.agg(*ends).first()
-    ranges: dict[str, tuple[float, float]] = {}
-    for k, column in enumerate(columns):
-        low, high = bounds[f"lo_{k}"], bounds[f"hi_{k}"]
-        if low is not None:
-            ranges[column] = (low - 0.5, high + 0.5) if low == high else (low, high)
-    spark = df.sparkSession
-    empty = "column string, bin int, lower double, upper double, count bigint"
-    if not ranges:
-        return spark.createDataFrame([], empty)
-
-    entries = [
-        F.struct(F.lit(c).alias("column"), _bin(_number(c), low, high, bins).alias("bin"))
-        for c, (low, high) in ranges.items()
-    ]
+    values = _values(df, columns)
+    # One row per column, so these two tables are as small as the call itself.
+    ranges = (
+        values.groupBy("column")
+        .agg(F.expr("min(v) as least_v"), F.expr("max(v) as most_v"))
+        .selectExpr(
+            "column", "if(least_v = most_v, least_v - 0.5D, least_v) as lo", "if(least_v = most_v, most_v + 0.5D, most_v) as hi"
+        )
+        .selectExpr("column", "lo", "hi", f"(hi - lo) / {float(bins)}D as step")
+    )
+    # Rounding can put a value that lies on an edge one bin off; the edges decide.
+    guessed = values.join(F.broadcast(ranges), "column").selectExpr(
+        "column", "v", "lo", "step", f"least(floor((v - lo) * {bins} / (hi - lo)), {bins - 1}) as k"
+    )
     counted = (
-        df.select(F.inline(F.array(*entries)))
-        .where("bin IS NOT NULL")
+        guessed.selectExpr(
+            "column",
+            f"cast(k - if(v < lo + k * step, 1, 0) + if(k < {bins - 1} and v >= lo + (k + 1) * step, 1, 0) + 1 as int)"
+            " as bin",
+        )
         .groupBy("column", "bin")
         .agg(F.count("*").alias("count"))
     )
-    # One row per bin: columns x bins, fixed by the call.
-    frame = spark.createDataFrame(
-        [(c, low, high) for c, (low, high) in ranges.items()], "column string, low double, high double"
-    ).select("column", "low", "high", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
-    step = (F.col("high") - F.col("low")) / F.lit(float(bins))
-    edges = frame.select(
+    edges = ranges.selectExpr("*", f"explode(sequence(1, {bins})) as bin")
+    return edges.join(counted, ["column", "bin"], "left").selectExpr(
         "column",
         "bin",
-        (F.col("low") + (F.col("bin") - 1) * step).alias("lower"),
-        F.when(F.col("bin") == bins, F.col("high")).otherwise(F.col("low") + F.col("bin") * step).alias("upper"),
-    )
-    return edges.join(counted, ["column", "bin"], "left").select(
-        "column", "bin", "lower", "upper", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")
+        "lo + (bin - 1) * step as lower",
+        f"if(bin = {bins}, hi, lo + bin * step) as upper",
+        "coalesce(count, 0L) as count",
     )
 
 

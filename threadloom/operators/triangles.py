@@ -1,6 +1,6 @@
 """How many neighbours of a vertex are neighbours of each other.
 
-Input edges are ``(a, b, lo, hi)``: ``a < b`` by number, ``lo`` and ``hi`` the same ends by
+Input edges are ``(a, b, lo, hi)``, numbers below ``2**31``: ``a < b``, ``lo`` and ``hi`` the same ends by
 (degree, number). Ordered this way a vertex has at most ``sqrt(2 * edges)`` higher neighbours,
 also when it is a hub. Two exact ways exist, and the measured work decides:
 
@@ -24,6 +24,11 @@ BLOCK_SHIFT = 8
 ROWS_PER_TASK = 1_000_000
 
 
+def pair_key(a: str, b: str) -> str:
+    """Two numbers below ``2**31`` as one 64-bit key."""
+    return f"(shiftleft(cast({a} as bigint), 32) | cast({b} as bigint))"
+
+
 def linked_neighbours(edges: DataFrame, limit: int = BROADCAST_BYTES, method: str = "auto") -> DataFrame:
     """``(v, links)``: ordered pairs of neighbours of v that are joined by an edge."""
     ends = edges.select("a", "b", "lo", "hi")
@@ -42,13 +47,12 @@ def linked_neighbours(edges: DataFrame, limit: int = BROADCAST_BYTES, method: st
 
 
 def _by_pairs(edges: DataFrame, small: bool, tasks: int) -> DataFrame:
-    first = edges.selectExpr("lo", "hi as x")
-    if small and tasks > 1:
-        first = first.repartition(tasks, "lo", "x")
-    second = edges.selectExpr("lo", "hi as y")
-    pairs = lookup_join(first, second, ["lo"], small, salts=1).where("x < y")
-    closing = edges.selectExpr("a as x", "b as y")
-    closed = lookup_join(pairs, closing, ["x", "y"], small, "left_semi", salts=1)
+    # The tasks are sized by the pairs they will make, not by the bytes of the edges.
+    spread = edges.repartition(tasks, "lo") if tasks > 1 else edges
+    pairs = spread.selectExpr("lo", "hi as x").join(spread.selectExpr("lo", "hi as y"), "lo").where("x < y")
+    pairs = pairs.selectExpr("lo", "x", "y", f"{pair_key('x', 'y')} as pair")
+    closing = edges.selectExpr(f"{pair_key('a', 'b')} as pair")
+    closed = lookup_join(pairs, closing, ["pair"], small, "left_semi", salts=1)
     return closed.selectExpr("explode(array(lo, x, y)) as v").groupBy("v").agg(F.expr("2 * count(*) as links"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from typing import NamedTuple
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ class Stored(NamedTuple):
     table: DataFrame
     rows: int
     bytes: int
+    seen: dict[str, Any]
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,12 +55,16 @@ def row_bytes(schema: T.StructType) -> Column:
     return width
 
 
-def store(df: DataFrame, label: str) -> Stored:
-    """Write ``df`` once; return a reader over the written table, its rows and its bytes."""
+def store(df: DataFrame, label: str, *metrics: Column) -> Stored:
+    """Write ``df`` once; return a reader over the written table, its rows and its bytes.
+
+    Further aggregate ``metrics`` are observed in the same pass and returned in ``seen``.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     seen = Observation()
     rows = F.count(F.lit(1)).alias("rows")
     size = F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes")
-    df.observe(seen, rows, size).write.parquet(path)
-    return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], seen.get["bytes"])
+    df.observe(seen, rows, size, *metrics).write.parquet(path)
+    found = seen.get
+    return Stored(spark.read.schema(df.schema).parquet(path), found["rows"], found["bytes"], found)
