@@ -123,6 +123,11 @@ def read_contributions(spark, sf):
     return a.read_contributions(spark, i.archive(spark, sf))
 
 
+@query(f"WITH {K} SELECT subreddit, id, author, body FROM c")
+def project_entity(spark, sf):
+    return f.project_entity(p.parse_comments(i.comment_lines(spark, sf)), "comments")
+
+
 @query(f"WITH {K} SELECT subreddit, id, author, body FROM c WHERE {NAMED} AND subreddit IN {LISTED}")
 def pass_through_comments(spark, sf):
     return pt.pass_through(spark, i.archive(spark, sf), "comments", subreddits=i.filter_list(spark, sf))
@@ -200,6 +205,25 @@ def write_statistics(spark, sf):
     return t.read_counts_csv(spark, path)
 
 
+@query(
+    f"""WITH {K}, l AS (SELECT coalesce(subreddit, 'No-Subreddit-defined') AS subreddit, substr(file, 4, 7) AS month
+      FROM c WHERE (subreddit IS NULL OR subreddit <> '') AND author IS NOT NULL),
+    lv AS (SELECT 'month' AS level, month AS period, subreddit FROM l
+      UNION ALL SELECT 'year', substr(month, 1, 4), subreddit FROM l UNION ALL SELECT 'all', 'all', subreddit FROM l)
+    SELECT level, period, subreddit, count(*) AS count FROM lv GROUP BY level, period, subreddit"""
+)
+def write_statistics_per_period(spark, sf):
+    """All periods written in one run, one folder each, and read again."""
+    lines = a.archive_lines(spark, i.archive(spark, sf), "comments")
+    rows = p.parse_user_in_subreddit(lines).withColumn("period", file_period())
+    counted = c.contributions_per_period(rows)
+    path = files.write_statistics_per_period(
+        counted, scratch_path(spark, "periods"), "UserContributionsInSubreddits"
+    )
+    back = spark.read.schema("subreddit string, count bigint, level string, period string").csv(path)
+    return back.select("level", "period", "subreddit", "count")
+
+
 @query(
     f"""WITH {BOTH}, n AS (SELECT DISTINCT subreddit, author, file FROM l WHERE {NAMED})
     SELECT subreddit, count(*) AS count FROM n GROUP BY subreddit"""

@@ -54,6 +54,35 @@ def vertex_scores_with_large_lookups(spark, sf):
     return _rounded(g.build_graph(i.memberships(spark, sf), limit=0).vertices)
 
 
+WITH_CUSTOMERS = G.replace(
+    "m AS (SELECT DISTINCT l_partkey AS s, l_orderkey AS a FROM lineitem)",
+    """m AS (SELECT DISTINCT l_partkey AS s, l_orderkey AS a FROM lineitem
+       UNION ALL SELECT -o_custkey - 1, -o_orderkey - 1 FROM orders)""",
+)
+
+
+@query(f"WITH {WITH_CUSTOMERS} SELECT * FROM vx")
+def vertex_scores_with_isolated_vertices(spark, sf):
+    """The parts graph next to customers, none of which share an order."""
+    customers = i.table(spark, sf, "orders").selectExpr("-o_custkey - 1 as subreddit", "-o_orderkey - 1 as author")
+    return _rounded(g.build_graph(i.memberships(spark, sf).unionByName(customers)).vertices)
+
+
+@query(f"WITH {G} SELECT v, dd, round(wdd, 6) AS wdd FROM dd")
+def neighbour_sums(spark, sf):
+    graph = i.scored_graph(spark, sf)
+    base = graph.vertices.selectExpr("i as v", "degree as k")
+    sums = g.neighbour_sums(graph.edges.selectExpr("i as a", "j as b", "w_ij"), base, small=False)
+    return sums.selectExpr("v", "dd", "round(wdd, 6) as wdd")
+
+
+@query(f"WITH {G} SELECT count(*) + (SELECT count(*) FROM es) + 2 AS lines FROM vx")
+def write_dot(spark, sf):
+    """The DOT document written and read again."""
+    document = spark.read.text(_exported(spark, sf)["dot_path"])
+    return document.agg(F.count("*").alias("lines"))
+
+
 @query(f"WITH {G} SELECT i, local_clustering_coefficient FROM vx")
 def clustering_by_bit_blocks(spark, sf):
     """Clustering by the method for dense graphs."""

@@ -83,10 +83,17 @@ def test_file_names_choose_files(spark, dataset):
     assert rows(a.list_files(spark, comments, "RC_", "2018", "-01"), "file") == [("RC_2018-02.gz",)]
     assert rows(a.list_files(spark, comments, "RC_", "", "  "), "file") == [("RC_2018-01.zst",), ("RC_2018-02.gz",)]
     assert a.list_files(spark, comments, "RC_", "rc_").count() == 0
-    lines = a.read_archive(spark, comments, "RC_", "2018-02")
-    scan = lines._jdf.queryExecution().executedPlan().toString()
-    assert "file_name" in scan
-    assert {r["file"] for r in lines.collect()} == {"RC_2018-02.gz"}
+
+
+def test_unwanted_files_are_not_opened(spark, dataset):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = a.read_archive(spark, str(dataset / "comments"), "RC_", "2018-02")
+        assert {r["file"] for r in lines.collect()} == {"RC_2018-02.gz"}
+        scan = lines._jdf.queryExecution().executedPlan().collectLeaves().head()
+        assert scan.metrics().apply("numFiles").value() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_spread_keeps_all_lines(spark, dataset):
