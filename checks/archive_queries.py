@@ -110,7 +110,7 @@ def read_submissions(spark, sf):
 
 @query(f"WITH {K} SELECT subreddit, id, author, body, file FROM c")
 def read_comments(spark, sf):
-    return a.read_comments(spark, i.archive(spark, sf), spread=16)
+    return a.read_comments(spark, i.archive(spark, sf), spread=16, spread_above=1000)
 
 
 @query(f"WITH {A} SELECT author, created_utc FROM a")

@@ -165,10 +165,14 @@ def load_graph_edges(spark, sf):
     return pg.graph_from_lists(spark, paths["vertex_path"], paths["edge_path"]).edges
 
 
-@query(f"WITH {G} SELECT i, j, unnest([i, j]) AS missing FROM e WHERE false")
+@query(
+    f"""WITH {G}, ends AS (SELECT i, j, unnest([i, j]) AS missing FROM e)
+    SELECT i, j, missing FROM ends WHERE missing NOT IN (SELECT p_partkey FROM part WHERE p_size < 25)"""
+)
 def unknown_endpoints(spark, sf):
-    graph = i.scored_graph(spark, sf)
-    return r.unknown_endpoints(graph.edges, graph.vertices)
+    """Edges against a vertex list that only names the smaller parts."""
+    known = i.table(spark, sf, "part").where("p_size < 25").selectExpr("p_partkey as i")
+    return r.unknown_endpoints(i.scored_graph(spark, sf).edges, known)
 
 
 @query(
@@ -184,9 +188,17 @@ def graph_to_dot_lines(spark, sf):
     return lines.select("section", cut.alias("line"))
 
 
-@query("SELECT 'a' AS dot_id, CAST(0 AS BIGINT) AS vertices, CAST(0 AS BIGINT) AS first_i FROM lineitem WHERE false")
+@query(
+    """WITH u AS (SELECT DISTINCT l_partkey || '.x' AS n FROM lineitem
+                  UNION ALL SELECT DISTINCT o_custkey || '_x' FROM orders)
+    SELECT '"' || replace(n, '.', '_') || '"' AS dot_id, count(*) AS vertices, min(n) AS first_i
+    FROM u GROUP BY 1 HAVING count(*) > 1"""
+)
 def dot_id_collisions(spark, sf):
-    return files.dot_id_collisions(i.scored_graph(spark, sf).vertices)
+    """Part and customer names that differ by a dot only."""
+    parts = i.table(spark, sf, "lineitem").selectExpr("concat(l_partkey, '.x') as i").distinct()
+    customers = i.table(spark, sf, "orders").selectExpr("concat(o_custkey, '_x') as i").distinct()
+    return files.dot_id_collisions(parts.unionAll(customers))
 
 
 @query(f"WITH {G} SELECT d.v, k, ui, CAST(ui AS DOUBLE) / k AS avg FROM d")

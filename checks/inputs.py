@@ -151,15 +151,15 @@ ACCOUNTS = """a AS (
 
 
 def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep(spark, sf_dir, "comments", lambda: store(_make_comment_lines(spark, sf_dir), "comments").table)
+    return keep(spark, sf_dir, "comments", lambda: store(_make_comment_lines(spark, sf_dir).repartition(32), "comments").table)
 
 
 def submission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep(spark, sf_dir, "submissions", lambda: store(_make_submission_lines(spark, sf_dir), "submissions").table)
+    return keep(spark, sf_dir, "submissions", lambda: store(_make_submission_lines(spark, sf_dir).repartition(32), "submissions").table)
 
 
 def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep(spark, sf_dir, "authors", lambda: store(_make_author_lines(spark, sf_dir), "authors").table)
+    return keep(spark, sf_dir, "authors", lambda: store(_make_author_lines(spark, sf_dir).repartition(32), "authors").table)
 
 
 def _by_file(lines: DataFrame) -> DataFrame:

@@ -61,14 +61,16 @@ def test_every_codec_with_concatenated_streams(spark, tmp_path, pack):
     assert rows(found) == [(v, f"RS_2008-03.{suffix}") for v in sorted(["", "one", "three", "two"])]
 
 
-def test_xz_lines_over_many_chunks(spark, tmp_path, monkeypatch):
+def test_xz_lines_over_many_chunks(spark, tmp_path):
     text = [f"{n} " + "x" * (n % 997) for n in range(20000)]
     data = lzma.compress("\n".join(text[:9000]).encode()) + lzma.compress(("\n" + "\n".join(text[9000:])).encode())
     (tmp_path / "RC_1.xz").write_bytes(data)
     (tmp_path / "RS_1.xz").write_bytes(lzma.compress(b"other"))
     (tmp_path / "RC_1.gz").write_bytes(gzip.compress(b"plain"))
-    lines = a.read_archive(spark, str(tmp_path), "RC_")
-    assert sorted(r["value"] for r in lines.collect()) == sorted([*text, "plain"])
+    for spreading in ({}, {"spread": 3}, {"spread": 3, "spread_above": 1000}):
+        lines = a.read_archive(spark, str(tmp_path), "RC_", **spreading)
+        assert lines.columns == ["value", "file"]
+        assert sorted(r["value"] for r in lines.collect()) == sorted([*text, "plain"])
     assert a.read_xz_archive(spark, str(tmp_path), "RC_", excludes="_1").count() == 0
 
 
@@ -101,6 +103,8 @@ def test_spread_keeps_all_lines(spark, dataset):
     spread = a.read_archive(spark, str(dataset / "comments"), "RC_", spread=5)
     assert rows(plain) == rows(spread)
     assert spread.rdd.getNumPartitions() == 5
+    sizes = {r["file"]: r["bytes"] for r in a.list_files(spark, str(dataset / "comments"), "RC_").collect()}
+    assert rows(a.read_archive(spark, str(dataset / "comments"), "RC_", spread=5, spread_above=min(sizes.values()))) == rows(plain)
 
 
 def test_pass_through(spark, dataset):

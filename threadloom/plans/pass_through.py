@@ -31,6 +31,7 @@ def pass_through(
     excludes: str = "",
     prefix: str | None = None,
     spread: int | None = None,
+    spread_above: int = 0,
 ) -> DataFrame:
     """The rows of one archive kind with deleted authors and unlisted subreddits removed.
 
@@ -39,7 +40,7 @@ def pass_through(
     """
     if original_json and only_users:
         raise ValueError("choose either original_json or only_users")
-    lines = archive_lines(spark, dataset_dir, kind, contains, excludes, prefix, spread)
+    lines = archive_lines(spark, dataset_dir, kind, contains, excludes, prefix, spread, spread_above)
     if original_json:
         return filter_raw_json(lines, subreddits).select("value")
     if only_users and kind != "authors":

@@ -30,7 +30,7 @@ def list_files(
 def read_xz_archive(
     spark: SparkSession, path: str, prefix: str = "", contains: str = "", excludes: str = ""
 ) -> DataFrame:
-    """Lines of the ``.xz`` archives of a directory, or of one file."""
+    """Lines ``(value, file, bytes)`` of the ``.xz`` archives of a directory, or of one file."""
     xz_lines.register(spark)
     options = {"prefix": prefix, "contains": contains, "excludes": excludes}
     return spark.read.format("xz_lines").options(**options).load(path)
@@ -48,25 +48,29 @@ def read_archive(
     contains: str = "",
     excludes: str = "",
     spread: int | None = None,
+    spread_above: int = 0,
 ) -> DataFrame:
     """Lines of all archives of a directory whose names pass the tests, with their file name.
 
     ``.zst``, ``.gz``, ``.bz2`` and plain files go through the text reader, ``.xz`` files through
     their own source. Files that fail a name test are never opened. A compressed file is read by
-    one task; ``spread`` deals the lines out to that many tasks before they are decoded, for
-    directories with few or very uneven files.
+    one task; ``spread`` deals the lines of files larger than ``spread_above`` bytes out to that
+    many tasks before they are decoded. The lines of the other files stay where they are read.
     """
     text = (
         spark.read.option("pathGlobFilter", name_glob(prefix))
         .option("lineSep", "\n")
         .text(directory)
-        .select("value", F.col("_metadata.file_name").alias("file"))
+        .select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"))
         .where(name_matches(F.col("file"), prefix, contains, excludes) & ~F.col("file").endswith(".xz"))
     )
     lines = text
     if _has_xz(spark, directory, prefix):
         lines = text.unionByName(read_xz_archive(spark, directory, prefix, contains, excludes))
-    return lines.repartition(spread) if spread else lines
+    if not spread:
+        return lines.drop("bytes")
+    large = lines.where(F.col("bytes") > spread_above).drop("bytes").repartition(spread)
+    return lines.where(F.col("bytes") <= spread_above).drop("bytes").unionByName(large) if spread_above else large
 
 
 def archive_lines(
@@ -77,11 +81,12 @@ def archive_lines(
     excludes: str = "",
     prefix: str | None = None,
     spread: int | None = None,
+    spread_above: int = 0,
 ) -> DataFrame:
     """Usable lines of one archive kind of a dataset directory."""
     prefix = PREFIXES[kind] if prefix is None else prefix
     directory = f"{dataset_dir.rstrip('/')}/{DIRECTORIES[kind]}"
-    return split_lines(read_archive(spark, directory, prefix, contains, excludes, spread))
+    return split_lines(read_archive(spark, directory, prefix, contains, excludes, spread, spread_above))
 
 
 def read_submissions(spark: SparkSession, dataset_dir: str, **names) -> DataFrame:

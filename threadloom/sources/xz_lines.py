@@ -24,21 +24,22 @@ from threadloom.sources.paths import open_path
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 4 << 20
-SCHEMA = "value string, file string"
+SCHEMA = "value string, file string, bytes bigint"
 
 
 @dataclass
 class XzFile(InputPartition):
     path: str
+    bytes: int
 
 
-def line_batches(stream: Iterator[bytes], name: str) -> Iterator[pa.RecordBatch]:
+def line_batches(stream: Iterator[bytes], name: str, size: int) -> Iterator[pa.RecordBatch]:
     """Cut byte chunks at newlines; the last line may be unterminated."""
 
     def batch(lines: list[bytes]) -> pa.RecordBatch:
         values = pa.array([line.decode("utf-8", "replace") for line in lines], pa.string())
-        names = pa.DictionaryArray.from_arrays(pa.array([0] * len(lines), pa.int32()), pa.array([name]))
-        return pa.RecordBatch.from_arrays([values, names.cast(pa.string())], ["value", "file"])
+        columns = [values, pa.repeat(pa.scalar(name), len(lines)), pa.repeat(pa.scalar(size), len(lines))]
+        return pa.RecordBatch.from_arrays(columns, ["value", "file", "bytes"])
 
     pending: list[bytes] = []
     for chunk in stream:
@@ -68,14 +69,15 @@ class XzLinesReader(DataSourceReader):
         system, path = open_path(self.path)
         info = system.get_file_info(path)
         infos = [info] if info.is_file else system.get_file_info(fs.FileSelector(path))
-        return [XzFile(item.path) for item in infos if item.is_file and self._wanted(item.base_name)]
+        return [XzFile(item.path, item.size) for item in infos if item.is_file and self._wanted(item.base_name)]
 
     def read(self, partition: XzFile | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark plans one empty partition when no file matches.
             return
         system = open_path(self.path)[0]
         with system.open_input_stream(partition.path) as raw, lzma.open(raw) as data:
-            yield from line_batches(iter(lambda: data.read(CHUNK), b""), partition.path.rsplit("/", 1)[-1])
+            chunks = iter(lambda: data.read(CHUNK), b"")
+            yield from line_batches(chunks, partition.path.rsplit("/", 1)[-1], partition.bytes)
 
 
 class XzLines(DataSource):
