@@ -46,7 +46,10 @@ def parse_user_in_subreddit(spark, sf):
     return p.parse_user_in_subreddit(i.comment_lines(spark, sf)).drop("file")
 
 
-@query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count FROM events WHERE value >= 7 GROUP BY 1")
+@query(
+    """SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count
+    FROM events WHERE value >= 7 GROUP BY 1"""
+)
 def drop_malformed(spark, sf):
     return p.drop_malformed(i.comment_lines(spark, sf), "comments").groupBy("file").agg(F.count("*").alias("count"))
 

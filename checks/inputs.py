@@ -150,16 +150,21 @@ ACCOUNTS = """a AS (
   FROM orders WHERE o_totalprice >= 60000 OR (o_totalprice >= 20000 AND o_totalprice < 40000))"""
 
 
+def _stored(spark: SparkSession, sf_dir: str, label: str, make: Callable[..., DataFrame]) -> DataFrame:
+    """Derived lines, written once over several files."""
+    return keep(spark, sf_dir, label, lambda: store(make(spark, sf_dir).repartition(32), label).table)
+
+
 def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep(spark, sf_dir, "comments", lambda: store(_make_comment_lines(spark, sf_dir).repartition(32), "comments").table)
+    return _stored(spark, sf_dir, "comments", _make_comment_lines)
 
 
 def submission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep(spark, sf_dir, "submissions", lambda: store(_make_submission_lines(spark, sf_dir).repartition(32), "submissions").table)
+    return _stored(spark, sf_dir, "submissions", _make_submission_lines)
 
 
 def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep(spark, sf_dir, "authors", lambda: store(_make_author_lines(spark, sf_dir).repartition(32), "authors").table)
+    return _stored(spark, sf_dir, "authors", _make_author_lines)
 
 
 def _by_file(lines: DataFrame) -> DataFrame:

@@ -26,7 +26,9 @@ def histograms(df: DataFrame, columns: Sequence[str], bins: int = 100) -> DataFr
         values.groupBy("column")
         .agg(F.expr("min(v) as least_v"), F.expr("max(v) as most_v"))
         .selectExpr(
-            "column", "if(least_v = most_v, least_v - 0.5D, least_v) as lo", "if(least_v = most_v, most_v + 0.5D, most_v) as hi"
+            "column",
+            "if(least_v = most_v, least_v - 0.5D, least_v) as lo",
+            "if(least_v = most_v, most_v + 0.5D, most_v) as hi",
         )
         .selectExpr("column", "lo", "hi", f"(hi - lo) / {float(bins)}D as step")
     )
