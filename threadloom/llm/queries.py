@@ -41,12 +41,12 @@ WITH texts AS (
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
   FROM documents),
 windows AS (
-  SELECT doc_id, unnest(range(1, len(ws) - 3)) AS at, ws FROM texts WHERE len(ws) >= 6),
-keyed AS (SELECT doc_id, at, array_to_string(ws[at:at + 4], ' ') AS five FROM windows),
+  SELECT doc_id, unnest(range(1, len(ws) - 3)) AS pos, ws FROM texts WHERE len(ws) >= 6),
+keyed AS (SELECT doc_id, pos, array_to_string(ws[pos:pos + 4], ' ') AS five FROM windows),
 twice AS (
-  SELECT doc_id, at FROM keyed
+  SELECT doc_id, pos FROM keyed
   QUALIFY count(*) OVER (PARTITION BY doc_id, five) >= 2),
-inside AS (SELECT DISTINCT doc_id, at + k AS at FROM twice, (SELECT unnest(range(0, 5)) AS k)),
+inside AS (SELECT DISTINCT doc_id, pos + k AS pos FROM twice, (SELECT unnest(range(0, 5)) AS k)),
 repeats AS (SELECT doc_id, count(*) AS n FROM inside GROUP BY doc_id),
 counts AS (
   SELECT doc_id, host, len(ws) AS n_words,
