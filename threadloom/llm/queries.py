@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import host_rules, mixing, url_filter
-from threadloom.llm.words import only
+from threadloom.llm import fingerprints, host_rules, language_id, mixing, toxicity, url_filter
+from threadloom.llm.words import fold, only
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,18 +48,21 @@ twice AS (
   QUALIFY count(*) OVER (PARTITION BY doc_id, five) >= 2),
 inside AS (SELECT DISTINCT doc_id, pos + k AS pos FROM twice, (SELECT unnest(range(0, 5)) AS k)),
 repeats AS (SELECT doc_id, count(*) AS n FROM inside GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM texts),
+line_counts AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 counts AS (
   SELECT doc_id, host, len(ws) AS n_words,
          length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-         list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+         coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines,
          coalesce(n, 0) AS n_repeat_words
-  FROM texts LEFT JOIN repeats USING (doc_id)),
+  FROM texts LEFT JOIN repeats USING (doc_id) LEFT JOIN line_counts USING (doc_id)),
 failed AS (
-  SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
-         n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base,
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base,
          100 * n_symbols > 10 * n_words AS symbols,
-         100 * (len(lines) - len(list_distinct(lines))) > 30 * len(lines) AS dup,
+         100 * n_dup_lines > 30 * n_lines AS dup,
          word_chars < 2 * n_words OR word_chars > 20 * n_words AS chars
   FROM counts),
 rates AS (
@@ -91,7 +94,32 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"_counts.{name}") for name in names), "base_failed", "kept")
 
 
+@registered()
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @registered()
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@registered()
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 4) == 2)
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(fold("doc_id", 4) != 2)
+    model = toxicity.fit(docs.where("not held_out").join(labels, "doc_id"))
+    scored = docs.withColumn("score", toxicity.scorer(model)(F.col("text")))
+    flagged = F.col("score") >= toxicity.threshold(model, F.col("lang"))
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), flagged.alias("flagged")
+    )
+
+
+@registered()
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 3) == 1)
+    model = language_id.fit(docs.where("not held_out"))
+    found = docs.withColumn("found", language_id.identify(model)(F.col("text")))
+    return found.select("doc_id", "held_out", "found.lang_pred", "found.score")
