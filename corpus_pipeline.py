@@ -1,28 +1,98 @@
-"""A corpus pipeline: each stage works on what the one before has kept."""
+"""A corpus pipeline: each stage works on all that the one before has kept.
+
+``STAGES`` are functions of (spark, docs, sf_dir). All but the last return the columns of the
+documents; each is written as Parquet and read again as the next one's documents.
+Null and empty texts leave with the first stage. Repeated rows count as copies of each other.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from threadloom.llm import host_rules
-from threadloom.plans.materialize import scratch_path
+from threadloom.llm import host_rules, language_id, mixing, near_dedup, packing
+from threadloom.operators.lookup import fits_broadcast, lookup_join
+from threadloom.plans.materialize import scratch_path, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, or in no learned language with half of the posterior, go.
+
+    The languages are learnt from the labels in ``docs``; without a label, only letters are asked for.
+    """
+    model = language_id.fit(docs)
+    if not model.languages:
+        return docs.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    found = docs.withColumn("_found", language_id.identify(model)(F.col("text")))
+    return found.where(language_id.accepted(F.col("_found"))).select(*docs.columns)
+
+
 def rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail a rule, or whose host is refused, go."""
     return host_rules.apply_host_rules(docs).where("kept").select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("host_rules", rule_stage)]
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of near copies the document with the smallest id stays."""
+    groups = store(near_dedup.group_near_copies(docs), "near-copies").table
+    gone = groups.where("not kept").select("doc_id").distinct()
+    kept = lookup_join(docs, gone, ["doc_id"], fits_broadcast(gone), "left_anti").select(*docs.columns)
+    # Repeated rows of one id are copies too; ids that occur once needn't be compared.
+    several = groups.where("kept and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    several = store(several, "repeated-ids").table
+    small = fits_broadcast(several)
+    single = lookup_join(kept, several, ["doc_id"], small, "left_anti")
+    return single.unionByName(lookup_join(kept, several, ["doc_id"], small, "left_semi").dropDuplicates(["doc_id"]))
+
+
+def _row_key(text: Column) -> Column:
+    """The same for rows of equal id and text only."""
+    return F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.hex(F.xxhash64(text)))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for every whole copy that the mix takes, and one of the further words it takes of a document."""
+    keyed = docs.withColumn("_key", _row_key(F.col("text")))
+    mixed = mixing.mix(keyed, doc_id="_key").where("taken > 0")
+    taken = mixed.groupBy(F.col("doc_id").alias("_key")).agg(
+        F.sum("passes").cast("int").alias("_passes"), F.flatten(F.collect_list("spans")).alias("_spans")
+    )
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+
+    def chosen(held: Column) -> Column:
+        parts = F.transform("_spans", lambda s: F.slice(held, (s["start"] + 1).cast("int"), s["length"].cast("int")))
+        return F.array_join(F.flatten(parts), "")
+
+    part = F.transform(F.array(words), chosen)
+    texts = F.concat(F.array_repeat("text", F.col("_passes")), F.when(F.size("_spans") > 0, part).otherwise(F.array()))
+    made = keyed.dropDuplicates(["_key"]).join(taken, "_key").withColumn("text", F.explode(texts))
+    if "n_chars" in docs.columns:
+        made = made.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return made.select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_stage),
+    ("host_rules", rule_stage),
+    ("near_dedup", dedup_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
+#: No SQL can express the first stage; the pipeline is tested stage by stage instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage is written as Parquet to the shared folder and read again."""
+    """The last stage's rows over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = scratch_path(spark, f"stage-{name}")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import fingerprints, host_rules, language_id, mixing, toxicity, url_filter
+from threadloom.llm import fingerprints, host_rules, language_id, mixing, near_dedup, packing, toxicity, url_filter
 from threadloom.llm.words import fold, only
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,16 @@ def op3_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(F.col(f"_counts.{name}") for name in names), "base_failed", "kept")
 
 
+@registered()
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group_near_copies(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@registered()
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @registered()
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
