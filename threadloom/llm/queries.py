@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import fingerprints, host_rules, language_id, mixing, near_dedup, packing, toxicity, url_filter
+from threadloom.llm import fingerprints, host_rules, language_id, mixing, near_dedup, packing, pitman_yor, toxicity, url_filter
 from threadloom.llm.words import fold, only
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return only(spark.read.parquet(f"{sf_dir}/{name}.parquet"), *columns)
 
 
+@registered()
+def op1_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("train", fold("doc_id", 7) != 2)
+    scored = pitman_yor.score_documents(docs)
+    return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+
+
 @registered()
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
