@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.llm import fingerprints, host_rules, language_id, mixing, near_dedup, packing, pitman_yor, toxicity, url_filter
+from threadloom.llm import fingerprints, host_rules, language_id, mixing, near_dedup, packing, pitman_yor, toxicity, url_filter, weak_labels
 from threadloom.llm.words import fold, only
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +116,15 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@registered()
+def op7_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    judged = docs.withColumn("judged", weak_labels.judge(weak_labels.fit(docs))(F.col("text")))
+    return judged.select(
+        "doc_id", "judged.votes", "judged.weak", "judged.score", (F.col("judged.score") >= 0.5).alias("kept")
+    )
+
+
 @registered()
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"))
