@@ -161,7 +161,8 @@ def mix(
     inside = inside.withColumn(
         "_block", F.explode(F.sequence(F.floor(F.col("_start") / block), F.floor((F.col("_end") - 1) / block)))
     )
-    hits = inside.join(drawn, ["place", "_shard", "_block"])
+    # The blocks grow with the corpus, and their number can't be told from the shards': never broadcast.
+    hits = inside.join(drawn.hint("merge"), ["place", "_shard", "_block"])
     begin = F.greatest(F.col("_block") * block, F.col("_start"))
     end = F.least((F.col("_block") + 1) * block, F.col("_end"))
     spans = hits.groupBy("place", "_shard", "_start", "_end").agg(
