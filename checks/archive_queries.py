@@ -5,7 +5,6 @@ from __future__ import annotations
 from checks import inputs as i
 from checks.registry import query
 from pyspark.sql import functions as F
-from threadloom.functions.columns import file_period
 from threadloom.operators import counts as c
 from threadloom.operators import filters as f
 from threadloom.operators import parse as p
@@ -46,12 +45,10 @@ def parse_user_in_subreddit(spark, sf):
     return p.parse_user_in_subreddit(i.comment_lines(spark, sf)).drop("file")
 
 
-@query(
-    """SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count
-    FROM events WHERE value >= 7 GROUP BY 1"""
-)
+@query(f"WITH {K} SELECT subreddit, id, author, body, file FROM c")
 def drop_malformed(spark, sf):
-    return p.drop_malformed(i.comment_lines(spark, sf), "comments").groupBy("file").agg(F.count("*").alias("count"))
+    """The kept lines, decoded."""
+    return p.parse_comments(p.drop_malformed(i.comment_lines(spark, sf), "comments"))
 
 
 @query(
@@ -73,16 +70,29 @@ def split_lines(spark, sf):
     return f.split_lines(i.comment_lines(spark, sf)).groupBy("file").agg(F.count("*").alias("count"))
 
 
-@query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count FROM events GROUP BY 1")
+def _same_lines(made, lines, ending=".zst"):
+    """Per file the number of lines and whether they are those that were written, by a sum of their hashes."""
+
+    def sums(rows, suffix):
+        name = F.regexp_replace("file", r"\.\w+$", "").alias("file")
+        part = F.pmod(F.xxhash64("value"), F.lit(1 << 40))
+        return rows.groupBy(name).agg(F.count("*").alias(f"n{suffix}"), F.sum(part).alias(f"h{suffix}"))
+
+    both = sums(made, "1").join(sums(lines, "2"), "file", "full")
+    same = F.col("n1").eqNullSafe(F.col("n2")) & F.col("h1").eqNullSafe(F.col("h2"))
+    return both.select(F.concat("file", F.lit(ending)).alias("file"), F.col("n2").alias("count"), same.alias("same"))
+
+
+@query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count, true AS same FROM events GROUP BY 1")
 def read_archive(spark, sf):
     lines = a.read_archive(spark, f"{i.archive(spark, sf)}/comments", "RC_")
-    return lines.groupBy("file").agg(F.count("*").alias("count"))
+    return _same_lines(i.comment_lines(spark, sf), lines)
 
 
-@query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.xz' AS file, count(*) AS count FROM events GROUP BY 1")
+@query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.xz' AS file, count(*) AS count, true AS same FROM events GROUP BY 1")
 def read_xz_archive(spark, sf):
     lines = a.read_xz_archive(spark, f"{i.xz_archive(spark, sf)}/comments", "RC_")
-    return lines.groupBy("file").agg(F.count("*").alias("count"))
+    return _same_lines(i.comment_lines(spark, sf), lines, ".xz")
 
 
 @query(f"WITH {K} SELECT subreddit, id, author, body, replace(file, '.zst', '.xz') AS file FROM c")
@@ -118,7 +128,7 @@ def read_comments(spark, sf):
 
 @query(f"WITH {A} SELECT author, created_utc FROM a")
 def read_authors(spark, sf):
-    return a.read_authors(spark, i.archive(spark, sf), prefix="RA_").drop("file")
+    return a.read_authors(spark, i.archive(spark, sf)).drop("file")
 
 
 @query(f"WITH {K}, {S} SELECT subreddit, author, file FROM c UNION ALL SELECT subreddit, author, file FROM s")
@@ -143,13 +153,20 @@ def pass_through_only_users(spark, sf):
 
 @query(f"WITH {A} SELECT author, created_utc FROM a")
 def pass_through_authors(spark, sf):
-    return pt.pass_through(spark, i.archive(spark, sf), "authors", only_users=True, prefix="RA_")
+    return pt.pass_through(spark, i.archive(spark, sf), "authors", only_users=True)
 
 
-@query(f"WITH {K} SELECT subreddit, count(*) AS count FROM c WHERE {NAMED} AND subreddit IN {LISTED} GROUP BY subreddit")
+@query(
+    f"""WITH {K} SELECT subreddit, id, author, body, file, true AS verbatim FROM c
+    WHERE {NAMED} AND subreddit IN {LISTED}"""
+)
 def filter_raw_json(spark, sf):
-    lines = f.filter_raw_json(i.comment_lines(spark, sf), i.filter_list(spark, sf))
-    return p.parse_comments(lines).groupBy("subreddit").agg(F.count("*").alias("count"))
+    """The kept lines, decoded, and whether each is one of the lines given, to the byte."""
+    given = i.comment_lines(spark, sf)
+    lines = f.filter_raw_json(given, i.filter_list(spark, sf))
+    known = given.select("value", F.lit(True).alias("known")).distinct()
+    marked = lines.join(known, "value", "left").withColumn("verbatim", F.coalesce("known", F.lit(False))).drop("known")
+    return p.parse_comments(marked)
 
 
 @query(f"WITH {K} SELECT subreddit, id, author, body FROM c WHERE {NAMED} AND subreddit IN {LISTED}")
@@ -182,10 +199,8 @@ def write_compressed(spark, sf):
     UNION ALL SELECT 'submissions', count(*) FROM s WHERE {NAMED} UNION ALL SELECT 'authors', count(*) FROM a"""
 )
 def record_count(spark, sf):
-    root = i.archive(spark, sf)
-    written = {}
-    for kind, prefix in (("comments", None), ("submissions", None), ("authors", "RA_")):
-        written |= pt.run_pass_through(spark, root, {kind: scratch_path(spark, kind)}, prefix=prefix)
+    paths = {kind: scratch_path(spark, kind) for kind in ("comments", "submissions", "authors")}
+    written = pt.run_pass_through(spark, i.archive(spark, sf), paths)
     return spark.createDataFrame(list(written.items()), "kind string, count bigint")
 
 
@@ -208,25 +223,51 @@ def write_statistics(spark, sf):
     return t.read_counts_csv(spark, path)
 
 
-@query(
-    f"""WITH {K}, l AS (SELECT coalesce(subreddit, 'No-Subreddit-defined') AS subreddit, substr(file, 4, 7) AS month
-      FROM c WHERE (subreddit IS NULL OR subreddit <> '') AND author IS NOT NULL),
-    lv AS (SELECT 'month' AS level, month AS period, subreddit FROM l
-      UNION ALL SELECT 'year', substr(month, 1, 4), subreddit FROM l UNION ALL SELECT 'all', 'all', subreddit FROM l)
-    SELECT level, period, subreddit, count(*) AS count FROM lv GROUP BY level, period, subreddit"""
-)
-def write_statistics_per_period(spark, sf):
-    """All periods written in one run, one folder each, and read again."""
-    lines = a.archive_lines(spark, i.archive(spark, sf), "comments")
-    rows = p.parse_user_in_subreddit(lines).withColumn("period", file_period())
-    counted = c.contributions_per_period(rows)
-    path = files.write_statistics_per_period(
-        counted, scratch_path(spark, "periods"), "UserContributionsInSubreddits"
-    )
+# Both kinds by month, year and in total; files without a date count in the total only.
+DATED = f"""{BOTH}, d AS (SELECT subreddit, author, regexp_extract(file, '(\\d{{4}}-\\d{{2}})', 1) AS month FROM l),
+lv AS (SELECT 'month' AS level, month AS period, subreddit, author FROM d WHERE month <> ''
+  UNION ALL SELECT 'year', substr(month, 1, 4), subreddit, author FROM d WHERE month <> ''
+  UNION ALL SELECT 'all', 'all', subreddit, author FROM d)"""
+PERIOD_COUNTS = """SELECT level, period, subreddit, count(*) AS count FROM lv WHERE author IS NOT NULL
+GROUP BY level, period, subreddit"""
+PERIOD_USERS = f"""SELECT level, period, subreddit, count(DISTINCT author) AS count FROM lv WHERE {NAMED}
+GROUP BY level, period, subreddit"""
+
+
+def _written_periods(spark, sf, experiment):
+    out = scratch_path(spark, "periods")
+    path = st.run_statistics_per_period(spark, i.archive(spark, sf), experiment, out)
     back = spark.read.schema("subreddit string, count bigint, level string, period string").csv(path)
     return back.select("level", "period", "subreddit", "count")
 
 
+@query(f"WITH {DATED} {PERIOD_COUNTS}")
+def run_statistics_per_period(spark, sf):
+    """Contributions of all periods written in one run, one folder each, and read again."""
+    return _written_periods(spark, sf, "UserContributionsInSubreddits")
+
+
+@query(f"WITH {DATED} {PERIOD_USERS}")
+def write_statistics_per_period(spark, sf):
+    """Users of all periods, likewise."""
+    return _written_periods(spark, sf, "UsersInSubreddits")
+
+
+@query(
+    f"""WITH {DATED}, n AS ({PERIOD_COUNTS}), r AS (SELECT *, row_number() OVER
+      (PARTITION BY level, period ORDER BY count DESC, subreddit) AS rank FROM n),
+    z AS (SELECT unnest([2, 3, 5, 8, 13]) AS size)
+    SELECT size, level, period, subreddit FROM r JOIN z ON rank <= size"""
+)
+def export_top_lists_per_period(spark, sf):
+    """Five filter lists for every month, year and the whole range, read again without their headers."""
+    contributions = a.read_contributions(spark, i.archive(spark, sf))
+    counts = st.count_per_period(contributions, "UserContributionsInSubreddits")
+    path = st.export_top_lists_per_period(counts, (2, 3, 5, 8, 13), scratch_path(spark, "lists"), "top")
+    lists = spark.read.schema("value string, size int, level string, period string").text(path)
+    return lists.where("value <> 'subreddit'").select("size", "level", "period", F.col("value").alias("subreddit"))
+
+
 @query(
     f"""WITH {BOTH}, n AS (SELECT DISTINCT subreddit, author, file FROM l WHERE {NAMED})
     SELECT subreddit, count(*) AS count FROM n GROUP BY subreddit"""
@@ -235,18 +276,9 @@ def archive_users_by_file(spark, sf):
     return st.count_experiment(a.read_contributions(spark, i.archive(spark, sf)), "UsersInSubreddits", "file")
 
 
-@query(
-    f"""WITH {K}, l AS (SELECT coalesce(subreddit, 'No-Subreddit-defined') AS subreddit, author,
-      substr(file, 4, 7) AS period FROM c WHERE (subreddit IS NULL OR subreddit <> '') AND {NAMED}),
-    lv AS (SELECT 'month' AS level, period, subreddit, author FROM l
-      UNION ALL SELECT 'year', substr(period, 1, 4), subreddit, author FROM l
-      UNION ALL SELECT 'all', 'all', subreddit, author FROM l)
-    SELECT level, period, subreddit, count(DISTINCT author) AS count FROM lv GROUP BY level, period, subreddit"""
-)
+@query(f"WITH {DATED} {PERIOD_USERS}")
 def archive_users_per_period(spark, sf):
-    comments = a.archive_lines(spark, i.archive(spark, sf), "comments")
-    rows = p.parse_user_in_subreddit(comments).withColumn("period", file_period())
-    return c.users_per_period(rows)
+    return st.count_per_period(a.read_contributions(spark, i.archive(spark, sf)), "UsersInSubreddits")
 
 
 @query(
@@ -280,19 +312,47 @@ def stream_users(spark, sf):
     return _drained(spark, sa.stream_users(_rows(spark, sf)))
 
 
-@query()
+@query(f"WITH {BOTH} SELECT subreddit, count(*) AS count FROM l WHERE author IS NOT NULL GROUP BY subreddit")
+def stream_contributions_with_xz(spark, sf):
+    """Comments as ``.xz`` files, submissions as ``.zst`` files."""
+    rows = sa.stream_contribution_rows(spark, i.xz_archive(spark, sf), files_per_trigger=16)
+    return _drained(spark, sa.stream_contributions(rows))
+
+
+@query(f"WITH {BOTH} SELECT subreddit, true AS within FROM l WHERE {NAMED} GROUP BY subreddit")
 def stream_users_approx(spark, sf):
-    return _drained(spark, sa.stream_users_approx(_rows(spark, sf)))
+    """Per subreddit whether the running approximate count is as near the exact one as stated."""
+    exact = c.users_per_subreddit(a.read_contributions(spark, i.archive(spark, sf)))
+    return c.near(_drained(spark, sa.stream_users_approx(_rows(spark, sf))), exact, 0.1)
 
 
-@query(
-    f"""WITH {K}, l AS (SELECT coalesce(subreddit, 'No-Subreddit-defined') AS subreddit, author,
-      substr(file, 4, 10) AS period FROM c WHERE (subreddit IS NULL OR subreddit <> '') AND author IS NOT NULL)
-    SELECT period, subreddit, count(*) AS count FROM l GROUP BY period, subreddit"""
-)
+@query(f"WITH {DATED} {PERIOD_COUNTS}")
 def stream_counts_per_period(spark, sf):
-    lines = sa.stream_lines(spark, i.archive(spark, sf), "comments", files_per_trigger=16)
-    return _drained(spark, sa.stream_counts_per_period(p.parse_user_in_subreddit(lines)))
+    return _drained(spark, sa.stream_counts_per_period(_rows(spark, sf)))
+
+
+@query(f"WITH {DATED} {PERIOD_USERS}")
+def stream_users_per_period(spark, sf):
+    return _drained(spark, sa.stream_users_per_period(_rows(spark, sf)))
+
+
+@query(f"WITH {K} SELECT nullif(subreddit, '') AS subreddit, author FROM c WHERE {NAMED}")
+def stream_only_users(spark, sf):
+    """Missing and empty names look the same in CSV."""
+    rows = sa.stream_pass_through(spark, i.archive(spark, sf), "comments", only_users=True, files_per_trigger=16)
+    path = scratch_path(spark, "stream-csv")
+    sa.drain_to_csv(rows, path, scratch_path(spark, "stream-checkpoint"))
+    read = t.read_entity_csv(spark, path, "user_in_subreddit")
+    return read.select(F.col("subreddit"), F.col("author"))
+
+
+@query(f"WITH {S} SELECT subreddit, id, author, title FROM s WHERE {NAMED}")
+def stream_pass_through_texts(spark, sf):
+    """Whole texts, outer blanks and other line ends included."""
+    rows = sa.stream_pass_through(spark, i.archive(spark, sf), "submissions", files_per_trigger=16)
+    path = scratch_path(spark, "stream-csv")
+    sa.drain_to_csv(rows, path, scratch_path(spark, "stream-checkpoint"))
+    return t.read_entity_csv(spark, path, "submissions")
 
 
 @query(f"WITH {K} SELECT subreddit, id, author, body FROM c WHERE {NAMED} AND subreddit IN {LISTED}")
@@ -305,13 +365,17 @@ def stream_pass_through(spark, sf):
     return t.read_entity_csv(spark, path, "comments")
 
 
-@query(f"WITH {S} SELECT 'RS_' || subreddit || '.zst' AS file, count(*) AS count FROM s GROUP BY 1")
+@query(f"WITH {S} SELECT file, count(*) AS count FROM s GROUP BY 1")
 def stream_archive(spark, sf):
     lines = sa.stream_lines(spark, i.archive(spark, sf), "submissions", files_per_trigger=16)
     return _drained(spark, lines.groupBy("file").agg(F.count("*").alias("count")))
 
 
-@query(f"""WITH {S} SELECT subreddit || ',' || id || ',' || author AS value FROM s""")
+@query(
+    f"""WITH {S} SELECT subreddit || ',' || id || ',' || author || ',' ||
+      CASE WHEN regexp_matches(title, '[",\\n\\r]') THEN '"' || replace(title, '"', '""') || '"' ELSE title END
+      AS value FROM s"""
+)
 def to_csv_rows(spark, sf):
-    rows = p.parse_submissions(i.submission_lines(spark, sf)).select("subreddit", "id", "author")
-    return files.to_csv_rows(rows)
+    """Whole texts as a field, quoted where they hold quotes, commas or line ends."""
+    return files.to_csv_rows(p.parse_submissions(i.submission_lines(spark, sf)).drop("file"))

@@ -52,9 +52,10 @@ def contributions_per_user_in_subreddit(spark, sf):
     return c.contributions_per_user_in_subreddit(i.contributions(spark, sf))
 
 
-@query()
+@query(f"WITH {C}, {L} SELECT subreddit, true AS within FROM l WHERE author <> '[deleted]' GROUP BY subreddit")
 def approx_users_per_subreddit(spark, sf):
-    return c.approx_users_per_subreddit(i.contributions(spark, sf))
+    """Per subreddit whether the approximate count is as near the exact one as stated."""
+    return c.approx_within(i.contributions(spark, sf))
 
 
 @query(f"WITH {C} SELECT DISTINCT subreddit, author FROM c")
@@ -84,15 +85,15 @@ def users_per_period(spark, sf):
 
 
 @query(
-    f"""WITH {i.ORDER_CONTRIBUTIONS},
-    n AS (SELECT period, subreddit, count(*) AS count FROM c GROUP BY period, subreddit),
-    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY period ORDER BY count DESC, subreddit) AS INTEGER) AS rank
-          FROM n)
-    SELECT period, subreddit, count, rank FROM r WHERE rank <= 3"""
+    f"""WITH {i.ORDER_CONTRIBUTIONS}, {PERIODS},
+    n AS (SELECT level, period, subreddit, count(*) AS count FROM lv GROUP BY level, period, subreddit),
+    r AS (SELECT *, CAST(row_number() OVER (PARTITION BY level, period ORDER BY count DESC, subreddit) AS INTEGER)
+          AS rank FROM n)
+    SELECT level, period, subreddit, count, rank FROM r WHERE rank <= 3"""
 )
 def top_n_per_period(spark, sf):
-    months = c.contributions_per_period(i.order_contributions(spark, sf)).where("level = 'month'")
-    return c.top_n_per_period(months.drop("level"), 3)
+    """Of months, years and the whole range."""
+    return c.top_n_per_period(c.contributions_per_period(i.order_contributions(spark, sf)), 3, ["level", "period"])
 
 
 @query(f"WITH {C}, {L} {PER_SUBREDDIT} ORDER BY count DESC, subreddit LIMIT 3")
@@ -176,6 +177,19 @@ def histogram_of_columns(spark, sf):
     return histograms(i.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
 
 
+@query(
+    histogram_sql(
+        "pu",
+        ['"count"'],
+        100,
+        "pu AS (SELECT l_suppkey, count(DISTINCT l_orderkey) AS count FROM lineitem GROUP BY l_suppkey)",
+    )
+)
+def histogram_of_user_counts(spark, sf):
+    rows = i.table(spark, sf, "lineitem").selectExpr("cast(l_suppkey as string) as subreddit", "concat('o', l_orderkey) as author")
+    return histograms(c.users_per_subreddit(rows), ["count"])
+
+
 @query(
     histogram_sql("pc", ['"count"'], 100, "pc AS (SELECT l_partkey, count(*) AS count FROM lineitem GROUP BY l_partkey)")
 )

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from threadloom.operators import graph
 from threadloom.plans.materialize import scratch_path, store
 from threadloom.sinks.files import write_zstd_lines
-from threadloom.sources.paths import open_path
+from threadloom.sources.paths import open_path, qualified
 
 _kept: dict[tuple, Any] = {}
 
@@ -113,17 +113,28 @@ COMMENTS = """c AS (
 
 
 def _make_submission_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as archive lines, whole texts as titles."""
-    return table(spark, sf_dir, "documents").selectExpr(
+    """Documents as archive lines, whole texts as titles, some with outer blanks and other line ends.
+
+    The files are months of fifteen years; those of the last one carry no date.
+    """
+    title = """case doc_id % 8 when 0 then concat(' ', text) when 1 then concat(text, '  ')
+      when 2 then concat(char(9), text) when 3 then concat('a', char(13), char(10), text, char(13))
+      when 4 then concat(text, char(10)) when 5 then concat('"', text, char(10), char(10)) else text end as title"""
+    return table(spark, sf_dir, "documents").selectExpr("*", title).selectExpr(
         "to_json(struct(source as subreddit, concat('d', doc_id) as id, concat('w', n_chars) as author,"
-        " text as title, lang as flair, n_chars as score)) as value",
-        "concat('RS_', source, '.zst') as file",
+        " title, lang as flair, n_chars as score)) as value",
+        "if(doc_id % 15 = 14, 'RS_undated.zst',"
+        " concat('RS_', 2005 + doc_id % 15, '-', lpad(1 + doc_id % 12, 2, '0'), '.zst')) as file",
     )
 
 
 SUBMISSIONS = """s AS (
-  SELECT source AS subreddit, 'd' || doc_id AS id, 'w' || n_chars AS author, text AS title,
-         'RS_' || source || '.zst' AS file
+  SELECT source AS subreddit, 'd' || doc_id AS id, 'w' || n_chars AS author,
+         CASE doc_id % 8 WHEN 0 THEN ' ' || text WHEN 1 THEN text || '  ' WHEN 2 THEN chr(9) || text
+           WHEN 3 THEN 'a' || chr(13) || chr(10) || text || chr(13) WHEN 4 THEN text || chr(10)
+           WHEN 5 THEN '"' || text || chr(10) || chr(10) ELSE text END AS title,
+         CASE WHEN doc_id % 15 = 14 THEN 'RS_undated.zst'
+           ELSE 'RS_' || (2005 + doc_id % 15) || '-' || lpad(CAST(1 + doc_id % 12 AS VARCHAR), 2, '0') || '.zst' END AS file
   FROM documents)"""
 
 
@@ -167,18 +178,14 @@ def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "authors", _make_author_lines)
 
 
-def _by_file(lines: DataFrame) -> DataFrame:
-    return lines.repartition("file").sortWithinPartitions("file")
-
-
 def archive(spark: SparkSession, sf_dir: str) -> str:
     """A dataset directory of Zstandard archives written from the tables."""
 
     def make() -> str:
         root = scratch_path(spark, "dataset")
-        write_zstd_lines(_by_file(comment_lines(spark, sf_dir)), f"{root}/comments")
-        write_zstd_lines(_by_file(submission_lines(spark, sf_dir)), f"{root}/submissions")
-        write_zstd_lines(_by_file(author_lines(spark, sf_dir)), f"{root}/authors")
+        write_zstd_lines(comment_lines(spark, sf_dir), f"{root}/comments")
+        write_zstd_lines(submission_lines(spark, sf_dir), f"{root}/submissions")
+        write_zstd_lines(author_lines(spark, sf_dir), f"{root}/authors")
         return root
 
     return keep(spark, sf_dir, "archive", make)
@@ -188,7 +195,7 @@ def xz_archive(spark: SparkSession, sf_dir: str) -> str:
     """The comment lines as ``.xz`` files, each of several concatenated streams."""
 
     def make() -> str:
-        root = f"{scratch_path(spark, 'xz-dataset')}/comments"
+        root = qualified(spark, f"{scratch_path(spark, 'xz-dataset')}/comments")
         system, inner = open_path(root)
         system.create_dir(inner, recursive=True)
 
@@ -204,7 +211,9 @@ def xz_archive(spark: SparkSession, sf_dir: str) -> str:
                         out.write(packed)
                 yield batch.slice(0, 0)
 
-        _by_file(comment_lines(spark, sf_dir)).mapInArrow(write, "value string, file string").count()
+        by_file = comment_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file")
+        by_file.mapInArrow(write, "value string, file string").count()
+        write_zstd_lines(submission_lines(spark, sf_dir), f"{root.rsplit('/', 1)[0]}/submissions")
         return root.rsplit("/", 1)[0]
 
     return keep(spark, sf_dir, "xz", make)

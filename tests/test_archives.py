@@ -6,6 +6,7 @@ import bz2
 import gzip
 import json
 import lzma
+import os
 
 import pyarrow as pa
 import pytest
@@ -13,12 +14,14 @@ from conftest import rows
 
 from threadloom.operators import counts as c
 from threadloom.operators import parse as p
+from threadloom.operators.filters import filter_subreddits
 from threadloom.plans import pass_through as pt
 from threadloom.plans import statistics as st
-from threadloom.plans.materialize import scratch_path, shared_folder, store
-from threadloom.sinks import files
+from threadloom.plans.materialize import discard, scratch_path, shared_folder, store
+from threadloom.sinks import files, zstd_lines
 from threadloom.sources import archive as a
 from threadloom.sources import tables as t
+from threadloom.sources.paths import open_path, qualified
 from threadloom.streaming import archives as sa
 
 
@@ -34,8 +37,8 @@ def record(subreddit=None, author=None, **more) -> str:
     return json.dumps({k: v for k, v in fields.items() if v is not None})
 
 
-FIRST = [record("Ask", "Hans"), record("Test", "Hans"), record("Ask", "Jaqueline"), "", "\0\0", "{broken", "[1]"]
-SECOND = [record("Ask", "Sepp"), record("Test", "Schorsch"), record("Ask", "Hans"), record("Ask", "[deleted]"), "{}"]
+FIRST = [record("Huts", "Ada"), "", record("Huts", "Ben"), "{broken", record("Peaks", "Ada"), "[1]", "\0\0"]
+SECOND = ["{}", record("Huts", "[deleted]"), record("Peaks", "Cleo"), record("Huts", "Ada"), record("Huts", "Dov")]
 
 
 @pytest.fixture
@@ -44,12 +47,12 @@ def dataset(tmp_path):
         (tmp_path / name).mkdir()
     (tmp_path / "comments" / "RC_2018-01.zst").write_bytes(_zstd_frame("\n".join(FIRST).encode()))
     (tmp_path / "comments" / "RC_2018-02.gz").write_bytes(gzip.compress(("\n".join(SECOND) + "\n").encode()))
-    (tmp_path / "comments" / "notes.txt").write_text(record("Ask", "nobody"))
+    (tmp_path / "comments" / "notes.txt").write_text(record("Huts", "nobody"))
     body = 'a "quote", a \\ and\na newline'
-    submissions = [record("Ask", "Hans", id="1", title=body), record(None, "Hans", id="2", title="")]
+    submissions = [record("Huts", "Ada", id="1", title=body), record(None, "Ada", id="2", title="")]
     (tmp_path / "submissions" / "RS_2019-01.bz2").write_bytes(bz2.compress("\n".join(submissions).encode()))
-    accounts = [record(author="Alf", created_utc=1609692958), record(author="[deleted]", created_utc=1)]
-    (tmp_path / "authors" / "RA_2020-06-28.ndjson.zst").write_bytes(_zstd_frame("\n".join(accounts).encode()))
+    accounts = [record(author="Elif", created_utc=1577836800), record(author="[deleted]", created_utc=1)]
+    (tmp_path / "authors" / "RA_2020-01.zst").write_bytes(_zstd_frame("\n".join(accounts).encode()))
     return tmp_path
 
 
@@ -114,14 +117,14 @@ def test_pass_through(spark, dataset):
     comments = pt.pass_through(spark, root, "comments")
     assert comments.columns == ["subreddit", "id", "author", "body"]
     assert comments.count() == 6
-    listed = spark.createDataFrame([("Test",)], "subreddit string")
+    listed = spark.createDataFrame([("Peaks",)], "subreddit string")
     assert rows(pt.pass_through(spark, root, "comments", subreddits=listed, only_users=True)) == [
-        ("Test", "Hans"),
-        ("Test", "Schorsch"),
+        ("Peaks", "Ada"),
+        ("Peaks", "Cleo"),
     ]
-    assert rows(pt.pass_through(spark, root, "authors", only_users=True)) == [("Alf", 1609692958)]
+    assert rows(pt.pass_through(spark, root, "authors", only_users=True)) == [("Elif", 1577836800)]
     raw = pt.pass_through(spark, root, "comments", subreddits=listed, original_json=True)
-    assert rows(raw) == [(record("Test", "Hans"),), (record("Test", "Schorsch"),)]
+    assert rows(raw) == [(record("Peaks", "Ada"),), (record("Peaks", "Cleo"),)]
     with pytest.raises(ValueError):
         pt.pass_through(spark, root, "comments", original_json=True, only_users=True)
     with pytest.raises(ValueError):
@@ -129,7 +132,7 @@ def test_pass_through(spark, dataset):
 
 
 def test_list_is_case_sensitive_and_missing_subreddits_are_unlisted(spark, dataset):
-    listed = spark.createDataFrame([("ask",), ("Ask",)], "subreddit string")
+    listed = spark.createDataFrame([("huts",), ("Huts",)], "subreddit string")
     assert rows(pt.pass_through(spark, str(dataset), "submissions", subreddits=listed), "id") == [("1",)]
 
 
@@ -139,21 +142,21 @@ def test_written_csv_reads_back_unchanged(spark, dataset, compress):
     counted = pt.run_pass_through(spark, str(dataset), paths, compress=compress)
     assert counted == {"submissions": 2, "authors": 1}
     back = t.read_entity_csv(spark, paths["submissions"], "submissions")
-    assert rows(back) == [("Ask", "1", "Hans", 'a "quote", a \\ and\na newline'), (None, "2", "Hans", None)]
-    assert rows(t.read_entity_csv(spark, paths["authors"], "authors")) == [("Alf", 1609692958)]
+    assert rows(back) == [("Huts", "1", "Ada", 'a "quote", a \\ and\na newline'), (None, "2", "Ada", None)]
+    assert rows(t.read_entity_csv(spark, paths["authors"], "authors")) == [("Elif", 1577836800)]
 
 
 def test_csv_rows(spark):
     one = spark.createDataFrame(
-        [("Cats", "555", "ALF", "Best-cat-recipes."), (None, 'a"b', "c,d", "e\nf")],
+        [("Lakes", "81", "Gil", "Cold-swims."), (None, 'a"b', "c,d", "e\nf")],
         "subreddit string, id string, author string, title string",
     )
     assert [r["value"] for r in files.to_csv_rows(one).collect()] == [
-        "Cats,555,ALF,Best-cat-recipes.",
+        "Lakes,81,Gil,Cold-swims.",
         ',"a""b","c,d","e\nf"',
     ]
-    account = spark.createDataFrame([("Alf", 1609692958)], "author string, created_utc bigint")
-    assert files.to_csv_rows(account).first()["value"] == "Alf,1609692958"
+    account = spark.createDataFrame([("Elif", 1577836800)], "author string, created_utc bigint")
+    assert files.to_csv_rows(account).first()["value"] == "Elif,1577836800"
 
 
 def test_raw_json_round_trip(spark, dataset):
@@ -165,21 +168,116 @@ def test_raw_json_round_trip(spark, dataset):
 def test_zstd_files_are_named_by_their_rows(spark):
     path = scratch_path(spark, "named")
     data = spark.createDataFrame([(f"line {n}", f"RC_{n % 3}.zst") for n in range(100)], "value string, file string")
-    files.write_zstd_lines(data.repartition("file").sortWithinPartitions("file"), path)
+    files.write_zstd_lines(data.repartition(4), path)
     assert rows(a.list_files(spark, path), "file") == [("RC_0.zst",), ("RC_1.zst",), ("RC_2.zst",)]
     assert rows(a.read_archive(spark, path)) == rows(data)
     files.write_zstd_lines(data.select("value").limit(5), path, mode="overwrite")
     assert a.read_archive(spark, path).count() == 5
 
 
+def test_a_file_name_is_never_written_twice(spark):
+    path = scratch_path(spark, "once")
+    data = spark.range(100).selectExpr("concat('line ', id) as value", "'RC_1.zst' as file").repartition(4)
+    files.write_zstd_lines(data, path)
+    assert a.read_archive(spark, path).count() == 100
+    with pytest.raises(Exception, match="exist already"):
+        files.write_zstd_lines(data, path)
+    zstd_lines.register(spark)
+    with pytest.raises(Exception, match="written twice"):
+        data.write.format("zstd_lines").mode("append").save(scratch_path(spark, "twice"))
+    assert a.read_archive(spark, path).count() == 100
+
+
+def test_outer_blanks_and_line_ends_survive(spark):
+    values = [" lead", "trail ", "end\n", "\ttab", "  ", "a\r\nb", "\r", '"q" ', "x,y", "plain", "é\r\n"]
+    data = spark.createDataFrame([("S", str(k), "u", v) for k, v in enumerate(values)], "subreddit string, id string, author string, title string")
+    for write in (files.write_csv, files.write_compressed):
+        for count in (1, len(values)):
+            path = scratch_path(spark, "blanks")
+            write(data.repartition(count, "id"), path)
+            assert rows(t.read_entity_csv(spark, path, "submissions")) == rows(data)
+
+
+def test_tables_without_newlines_are_split(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("".join(f"subreddit{n % 97},author {n}\n" for n in range(60_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        found = t.read_user_subreddit_csv(spark, str(tmp_path / "m.csv"))
+        assert found.rdd.getNumPartitions() > 3
+        assert found.distinct().count() == 60_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_prefix_per_kind(spark, dataset):
+    (dataset / "authors" / "RA_2021-01.gz").write_bytes(gzip.compress(record(author="Flo", created_utc=5).encode()))
+    paths = {kind: scratch_path(spark, kind) for kind in ("comments", "authors")}
+    assert pt.run_pass_through(spark, str(dataset), paths) == {"comments": 6, "authors": 2}
+    paths = {kind: scratch_path(spark, kind) for kind in ("comments", "authors")}
+    counted = pt.run_pass_through(spark, str(dataset), paths, prefixes={"authors": "RA_2021"})
+    assert counted == {"comments": 6, "authors": 1}
+    with pytest.raises(ValueError, match="prefixes"):
+        pt.run_pass_through(spark, str(dataset), paths, prefix="RA_")
+
+
+def test_paths_belong_to_the_default_file_system(spark):
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    before = settings.get("fs.defaultFS")
+    settings.set("fs.viewfs.mounttable.shared.link./data", "file:///tmp")
+    settings.set("fs.defaultFS", "viewfs://shared/")
+    try:
+        assert qualified(spark, "/data/forum") == "viewfs://shared/data/forum"
+        assert qualified(spark, "file:///data/forum").startswith("file:/")
+    finally:
+        settings.set("fs.defaultFS", before)
+    assert open_path("file:/data/forum")[1] == "/data/forum"
+    with pytest.raises(Exception, match="(?i)viewfs|libhdfs|scheme"):
+        open_path("viewfs://shared/data/forum")
+
+
+def test_periods_with_undated_rows_and_lists(spark, dataset):
+    (dataset / "submissions" / "RS_undated.gz").write_bytes(gzip.compress(record("Peaks", "Eva", id="9").encode()))
+    counts = st.count_per_period(a.read_contributions(spark, str(dataset)), "UserContributionsInSubreddits")
+    found = {tuple(row) for row in counts.select("level", "period", "subreddit", "count").collect()}
+    assert ("all", "all", "Peaks", 3) in found and ("year", "2018", "Peaks", 2) in found
+    assert all(period for _, period, _, _ in found)
+    path = st.export_top_lists_per_period(counts, (1, 2), scratch_path(spark, "lists"), "top")
+    one = t.read_filter_list(spark, f"{path}/size=1/level=all/period=all")
+    assert rows(one) == [("Huts",)]
+
+
+def test_filter_list_names_stand_as_they_are(spark):
+    names = ['a"b', " c", "d,e", "", "f "]
+    counts = spark.createDataFrame([(name, 9 - k) for k, name in enumerate(names)], "subreddit string, count bigint")
+    path = st.export_top_lists(counts, (5,), scratch_path(spark, "lists"), "x")[0]
+    assert rows(t.read_filter_list(spark, path)) == sorted(((name,) for name in names), key=repr)
+    data = spark.createDataFrame([(None, "u"), ("z", "u")], "subreddit string, author string")
+    blank = t.read_filter_list(spark, st.export_top_lists(counts.where("subreddit = ''"), (1,), scratch_path(spark, "l"), "y")[0])
+    assert rows(filter_subreddits(data, blank)) == [(None, "u")]
+
+
+def test_stream_reads_xz(spark, dataset):
+    (dataset / "comments" / "RC_2018-04.xz").write_bytes(lzma.compress(record("Lakes", "Ada").encode()))
+    batch = c.contributions_per_subreddit(a.read_contributions(spark, str(dataset)))
+    counts = sa.stream_contributions(sa.stream_contribution_rows(spark, str(dataset)))
+    found = drained(spark, counts, scratch_path(spark, "out"), scratch_path(spark, "state"))
+    assert rows(found) == rows(batch) and ("Lakes", 1) in rows(found)
+
+
+def test_discard(spark):
+    kept = store(spark.range(3), "gone")
+    discard(spark, kept.path)
+    assert not os.path.exists(kept.path.removeprefix("file:"))
+
+
 def test_statistics(spark, dataset):
     out = scratch_path(spark, "stats")
     path = st.run_statistics(spark, str(dataset), "UsersInSubreddits", out, suffix="2018", contains="2018")
     assert path.endswith("/UsersInSubreddits_2018.csv")
-    assert rows(t.read_counts_csv(spark, path)) == [("Ask", 3), ("Test", 2)]
+    assert rows(t.read_counts_csv(spark, path)) == [("Huts", 3), ("Peaks", 2)]
     path = st.run_statistics(spark, str(dataset), "UserContributionsInSubreddits", out, suffix=" ")
     assert path.endswith("/UserContributionsInSubreddits.csv")
-    assert rows(t.read_counts_csv(spark, path)) == [("Ask", 6), ("No-Subreddit-defined", 1), ("Test", 2)]
+    assert rows(t.read_counts_csv(spark, path)) == [("Huts", 6), ("No-Subreddit-defined", 1), ("Peaks", 2)]
     with pytest.raises(ValueError):
         st.run_statistics(spark, str(dataset), "Other", out)
 
@@ -188,7 +286,7 @@ def test_statistics_per_period(spark, dataset):
     out = scratch_path(spark, "periods")
     path = st.run_statistics_per_period(spark, str(dataset), "UsersInSubreddits", out)
     one = t.read_counts_csv(spark, f"{path}/level=year/period=2018")
-    assert rows(one) == [("Ask", 3), ("Test", 2)]
+    assert rows(one) == [("Huts", 3), ("Peaks", 2)]
 
 
 def test_filter_lists(spark, tmp_path):
@@ -246,7 +344,7 @@ def test_stream_goes_on_after_a_restart(spark, dataset):
         return rows(drained(spark, sa.stream_users(sa.stream_contribution_rows(spark, str(dataset))), path, checkpoint))
 
     before = run()
-    more = "\n".join([record("Ask", "Hans"), record("New", "Hans"), record("New", "Eva")])
+    more = "\n".join([record("Huts", "Ada"), record("New", "Ada"), record("New", "Eva")])
     (dataset / "comments" / "RC_2018-03.zst").write_bytes(_zstd_frame(more.encode()))
     after = run()
     assert before != after
@@ -258,7 +356,8 @@ def test_stream_periods_and_pass_through(spark, dataset):
     found = drained(
         spark, sa.stream_counts_per_period(rows_of), scratch_path(spark, "out"), scratch_path(spark, "state")
     )
-    assert ("2018-01", "Ask", 2) in rows(found) and ("2018-02", "Ask", 3) in rows(found)
+    found = {tuple(row) for row in found.select("level", "period", "subreddit", "count").collect()}
+    assert {("month", "2018-01", "Huts", 2), ("month", "2018-02", "Huts", 3), ("year", "2018", "Huts", 5)} <= found
     path = scratch_path(spark, "csv")
     sa.drain_to_csv(sa.stream_pass_through(spark, str(dataset), "submissions"), path, scratch_path(spark, "state"))
     batch = pt.pass_through(spark, str(dataset), "submissions")

@@ -11,25 +11,26 @@ from conftest import rows
 from threadloom.operators import counts as c
 from threadloom.operators.histogram import histogram, histograms
 
-# Two files: the first six rows and the other five.
+# Two files: the first seven rows and the other five.
 REPEATED = [
-    ("Ask", "Hans"),
-    ("Test", "Hans"),
-    ("Ask", "Hans"),
-    ("Test", "Hans"),
-    ("Ask", "Jaqueline"),
-    ("Test", "Hans"),
-    ("Ask", "Sepp"),
-    ("Ask", "Hans"),
-    ("Test", "Schorsch"),
-    ("Ask", "Hans"),
-    ("forum.com", "Hans"),
+    ("Huts", "Ada"),
+    ("Huts", "Ada"),
+    ("Peaks", "Ben"),
+    ("Lakes", "Ada"),
+    ("Peaks", "Ada"),
+    ("Huts", "Cleo"),
+    ("Peaks", "Ben"),
+    ("Lakes", "Dov"),
+    ("Huts", "Ada"),
+    ("Peaks", "Ben"),
+    ("Huts", "Dov"),
+    ("Lakes", "Ada"),
 ]
 
 
 @pytest.fixture
 def repeated(spark):
-    data = [(s, a, "one" if k < 6 else "two") for k, (s, a) in enumerate(REPEATED)]
+    data = [(s, a, "one" if k < 7 else "two") for k, (s, a) in enumerate(REPEATED)]
     return spark.createDataFrame(data, "subreddit string, author string, file string")
 
 
@@ -38,16 +39,16 @@ def frame(spark, *data):
 
 
 def test_single_user(spark):
-    assert rows(c.users_per_subreddit(frame(spark, ("Ask", "Hans")))) == [("Ask", 1)]
+    assert rows(c.users_per_subreddit(frame(spark, ("Huts", "Ada")))) == [("Huts", 1)]
 
 
 def test_repeated_users(repeated):
-    assert rows(c.users_per_subreddit(repeated)) == [("Ask", 3), ("Test", 2), ("forum.com", 1)]
-    assert rows(c.contributions_per_subreddit(repeated)) == [("Ask", 6), ("Test", 4), ("forum.com", 1)]
+    assert rows(c.users_per_subreddit(repeated)) == [("Huts", 3), ("Lakes", 2), ("Peaks", 2)]
+    assert rows(c.contributions_per_subreddit(repeated)) == [("Huts", 5), ("Lakes", 3), ("Peaks", 4)]
 
 
 def test_users_per_file_are_added_up(repeated):
-    assert rows(c.users_per_subreddit(repeated, "file")) == [("Ask", 4), ("Test", 2), ("forum.com", 1)]
+    assert rows(c.users_per_subreddit(repeated, "file")) == [("Huts", 4), ("Lakes", 3), ("Peaks", 3)]
     with pytest.raises(ValueError):
         c.users_per_subreddit(repeated, "day")
 
@@ -72,7 +73,7 @@ def test_missing_subreddit_is_labelled_and_empty_one_dropped(spark):
 def test_merge_and_per_user_counts(repeated):
     first, second = (c.contributions_per_subreddit(repeated.where(f"file = '{n}'")) for n in ("one", "two"))
     assert rows(c.merge_counts(first, second)) == rows(c.contributions_per_subreddit(repeated))
-    assert ("Ask", "Hans", 4) in rows(c.contributions_per_user_in_subreddit(repeated))
+    assert ("Huts", "Ada", 3) in rows(c.contributions_per_user_in_subreddit(repeated))
 
 
 def test_users_never_exceed_contributions(repeated):

@@ -12,26 +12,25 @@ from threadloom.operators.filters import filter_raw_json, filter_subreddits, spl
 
 FULL_LINE = json.dumps(
     {
-        "archived": True,
-        "author": "[deleted]",
-        "author_flair_text": None,
-        "created_utc": 1206577677,
-        "id": "6dis8",
-        "link_flair_richtext": [],
-        "media_embed": {},
-        "permalink": "/r/Lazy_Dogs/comments/6dis8/",
-        "score": 1,
-        "subreddit": "Lazy_Dogs",
-        "title": "Dogs are lazy!",
+        "tags": ["soup", "bread"],
+        "num_replies": 17,
+        "title": "Which hut serves the best soup?",
+        "media": {"kind": "none", "size": None},
+        "subreddit": "alpine_huts",
+        "over_18": False,
+        "author": "marmot42",
+        "edited": None,
+        "id": "zz91k",
+        "created_utc": 1388534400,
     }
 )
-EXPECTED = ("Lazy_Dogs", "6dis8", "[deleted]", "Dogs are lazy!")
+EXPECTED = ("alpine_huts", "zz91k", "marmot42", "Which hut serves the best soup?")
 
 
 def test_minimal_submission(lines):
-    parsed = p.parse_submissions(lines('{"id":"a","subreddit":"SR","author":"author","title":"title"}'))
+    parsed = p.parse_submissions(lines('{"title":"t 1","author":"w","id":"7","subreddit":"Huts"}'))
     assert parsed.columns == ["subreddit", "id", "author", "title", "file"]
-    assert rows(parsed.drop("file")) == [("SR", "a", "author", "title")]
+    assert rows(parsed.drop("file")) == [("Huts", "7", "w", "t 1")]
 
 
 def test_line_with_many_other_fields(lines):

@@ -9,13 +9,14 @@ from collections import defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from threadloom.operators import graph as g
 from threadloom.operators import reload as r
 from threadloom.operators.filters import filter_edges
-from threadloom.operators.lookup import fits_broadcast, lookup_join
+from threadloom.operators.lookup import SALTS, fits_broadcast, lookup_join
 from threadloom.plans import participation_graph as pg
-from threadloom.plans.materialize import scratch_path
+from threadloom.plans.materialize import most_tasks, scratch_path
 from threadloom.sinks import files
 
 
@@ -215,6 +216,40 @@ def test_reload_checks_endpoints_and_repeated_pairs(spark):
     assert rows(r.load_graph(fewer, graph.edges, strict=False).edges, "i", "j") == [("A", "B")]
 
 
+def test_repeated_rows_and_gaps(spark):
+    data = spark.createDataFrame(
+        [("A", "u"), ("A", "u"), ("B", "u"), ("C", None), ("D", None), (None, "u")], "subreddit string, author string"
+    )
+    assert rows(g.co_membership(data)) == [("A", "B", 1)]
+    graph = g.build_graph(data)
+    assert rows(graph.vertices, "i") == [("A",), ("B",)] and graph.edges.count() == 1
+
+
+def test_repeated_vertices_count_once(spark):
+    graph = g.build_graph(members(spark, [(s, "u") for s in "ABC"]))
+    again = r.load_graph(graph.vertices.unionByName(graph.vertices), graph.edges)
+    assert rows(again.vertices) == rows(graph.vertices) and rows(again.edges) == rows(graph.edges)
+    fewer = r.load_graph(graph.vertices.where("i <> 'C'"), graph.edges, strict=False)
+    assert {row["ui"] for row in fewer.vertices.collect()} == {1}
+
+
+def test_tasks_stay_within_the_cluster(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert most_tasks(spark, 10**9, 1_000_000) <= 32 * cores
+    assert most_tasks(spark, 10**14, 1_000_000) == 32 * cores
+    assert most_tasks(spark, 3_500_000, 1_000_000) == 4 and most_tasks(spark, 0, 1_000_000) == 1
+
+
+def test_large_lookup_uses_every_salt_and_no_broadcast(spark):
+    facts = spark.range(1000).selectExpr("'bot' as key", "1 as one")
+    lookup = spark.createDataFrame([("bot", 2)], "key string, two int")
+    joined = lookup_join(facts, lookup, ["key"], False)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString() + joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 1000 and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    salts = facts.select(F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")).groupBy("salt").count()
+    assert salts.count() == SALTS
+
+
 def test_dot(spark):
     graph = g.build_graph(members(spark, [("a.b", "u"), ("a_b", "u")]))
     path = scratch_path(spark, "dot")

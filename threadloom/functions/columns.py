@@ -7,8 +7,15 @@ from pyspark.sql import functions as F
 
 from threadloom.schemas import DELETED_AUTHOR, MISSING_SUBREDDIT
 
-# Fixed value: the CSV dialect of every text export.
-CSV_DIALECT = {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
+# Fixed value: the CSV dialect of every text export. Blanks belong to the values.
+CSV_DIALECT = {
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def named_author(author: str = "author") -> Column:
@@ -39,8 +46,9 @@ def file_period(file: str = "file") -> Column:
 
 
 def epoch_year(seconds: str = "created_utc") -> Column:
-    """Calendar year of epoch seconds in UTC, whatever the session time zone."""
-    days = F.floor(F.col(seconds) / F.lit(86400)).cast("int")
+    """Calendar year of epoch seconds in UTC, whatever the session time zone; NULL beyond 32 bits."""
+    known = F.when(F.col(seconds).between(-(1 << 31), (1 << 31) - 1), F.col(seconds))
+    days = F.floor(known / F.lit(86400)).cast("int")
     return F.year(F.date_add(F.lit("1970-01-01").cast("date"), days))
 
 

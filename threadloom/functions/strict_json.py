@@ -52,6 +52,15 @@ def is_number(name: str) -> Column:
     return F.coalesce(kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"), F.lit(False))
 
 
+def in_range(name: str) -> Column:
+    """True when the whole part of a number fits 32 bits."""
+    return F.coalesce(_whole(name).between(-(1 << 31), (1 << 31) - 1), F.lit(False))
+
+
+def _whole(name: str) -> Column:
+    return F.try_variant_get(field(name), "$", "bigint")
+
+
 def is_single_document() -> Column:
     """True when the line is exactly one well-formed JSON value."""
     items = F.col("_doc.items")
@@ -68,7 +77,7 @@ def is_valid(text: Sequence[str], numbers: Sequence[str] = ()) -> Column:
     for name in text:
         valid = valid & is_text(name)
     for name in numbers:
-        valid = valid & is_number(name)
+        valid = valid & is_number(name) & in_range(name)
     return valid
 
 
@@ -87,7 +96,7 @@ def reject_reason(text: Sequence[str], numbers: Sequence[str] = ()) -> Column:
     for name in text:
         reason = reason.when(~is_text(name), f"wrong_type:{name}")
     for name in numbers:
-        reason = reason.when(~is_number(name), f"not_number:{name}")
+        reason = reason.when(~is_number(name), f"not_number:{name}").when(~in_range(name), f"out_of_range:{name}")
     return reason
 
 
@@ -97,4 +106,4 @@ def text_value(name: str) -> Column:
 
 def number_value(name: str) -> Column:
     """A JSON number as BIGINT, fractions truncated."""
-    return F.try_variant_get(field(name), "$", "bigint").alias(name)
+    return _whole(name).alias(name)

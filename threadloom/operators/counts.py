@@ -66,12 +66,12 @@ def merge_counts(*counts: DataFrame) -> DataFrame:
     return drop_empty_subreddit(merged).groupBy("subreddit").agg(F.sum("count").alias("count"))
 
 
-def _levels(months: DataFrame, *columns: str) -> DataFrame:
-    """Every row three times: for its month, its year and all periods."""
-    levels = f"""inline(array(
+def levels(months: DataFrame, *columns: str) -> DataFrame:
+    """Every row three times: for its month, its year and all periods. Undated rows count for all periods only."""
+    levels = f"""inline(filter(array(
         struct('month' as level, _month as period),
         struct('year' as level, substring(_month, 1, 4) as period),
-        struct('{ALL_PERIODS}' as level, '{ALL_PERIODS}' as period)))"""
+        struct('{ALL_PERIODS}' as level, '{ALL_PERIODS}' as period)), x -> x.period <> ''))"""
     return months.selectExpr(*columns, levels)
 
 
@@ -85,22 +85,34 @@ def contributions_per_period(df: DataFrame, period: str = "period") -> DataFrame
         .groupBy(F.substring(F.col(period), 1, 7).alias("_month"), "subreddit")
         .agg(F.count("*").alias("count"))
     )
-    levelled = _levels(months, "subreddit", "count").groupBy("level", "period", "subreddit")
+    levelled = levels(months, "subreddit", "count").groupBy("level", "period", "subreddit")
     return levelled.agg(F.sum("count").alias("count"))
 
 
 def users_per_period(df: DataFrame, period: str = "period") -> DataFrame:
-    """Distinct users per month, per year and in total, from one pass and one heavy shuffle.
+    """Distinct users per month, per year and in total, from one pass over the rows.
 
-    Distinct counts do not add up over periods, so all three levels are made distinct together;
-    each task first removes its own repeats, and only those rows are shuffled.
+    Distinct counts do not add up over periods. The months are made distinct first, so that years and
+    total are found among distinct rows and not among three copies of the raw ones.
     """
     named = _labelled(drop_deleted_authors(df))
-    months = named.select(F.substring(F.col(period), 1, 7).alias("_month"), "subreddit", "author")
-    members = _levels(months, "subreddit", "author").distinct()
+    months = named.select(F.substring(F.col(period), 1, 7).alias("_month"), "subreddit", "author").distinct()
+    members = levels(months, "subreddit", "author").distinct()
     return members.groupBy("level", "period", "subreddit").agg(F.count("*").alias("count"))
 
 
+def approx_within(df: DataFrame, rsd: float = 0.02, times: float = 5.0) -> DataFrame:
+    """Per subreddit whether the approximate users lie within ``times`` the stated error of the exact ones."""
+    return near(approx_users_per_subreddit(df, rsd), users_per_subreddit(df), rsd * times)
+
+
+def near(approximate: DataFrame, exact: DataFrame, share: float) -> DataFrame:
+    """Per subreddit whether two counts differ by at most ``share`` of the exact one, or by one."""
+    both = exact.withColumnRenamed("count", "_exact").join(approximate, "subreddit", "full")
+    close = F.abs(F.col("count") - F.col("_exact")) <= F.greatest(share * F.col("_exact"), F.lit(1.0))
+    return both.select("subreddit", F.coalesce(close, F.lit(False)).alias("within"))
+
+
 def accounts_per_year(authors: DataFrame) -> DataFrame:
     """Accounts created per calendar year (UTC)."""
     return authors.groupBy(epoch_year().alias("year")).agg(F.count("*").alias("count"))

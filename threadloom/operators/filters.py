@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import strict_json as sj
 from threadloom.functions.columns import named_author, subreddit_label
-from threadloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
+from threadloom.operators.lookup import BROADCAST_BYTES, lookup_join
+from threadloom.plans.materialize import store
 from threadloom.schemas import CSV_COLUMNS, TEXT_FIELDS
 
 
@@ -24,15 +25,17 @@ def drop_deleted_authors(df: DataFrame) -> DataFrame:
 
 def filter_subreddits(df: DataFrame, subreddits: DataFrame | None, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Keep rows whose subreddit is listed, case-sensitive. No list, or an empty one, keeps all."""
-    if subreddits is None or subreddits.isEmpty():
+    if subreddits is None:
+        return df
+    # A missing subreddit is looked up as the empty name. The list is evaluated once.
+    listed = store(subreddits.select(F.coalesce("subreddit", F.lit("")).alias("_key")).distinct(), "filter-list")
+    if not listed.rows:
         return df
     if "subreddit" not in df.columns:
         warnings.warn("these rows carry no subreddit; a subreddit list removes all of them", stacklevel=2)
         return df.where(F.lit(False))
-    # A missing subreddit is looked up as the empty name.
     keyed = df.withColumn("_key", F.coalesce("subreddit", F.lit("")))
-    wanted = subreddits.select(F.col("subreddit").alias("_key")).distinct()
-    return lookup_join(keyed, wanted, ["_key"], fits_broadcast(wanted, limit), "left_semi").select(*df.columns)
+    return lookup_join(keyed, listed.table, ["_key"], listed.bytes <= limit, "left_semi").select(*df.columns)
 
 
 def filter_raw_json(lines: DataFrame, subreddits: DataFrame | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Vertices are subreddits; an edge joins two subreddits that share an author and is weighted by the
 number of shared authors. Inside this module subreddits are numbers below ``2**31``, so a pair of
-them is one 64-bit key.
+them is one 64-bit key; a graph of more than ``2**30`` subreddits is refused, not cut.
 """
 
 from __future__ import annotations
@@ -10,12 +10,12 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.operators.lookup import BROADCAST_BYTES, lookup_join
 from threadloom.operators.triangles import linked_neighbours, pair_key
-from threadloom.plans.materialize import Stored, store
+from threadloom.plans.materialize import Stored, most_tasks, store
 
 VERTICES_PER_BUCKET = 1 << 16
 MOST_VERTICES = 1 << 30
@@ -76,11 +76,9 @@ def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_
     tile holds, so the pairs themselves are the output; they are summed in the task that makes
     them before they are shuffled.
     """
+    spark = members.sparkSession
     per_author = members.groupBy("author").agg(F.count("*").alias("_n"))
-    seen = Observation()
-    made = F.expr("coalesce(sum(_n * (_n - 1) / 2), 0) as pairs")
-    heavy = store(per_author.observe(seen, made).where(f"_n > {tile}"), "heavy-authors")
-    tasks = math.ceil(seen.get["pairs"] / ROWS_PER_TASK)
+    heavy = store(per_author.where(f"_n > {tile}"), "heavy-authors")
 
     if heavy.rows:
         cuts = heavy.table.selectExpr("author", f"cast(ceil(_n / {tile}) as int) as _cuts")
@@ -93,11 +91,11 @@ def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_
     else:
         tiles = members.groupBy("author").agg(F.expr("sort_array(collect_list(vid)) as tile"))
 
-    profiles = tiles.where("size(tile) > 1").groupBy("tile").agg(F.expr("count(*) as n"))
-    if tasks > 1:
-        # The tasks are sized by the pairs they will make, not by the bytes of the tiles.
-        profiles = profiles.repartition(tasks, "tile")
-    pairs = _pairs_in(profiles)
+    # The tasks are sized by the pairs that the collapsed tiles will make, not by their bytes.
+    made = F.expr("coalesce(sum(size(tile) * (size(tile) - 1) / 2), 0) as pairs")
+    profiles = store(tiles.where("size(tile) > 1").groupBy("tile").agg(F.expr("count(*) as n")), "profiles", made)
+    tasks = most_tasks(spark, profiles.seen["pairs"], ROWS_PER_TASK)
+    pairs = _pairs_in(profiles.table.repartition(tasks, "tile") if tasks > 1 else profiles.table)
     if heavy.rows:
         pairs = pairs.unionByName(_pairs_across(tiles.where("_cuts IS NOT NULL")))
     counted = pairs.groupBy("pair").agg(F.expr("sum(n) as u"))
@@ -105,19 +103,23 @@ def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_
 
 
 def _numbered(memberships: DataFrame, limit: int) -> tuple[Stored, DataFrame]:
-    """The vertex index and the memberships by number."""
-    members = store(memberships, "memberships", F.expr("approx_count_distinct(subreddit) as subreddits"))
+    """The vertex index and the memberships by number, each pair once.
+
+    A membership without a subreddit or without an author links nothing and is left out.
+    """
+    known = memberships.select("subreddit", "author").where("subreddit is not null and author is not null").distinct()
+    members = store(known, "memberships", F.expr("approx_count_distinct(subreddit) as subreddits"))
     index = store(vertex_index(members.table, members.seen["subreddits"]), "vertex-index")
     numbered = lookup_join(members.table, index.table, ["subreddit"], index.bytes <= limit).select("vid", "author")
-    return index, numbered
+    return index, store(numbered, "numbered").table
 
 
 def co_membership(memberships: DataFrame, tile: int = TILE, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Number of shared authors for every pair of subreddits that shares any: ``(i, j, u_ij)``.
 
-    ``memberships`` are distinct (subreddit, author) rows; ``i < j`` by name.
+    ``memberships`` are (subreddit, author) rows, repeated ones count once; ``i < j`` by name.
     """
-    index, numbered = _numbered(memberships.select("subreddit", "author"), limit)
+    index, numbered = _numbered(memberships, limit)
     edges = shared_authors(numbered, tile, limit)
     for end, name in (("a", "_x"), ("b", "_y")):
         names = index.table.selectExpr(f"vid as {end}", f"subreddit as {name}")
@@ -185,7 +187,7 @@ def build_graph(memberships: DataFrame, tile: int = TILE, limit: int = BROADCAST
 
     Deleted accounts are not removed here; filter them first.
     """
-    index, numbered = _numbered(memberships.select("subreddit", "author").distinct(), limit)
+    index, numbered = _numbered(memberships, limit)
     edges = store(shared_authors(numbered, tile, limit), "edges")
     return score_graph(index, edges, limit)
 

@@ -30,15 +30,16 @@ def lookup_join(
     """Join ``facts`` to ``lookup``; ``small`` says that its measured size allows a broadcast.
 
     A small lookup is broadcast and the facts stay where they are. A larger one is copied
-    ``salts`` times and the facts of one key are spread over the copies, so a key that holds a
-    third of the facts is still shared by many tasks. ``how`` must keep the facts on the left:
-    inner, left, left_semi or left_anti.
+    ``salts`` times and the facts of one key are dealt over the copies by their position, equal rows
+    too, so a key that holds a third of the facts is still shared by many tasks; adaptive execution
+    splits it further where the facts need it. ``how`` must keep the facts on the left: inner,
+    left, left_semi or left_anti.
     """
     keys = list(on)
     if small:
         return facts.join(F.broadcast(lookup), keys, how)
     if salts == 1:
-        return facts.join(lookup, keys, how)
+        return facts.join(lookup.hint("merge"), keys, how)
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int"))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    salted = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.operators.lookup import BROADCAST_BYTES, lookup_join
-from threadloom.plans.materialize import store
+from threadloom.plans.materialize import most_tasks, store
 
 LANES = 4
 BLOCK_SHIFT = 8
@@ -37,13 +37,14 @@ def linked_neighbours(edges: DataFrame, limit: int = BROADCAST_BYTES, method: st
         "coalesce(sum(o * (o - 1) / 2), 0) as pairs", "coalesce(sum(o), 0) as edges", "count(*) as vertices"
     ).first()
     small = work["edges"] * 64 <= limit
-    # An edge meets at most one row per block, and no vertex has more blocks than this.
+    # An edge meets at most one row per block. Popular vertices have low numbers, so the vertices with
+    # higher neighbours roughly tell how many blocks there are; the estimate only chooses between two exact ways.
     blocks = math.ceil(work["vertices"] / 64 / LANES) + 1
     if method == "auto":
         method = "pairs" if work["pairs"] <= 2 * work["edges"] * blocks else "blocks"
     if method == "pairs":
-        return _by_pairs(ends, small, math.ceil(work["pairs"] / ROWS_PER_TASK))
-    return _by_blocks(ends, limit, math.ceil(work["edges"] * blocks / ROWS_PER_TASK))
+        return _by_pairs(ends, small, most_tasks(ends.sparkSession, work["pairs"], ROWS_PER_TASK))
+    return _by_blocks(ends, limit)
 
 
 def _by_pairs(edges: DataFrame, small: bool, tasks: int) -> DataFrame:
@@ -56,15 +57,19 @@ def _by_pairs(edges: DataFrame, small: bool, tasks: int) -> DataFrame:
     return closed.selectExpr("explode(array(lo, x, y)) as v").groupBy("v").agg(F.expr("2 * count(*) as links"))
 
 
-def _by_blocks(edges: DataFrame, limit: int, tasks: int) -> DataFrame:
+def _by_blocks(edges: DataFrame, limit: int) -> DataFrame:
     bits = [
         f"coalesce(bit_or(if(shiftright(w, 6) & {LANES - 1} = {n}, shiftleft(1L, cast(w & 63 as int)), 0L)), 0L) as l{n}"
         for n in range(LANES)
     ]
     neighbours = edges.selectExpr("inline(array(struct(a as v, b as w), struct(b as v, a as w)))")
     blocks = neighbours.selectExpr("v", "w", f"shiftright(w, {BLOCK_SHIFT}) as block").groupBy("v", "block")
-    packed = store(blocks.agg(*[F.expr(lane) for lane in bits]), "blocks")
+    vertices = F.expr("approx_count_distinct(v) as vertices")
+    packed = store(blocks.agg(*[F.expr(lane) for lane in bits]), "blocks", vertices)
     small = packed.bytes <= limit
+    # An edge meets as many rows as its lower end has blocks; on average those that were packed.
+    each = packed.rows / max(1, packed.seen["vertices"])
+    tasks = most_tasks(edges.sparkSession, math.ceil(edges.count() * each), ROWS_PER_TASK)
 
     def of(end: str, mark: str) -> DataFrame:
         return packed.table.selectExpr(f"v as {end}", "block", *[f"l{n} as {mark}{n}" for n in range(LANES)])

@@ -7,6 +7,7 @@ broadcast decisions need no extra job.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from typing import Any, NamedTuple
@@ -23,6 +24,7 @@ class Stored(NamedTuple):
     rows: int
     bytes: int
     seen: dict[str, Any]
+    path: str
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if context.applicationId not in _local_folders:
         _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="threadloom-")
@@ -67,4 +69,19 @@ def store(df: DataFrame, label: str, *metrics: Column) -> Stored:
     size = F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes")
     df.observe(seen, rows, size, *metrics).write.parquet(path)
     found = seen.get
-    return Stored(spark.read.schema(df.schema).parquet(path), found["rows"], found["bytes"], found)
+    return Stored(spark.read.schema(df.schema).parquet(path), found["rows"], found["bytes"], found, path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete stored tables or scratch folders that no DataFrame reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def most_tasks(spark: SparkSession, rows: int, rows_per_task: int, per_core: int = 32) -> int:
+    """Tasks for ``rows`` rows of work, at most ``per_core`` for each core of the cluster.
+
+    Beyond that a task gets more rows; the job stays whole. No scheduler survives millions of tasks.
+    """
+    return max(1, min(math.ceil(rows / rows_per_task), per_core * spark.sparkContext.defaultParallelism))

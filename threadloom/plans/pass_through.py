@@ -57,17 +57,27 @@ def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def run_pass_through(
-    spark: SparkSession, dataset_dir: str, outputs: Mapping[str, str], *, compress: bool = False, **options
+    spark: SparkSession,
+    dataset_dir: str,
+    outputs: Mapping[str, str],
+    *,
+    compress: bool = False,
+    prefixes: Mapping[str, str] | None = None,
+    **options,
 ) -> dict[str, int]:
     """Write every requested kind to its path and return the rows written.
 
-    ``outputs`` maps kinds (submissions, comments, authors) to paths.
+    ``outputs`` maps kinds (submissions, comments, authors) to paths, ``prefixes`` kinds to the file
+    prefix that replaces the usual one.
     """
     if not outputs:
         raise ValueError("name at least one of submissions, comments, authors")
+    if "prefix" in options:
+        raise ValueError("name the prefix of each kind in prefixes")
     written: dict[str, int] = {}
     for kind, path in outputs.items():
-        rows, seen = observed(pass_through(spark, dataset_dir, kind, **options))
+        prefix = (prefixes or {}).get(kind)
+        rows, seen = observed(pass_through(spark, dataset_dir, kind, prefix=prefix, **options))
         raw = options.get("original_json", False)
         if compress:
             files.write_zstd_lines(rows if raw else files.to_csv_rows(rows), path)

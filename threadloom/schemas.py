@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 # Archive kinds, their directories, file prefixes and decoded fields.
 DIRECTORIES = {"submissions": "submissions", "comments": "comments", "authors": "authors"}
-PREFIXES = {"submissions": "RS_", "comments": "RC_", "authors": "RA_2020-06-28.ndjson.zst"}
+PREFIXES = {"submissions": "RS_", "comments": "RC_", "authors": "RA_"}
 TEXT_FIELDS = {
     "submissions": ("subreddit", "id", "author", "title"),
     "comments": ("subreddit", "id", "author", "body"),

@@ -9,6 +9,7 @@ from threadloom.functions.columns import CSV_DIALECT, csv_line, dot_id
 from threadloom.operators.graph import Graph
 from threadloom.schemas import EDGE_CSV, VERTEX_CSV
 from threadloom.sinks import zstd_lines
+from threadloom.sources.paths import qualified
 
 
 def to_csv_rows(df: DataFrame) -> DataFrame:
@@ -21,9 +22,12 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "error
 
 
 def write_zstd_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
-    """Lines as Zstandard files; a ``file`` column names the files."""
-    zstd_lines.register(lines.sparkSession)
-    lines.write.format("zstd_lines").mode(mode).save(path)
+    """Lines as Zstandard files; a ``file`` column names the files, one task writes each."""
+    spark = lines.sparkSession
+    zstd_lines.register(spark)
+    if "file" in lines.columns:
+        lines = lines.repartition("file").sortWithinPartitions("file")
+    lines.write.format("zstd_lines").mode(mode).save(qualified(spark, path))
 
 
 def write_compressed(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -51,7 +55,7 @@ def write_statistics(counts: DataFrame, out_dir: str, experiment: str, suffix: s
 def write_statistics_per_period(counts: DataFrame, out_dir: str, experiment: str) -> str:
     """Counts of all periods in one run, one folder per level and period."""
     path = f"{out_dir.rstrip('/')}/{experiment}"
-    ordered = counts.select("subreddit", "count", "level", "period")
+    ordered = counts.select("subreddit", "count", "level", "period").repartition("level", "period")
     ordered.write.partitionBy("level", "period").options(**CSV_DIALECT).csv(path)
     return path
 
@@ -76,8 +80,21 @@ def write_vertex_list(vertices: DataFrame, path: str) -> None:
 
 
 def export_filter_list(top: DataFrame, path: str) -> None:
-    """The chosen names with a header, as one file. ``top`` is a top-n result, so n rows."""
-    write_csv(top.select("subreddit").coalesce(1), path, header=True)
+    """The chosen names as they stand below a header, as one file. ``top`` is a top-n result, so n rows."""
+    with_header(top.select("subreddit")).coalesce(1).sortWithinPartitions("_row").select("value").write.text(path)
+
+
+def with_header(names: DataFrame, *keys: str) -> DataFrame:
+    """``keys``, ``_row``, ``value``: a header in front of the names of each combination of keys."""
+    rows = names.select(*keys, F.lit(1).alias("_row"), F.coalesce("subreddit", F.lit("")).alias("value"))
+    heads = names.select(*keys).distinct() if keys else names.sparkSession.range(1)
+    return heads.select(*keys, F.lit(0).alias("_row"), F.lit("subreddit").alias("value")).unionByName(rows)
+
+
+def export_filter_lists(top: DataFrame, keys: list[str], path: str) -> None:
+    """A filter list for every combination of ``keys``, each in a folder ``key=value/...``, in one job."""
+    listed = with_header(top, *keys).repartition(*keys).sortWithinPartitions(*keys, "_row")
+    listed.select(*keys, "value").write.partitionBy(*keys).text(path)
 
 
 def graph_to_dot_lines(graph: Graph) -> DataFrame:
@@ -109,7 +126,10 @@ def graph_to_dot_lines(graph: Graph) -> DataFrame:
 
 def write_dot(graph: Graph, path: str) -> None:
     """DOT text; the part files in name order are one document."""
-    graph_to_dot_lines(graph).orderBy("section", "line").select("line").write.text(path)
+    lines = graph_to_dot_lines(graph).withColumn("_place", F.xxhash64("line"))
+    # Sections in order over the files; the lines of a section are spread, their order means nothing.
+    ranged = lines.repartitionByRange("section", "_place").sortWithinPartitions("section")
+    ranged.select("line").write.text(path)
 
 
 def dot_id_collisions(vertices: DataFrame) -> DataFrame:

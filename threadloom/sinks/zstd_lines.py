@@ -2,14 +2,17 @@
 
 Spark's text writer offers no zstd here; the written files are read back by its text reader. Rows
 are ``(value)`` or ``(value, file)``. With a ``file`` column every file name becomes one file, so
-all rows of a name must be in one partition, next to each other.
+all rows of a name must be in one partition, next to each other. A name that two tasks wrote, or
+that is there already in append mode, is refused before any file is moved.
 """
 
 from __future__ import annotations
 
 import sys
 import uuid
+from collections import Counter
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -79,13 +82,25 @@ class ZstdLinesWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list) -> None:
         system, root = open_path(self.path)
-        if self.overwrite:
-            for info in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-                if info.is_file:
-                    system.delete_file(info.path)
-        for message in messages:
-            for name in message.names if message else ():
-                system.move(f"{root}/_temporary-{self.job}/{message.attempt}/{name}", f"{root}/{name}")
+        there = [info for info in system.get_file_info(fs.FileSelector(root, allow_not_found=True)) if info.is_file]
+        made = [(message.attempt, name) for message in messages if message for name in message.names]
+        names = Counter(name for _, name in made)
+        if not self.overwrite:
+            names.update(info.base_name for info in there if info.base_name in names)
+        twice = sorted(name for name, times in names.items() if times > 1)
+        if twice:
+            self._drop_temporary(system, root)
+            raise ValueError(f"{len(twice)} file names are written twice or exist already, {twice[0]} among them")
+
+        def move(item: tuple[str, str]) -> None:
+            attempt, name = item
+            system.move(f"{root}/_temporary-{self.job}/{attempt}/{name}", f"{root}/{name}")
+
+        # On an object store a move is a copy; several run at once.
+        with ThreadPoolExecutor(16) as pool:
+            if self.overwrite:
+                list(pool.map(system.delete_file, [info.path for info in there]))
+            list(pool.map(move, made))
         self._drop_temporary(system, root)
 
     def abort(self, messages: list) -> None:

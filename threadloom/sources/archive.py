@@ -10,6 +10,7 @@ from threadloom.operators.filters import split_lines
 from threadloom.operators.parse import parse_entities
 from threadloom.schemas import DIRECTORIES, PREFIXES
 from threadloom.sources import xz_lines
+from threadloom.sources.paths import qualified
 
 
 def name_glob(prefix: str, suffix: str = "") -> str:
@@ -28,12 +29,22 @@ def list_files(
 
 
 def read_xz_archive(
-    spark: SparkSession, path: str, prefix: str = "", contains: str = "", excludes: str = ""
+    spark: SparkSession,
+    path: str,
+    prefix: str = "",
+    contains: str = "",
+    excludes: str = "",
+    above: int | None = None,
+    upto: int | None = None,
 ) -> DataFrame:
-    """Lines ``(value, file, bytes)`` of the ``.xz`` archives of a directory, or of one file."""
+    """Lines ``(value, file, bytes)`` of the ``.xz`` archives of a directory, or of one file.
+
+    ``above`` and ``upto`` bound the size of the files that are read.
+    """
     xz_lines.register(spark)
-    options = {"prefix": prefix, "contains": contains, "excludes": excludes}
-    return spark.read.format("xz_lines").options(**options).load(path)
+    options = {"prefix": prefix, "contains": contains, "excludes": excludes, "above": above, "upto": upto}
+    given = {name: value for name, value in options.items() if value is not None}
+    return spark.read.format("xz_lines").options(**given).load(qualified(spark, path))
 
 
 def _has_xz(spark: SparkSession, directory: str, prefix: str) -> bool:
@@ -64,13 +75,24 @@ def read_archive(
         .select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"))
         .where(name_matches(F.col("file"), prefix, contains, excludes) & ~F.col("file").endswith(".xz"))
     )
-    lines = text
-    if _has_xz(spark, directory, prefix):
-        lines = text.unionByName(read_xz_archive(spark, directory, prefix, contains, excludes))
+    packed = _has_xz(spark, directory, prefix)
+
+    def lines(above: int | None = None, upto: int | None = None) -> DataFrame:
+        """Of the files within the bounds; each file is listed on one side only and read once."""
+        found = text
+        if above is not None:
+            found = found.where(F.col("bytes") > above)
+        if upto is not None:
+            found = found.where(F.col("bytes") <= upto)
+        if packed:
+            found = found.unionByName(read_xz_archive(spark, directory, prefix, contains, excludes, above, upto))
+        return found.drop("bytes")
+
     if not spread:
-        return lines.drop("bytes")
-    large = lines.where(F.col("bytes") > spread_above).drop("bytes").repartition(spread)
-    return lines.where(F.col("bytes") <= spread_above).drop("bytes").unionByName(large) if spread_above else large
+        return lines()
+    if not spread_above:
+        return lines().repartition(spread)
+    return lines(upto=spread_above).unionByName(lines(above=spread_above).repartition(spread))
 
 
 def archive_lines(

@@ -6,15 +6,27 @@ import sys
 
 from pyarrow import fs
 from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 # Executors need no installed copy of this module.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that Spark itself would use for it.
+
+    A path without a scheme belongs to the cluster's default file system, which need not be the local disk.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(place).toString()
+
+
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
-    """The file system and the inner path of a local path or URI."""
+    """The file system and the inner path of a qualified path, or of a plain local one."""
     if path.startswith("file:"):
         path = "/" + path[len("file:") :].lstrip("/")
     if "://" in path:
-        return fs.FileSystem.from_uri(path)
+        scheme, rest = path.split("://", 1)
+        return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
     return fs.LocalFileSystem(), path

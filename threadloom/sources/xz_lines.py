@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from threadloom.sources.paths import open_path
@@ -53,12 +53,19 @@ def line_batches(stream: Iterator[bytes], name: str, size: int) -> Iterator[pa.R
         yield batch([b"".join(pending)])
 
 
+def file_batches(system: fs.FileSystem, path: str, size: int) -> Iterator[pa.RecordBatch]:
+    with system.open_input_stream(path) as raw, lzma.open(raw) as data:
+        yield from line_batches(iter(lambda: data.read(CHUNK), b""), path.rsplit("/", 1)[-1], size)
+
+
 class XzLinesReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
         self.prefix = options.get("prefix", "")
         self.contains = options.get("contains", "")
         self.excludes = options.get("excludes", "")
+        self.above = int(options.get("above", -1))
+        self.upto = int(options.get("upto", 1 << 62))
 
     def _wanted(self, name: str) -> bool:
         if not name.endswith(".xz") or not name.startswith(self.prefix) or self.contains not in name:
@@ -69,15 +76,13 @@ class XzLinesReader(DataSourceReader):
         system, path = open_path(self.path)
         info = system.get_file_info(path)
         infos = [info] if info.is_file else system.get_file_info(fs.FileSelector(path))
-        return [XzFile(item.path, item.size) for item in infos if item.is_file and self._wanted(item.base_name)]
+        wanted = (item for item in infos if item.is_file and self._wanted(item.base_name))
+        return [XzFile(item.path, item.size) for item in wanted if self.above < item.size <= self.upto]
 
     def read(self, partition: XzFile | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark plans one empty partition when no file matches.
             return
-        system = open_path(self.path)[0]
-        with system.open_input_stream(partition.path) as raw, lzma.open(raw) as data:
-            chunks = iter(lambda: data.read(CHUNK), b"")
-            yield from line_batches(chunks, partition.path.rsplit("/", 1)[-1], partition.bytes)
+        yield from file_batches(open_path(self.path)[0], partition.path, partition.bytes)
 
 
 class XzLines(DataSource):
@@ -94,3 +99,16 @@ class XzLines(DataSource):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(XzLines)
+
+
+def lines_of_files(files: DataFrame) -> DataFrame:
+    """Lines ``(value, file)`` of the ``.xz`` files ``(path, length)``; works on a stream of files too."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                system, inner = open_path(path)
+                for lines in file_batches(system, inner, size):
+                    yield lines.select(["value", "file"])
+
+    return files.select("path", "length").mapInArrow(read, "value string, file string")

@@ -8,23 +8,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, StreamingQuery
 
 from threadloom.functions.columns import CSV_DIALECT, file_period, name_matches
-from threadloom.operators.counts import approx_users_per_subreddit, contributions_per_subreddit
+from threadloom.operators.counts import approx_users_per_subreddit, contributions_per_subreddit, levels
 from threadloom.operators.filters import (
     drop_deleted_authors,
     drop_empty_subreddit,
     filter_raw_json,
     filter_subreddits,
+    only_user_in_subreddit,
     project_entity,
     split_lines,
     with_subreddit_label,
 )
 from threadloom.operators.parse import parse_entities
 from threadloom.schemas import DIRECTORIES, PREFIXES
+from threadloom.sources import xz_lines
 from threadloom.sources.archive import name_glob
 
+PATHS = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_archive(
     spark: SparkSession,
@@ -34,12 +38,25 @@ def stream_archive(
     excludes: str = "",
     files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Lines ``(value, file)`` of the archives of a directory, as a stream."""
-    reader = spark.readStream.option("pathGlobFilter", name_glob(prefix)).option("lineSep", "\n")
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    lines = reader.text(directory).select("value", F.col("_metadata.file_name").alias("file"))
-    return split_lines(lines.where(name_matches(F.col("file"), prefix, contains, excludes)))
+    """Lines ``(value, file)`` of the archives of a directory, as a stream.
+
+    The text reader can't unpack ``.xz`` files; these are a second stream, of paths, and are
+    unpacked where the paths arrive.
+    """
+
+    def reader(suffix: str = "") -> DataStreamReader:
+        options = {"pathGlobFilter": name_glob(prefix, suffix)}
+        if files_per_trigger:
+            options["maxFilesPerTrigger"] = files_per_trigger
+        return spark.readStream.options(**options)
+
+    wanted = name_matches(F.col("file"), prefix, contains, excludes)
+    lines = reader().option("lineSep", "\n").text(directory)
+    lines = lines.select("value", F.col("_metadata.file_name").alias("file"))
+    lines = lines.where(wanted & ~F.col("file").endswith(".xz"))
+    paths = reader(".xz").format("binaryFile").schema(PATHS).load(directory)
+    named = paths.withColumn("file", F.element_at(F.split("path", "/"), -1)).where(wanted)
+    return split_lines(lines.unionByName(xz_lines.lines_of_files(named)))
 
 
 def stream_lines(spark: SparkSession, dataset_dir: str, kind: str, prefix: str | None = None, **options) -> DataFrame:
@@ -61,12 +78,18 @@ def stream_pass_through(
     kind: str,
     subreddits: DataFrame | None = None,
     original_json: bool = False,
+    only_users: bool = False,
     **options,
 ) -> DataFrame:
-    """Stateless filter of one kind; write it in append mode."""
+    """Stateless filter of one kind; write it in append mode. The options are those of the batch job."""
+    if original_json and only_users:
+        raise ValueError("choose either original_json or only_users")
     lines = stream_lines(spark, dataset_dir, kind, **options)
     if original_json:
         return filter_raw_json(lines, subreddits).select("value")
+    if only_users and kind != "authors":
+        users = filter_subreddits(drop_deleted_authors(parse_entities(lines, "user_in_subreddit")), subreddits)
+        return only_user_in_subreddit(users)
     rows = project_entity(parse_entities(lines, kind), kind)
     return filter_subreddits(drop_deleted_authors(rows), subreddits)
 
@@ -92,20 +115,35 @@ def stream_users_approx(rows: DataFrame, rsd: float = 0.02) -> DataFrame:
 
 
 def stream_counts_per_period(rows: DataFrame) -> DataFrame:
-    """Running contributions per period of the file name and subreddit."""
+    """Running contributions per month, year and in total, and subreddit; the period comes from the file name."""
     named = drop_empty_subreddit(with_subreddit_label(rows.where("author IS NOT NULL")))
-    return named.groupBy(file_period().alias("period"), "subreddit").agg(F.count("*").alias("count"))
+    levelled = levels(named.withColumn("_month", F.substring(file_period(), 1, 7)), "subreddit")
+    return levelled.groupBy("level", "period", "subreddit").agg(F.count("*").alias("count"))
+
+
+def stream_users_per_period(rows: DataFrame) -> DataFrame:
+    """Running distinct users per month, year and in total. The state holds every user of each of them."""
+    named = _named(rows).withColumn("_month", F.substring(file_period(), 1, 7))
+    members = levels(named, "subreddit", "author").dropDuplicates(["level", "period", "subreddit", "author"])
+    return members.groupBy("level", "period", "subreddit").agg(F.count("*").alias("count"))
 
 
 def drain_to_table(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Run a running count over the files present and keep its latest complete result at ``path``.
 
-    The result is written as parquet by each micro-batch, so the last one wins, also after a
-    restart.
+    Each micro-batch writes its result beside the last one, as parquet, and takes its place when it
+    is whole; the last one wins, also after a restart.
     """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def replace(batch: DataFrame, number: int) -> None:
+        fresh = f"{path.rstrip('/')}-batch-{number}"
+        batch.write.mode("overwrite").parquet(fresh)
+        spark = batch.sparkSession
+        place, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
+        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.delete(place, True)
+        if not system.rename(new, place):
+            raise OSError(f"{fresh} can't take the place of {path}")
 
     query = (
         counts.writeStream.outputMode("complete")
