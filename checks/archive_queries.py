@@ -25,6 +25,19 @@ l AS (SELECT coalesce(subreddit, 'No-Subreddit-defined') AS subreddit, author, f
       WHERE subreddit IS NULL OR subreddit <> '')"""
 
 
+def _same_lines(made, lines, ending=".zst"):
+    """Per file the number of lines and whether they are those that were written, by a sum of their hashes."""
+
+    def sums(rows, suffix):
+        name = F.regexp_replace("file", r"\.\w+$", "").alias("file")
+        part = F.pmod(F.xxhash64("value"), F.lit(1 << 40))
+        return rows.groupBy(name).agg(F.count("*").alias(f"n{suffix}"), F.sum(part).alias(f"h{suffix}"))
+
+    both = sums(made, "1").join(sums(lines, "2"), "file", "full")
+    same = F.col("n1").eqNullSafe(F.col("n2")) & F.col("h1").eqNullSafe(F.col("h2"))
+    return both.select(F.concat("file", F.lit(ending)).alias("file"), F.col("n2").alias("count"), same.alias("same"))
+
+
 @query(f"WITH {S} SELECT subreddit, id, author, title FROM s")
 def parse_submissions(spark, sf):
     return p.parse_submissions(i.submission_lines(spark, sf)).drop("file")
@@ -63,24 +76,12 @@ def quarantine_malformed(spark, sf):
 
 
 @query(
-    """SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count
+    """SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count, true AS same
     FROM events WHERE value < 3 OR value >= 5 GROUP BY 1"""
 )
 def split_lines(spark, sf):
-    return f.split_lines(i.comment_lines(spark, sf)).groupBy("file").agg(F.count("*").alias("count"))
-
-
-def _same_lines(made, lines, ending=".zst"):
-    """Per file the number of lines and whether they are those that were written, by a sum of their hashes."""
-
-    def sums(rows, suffix):
-        name = F.regexp_replace("file", r"\.\w+$", "").alias("file")
-        part = F.pmod(F.xxhash64("value"), F.lit(1 << 40))
-        return rows.groupBy(name).agg(F.count("*").alias(f"n{suffix}"), F.sum(part).alias(f"h{suffix}"))
-
-    both = sums(made, "1").join(sums(lines, "2"), "file", "full")
-    same = F.col("n1").eqNullSafe(F.col("n2")) & F.col("h1").eqNullSafe(F.col("h2"))
-    return both.select(F.concat("file", F.lit(ending)).alias("file"), F.col("n2").alias("count"), same.alias("same"))
+    lines = i.comment_lines(spark, sf)
+    return _same_lines(lines.where("value <> '' and substring(value, 1, 1) <> char(0)"), f.split_lines(lines))
 
 
 @query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count, true AS same FROM events GROUP BY 1")
