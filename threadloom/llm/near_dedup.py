@@ -7,9 +7,9 @@
    sets that are 0.85 alike share none of them with a probability of 5e-11.
 3. Links: classes under one key are held against a hub of that key and not against each other. Linked
    classes grow together to components, and the next round asks, per pair of components that
-   still share a key, for a few further pairs with other hubs. When rounds stop finding links, every
-   pair left under a key between different components is checked, so no link that the keys show is lost and pairs
-   inside a component are never made. Every link is confirmed on the two whole sets.
+   still share a key, for a few further pairs with other hubs. When rounds stop finding many links, all classes
+   of different components that still share keys are compared, block by block, inside tasks. So no
+   link that the keys show is lost, and pairs are never sent. Every link is confirmed on the two whole sets.
 4. Components of the links by alternating large and small stars, then the smallest document id of each.
 
 Exact copies meet once, in the partial sums of step 1, so a group of copies with a third of all rows is one
@@ -20,7 +20,7 @@ they reach, null if none. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -42,8 +42,10 @@ KEPT_WORDS = 500_000
 SHINGLES_AT_ONCE = 100_000
 #: Pairs of classes that one round checks for one pair of components.
 TRIES = 4
-#: Hub rounds go on while this share of the checked pairs turn out to be links.
+#: Hub rounds, two at least, go on while this share of the checked pairs turn out to be links.
 WORTH = 0.02
+#: Classes of a block, and shingles that are compared at once: bounds of a task's memory.
+BLOCK, COLUMNS = 500, 4096
 
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -187,27 +189,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> Data
     return both.where((100 + percent) * shared >= percent * (small + large)).select(*pairs.columns)
 
 
-def _between(rows: DataFrame, tries: int | None) -> DataFrame:
-    """Pairs of classes under a key from different components, at most ``tries`` for two components."""
+def _between(rows: DataFrame) -> DataFrame:
+    """Pairs of a class and a hub from different components, at most ``TRIES`` for two components."""
     pairs = rows.where("own <> other").select(
         F.least("class", "hub").alias("a"),
         F.greatest("class", "hub").alias("b"),
         F.least("own", "other").alias("low"),
         F.greatest("own", "other").alias("high"),
     )
-    if tries is None:
-        return pairs.select("a", "b").distinct()
     # The smallest hash in each of a few parts, by partial sums: no ranking of a group in one task.
-    part = F.pmod(F.xxhash64("b", "a"), F.lit(tries))
+    part = F.pmod(F.xxhash64("b", "a"), F.lit(TRIES))
     picked = pairs.groupBy("low", "high", part.alias("part")).agg(F.min(F.struct(F.xxhash64("a", "b"), "a", "b")).alias("one"))
     return picked.select("one.a", "one.b").distinct()
 
 
 def link_classes(keyed: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame | None:
-    """``class``, ``root`` for every class linked with another; ``keyed`` has ``key``, ``class``."""
-    roots, turn = None, 0
-    active = keyed
-    exact = False
+    """``class``, ``root`` for every class linked with another; ``keyed`` has ``key``, ``class`` and the classes ``n`` of the key."""
+    roots, turn, active = None, 0, keyed
     while True:
         if roots is None:
             rows = active.withColumn("own", F.col("class"))
@@ -221,26 +219,108 @@ def link_classes(keyed: DataFrame, sets: DataFrame, percent: int = PERCENT) -> D
         held = store(rows.join(spread, "key", "left_semi"), "active")
         if not held.rows:
             return roots
-        rows, active = held.table, held.table.select("key", "class")
-        if exact:
-            other = rows.select("key", F.col("class").alias("hub"), F.col("own").alias("other"))
-            pairs = _between(rows.where("true").join(other, "key").where("class < hub"), None)
-        else:
-            # The first hub is the smallest class, the same one under many keys; later ones differ by key and round.
-            salt = F.lit(0) if turn == 0 else F.xxhash64("key", F.lit(turn))
-            hubs = rows.groupBy("key").agg(F.min(F.col("class").bitwiseXOR(salt)).alias("_hub"))
-            hubs = hubs.select("key", F.col("_hub").bitwiseXOR(salt).alias("hub"))
-            hubs = hubs.join(rows.select("key", F.col("class").alias("hub"), F.col("own").alias("other")), ["key", "hub"])
-            pairs = _between(rows.join(hubs, "key"), TRIES)
-        asked = store(pairs, "pairs")
+        rows = held.table
+        # The first hub is the smallest class, the same one under many keys; later ones differ by key and round.
+        salt = F.lit(0) if turn == 0 else F.xxhash64("key", F.lit(turn))
+        hubs = rows.groupBy("key").agg(F.min(F.col("class").bitwiseXOR(salt)).alias("_hub"))
+        hubs = hubs.select("key", F.col("_hub").bitwiseXOR(salt).alias("hub"))
+        hubs = hubs.join(rows.select("key", F.col("class").alias("hub"), F.col("own").alias("other")), ["key", "hub"])
+        asked = store(_between(rows.join(hubs, "key")), "pairs")
         links = store(confirmed(asked.table, sets, percent), "confirmed")
         if links.rows:
             fresh = components(links.table if roots is None else _contracted(links.table, rows))
             roots = _relabelled(roots, fresh)
-        if exact:
-            return roots
+        # Two classes under a key were asked about; three or more may hold further links.
+        active = rows.where("n > 2").select("key", "class", "n")
+        if turn and links.rows <= WORTH * asked.rows:
+            break
         turn += 1
-        exact = links.rows <= WORTH * asked.rows
+    left = store(rest_links(active, roots, sets, percent), "rest-links")
+    if not left.rows:
+        return roots
+    own = left.table.select(F.col("own_a").alias("a"), F.col("own_b").alias("b"))
+    return _relabelled(roots, components(own))
+
+
+def rest_links(active: DataFrame, roots: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that still share a key, from comparing all classes of different ones.
+
+    Components that share keys, directly or through others, form a group. Its classes are cut into
+    blocks: a large component into blocks of its own, small ones together. Every two blocks meet
+    in one task, but for two of the same component; the task compares all pairs at once and returns
+    the few links that join components, so what is sent grows with classes x blocks and not with pairs.
+    """
+    if roots is None:
+        rows = active.withColumn("own", F.col("class"))
+    else:
+        found = roots.withColumnRenamed("root", "own")
+        rows = lookup_join(active, found, ["class"], fits_broadcast(found), "left")
+        rows = rows.withColumn("own", F.coalesce("own", "class"))
+    low = rows.groupBy("key").agg(F.min("own").alias("_low"), F.max("own").alias("_high")).where("_low <> _high")
+    met = store(rows.join(low.select("key", "_low"), "key").select("class", "own", "_low"), "met").table
+    groups = components(met.where("own <> _low").select(F.col("own").alias("a"), F.col("_low").alias("b")).distinct())
+    groups = groups.select(F.col("node").alias("own"), F.col("root").alias("group"))
+    classes = store(met.select("class", "own").distinct().join(groups, "own"), "grouped").table
+
+    sizes = classes.groupBy("group", "own").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.withColumn("_large", F.col("_n") > BLOCK // 2)
+    small = sizes.where("not _large").groupBy("group").agg(F.sum("_n").alias("_small"))
+    placed = classes.join(sizes, ["group", "own"]).join(small, "group", "left")
+    parts = F.ceil(F.when(F.col("_large"), F.col("_n")).otherwise(F.col("_small")) / BLOCK)
+    owner = F.when(F.col("_large"), F.col("own"))
+    spread = F.when(F.col("_large"), F.xxhash64("class")).otherwise(F.xxhash64("own"))
+    block = F.xxhash64("group", F.coalesce(owner, F.lit(0)), F.col("_large"), F.pmod(spread, parts))
+    placed = placed.select("group", "class", "own", owner.alias("owner"), block.alias("block"))
+    placed = store(placed.join(sets, "class"), "blocks").table
+    blocks = placed.groupBy("group", "block").agg(F.min("owner").alias("owner"))
+    other = blocks.select("group", F.col("block").alias("block2"), F.col("owner").alias("owner2"))
+    pairs = blocks.join(other, "group").where("block <= block2 and not (owner is not null and owner <=> owner2)")
+    pairs = pairs.select("group", "block", "block2").withColumn("pair", F.xxhash64("group", "block", "block2"))
+    meets = pairs.select("group", "pair", F.explode(F.array_distinct(F.array("block", "block2"))).alias("block"))
+    both = placed.join(meets, ["group", "block"]).select("pair", "class", "own", "shingles")
+    return both.groupBy("pair").applyInArrow(_compare(percent), "a long, b long, own_a long, own_b long").distinct()
+
+
+def _compare(percent: int) -> Callable[[pa.Table], pa.Table]:
+    """All pairs of two blocks by the product of their matrix of classes and shared shingles."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.sort_by("class")
+        names, own = table.column("class").to_numpy(), table.column("own").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        size = lists.value_lengths().to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(names)), size)
+        _, column, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        number = np.cumsum(times > 1) - 1  # shingles of one class alone can't be shared
+        kept = times[column] > 1
+        row, column = row[kept], number[column[kept]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        shared = np.zeros((len(names), len(names)), np.float32)
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            first, last = np.searchsorted(column, [start, start + COLUMNS])
+            part = np.zeros((len(names), COLUMNS), np.float32)
+            part[row[first:last], column[first:last] - start] = 1
+            shared += part @ part.T
+        union = size[:, None] + size[None, :] - shared
+        link = np.triu((100 * shared >= percent * union) & (own[:, None] != own[None, :]), 1)
+        parent: dict[int, int] = {}
+
+        def find(node: int) -> int:
+            while parent.get(node, node) != node:
+                node = parent[node]
+            return node
+
+        out = []
+        for i, j in zip(*np.nonzero(link), strict=True):
+            low, high = sorted((find(int(own[i])), find(int(own[j]))))
+            if low != high:  # links inside what has grown together say nothing new
+                parent[high] = low
+                out.append((int(names[i]), int(names[j]), int(own[i]), int(own[j])))
+        columns = np.array(out, np.int64).reshape(-1, 4)
+        return pa.Table.from_arrays([pa.array(columns[:, k]) for k in range(4)], ["a", "b", "own_a", "own_b"])
+
+    return compare
 
 
 def _contracted(links: DataFrame, rows: DataFrame) -> DataFrame:
@@ -271,9 +351,8 @@ def group_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     classes = store(classes, "classes").table
     # Copies have the same keys, so each key counts a class once.
     keyed = filled.select("class", F.explode("keys").alias("key")).distinct()
-    several = keyed.groupBy("key").agg(F.min("class").alias("_low"), F.max("class").alias("_high"))
-    several = several.where("_low <> _high").select("key")
-    keyed = store(keyed.join(several, "key", "left_semi"), "keyed").table
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keyed = store(keyed.join(several, "key"), "keyed").table
 
     wanted = store(keyed.select("class").distinct().join(classes, "class").select("class", F.col("low").alias("doc_id")), "wanted").table
     own = lookup_join(named, wanted.where("doc_id is not null"), ["doc_id"], fits_broadcast(wanted))
