@@ -44,6 +44,8 @@ SHINGLES_AT_ONCE = 100_000
 TRIES = 4
 #: Hub rounds, two at least, go on while this share of the checked pairs turn out to be links.
 WORTH = 0.02
+#: Links that one task joins.
+ONE_TASK = 1 << 20
 #: Classes of a block, and shingles that are compared at once: bounds of a task's memory.
 BLOCK, COLUMNS = 500, 4096
 
@@ -156,9 +158,36 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("class", "text").mapInArrow(make, "class long, shingles array<bigint>")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``node``, ``root``: the smallest node that links ``a``-``b`` reach, for every node of a link."""
-    pairs = store(links.select("a", "b"), "links").table
+def components(links: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
+    """``node``, ``root``: the smallest node that links ``a``-``b`` reach, for every node of a link.
+
+    Up to ``one_task`` links, counted as they are stored, are joined by one task in one pass; more by
+    alternating stars over the cluster. Both give the same rows.
+    """
+    kept = store(links.select("a", "b"), "links")
+    if kept.rows <= one_task:
+        found = kept.table.coalesce(1).mapInArrow(_reached, "node long, root long")
+        return store(found, "components").table
+    return _by_stars(kept.table)
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+    ends = np.concatenate([np.zeros(0, np.int64), *(a for a, _ in parts), *(b for _, b in parts)])
+    nodes, place = np.unique(ends, return_inverse=True)
+    a, b = np.split(place, 2)
+    root, last = np.arange(len(nodes)), None
+    while last is None or (root != last).any():
+        last = root.copy()
+        low = np.minimum(root[a], root[b])
+        for end in (a, b):
+            np.minimum.at(root, end, low)
+            np.minimum.at(root, last[end], low)
+        root = root[root]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "root"])
+
+
+def _by_stars(pairs: DataFrame) -> DataFrame:
     print_ = F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 30))).alias("print")
     last = None
     while True:
