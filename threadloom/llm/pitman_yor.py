@@ -50,8 +50,8 @@ from pyspark.sql import functions as F
 from threadloom.llm.words import raw_texts
 from threadloom.plans.materialize import store
 
-CHUNK_TOKENS = 2_000_000
-BUCKET_TOKENS = 2_500_000
+CHUNK_TOKENS = 1_250_000
+BUCKET_TOKENS = 1_500_000
 HEAVY = 1e-5
 BURN, SAMPLES = 2, 3
 ONE_BY_ONE = 8
