@@ -26,7 +26,7 @@ from threadloom.llm import (
     url_filter,
     weak_labels,
 )
-from threadloom.llm.words import fold
+from threadloom.llm.words import fold, smallest_by_hash
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string, _host string"
@@ -194,6 +194,29 @@ def test_near_dedup_on_tables(documents, local, odd):
     assert near_dedup.group_near_copies(odd.limit(0)).count() == 0
 
 
+def test_components_by_both_ways(spark):
+    draw = random.Random(8)
+    links = [(draw.randrange(400), draw.randrange(400)) for _ in range(230)] + [(k, k + 1) for k in range(1000, 1100)]
+    links = [(min(link) - 50, max(link)) for link in links]
+    parent = {}
+
+    def find(k):
+        while parent.get(k, k) != k:
+            k = parent[k]
+        return k
+
+    for a, b in links:
+        low, high = sorted((find(a), find(b)))
+        if low != high:
+            parent[high] = low
+    want = {k: find(k) for link in links for k in link}
+    frame = spark.createDataFrame(links, "a long, b long")
+    for limit in (0, 1 << 20):
+        found = near_dedup.components(frame, limit).collect()
+        assert len(found) == len(want) and {row["node"]: row["root"] for row in found} == want
+    assert near_dedup.components(frame.limit(0)).count() == 0
+
+
 def test_packing_plan():
     def best_fit(sizes, capacity):
         rooms = []
@@ -344,6 +367,14 @@ def test_url_scorer_on_hosts_left_out(spark):
     assert (out.verdict[out.label == 0] == "allow").mean() > 0.8
 
 
+def test_url_scorer_on_pages(spark):
+    """Hosts of the sample that the labelled table doesn't know."""
+    out = url_filter.judge_urls(spark.read.parquet(f"{SF}/pages.parquet"), rules=()).toPandas()
+    unwanted = out.host.str.contains("casino|pills|ads-|adult|spam|bets")
+    assert (out.verdict[~unwanted] == "allow").mean() > 0.97
+    assert (out.verdict[unwanted] == "block").mean() > 0.5
+
+
 def test_language_id(documents, odd):
     held = documents.withColumn("held", fold("doc_id", 3) == 1)
     model = language_id.fit(held.where("not held"), per_language=40, rounds=2)
@@ -516,6 +547,13 @@ def test_pipeline_stages(spark, documents, odd):
         assert stage(spark, whole.limit(0), SF).count() == 0
 
 
+def test_smallest_by_hash(spark):
+    rows = spark.range(5000).selectExpr("id as doc_id", "if(id % 10 = 0, 'rare', 'often') as lang")
+    found = smallest_by_hash(rows, "lang", 100).collect()
+    assert Counter(row["lang"] for row in found) == {"rare": 100, "often": 100}
+    assert {row["doc_id"] for row in smallest_by_hash(rows, "lang", 10_000).collect()} == set(range(5000))
+
+
 def test_every_query_is_registered():
     assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 11))
     assert len(corpus_pipeline.STAGES) == 5

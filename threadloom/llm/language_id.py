@@ -27,10 +27,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadloom.llm.words import smallest_by_hash
 from threadloom.plans.materialize import store
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -171,10 +172,8 @@ def words_of(text: str) -> list[bytes]:
 
 def training_words(labelled: DataFrame, per_language: int) -> DataFrame:
     """``lang``, ``word``, ``n`` of the sample: per language the documents of smallest hash."""
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language)
     # At most per_language rows for each language: the bound of the broadcast.
-    chosen = chosen.select("doc_id").distinct()
+    chosen = smallest_by_hash(labelled, "lang", per_language).select("doc_id").distinct()
     sample = labelled.join(F.broadcast(chosen), "doc_id", "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

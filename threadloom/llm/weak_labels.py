@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadloom.llm.words import raw_texts
+from threadloom.llm.words import raw_texts, smallest_by_hash
 from threadloom.plans.materialize import store
 
 GOOD, BAD = 1, 2
@@ -203,9 +203,10 @@ def fit(docs: DataFrame, sample: int = 6000) -> Quality:
     """Fit on ``doc_id``, ``text``: patterns of all documents, the scorer on a bounded sample of them."""
     counted = docs.select(pattern_of()(F.col("text")).alias("pattern")).groupBy("pattern").count().collect()
     labels = estimate({row["pattern"]: row["count"] for row in counted} or {0: 0})
-    # The documents of smallest hash: a top-k that every task cuts down before anything moves.
-    chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    # At most `sample` ids: the bound of the broadcast and of what the driver trains on.
+    chosen = smallest_by_hash(docs.select("doc_id", F.lit(0).alias("_all_docs")), "_all_docs", sample)
+    chosen = chosen.select("doc_id").distinct()
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     features, rows, target = Features(), [], []
     for row in store(texts, "quality-sample").table.orderBy("doc_id").toLocalIterator():
         text = (row["text"] or "").encode(errors="replace")
