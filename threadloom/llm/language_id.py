@@ -40,7 +40,7 @@ SHORT = 32
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LETTER = regex.compile(r"\p{L}")
 #: Words whose log probabilities a task keeps at once; beyond that it starts afresh.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 TOKENS_AT_ONCE = 200_000
 
 

@@ -38,7 +38,7 @@ BANDS = 32
 PERMUTATIONS = 2 * BANDS
 PERCENT = 85
 SEED = 11
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 SHINGLES_AT_ONCE = 100_000
 #: Pairs of classes that one round checks for one pair of components.
 TRIES = 4
