@@ -495,6 +495,17 @@ def test_pitman_yor(documents, odd, small_buckets):
     assert pitman_yor.score_documents(odd.limit(0).withColumn("train", F.lit(True))).count() == 0
 
 
+def test_scores_do_not_depend_on_the_number_of_buckets(documents, monkeypatch):
+    docs = documents.withColumn("train", fold("doc_id", 7) != 2)
+    found = []
+    for size in (10**9, 1_000):  # one bucket, 80 of them
+        monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", size)
+        out = pitman_yor.score_documents(docs).toPandas().set_index("doc_id").sort_index()
+        found.append(out.score / out.n_tokens)
+    off = found[1] - found[0]
+    assert off.abs().mean() < 0.006 and abs(off.mean()) < 0.003
+
+
 def test_probabilities_sum_to_one(spark):
     """Over all known words and one unknown, after the same context."""
     rows = [(k, "a b a c a b d", True) for k in range(20)]

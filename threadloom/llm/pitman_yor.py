@@ -17,14 +17,17 @@ How it is spread out:
    text as numbers. A word is its 64-bit hash from here on.
 3. A chunk sends its distinct pairs with their training counts to buckets of contexts. A heavy
    context is spread over all buckets by the second word, so that no context is one task. A
-   bucket adds the counts up and samples its restaurants; as the parent it uses its own tables, an
-   unbiased part of all tables (the approximate distributed sampler of Newman and others for topic models).
-   It answers each chunk pair by pair and passes on counts and tables of its words.
-4. Buckets of words add these up and sample the parent; chunks ask them for their words.
-5. Every chunk puts the answers together and sums the logarithms by document.
-
-What is sent is linear in the distinct pairs of chunks and so grows with the corpus; all tasks hold one chunk or
-bucket. Nothing but totals and the heavy contexts (at most 1 / ``HEAVY`` words) comes to the driver.
+   bucket adds the counts up.
+4. Before each sweep, buckets of words add up the tables of every word and tell them to the buckets that
+   hold it; the tables of heavy contexts are added up likewise. A bucket then sweeps its restaurants with the
+   parent of all tables, so the seating doesn't depend on the number of buckets (the distributed sampler of
+   Newman and others for topic models, which synchronises after every sweep).
+5. After the last sweep a bucket answers each chunk pair by pair and passes on counts and tables of its words.
+6. Buckets of words add these up and sample the parent; chunks ask them for their words.
+7. Every chunk puts the answers together and sums the logarithms by document.
+
+What is sent is linear in the distinct pairs of chunks, and in each sweep in the words of buckets, and so grows with the
+corpus; all tasks hold one chunk or bucket. What a sweep leaves is deleted after the next. Nothing but totals and the heavy contexts (at most 1 / ``HEAVY`` words) comes to the driver.
 A word's customers at a context are seated one by one up to ``ONE_BY_ONE`` of them; more are
 seated afresh in each sweep, in blocks that grow with those already seated.
 
@@ -48,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.llm.words import raw_texts
-from threadloom.plans.materialize import store
+from threadloom.plans.materialize import discard, store
 
 CHUNK_TOKENS = 1_250_000
 BUCKET_TOKENS = 1_500_000
@@ -103,20 +106,35 @@ def mixed(value: np.ndarray) -> np.ndarray:
 
 
 class Seating:
-    """Tables of dishes with ``customers`` each, at least one."""
-
-    def __init__(self, customers: np.ndarray, discount: float, draw: np.random.Generator) -> None:
+    """Tables of dishes with ``customers`` each, at least one; ``seats``, ``tables``: where an earlier sweep left them."""
+
+    def __init__(
+        self,
+        customers: np.ndarray,
+        discount: float,
+        draw: np.random.Generator,
+        seats: np.ndarray | None = None,
+        tables: np.ndarray | None = None,
+    ) -> None:
         self.customers, self.discount, self.draw = customers, discount, draw
-        self.tables = np.ones(len(customers), np.int64)
-        self.groups = []
+        self.tables = np.ones(len(customers), np.int64) if tables is None else tables.astype(np.int64)
+        self.groups, start = [], 0
         for count in range(2, ONE_BY_ONE + 1):
             at = np.flatnonzero(customers == count)
             if len(at):
-                sizes = np.zeros((len(at), count))
-                sizes[:, 0] = count
-                self.groups.append((at, np.zeros((len(at), count), np.int64), sizes))
+                seat = np.zeros((len(at), count), np.int64)
+                if seats is not None:
+                    seat[:] = seats[start : start + seat.size].reshape(seat.shape)
+                    start += seat.size
+                place = np.arange(len(at))[:, None] * count + seat
+                sizes = np.bincount(place.ravel(), minlength=seat.size).reshape(seat.shape).astype(float)
+                self.groups.append((at, seat, sizes))
         self.many = np.flatnonzero(customers > ONE_BY_ONE)
 
+    def seats(self) -> np.ndarray:
+        """The table of every customer that is seated one by one."""
+        return np.concatenate([np.zeros(0, np.int8), *(seat.ravel().astype(np.int8) for _, seat, _ in self.groups)])
+
     def sweep(self, weight: np.ndarray) -> None:
         """Seat every customer again; ``weight``: of a new table, for each dish."""
         for at, seat, sizes in self.groups:
@@ -139,24 +157,16 @@ class Seating:
         self.tables[self.many] = tables
 
 
-def seat_contexts(
-    context: np.ndarray, word: np.ndarray, customers: np.ndarray, spread: np.ndarray, shape: Shape, seed: list[int]
-) -> np.ndarray:
-    """Tables, summed over the samples, of every pair of a bucket; ``spread``: buckets that share each context."""
-    seating = Seating(customers, shape.discount, np.random.default_rng(seed))
-    words = int(word.max()) + 1 if len(word) else 0
-    total = np.zeros(len(customers), np.int64)
-    for sweep in range(BURN + SAMPLES):
-        tables = seating.tables
-        below = np.bincount(word, tables, words)  # the parent's customers, each at a table of the word
-        parents = np.minimum(below, 1 + (below - 1) * (1 - shape.parent_discount))
-        rest = shape.parent_strength + shape.parent_discount * parents.sum()
-        chance = (below - shape.parent_discount * parents + rest / (words + 1)) / (shape.parent_strength + below.sum())
-        here = np.bincount(context, tables, len(spread)) * spread
-        seating.sweep((shape.strength + shape.discount * here[context]) * chance[word])
-        if sweep >= BURN:
-            total += seating.tables
-    return total
+class Known(NamedTuple):
+    """Totals of the parent between two sweeps: its words, customers and expected tables."""
+
+    v: int
+    customers: int
+    tables: float
+
+
+def expected_tables(customers: np.ndarray, shape: Shape) -> np.ndarray:
+    return np.minimum(customers, 1 + (customers - 1) * (1 - shape.parent_discount))
 
 
 def seat_parent(customers: np.ndarray, shape: Shape, parts: int, seed: list[int]) -> np.ndarray:
@@ -326,34 +336,183 @@ def _row(kind: int, to: int, part: int, *data: bytes) -> dict:
     return {"kind": kind, "to": to, "part": part, **dict(zip("abcd", [*data, b"", b"", b"", b""], strict=False))}
 
 
-def answer_pairs(buckets: int, word_bits: int, heavy: np.ndarray, shape: Shape) -> Callable[[pa.Table], pa.Table]:
-    """Of one bucket: add up, seat, answer every chunk and pass on the words."""
+#: kind 0: the pairs of a bucket as the last sweep left them; kind 1: its words for a bucket of words, with their
+#: tables; kind 2: tables (``n``) of the heavy context ``to``. Totals are over the sweeps that count.
+CELLS_SCHEMA = pa.schema(
+    [("kind", pa.int32()), ("to", pa.int64()), ("part", pa.int64()), ("n", pa.int64())]
+    + [(name, pa.binary()) for name in ("contexts", "context", "words", "word", "customers", "seats", "tables", "total")]
+)
+CELLS = "kind int, to long, part long, n long, contexts binary, context binary, words binary, word binary, "
+CELLS += "customers binary, seats binary, tables binary, total binary"
+
+
+def _parts(words: np.ndarray, word_bits: int) -> Iterator[tuple[int, int, int]]:
+    """Buckets of words with the ranges of the sorted ``words`` in them."""
+    part = (words >> np.uint64(64 - word_bits)).astype(np.int64) if word_bits else np.zeros(len(words), np.int64)
+    ends = np.searchsorted(part, np.arange(1 << word_bits), side="right")
+    return ((to, a, b) for to, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)) if b > a)
+
+
+class Cells(NamedTuple):
+    """The distinct pairs of a bucket, added up over its chunks."""
+
+    cell: np.ndarray  # of every pair of every chunk
+    contexts: np.ndarray
+    context: np.ndarray
+    words: np.ndarray
+    word: np.ndarray
+    customers: np.ndarray
+
+
+def _cells(rows: list[dict]) -> Cells:
+    context = [np.repeat(expand(row["contexts"], np.uint64), expand(row["runs"], np.int32)) for row in rows]
+    context = np.concatenate(context)
+    word = np.concatenate([expand_sorted(row["words"])[expand(row["word"], np.int32)] for row in rows])
+    trained = np.concatenate([expand(row["trained"], np.int32) for row in rows])
+    with np.errstate(over="ignore"):
+        _, first, cell = np.unique(mixed(context) * STEP + word, return_index=True, return_inverse=True)
+    customers = np.bincount(cell, trained, len(first)).astype(np.int64)
+    contexts, context_of = np.unique(context[first], return_inverse=True)
+    words, word_of = np.unique(word[first], return_inverse=True)
+    return Cells(cell, contexts, context_of, words, word_of, customers)
+
+
+def _passed_on(row: dict, words: np.ndarray, word: np.ndarray, context: np.ndarray, tables: np.ndarray, word_bits: int) -> pa.Table:
+    """A bucket's pairs, the tables of its words and those of its heavy contexts."""
+    given = np.bincount(word, tables, len(words)).astype(np.int64)
+    out = [row]
+    for to, a, b in _parts(words, word_bits):
+        out.append({"kind": 1, "to": to, "part": row["to"], "words": squeeze_sorted(words[a:b]), "tables": squeeze(given[a:b])})
+    names = expand(row["contexts"], np.uint64)
+    taken = np.bincount(context, tables, len(names)).astype(np.int64)
+    for at in np.flatnonzero(names):
+        out.append({"kind": 2, "to": int(names[at : at + 1].view(np.int64)[0]), "part": row["to"], "n": int(taken[at])})
+    return pa.Table.from_pylist(out, CELLS_SCHEMA)
+
 
-    def answer(group: pa.Table) -> pa.Table:
+def first_cells(word_bits: int, heavy: np.ndarray, shape: Shape) -> Callable[[pa.Table], pa.Table]:
+    """The trained pairs of a bucket with a table each."""
+
+    def add_up(group: pa.Table) -> pa.Table:
+        rows = group.sort_by("chunk").to_pylist()
+        found = _cells(rows)
+        used = np.flatnonzero(found.customers)
+        local, word = np.unique(found.word[used], return_inverse=True)
+        own, context = np.unique(found.context[used], return_inverse=True)
+        customers, words, contexts = found.customers[used], found.words[local], found.contexts[own]
+        seating = Seating(customers, shape.discount, np.random.default_rng(0))
+        row = {
+            "kind": 0,
+            "to": rows[0]["bucket"],
+            "contexts": squeeze(np.where(np.isin(contexts, heavy), contexts, np.uint64(0))),
+            "context": squeeze(context.astype(np.int32)),
+            "words": squeeze_sorted(words),
+            "word": squeeze(word.astype(np.int32)),
+            "customers": squeeze(customers.astype(np.int32)),
+            "seats": squeeze(seating.seats()),
+            "tables": squeeze(seating.tables.astype(np.int32)),
+            "total": squeeze(np.zeros(len(used), np.int32)),
+        }
+        return _passed_on(row, words, word, context, seating.tables, word_bits)
+
+    return add_up
+
+
+TOLD = "to long, part long, below binary, v long, customers long, tables double"
+TOLD_SCHEMA = pa.schema(
+    [("to", pa.int64()), ("part", pa.int64()), ("below", pa.binary()), ("v", pa.int64()), ("customers", pa.int64()), ("tables", pa.float64())]
+)
+
+
+def tell_tables(shape: Shape) -> Callable[[pa.Table], pa.Table]:
+    """Of one bucket of words: to every bucket the tables of its words in all buckets; ``to`` null: totals."""
+
+    def tell(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        words, place = np.unique(np.concatenate([expand_sorted(row["words"]) for row in rows]), return_inverse=True)
+        below = np.bincount(place, np.concatenate([expand(row["tables"], np.int64) for row in rows])).astype(np.int64)
+        tables = float(expected_tables(below, shape).sum())
+        out: list[dict] = [{"v": len(words), "customers": int(below.sum()), "tables": tables}]
+        start = 0
+        for row in rows:
+            size = len(expand_sorted(row["words"]))
+            out.append({"to": row["part"], "part": row["to"], "below": squeeze(below[place[start : start + size]])})
+            start += size
+        return pa.Table.from_pylist(out, TOLD_SCHEMA)
+
+    return tell
+
+
+def sweep_cells(
+    sweep: int, word_bits: int, heavy: np.ndarray, taken: np.ndarray, known: Known, shape: Shape
+) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """One sweep of a bucket with the parent of all buckets; ``taken``: tables of the heavy contexts in all buckets."""
+
+    def seat(group: pa.Table, told: pa.Table) -> pa.Table:
+        row = group.to_pylist()[0]
+        below = [expand(r["below"], np.int64) for r in sorted(told.to_pylist(), key=lambda r: r["part"])]
+        below = np.concatenate([np.zeros(0, np.int64), *below])
+        names, context = expand(row["contexts"], np.uint64), expand(row["context"], np.int32)
+        words, word = expand_sorted(row["words"]), expand(row["word"], np.int32)
+        customers, tables = expand(row["customers"], np.int32).astype(np.int64), expand(row["tables"], np.int32)
+        draw = np.random.default_rng([SEED, row["to"], sweep])
+        seating = Seating(customers, shape.discount, draw, expand(row["seats"], np.int8), tables)
+
+        rest = shape.parent_strength + shape.parent_discount * known.tables
+        chance = below - shape.parent_discount * expected_tables(below, shape) + rest / (known.v + 1)
+        chance /= shape.parent_strength + known.customers
+        here = np.bincount(context, tables, len(names))
+        shared = np.flatnonzero(names)
+        here[shared] = taken[np.searchsorted(heavy, names[shared])]
+        seating.sweep((shape.strength + shape.discount * here[context]) * chance[word])
+
+        total = expand(row["total"], np.int32)
+        if sweep >= BURN:
+            total = total + seating.tables.astype(np.int32)
+        row |= {"seats": squeeze(seating.seats()), "tables": squeeze(seating.tables.astype(np.int32)), "total": squeeze(total)}
+        return _passed_on(row, words, word, context, seating.tables, word_bits)
+
+    return seat
+
+
+def seat_contexts(asked: DataFrame, word_bits: int, heavy: np.ndarray, shape: Shape) -> tuple[DataFrame, str]:
+    """The pairs of every bucket after all sweeps, and where they are stored."""
+    cells = store(asked.groupBy("bucket").applyInArrow(first_cells(word_bits, heavy, shape), CELLS), "cells")
+    for sweep in range(BURN + SAMPLES):
+        told = cells.table.where("kind = 1").groupBy("to").applyInArrow(tell_tables(shape), TOLD)
+        told = store(told, "told-tables")
+        sums = told.table.where("to is null").agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in Known._fields))
+        known = Known(*sums.first())
+        # One row for each heavy context.
+        found = dict(cells.table.where("kind = 2").groupBy("to").agg(F.sum("n")).collect())
+        taken = np.array([found.get(int(name), 0) for name in heavy.view(np.int64)], np.int64)
+        seat = sweep_cells(sweep, word_bits, heavy, taken, known, shape)
+        own, ours = cells.table.where("kind = 0").groupBy("to"), told.table.where("to is not null").groupBy("to")
+        made = store(own.cogroup(ours).applyInArrow(seat, CELLS), "cells")
+        discard(asked.sparkSession, cells.path, told.path)
+        cells = made
+    return cells.table.where("kind = 0").select("to", "total"), cells.path
+
+
+def answer_pairs(word_bits: int, heavy: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of one bucket: add up, answer every chunk and pass on the words; ``seated`` has the tables."""
+
+    def answer(group: pa.Table, seated: pa.Table) -> pa.Table:
         rows = group.sort_by("chunk").to_pylist()
         bucket = rows[0]["bucket"]
-        asked_contexts = [expand(row["contexts"], np.uint64) for row in rows]
-        runs = [expand(row["runs"], np.int32) for row in rows]
-        context = np.concatenate([np.repeat(u, n) for u, n in zip(asked_contexts, runs, strict=True)])
-        word = np.concatenate([expand_sorted(row["words"])[expand(row["word"], np.int32)] for row in rows])
-        trained = np.concatenate([expand(row["trained"], np.int32) for row in rows])
-        with np.errstate(over="ignore"):
-            _, first, cell = np.unique(mixed(context) * STEP + word, return_index=True, return_inverse=True)
-        customers = np.bincount(cell, trained, len(first)).astype(np.int64)
-        contexts, context_of = np.unique(context[first], return_inverse=True)
-        words, word_of = np.unique(word[first], return_inverse=True)
+        cell, contexts, context_of, words, word_of, customers = _cells(rows)
         shared = np.isin(contexts, heavy)
 
         used = np.flatnonzero(customers)
-        tables = np.zeros(len(first), np.int64)
+        tables = np.zeros(len(customers), np.int64)
         local, word_used = np.unique(word_of[used], return_inverse=True)
-        spread = np.where(shared, buckets, 1)
-        tables[used] = seat_contexts(context_of[used], word_used, customers[used], spread, shape, [SEED, bucket])
+        tables[used] = expand(seated.column("total")[0].as_py(), np.int32)
         held = np.bincount(context_of, customers, len(contexts)).astype(np.int64)
         taken = np.bincount(context_of, tables, len(contexts)).astype(np.int64)
 
         out, start = [], 0
-        for row, own, sizes in zip(rows, asked_contexts, runs, strict=True):
+        for row in rows:
+            own, sizes = expand(row["contexts"], np.uint64), expand(row["runs"], np.int32)
             part = cell[start : start + int(sizes.sum())]
             start += len(part)
             at = np.searchsorted(contexts, own)
@@ -362,11 +521,8 @@ def answer_pairs(buckets: int, word_bits: int, heavy: np.ndarray, shape: Shape)
         words = words[local]
         count = np.bincount(word_used, customers[used], len(local)).astype(np.int64)
         given = np.bincount(word_used, tables[used], len(local)).astype(np.int64)
-        part = (words >> np.uint64(64 - word_bits)).astype(np.int64) if word_bits else np.zeros(len(words), np.int64)
-        ends = np.searchsorted(part, np.arange(1 << word_bits), side="right")
-        for to, (a, b) in enumerate(zip([0, *ends[:-1]], ends, strict=True)):
-            if b > a:
-                out.append(_row(1, to, bucket, squeeze_sorted(words[a:b]), squeeze(count[a:b]), squeeze(given[a:b])))
+        for to, a, b in _parts(words, word_bits):
+            out.append(_row(1, to, bucket, squeeze_sorted(words[a:b]), squeeze(count[a:b]), squeeze(given[a:b])))
         if shared.any():
             out.append(_row(2, 0, bucket, squeeze(contexts[shared]), squeeze(held[shared]), squeeze(taken[shared])))
         return pa.Table.from_pylist(out, ANSWER_SCHEMA)
@@ -526,8 +682,13 @@ def _score(docs: DataFrame, shape: Shape) -> DataFrame:
     heavy = np.unique(np.append(np.array(heavy, np.int64).view(np.uint64), START)) if buckets > 1 else np.zeros(0, np.uint64)
 
     rows = store(chunks(docs), "chunks").table
-    answers = ask_pairs(rows, buckets, heavy).groupBy("bucket").applyInArrow(answer_pairs(buckets, word_bits, heavy, shape), ANSWER)
+    asked = ask_pairs(rows, buckets, heavy)
+    seated, path = seat_contexts(asked, word_bits, heavy, shape)
+    # Of the type of the other side: an int and a long are hashed to different tasks.
+    seated = seated.select(F.col("to").cast("int").alias("bucket"), "total").groupBy("bucket")
+    answers = asked.groupBy("bucket").cogroup(seated).applyInArrow(answer_pairs(word_bits, heavy), ANSWER)
     answers = store(answers, "answers").table
+    discard(docs.sparkSession, path)
     found: dict[int, list[int]] = {}
     for row in answers.where("kind = 2").select("a", "b", "c").toLocalIterator():
         for name, *sums in zip(expand(row["a"], np.uint64), expand(row["b"], np.int64), expand(row["c"], np.int64), strict=True):
