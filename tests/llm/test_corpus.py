@@ -194,6 +194,21 @@ def test_near_dedup_on_tables(documents, local, odd):
     assert near_dedup.group_near_copies(odd.limit(0)).count() == 0
 
 
+def near_texts(name):
+    """Three texts of 100 words: the first is like the second and the second like the third only."""
+    words = [f"{name}{k}" for k in range(100)]
+    return [" ".join(own) for own in ([*words[:93], *(f"{name}y{k}" for k in range(7))], words, [f"{name}z{k}" for k in range(7)] + words[7:])]
+
+
+def test_text_without_id_links_documents(spark):
+    one, bridge, two = near_texts("w")
+    rows = [(1, one), (None, bridge), (2, two), (3, "another text"), (None, near_texts("v")[0]), (None, near_texts("v")[1])]
+    assert brute_components([(1, one), (2, two)])[2][1] == 2  # not alike by themselves
+    out = near_dedup.group_near_copies(table(spark, [(i, t, "en", "a") for i, t in rows])).collect()
+    found = sorted(((r["doc_id"], r["component_id"]) for r in out), key=str)
+    assert found == sorted([(1, 1), (None, 1), (2, 1), (3, 3), (None, None), (None, None)], key=str)
+
+
 def test_components_by_both_ways(spark):
     draw = random.Random(8)
     links = [(draw.randrange(400), draw.randrange(400)) for _ in range(230)] + [(k, k + 1) for k in range(1000, 1100)]

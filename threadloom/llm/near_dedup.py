@@ -98,14 +98,19 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
         return _mixed(keys * STEP + np.arange(BANDS, dtype=np.uint64))
 
 
+def row_key(columns: list[str]) -> Column:
+    """A hash of the ``columns``, nulls told apart: the same for rows that are equal in them."""
+    return F.xxhash64(*(F.col(f"`{name}`") for name in columns), *(F.col(f"`{name}`").isNull() for name in columns))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """``doc_id``, n_shingles, class (null for an empty set) and keys."""
+    """``doc_id``, row_key, n_shingles, class (null for an empty set) and keys."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
         for batch in batches:
-            texts, ids, at = raw_texts(batch.column(1)), batch.column(0), 0
+            texts, ids, rows, at = raw_texts(batch.column(1)), batch.column(0), batch.column(2), 0
             while at < len(texts):
                 sets, held, first = [], 0, at
                 while at < len(texts) and held < SHINGLES_AT_ONCE:
@@ -122,31 +127,41 @@ def signatures(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(first, at - first),
+                        rows.slice(first, at - first),
                         pa.array([len(own) for own in sets], pa.int64()),
                         pa.array(names, pa.int64()),
                         pa.array(keys, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "class", "keys"],
+                    ["doc_id", "row_key", "n_shingles", "class", "keys"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        sign, f"doc_id {kind}, n_shingles long, class long, keys array<bigint>"
+    return docs.select("doc_id", "text", "row_key").mapInArrow(
+        sign, f"doc_id {kind}, row_key long, n_shingles long, class long, keys array<bigint>"
     )
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``class`` and its set, for ``class``, ``text``; a text that isn't of its class is left out."""
+    """``class`` and its set, for ``class``, ``text``; a text that isn't of its class is left out.
+
+    A task makes the set of repeated rows once, as long as it remembers the class.
+    """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
+        done: set[int] = set()
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), raw_texts(batch.column(1))
             for at in range(0, len(names), 200):
                 kept = []
+                if len(done) > KEPT_WORDS:
+                    done.clear()
                 for name, text in zip(names[at : at + 200], texts[at : at + 200], strict=True):
+                    if name in done:
+                        continue
                     own = shingles(text)
                     if int.from_bytes(blake2b(own.tobytes(), digest_size=8).digest(), "big", signed=True) == name:
                         kept.append((name, own.view(np.int64)))
+                        done.add(name)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([name for name, _ in kept], pa.int64()),
@@ -374,17 +389,29 @@ def _relabelled(roots: DataFrame | None, fresh: DataFrame) -> DataFrame:
 def group_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
     named = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    out = grouped_rows(named.withColumn("row_key", row_key(["doc_id", "text"])), percent)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return out.select("doc_id", "n_shingles", "component_id", kept)
+
+
+def grouped_rows(named: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """For ``doc_id``, ``text``, ``row_key``: doc_id, row_key, n_shingles, component_id and root.
+
+    ``root`` is the component itself, whatever ids its rows have; null for a row that is linked with no other.
+    """
     signed = store(signatures(named), "signatures").table
     filled = signed.where("class is not null")
-    classes = filled.groupBy("class").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"))
+    # The row that gives the text of a class: one with an id where there is one, as null ids may repeat.
+    row = F.min(F.struct(F.col("doc_id").isNull(), "row_key"))["row_key"].alias("row_key")
+    classes = filled.groupBy("class").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n"), row)
     classes = store(classes, "classes").table
     # Copies have the same keys, so each key counts a class once.
     keyed = filled.select("class", F.explode("keys").alias("key")).distinct()
     several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     keyed = store(keyed.join(several, "key"), "keyed").table
 
-    wanted = store(keyed.select("class").distinct().join(classes, "class").select("class", F.col("low").alias("doc_id")), "wanted").table
-    own = lookup_join(named, wanted.where("doc_id is not null"), ["doc_id"], fits_broadcast(wanted))
+    wanted = store(keyed.select("class").distinct().join(classes, "class").select("class", "row_key"), "wanted").table
+    own = lookup_join(named.select("row_key", "text"), wanted, ["row_key"], fits_broadcast(wanted))
     sets = store(shingle_sets(own).groupBy("class").agg(F.first("shingles").alias("shingles")), "sets").table
     roots = link_classes(keyed, sets, percent)
 
@@ -395,7 +422,8 @@ def group_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     grouped = classes.select("class", "n", "low", root.alias("root"))
     lowest = grouped.groupBy("root").agg(F.min("low").alias("component_id"), F.sum("n").alias("_size"))
     lowest = lowest.where("_size > 1")
-    named_groups = store(grouped.join(lowest, "root").select("class", "component_id"), "groups").table
-    out = lookup_join(signed.select("doc_id", "n_shingles", "class"), named_groups, ["class"], fits_broadcast(named_groups), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    named_groups = store(grouped.join(lowest, "root").select("class", "component_id", "root"), "groups").table
+    rows = signed.select("doc_id", "row_key", "n_shingles", "class")
+    out = lookup_join(rows, named_groups, ["class"], fits_broadcast(named_groups), "left")
+    component = F.coalesce("component_id", "doc_id").alias("component_id")
+    return out.select("doc_id", "row_key", "n_shingles", component, "root")
