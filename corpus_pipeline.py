@@ -37,16 +37,25 @@ def rule_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest id stays."""
-    groups = store(near_dedup.group_near_copies(docs), "near-copies").table
-    gone = groups.where("not kept").select("doc_id").distinct()
-    kept = lookup_join(docs, gone, ["doc_id"], fits_broadcast(gone), "left_anti").select(*docs.columns)
-    # Repeated rows of one id are copies too; ids that occur once needn't be compared.
-    several = groups.where("kept and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    several = store(several, "repeated-ids").table
+    """Of every group of near copies one row with the smallest id stays, one without an id if none has any.
+
+    Rows are told apart by all of their columns and not by their ids, which may be null or belong to unlike texts.
+    """
+    keyed = docs.withColumn("_row", near_dedup.row_key(docs.columns))
+    groups = near_dedup.grouped_rows(keyed.select("doc_id", "text", F.col("_row").alias("row_key")))
+    # Rows that are linked with no other stay, so only groups are looked at.
+    linked = store(groups.where("root is not null").select("root", "doc_id", F.col("row_key").alias("_row")), "near-copies").table
+    first = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_first"))
+    counted = linked.groupBy("root", "_row").count().join(first, "root")
+    counted = store(counted.select("_row", "count", (F.col("_row") == F.col("_first")).alias("_kept")), "linked-rows").table
+    gone = counted.where("not _kept").select("_row")
+    kept = lookup_join(keyed, gone, ["_row"], fits_broadcast(gone), "left_anti")
+    # Of equal rows, one; rows that occur once needn't be compared.
+    several = counted.where("_kept and count > 1").select("_row")
     small = fits_broadcast(several)
-    single = lookup_join(kept, several, ["doc_id"], small, "left_anti")
-    return single.unionByName(lookup_join(kept, several, ["doc_id"], small, "left_semi").dropDuplicates(["doc_id"]))
+    single = lookup_join(kept, several, ["_row"], small, "left_anti")
+    once = lookup_join(kept, several, ["_row"], small, "left_semi").dropDuplicates(["_row"])
+    return single.unionByName(once).select(*docs.columns)
 
 
 def _row_key(text: Column) -> Column:

@@ -573,6 +573,22 @@ def test_pipeline_stages(spark, documents, odd):
         assert stage(spark, whole.limit(0), SF).count() == 0
 
 
+def test_dedup_stage_keeps_one_row_of_each_group(spark, documents):
+    """Ids that collide and null ids, against sets of texts that may stay."""
+    (a, b, c), (p, q, _), (x, y, _) = near_texts("a"), near_texts("p"), near_texts("x")
+    rows = [(1, a), (5, b), (5, "a clean text"), (6, "first of two"), (6, "second of two"), (None, c), (None, a)]
+    rows += [(None, p), (None, q), (None, q), (7, x), (7, y), (7, x), (None, None), (8, ""), (None, "alone")]
+    want = [(1, {a}), (5, {"a clean text"}), (6, {"first of two"}), (6, {"second of two"}), (None, {p, q})]
+    want += [(7, {x, y}), (None, {None}), (8, {""}), (None, {"alone"})]
+    whole = table(spark, [(i, t, "en", "s") for i, t in rows]).select(*documents.columns)
+    out = [(r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_stage(spark, whole, SF).collect()]
+    again = [(r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_stage(spark, whole.repartition(3), SF).collect()]
+    assert sorted(out, key=str) == sorted(again, key=str)
+    assert len(out) == len(want)
+    for number, texts in want:
+        assert sum(i == number and t in texts for i, t in out) == 1
+
+
 def test_smallest_by_hash(spark):
     rows = spark.range(5000).selectExpr("id as doc_id", "if(id % 10 = 0, 'rare', 'often') as lang")
     found = smallest_by_hash(rows, "lang", 100).collect()
