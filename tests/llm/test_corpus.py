@@ -232,6 +232,12 @@ def test_components_by_both_ways(spark):
     assert near_dedup.components(frame.limit(0)).count() == 0
 
 
+def test_no_task_joins_all_links(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "_reached", None)  # what one task would run
+    found = near_dedup.components(spark.createDataFrame([(1, 2), (2, 3), (7, 9)], "a long, b long")).collect()
+    assert {row["node"]: row["root"] for row in found} == {1: 1, 2: 1, 3: 1, 7: 7, 9: 7}
+
+
 def test_packing_plan():
     def best_fit(sizes, capacity):
         rooms = []

@@ -44,8 +44,8 @@ SHINGLES_AT_ONCE = 100_000
 TRIES = 4
 #: Hub rounds, two at least, go on while this share of the checked pairs turn out to be links.
 WORTH = 0.02
-#: Links that one task joins.
-ONE_TASK = 1 << 20
+#: Links that one task joins: none, so that every size takes the same way over the cluster.
+ONE_TASK = 0
 #: Classes of a block, and shingles that are compared at once: bounds of a task's memory.
 BLOCK, COLUMNS = 500, 4096
 
@@ -176,8 +176,8 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 def components(links: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """``node``, ``root``: the smallest node that links ``a``-``b`` reach, for every node of a link.
 
-    Up to ``one_task`` links, counted as they are stored, are joined by one task in one pass; more by
-    alternating stars over the cluster. Both give the same rows.
+    By alternating stars over the cluster; a caller who knows that links are few may let one task join up
+    to ``one_task`` of them, counted as they are stored, in one pass. Both give the same rows.
     """
     kept = store(links.select("a", "b"), "links")
     if kept.rows <= one_task:
