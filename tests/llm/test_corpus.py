@@ -287,12 +287,37 @@ def test_fixed_sets_keep_the_optimum():
         assert sum(n for _, n in fixed) + exact_bins(list(left.elements()), 20) == exact_bins(sizes, 20)
 
 
+def test_equal_sets_are_fixed_in_bulk():
+    lengths = Counter({1001: 8000, 1000: 3001, **{size: 40 for size in range(525, 1000, 5)}})
+    fixed, left = packing.reduce(lengths, 2048)
+    assert len(fixed) <= 3 * len(lengths)
+    plan = packing.plan(lengths, 2048)
+    packed = Counter()
+    for pattern, times in plan:
+        assert sum(pattern) <= 2048
+        for size in pattern:
+            packed[size] += times
+    assert packed == lengths
+    assert len(packing.plan(Counter({600: 3_000_000, 700: 1_000_000}), 2048)) < 10
+
+
+def test_blank_runs_and_special_strings(spark):
+    texts = [" " * 2_000_000, "\n" * 2_000_000, "<|endoftext|>", "a <|endoftext|>b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = defaultdict(list)
+    for row in packing.pack_documents(df).collect():
+        found[row["doc_id"]].append(row)
+    assert found[2][0]["length"] == 2
+    assert found[2][0]["ids_crc32"] == zlib.crc32(np.array([50256, 0], "<u4").tobytes())
+    assert found[3][0]["length"] == 5
+    assert all(sum(row["length"] for row in found[k]) > 1000 for k in (0, 1))
+
+
 def test_packing_round_trip(odd, documents, local):
     from public_tokenizers import path
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    encoder.encode_special_tokens = True
     out = packing.pack_documents(documents).toPandas()
     by = {i: g.sort_values("piece") for i, g in out.groupby("doc_id")}
     for i, text in zip(local.doc_id, local.text, strict=True):

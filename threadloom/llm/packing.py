@@ -7,49 +7,39 @@
 3. Dominance reduction after Martello and Toth: from the longest length down, a set of pieces is
    fixed for good where no other set with that piece can be better: a piece that nothing fits beside;
    a pair that fills the sequence, or whose second is the longest that fits where no two fit;
-   a triple made in the same way where no three fit.
+   a triple made in the same way where no three fit. A set is fixed as often as its pieces allow, so
+   there are at most a few rounds for each length.
 4. What is left is packed best fit, longest first. All pieces of one length are placed in one go, on
    groups of equally filled sequences; the outcome is that of placing them one by one.
 5. The result is a list of patterns with how often each is used. Pieces of a length are numbered
    side by side (in shards, so that a length shared by a third of all pieces is no single task) and
    the number tells pattern, sequence and offset.
 
-Null and empty texts are the end id alone. Very long texts are cut as above. Repeated rows are pieces of their own,
+Null and empty texts are the end id alone. Very long texts are encoded whole and cut as above. Repeated rows are pieces of their own,
 equal lengths are dealt by number. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import base64
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.llm.tokens import VOCABULARY, encoder
 from threadloom.plans.materialize import store
 
 CAPACITY = 2048
-VOCABULARY = "byte_bpe_50k.tiktoken"
 END = 0
 PIECES_PER_SHARD = 50_000
 
 
-@lru_cache(maxsize=2)
-def encoding(path: str) -> tiktoken.Encoding:
-    """The public byte-level vocabulary; every string in a text is ordinary text."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(piece): int(number) for piece, number in map(bytes.split, lines)}
-    return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-
 def cut(count: int, capacity: int) -> list[tuple[int, int]]:
     """Start and length of a document's pieces; the first may be shorter."""
     first = count % capacity or capacity
@@ -64,11 +54,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
     names = ["piece", "start", "length", "ids_crc32"]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding(vocabulary).encode_ordinary
+        encode, end = encoder(vocabulary).encode, np.array([END], "<u4").tobytes()
         for batch in batches:
             row, made = [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.array([*encode(text or ""), END], "<u4")
+                ids = np.frombuffer(encode(text or "") + end, "<u4")
                 for number, (start, length) in enumerate(cut(len(ids), capacity)):
                     row.append(k)
                     made.append((number, start, length, zlib.crc32(ids[start : start + length].tobytes())))
@@ -103,7 +93,9 @@ def reduce(lengths: Counter[int], capacity: int) -> tuple[list[Pattern], Counter
                 return total
         return capacity + 1
 
-    def fix(pattern: tuple[int, ...], times: int) -> None:
+    def fix(*pattern: int) -> None:
+        """As often as the pieces allow: taking pieces away can't undo what makes the set dominate."""
+        times = min(left[size] // n for size, n in Counter(pattern).items())
         fixed.append((pattern, times))
         for size, n in Counter(pattern).items():
             left[size] -= n * times
@@ -115,16 +107,14 @@ def reduce(lengths: Counter[int], capacity: int) -> tuple[list[Pattern], Counter
             own, room = Counter([size]), capacity - size
             second = largest(room, own)
             if not second:
-                fix((size,), left[size])
-            elif second == room:
-                fix((size, second), left[size] // 2 if second == size else min(left[size], left[second]))
-            elif smallest_sum(2, own) > room:
-                fix((size, second), 1 if second == size else min(left[size], left[second]))
+                fix(size)
+            elif second == room or smallest_sum(2, own) > room:
+                fix(size, second)
             else:
                 third = largest(room - second, own + Counter([second]))
                 if not third or smallest_sum(3, own) <= room or third < largest(room // 2, own):
                     break  # nothing dominates: this length is left to best fit
-                fix((size, second, third), 1)
+                fix(size, second, third)
     return fixed, left
 
 
