@@ -96,6 +96,20 @@ def read_xz_archive(spark, sf):
     return _same_lines(i.comment_lines(spark, sf), lines, ".xz")
 
 
+@query(f"WITH {S} SELECT file, count(*) AS count, true AS same FROM s GROUP BY 1")
+def read_zst_by_ranges(spark, sf):
+    """Every file cut into several ranges of its frames."""
+    lines = a.read_archive(spark, i.framed_archive(spark, sf), "RS_", split=1 << 12)
+    return _same_lines(i.submission_lines(spark, sf), lines)
+
+
+@query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.xz' AS file, count(*) AS count, true AS same FROM events GROUP BY 1")
+def read_xz_by_ranges(spark, sf):
+    """Every file cut into several ranges of its streams."""
+    lines = a.read_xz_archive(spark, f"{i.xz_archive(spark, sf)}/comments", "RC_", split=1 << 12)
+    return _same_lines(i.comment_lines(spark, sf), lines, ".xz")
+
+
 @query(f"WITH {K} SELECT subreddit, id, author, body, replace(file, '.zst', '.xz') AS file FROM c")
 def read_comments_from_xz(spark, sf):
     return a.read_comments(spark, i.xz_archive(spark, sf))

@@ -191,6 +191,17 @@ def archive(spark: SparkSession, sf_dir: str) -> str:
     return keep(spark, sf_dir, "archive", make)
 
 
+def framed_archive(spark: SparkSession, sf_dir: str) -> str:
+    """The submissions as ``.zst`` files of many small frames."""
+
+    def make() -> str:
+        root = scratch_path(spark, "framed")
+        write_zstd_lines(submission_lines(spark, sf_dir), root, frame_bytes=1 << 14)
+        return root
+
+    return keep(spark, sf_dir, "framed", make)
+
+
 def xz_archive(spark: SparkSession, sf_dir: str) -> str:
     """The comment lines as ``.xz`` files, each of several concatenated streams."""
 

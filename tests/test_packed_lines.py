@@ -1,0 +1,257 @@
+"""Reading compressed archives by ranges: frames, blocks, seams, pushed tests."""
+
+from __future__ import annotations
+
+import bz2
+import gzip
+import lzma
+import random
+import struct
+import zlib
+
+import pyarrow as pa
+import pytest
+import zstandard
+from conftest import rows
+from pyarrow import fs
+from pyspark.sql import functions as F
+
+from threadloom.sources import archive as a
+from threadloom.sources import packed_lines as pl
+from threadloom.streaming import archives as sa
+
+LOCAL = fs.LocalFileSystem()
+
+
+def zst(*parts: bytes, checksum: bool = True) -> bytes:
+    """A frame for each part."""
+    return b"".join(zstandard.ZstdCompressor(write_checksum=checksum).compress(part) for part in parts)
+
+
+def skippable(content: bytes) -> bytes:
+    return struct.pack("<II", 0x184D2A5E, len(content)) + content
+
+
+def vli(value: int) -> bytes:
+    out = b""
+    while value >= 0x80:
+        out, value = out + bytes([value & 0x7F | 0x80]), value >> 7
+    return out + bytes([value])
+
+
+def xz_of_blocks(*parts: bytes) -> bytes:
+    """One stream with a block for each part: blocks of single streams behind one header, with an index of their own."""
+    blocks, records = b"", b""
+    for part in parts:
+        stream = lzma.compress(part)
+        index_size = (struct.unpack("<I", stream[-8:-4])[0] + 1) * 4
+        index = stream[-12 - index_size : -12]
+        block = stream[12 : -12 - index_size]
+        length, place = pl._number(index, 2)
+        size = pl._number(index, place)[0]
+        records += vli(length) + vli(size)
+        blocks += block
+    index = b"\0" + vli(len(parts)) + records
+    index += bytes(-len(index) % 4)
+    index += struct.pack("<I", zlib.crc32(index))
+    foot = struct.pack("<I", len(index) // 4 - 1) + stream[6:8]
+    return stream[:12] + blocks + index + struct.pack("<I", zlib.crc32(foot)) + foot + b"YZ"
+
+
+def read_in_ranges(path, split: int) -> tuple[list[str], int]:
+    """All lines, and how many ranges had some."""
+    found, full = [], 0
+    for part in pl.cut(str(path), path.stat().st_size, split):
+        here = [line for lines in pl.range_lines(LOCAL, part) for line in lines.to_pylist()]
+        found += here
+        full += bool(here)
+    return found, full
+
+
+def pieces_of(data: bytes, draw: random.Random, count: int) -> list[bytes]:
+    """Cut anywhere, also into nothing."""
+    cuts = sorted(draw.randint(0, len(data)) for _ in range(count))
+    return [data[x:y] for x, y in zip([0, *cuts], [*cuts, len(data)])]
+
+
+@pytest.mark.parametrize("split", [1, 7, 100, 1000, 1 << 20])
+def test_every_line_once_whatever_the_ranges(tmp_path, split):
+    draw = random.Random(split)
+    for trial in range(25):
+        lines = ["x" * draw.choice([0, 1, 5, 80, 4000]) + str(draw.random()) for _ in range(draw.randint(0, 60))]
+        lines = [line if draw.random() < 0.9 else "" for line in lines]
+        data = "\n".join(lines).encode() + draw.choice([b"", b"\n"])
+        expected = data.removesuffix(b"\n").decode().split("\n") if data else []
+        if data == b"\n":
+            expected = [""]
+        parts = pieces_of(data, draw, draw.randint(0, 12))
+        packed = {
+            "zst": zst(*parts, checksum=trial % 2 == 0),
+            "xz": b"".join(lzma.compress(part) + bytes(4 * draw.randint(0, 3)) for part in parts),
+            "txt": data,
+        }
+        if trial % 3 == 0:
+            packed["zst"] = skippable(b"\x28\xb5\x2f\xfdnot a frame") + packed["zst"] + skippable(b"")
+        if trial % 2 and all(parts):
+            packed["xz"] = xz_of_blocks(*parts) + xz_of_blocks(b"more\n", b"")
+            if not data.endswith(b"\n"):
+                expected = [*expected[:-1], expected[-1] + "more"] if data else ["more"]
+            else:
+                expected = [*expected, "more"]
+        for codec, content in packed.items():
+            path = tmp_path / f"{trial}.{codec}"
+            path.write_bytes(content)
+            wanted = expected
+            if codec != "xz" and trial % 2 and all(parts):
+                wanted = data.removesuffix(b"\n").decode().split("\n") if data else []
+            assert read_in_ranges(path, split)[0] == wanted, (codec, trial)
+
+
+def test_many_frames_and_blocks_are_many_ranges(tmp_path):
+    draw = random.Random(3)
+    parts = [("\n".join(str(draw.random()) for _ in range(500)) + "\n").encode() for _ in range(40)]
+    whole = b"".join(parts).decode().splitlines()
+    for name, content in (("f.zst", zst(*parts)), ("b.xz", xz_of_blocks(*parts)), ("s.xz", b"".join(map(lzma.compress, parts)))):
+        path = tmp_path / name
+        path.write_bytes(content)
+        found, full = read_in_ranges(path, path.stat().st_size // 10)
+        assert found == whole and full >= 9
+
+
+def test_marks_inside_of_frames_are_no_frames(tmp_path):
+    """Stored blocks hold the mark of a frame, and a whole frame but for what follows it."""
+    inner = zst(b"inner\n" * 3)
+    noise = random.Random(1).randbytes(3000).replace(b"\n", b"-")
+    data = b"a" + pl.ZSTD_MAGIC * 50 + noise + inner + pl.ZSTD_MAGIC + noise + b"\nb\n"
+    path = tmp_path / "m.zst"
+    path.write_bytes(zst(data, b"c\nd"))
+    file = pl.Bytes(LOCAL.open_input_file(str(path)), path.stat().st_size)
+    starts = {pl.first_frame(file, k, file.size) for k in range(1, file.size)}
+    assert starts == {len(zst(data)), None}
+    part = pl.Range(str(path), file.size, len(zst(data)) - 5, file.size)
+    assert [line for lines in pl.range_lines(LOCAL, part) for line in lines.to_pylist()] == ["d"]
+
+
+def test_long_windows(tmp_path):
+    if not hasattr(zstandard, "ZstdCompressionParameters"):
+        pytest.skip("no parameters")
+    wide = zstandard.ZstdCompressionParameters(window_log=30, enable_ldm=True, compression_level=1)
+    packer = zstandard.ZstdCompressor(compression_params=wide).compressobj()
+    path = tmp_path / "w.zst"
+    path.write_bytes(packer.compress(b"line\n" * 100_000) + packer.flush())
+    assert read_in_ranges(path, 1 << 20)[0] == ["line"] * 100_000
+
+
+@pytest.mark.parametrize(
+    ("name", "content"), [("c.zst", zst(b"a\nb\n" * 900)[:-8]), ("c.xz", lzma.compress(b"a\nb\n" * 900)[:-8]), ("c.gz", gzip.compress(b"a\n" * 900)[:-9])]
+)
+def test_cut_off_files_are_errors(tmp_path, name, content):
+    (tmp_path / name).write_bytes(content)
+    with pytest.raises((EOFError, ValueError)):
+        read_in_ranges(tmp_path / name, 1 << 20)
+
+
+def test_rows_equal_the_text_reader(spark, tmp_path):
+    draw = random.Random(9)
+    odd = ["", "plain", "äöü 😀", "\r", "tab\t", "\x00nul", "x" * 300_000]
+    data = "\n".join(draw.choice(odd) + str(k) for k in range(3000)).encode() + b"\nbroken \xff\xfe bytes\n"
+    parts = [pl.BYTE_ORDER_MARK + data, *pieces_of(data, draw, 30)]
+    (tmp_path / "RC_1.zst").write_bytes(zst(*parts))
+    (tmp_path / "RC_2.zst").write_bytes(zst(b"small\n"))
+    name = F.col("_metadata.file_name").alias("file")
+    text = spark.read.option("lineSep", "\n").text(str(tmp_path)).select(F.hex("value").alias("v"), name)
+    size = (tmp_path / "RC_1.zst").stat().st_size
+    packed = a.read_packed_lines(spark, str(tmp_path), split=size // 12)
+    assert packed.rdd.getNumPartitions() >= 12
+    tasks = packed.where("file = 'RC_1.zst'").select(F.spark_partition_id()).distinct().count()
+    assert tasks >= 5
+    assert rows(packed.select(F.hex("value").alias("v"), "file")) == rows(text)
+    for split in (size // 7, size):  # through the reader of archives, the large file by ranges or not
+        assert rows(a.read_archive(spark, str(tmp_path), split=split).select(F.hex("value").alias("v"), "file")) == rows(text)
+
+
+def test_files_that_fail_a_test_stay_closed(spark, tmp_path):
+    for month in range(1, 13):
+        (tmp_path / f"RC_2018-{month:02d}.xz").write_bytes(lzma.compress(f"m{month}\n".encode()))
+    for name in ("RC_2019-01.xz", "RC_undated.xz", "RS_2018-03.xz"):
+        (tmp_path / name).write_bytes(b"not xz at all")  # opening one fails
+    folder = str(tmp_path)
+
+    def read(**options):
+        return rows(a.read_packed_lines(spark, folder, prefix="RC_", **options), "value")
+
+    assert read(since="2018-03", until="2018-05", excludes="-04") == [("m3",), ("m5",)]
+    assert read(contains="2018-1") == [("m10",), ("m11",), ("m12",)]
+    size = (tmp_path / "RC_2018-10.xz").stat().st_size
+    assert read(above=13, upto=size, contains="-10") == [("m10",)]
+    assert read(above=13, until="2018", upto=size - 1) == []
+    archive = lambda **options: rows(a.read_archive(spark, folder, "RC_", **options), "value")
+    assert archive(since="2018-11", until="2018-12") == [("m11",), ("m12",)]
+    assert archive(contains="2018", excludes="-1") == [(f"m{k}",) for k in range(1, 10)]
+    assert len(archive(until="2018")) == 12
+    with pytest.raises(Exception, match="inside a stream"):
+        read()
+
+
+def test_tables_of_one_folder_are_apart(spark, tmp_path):
+    """Two reads with unlike tests in one query."""
+    for k in range(4):
+        (tmp_path / f"RC_2018-0{k + 1}.zst").write_bytes(zst(b"m%d\n" % k))
+    one, two = (a.read_packed_lines(spark, str(tmp_path), contains=name) for name in ("-01", "-02"))
+    every = a.read_packed_lines(spark, str(tmp_path))
+    both = every.where("period = '2018-03'").unionByName(one).unionByName(two).unionByName(every)
+    assert rows(both, "value") == sorted([("m2",), ("m0",), ("m1",), *((f"m{k}",) for k in range(4))])
+
+
+def test_periods_on_the_side_of_the_text_reader(spark, tmp_path):
+    for name in ("RC_2018-01-30", "RC_2018-02-01", "RC_2018-02-28", "RC_2018-03-01", "RC_undated"):
+        (tmp_path / f"{name}.zst").write_bytes(zst(name.encode()))
+        (tmp_path / f"{name}.xz").write_bytes(lzma.compress(name.encode()))
+    for limits, wanted in (
+        ({"since": "2018-02", "until": "2018-02"}, ["RC_2018-02-01", "RC_2018-02-28"]),
+        ({"until": "2018-01"}, ["RC_2018-01-30"]),
+        ({"since": "2018-02-28"}, ["RC_2018-02-28", "RC_2018-03-01"]),
+        ({}, ["RC_2018-01-30", "RC_2018-02-01", "RC_2018-02-28", "RC_2018-03-01", "RC_undated"]),
+    ):
+        found = rows(a.read_archive(spark, str(tmp_path), "RC_", **limits), "value", "file")
+        assert found == sorted((name, f"{name}.{codec}") for name in wanted for codec in ("xz", "zst"))
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    for k in range(200):
+        (tmp_path / f"f{k}.xz").write_bytes(lzma.compress(f"{k}\n".encode()))
+    read = a.read_xz_archive(spark, str(tmp_path))
+    assert read.rdd.getNumPartitions() <= 5 and read.count() == 200
+
+
+def test_stream_reads_all_codecs_by_ranges(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    draw = random.Random(4)
+    lines = [f"{k} {draw.random()}" for k in range(3000)]
+    data = "\n".join(lines).encode()
+    parts = pieces_of(data, draw, 20)
+    made = {"zst": zst(*parts), "xz": b"".join(map(lzma.compress, parts)), "gz": gzip.compress(data), "bz2": bz2.compress(data), "txt": data}
+    for codec, content in made.items():
+        (folder / f"RC_1.{codec}").write_bytes(content)
+    (folder / "other.txt").write_bytes(b"no\n")
+    stream = sa.stream_archive(spark, str(folder), "RC_", split=len(made["xz"]) // 5, bytes_per_trigger=len(data))
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) >= 2  # by bytes, not all at once
+    found = spark.read.parquet(str(tmp_path / "out"))
+    for codec in made:
+        assert sorted(r["value"] for r in found.where(F.col("file") == f"RC_1.{codec}").collect()) == sorted(lines)
+    assert found.select("file").distinct().count() == 5
+
+
+def test_values_are_raw_bytes():
+    assert pl.values(b"a\n\nbc\n").to_pylist() == ["a", "", "bc"]
+    assert pl.values(b"\n").to_pylist() == [""]
+    assert isinstance(pl.values(b"x\n"), pa.StringArray)

@@ -27,20 +27,17 @@ def pass_through(
     subreddits: DataFrame | None = None,
     original_json: bool = False,
     only_users: bool = False,
-    contains: str = "",
-    excludes: str = "",
-    prefix: str | None = None,
-    spread: int | None = None,
-    spread_above: int = 0,
+    **archive,
 ) -> DataFrame:
     """The rows of one archive kind with deleted authors and unlisted subreddits removed.
 
     ``original_json`` gives the untouched lines as ``value``. ``only_users`` gives
-    ``(subreddit, author)``; accounts have no subreddit and keep their own columns.
+    ``(subreddit, author)``; accounts have no subreddit and keep their own columns. Further options are those
+    of ``archive_lines``.
     """
     if original_json and only_users:
         raise ValueError("choose either original_json or only_users")
-    lines = archive_lines(spark, dataset_dir, kind, contains, excludes, prefix, spread, spread_above)
+    lines = archive_lines(spark, dataset_dir, kind, **archive)
     if original_json:
         return filter_raw_json(lines, subreddits).select("value")
     if only_users and kind != "authors":

@@ -21,13 +21,15 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "error
     df.write.mode(mode).options(**CSV_DIALECT).option("header", header).csv(path)
 
 
-def write_zstd_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
-    """Lines as Zstandard files; a ``file`` column names the files, one task writes each."""
+def write_zstd_lines(
+    lines: DataFrame, path: str, mode: str = "append", frame_bytes: int = zstd_lines.FRAME_BYTES
+) -> None:
+    """Lines as Zstandard files of many frames; a ``file`` column names the files, one task writes each."""
     spark = lines.sparkSession
     zstd_lines.register(spark)
     if "file" in lines.columns:
         lines = lines.repartition("file").sortWithinPartitions("file")
-    lines.write.format("zstd_lines").mode(mode).save(qualified(spark, path))
+    lines.write.format("zstd_lines").mode(mode).option("frame_bytes", frame_bytes).save(qualified(spark, path))
 
 
 def write_compressed(df: DataFrame, path: str, mode: str = "append") -> None:

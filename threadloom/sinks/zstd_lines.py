@@ -3,7 +3,8 @@
 Spark's text writer offers no zstd here; the written files are read back by its text reader. Rows
 are ``(value)`` or ``(value, file)``. With a ``file`` column every file name becomes one file, so
 all rows of a name must be in one partition, next to each other. A name that two tasks wrote, or
-that is there already in append mode, is refused before any file is moved.
+that is there already in append mode, is refused before any file is moved. A file is a row of frames of bounded
+size, so ``packed_lines`` can read it by ranges.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ from threadloom.sources.paths import open_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Bytes of lines in a frame; a longer line is a frame by itself.
+FRAME_BYTES = 4 << 20
+
 
 @dataclass
 class WrittenFiles(WriterCommitMessage):
@@ -36,9 +40,10 @@ class WrittenFiles(WriterCommitMessage):
 class ZstdLinesWriter(DataSourceArrowWriter):
     """Tasks write below a hidden folder of their own; the commit moves the finished files."""
 
-    def __init__(self, path: str, overwrite: bool):
+    def __init__(self, path: str, overwrite: bool, frame_bytes: int = FRAME_BYTES):
         self.path = path
         self.overwrite = overwrite
+        self.frame_bytes = frame_bytes
         self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WrittenFiles:
@@ -48,7 +53,13 @@ class ZstdLinesWriter(DataSourceArrowWriter):
         folder = f"{root}/_temporary-{self.job}/{attempt}"
         system.create_dir(folder, recursive=True)
         names: list[str] = []
-        out = None
+        out, pending, size = None, [], 0
+
+        def frame() -> None:
+            if pending:
+                out.write(pa.compress("".join(pending).encode("utf-8"), codec="zstd", asbytes=True))
+                pending.clear()
+
         try:
             for batch in iterator:
                 for name, values in self._runs(batch, f"part-{part:05d}-{self.job}.zst"):
@@ -56,11 +67,18 @@ class ZstdLinesWriter(DataSourceArrowWriter):
                         if name in names:
                             raise ValueError(f"rows of {name} are not next to each other")
                         if out:
+                            frame()
                             out.close()
                         names.append(name)
-                        out = system.open_output_stream(f"{folder}/{name}", compression="zstd")
-                    lines = pc.binary_join_element_wise(pc.fill_null(values, ""), "", "\n")
-                    out.write("".join(lines.to_pylist()).encode("utf-8"))
+                        out, size = system.open_output_stream(f"{folder}/{name}", compression=None), 0
+                    for line in pc.binary_join_element_wise(pc.fill_null(values, ""), "", "\n").to_pylist():
+                        pending.append(line)
+                        size += len(line)
+                        if size >= self.frame_bytes:
+                            frame()
+                            size = 0
+            if out:
+                frame()
         finally:
             if out:
                 out.close()
@@ -121,7 +139,7 @@ class ZstdLines(DataSource):
         return "value string"
 
     def writer(self, schema, overwrite: bool) -> ZstdLinesWriter:
-        return ZstdLinesWriter(self.options["path"], overwrite)
+        return ZstdLinesWriter(self.options["path"], overwrite, int(self.options.get("frame_bytes", FRAME_BYTES)))
 
 
 def register(spark: SparkSession) -> None:

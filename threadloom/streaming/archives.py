@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamReader, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from threadloom.functions.columns import CSV_DIALECT, file_period, name_matches
 from threadloom.operators.counts import approx_users_per_subreddit, contributions_per_subreddit, levels
@@ -24,7 +24,7 @@ from threadloom.operators.filters import (
 )
 from threadloom.operators.parse import parse_entities
 from threadloom.schemas import DIRECTORIES, PREFIXES
-from threadloom.sources import xz_lines
+from threadloom.sources import packed_lines
 from threadloom.sources.archive import name_glob
 
 PATHS = "path string, modificationTime timestamp, length bigint, content binary"
@@ -37,26 +37,26 @@ def stream_archive(
     contains: str = "",
     excludes: str = "",
     files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
+    split: int = packed_lines.SPLIT_BYTES,
 ) -> DataFrame:
     """Lines ``(value, file)`` of the archives of a directory, as a stream.
 
-    The text reader can't unpack ``.xz`` files; these are a second stream, of paths, and are
-    unpacked where the paths arrive.
+    One stream of paths for all codecs; their contents are read by ranges where the paths arrive, so a large ``.zst``
+    or ``.xz`` file is many tasks here too. A micro-batch takes up to ``files_per_trigger`` files, or files of up to
+    ``bytes_per_trigger`` bytes (at least one).
     """
-
-    def reader(suffix: str = "") -> DataStreamReader:
-        options = {"pathGlobFilter": name_glob(prefix, suffix)}
-        if files_per_trigger:
-            options["maxFilesPerTrigger"] = files_per_trigger
-        return spark.readStream.options(**options)
-
-    wanted = name_matches(F.col("file"), prefix, contains, excludes)
-    lines = reader().option("lineSep", "\n").text(directory)
-    lines = lines.select("value", F.col("_metadata.file_name").alias("file"))
-    lines = lines.where(wanted & ~F.col("file").endswith(".xz"))
-    paths = reader(".xz").format("binaryFile").schema(PATHS).load(directory)
-    named = paths.withColumn("file", F.element_at(F.split("path", "/"), -1)).where(wanted)
-    return split_lines(lines.unionByName(xz_lines.lines_of_files(named)))
+    if files_per_trigger and bytes_per_trigger:
+        raise ValueError("bound a micro-batch by files or by bytes")
+    options = {"pathGlobFilter": name_glob(prefix)}
+    if files_per_trigger:
+        options["maxFilesPerTrigger"] = files_per_trigger
+    if bytes_per_trigger:
+        options["maxBytesPerTrigger"] = bytes_per_trigger
+    paths = spark.readStream.options(**options).format("binaryFile").schema(PATHS).load(directory)
+    file = F.element_at(F.split("path", "/"), -1)
+    wanted = paths.where(name_matches(file, prefix, contains, excludes))
+    return split_lines(packed_lines.lines_of_files(wanted, split))
 
 
 def stream_lines(spark: SparkSession, dataset_dir: str, kind: str, prefix: str | None = None, **options) -> DataFrame:
