@@ -54,11 +54,11 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
     names = ["piece", "start", "length", "ids_crc32"]
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(vocabulary).encode, np.array([END], "<u4").tobytes()
+        coder, end = encoder(vocabulary), np.array([END], "<u4").tobytes()
         for batch in batches:
             row, made = [], []
-            for k, text in enumerate(batch.column(1).to_pylist()):
-                ids = np.frombuffer(encode(text or "") + end, "<u4")
+            for k, encoded in enumerate(coder.encode_column(batch.column(1), end)):
+                ids = np.frombuffer(encoded, "<u4")
                 for number, (start, length) in enumerate(cut(len(ids), capacity)):
                     row.append(k)
                     made.append((number, start, length, zlib.crc32(ids[start : start + length].tobytes())))

@@ -87,16 +87,14 @@ class TokenFilesWriter(DataSourceArrowWriter):
                     keys = files.enter_context(system.open_output_stream(f"{root}/{name}.keys"))
                     held = files.enter_context(pa.ipc.new_file(keys, pa.schema([batch.schema.field(0)])))
                     offsets.write(np.zeros(1, "<u8").tobytes())
-                for start in range(0, len(batch), 256):
-                    some = batch.slice(start, 256)
-                    ends = []
-                    for text in some.column(1).to_pylist():
-                        found = np.frombuffer(coder.encode(text or "") + end, "<u4").astype(width, copy=False)
-                        ids.write(found.tobytes())
-                        tokens += len(found)
-                        ends.append(tokens)
-                    offsets.write(np.array(ends, "<u8").tobytes())
+                ends = []
+                for encoded in coder.encode_column(batch.column(1), end):
+                    found = np.frombuffer(encoded, "<u4").astype(width, copy=False)
+                    ids.write(found.tobytes())
+                    tokens += len(found)
+                    ends.append(tokens)
                 if len(batch):
+                    offsets.write(np.array(ends, "<u8").tobytes())
                     held.write_batch(batch.select([0]))
                     documents += len(batch)
         return WrittenPart(context.partitionId(), name, documents, tokens)

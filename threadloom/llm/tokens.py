@@ -1,32 +1,37 @@
 """Token ids of a public byte-level vocabulary, as the ``tokenizers`` library gives them.
 
 The library cuts a text into words and encodes every word by itself. Words repeat, so each process remembers the
-ids of short ones and asks the library for new ones only. Cutting is done by the vocabulary's published pattern;
-a text takes this way only if all of its characters fall into the class that the library itself gives them
-(``Encoder`` asks it for every character below ``KNOWN``). Any other text, and one that holds the string of a special
-token, is encoded by the library in one go. Both ways give the same ids.
+ids of short ones and asks the library for new ones only, many at once. Cutting is done by a pattern whose classes of characters are
+held against the library's own: ``Encoder`` asks it for every character below ``KNOWN``. A text with a character
+from there on or of another class, and one that holds the string of a special token, is encoded by the library in one
+go. Both ways give the same ids.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
-import public_tokenizers
-import regex
+import pyarrow as pa
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Characters from here on are not looked up; texts with one are left to the library.
 KNOWN = 0x3000
 #: Longer words are not remembered.
 SHORT = 48
-#: Words remembered in a process before it starts anew, some 100 MB.
-REMEMBERED = 400_000
+#: Words remembered in a process before it starts anew, some 150 MB.
+REMEMBERED = 800_000
+#: Characters of the texts that are encoded together.
+TOGETHER = 1 << 20
+# Fixed value: how the vocabulary cuts words; letters, digits and others as the re module knows them.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 
 
 class Encoder:
-    """``encode`` gives the ids of a text as little-endian unsigned 32-bit integers."""
+    """Gives the ids of texts as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -34,43 +39,55 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
-        odd = [chr(c) for c in range(KNOWN) if self._odd(chr(c))]
-        special = [regex.escape(token.content) for token in self.library.get_added_tokens_decoder().values()]
-        beyond = rf"[^\u0000-{chr(KNOWN - 1)}]"
-        self.other = regex.compile("|".join([beyond, *map(regex.escape, odd), *special]))
+        self.cut = re.compile(WORD).findall
+        self.special = [token.content for token in self.library.get_added_tokens_decoder().values()]
+        odd = [re.escape(chr(c)) for c in range(KNOWN) if self._odd(chr(c))]
+        self.odd = re.compile(f"[{''.join(odd)}{chr(KNOWN)}-{chr(0x10FFFF)}]").search
 
     def _odd(self, char: str) -> bool:
         """Whether the library puts a character into another class than the pattern does."""
-        cut = self.library.pre_tokenizer.pre_tokenize_str
-        probes = [f"{before}{char}{after}" for before, after in (("a", "a"), ("1", "1"), ("!", "!"), (" ", " "))]
-        return any(
-            [end - start for _, (start, end) in cut(probe)] != [len(word) for word in self.pattern.findall(probe)]
-            for probe in probes
-        )
+        theirs = self.library.pre_tokenizer.pre_tokenize_str
+        probes = [f"{before}{char}{before}" for before in "a1! "]
+        return any([end - at for _, (at, end) in theirs(probe)] != list(map(len, self.cut(probe))) for probe in probes)
 
     def whole(self, text: str) -> bytes:
         """The library's ids of a text in one go."""
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
-        if self.other.search(text):
-            return self.whole(text)
-        words = self.pattern.findall(text)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
         known = self.words
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        new = [word for word in set(words) if word not in known]
-        found = self.library.encode_batch_fast(new, add_special_tokens=False)
-        ids = {word: np.array(item.ids, "<u4").tobytes() for word, item in zip(new, found, strict=True)}
-        encoded = b"".join([known[word] if word in known else ids[word] for word in words])
         if len(known) > REMEMBERED:
             known.clear()
-        known.update((word, held) for word, held in ids.items() if len(word) <= SHORT)
+        cut = [self.cut(text) for text in texts]
+        new = list(set().union(*cut).difference(known))
+        odd = {word for word in new if self.odd(word)} if new and self.odd("".join(new)) else set()
+        found = self.library.encode_batch_fast(new, add_special_tokens=False)
+        known.update(zip(new, [array("I", item.ids).tobytes() for item in found], strict=True))
+        encoded = [
+            self.whole(text)
+            if any(string in text for string in self.special) or (odd and not odd.isdisjoint(words))
+            else b"".join(map(known.__getitem__, words))
+            for text, words in zip(texts, cut, strict=True)
+        ]
+        for word in new:
+            if len(word) > SHORT or word in odd:  # an odd word must be seen as one again
+                del known[word]
         return encoded
 
+    def encode_column(self, column: pa.Array, end: bytes = b"") -> Iterator[bytes]:
+        """The ids of the texts of a column, each with ``end`` behind it; null is empty."""
+        held, size = [], 0
+        for text in column.to_pylist():
+            held.append(text or "")
+            size += len(held[-1])
+            if size > TOGETHER:
+                yield from (ids + end for ids in self.encode_all(held))
+                held, size = [], 0
+        yield from (ids + end for ids in self.encode_all(held))
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
