@@ -12,9 +12,11 @@ from threadloom.plans import pass_through as pt
 from threadloom.plans import statistics as st
 from threadloom.plans.materialize import scratch_path
 from threadloom.sinks import files
+from threadloom.sinks.published import read_published
 from threadloom.sources import archive as a
 from threadloom.sources import tables as t
 from threadloom.streaming import archives as sa
+from threadloom.streaming import bucket_users as bu
 
 K, S, A = i.COMMENTS, i.SUBMISSIONS, i.ACCOUNTS
 LISTED = "(SELECT event_type FROM events WHERE event_type < 'purchase')"
@@ -314,7 +316,7 @@ def _rows(spark, sf):
 def _drained(spark, counts):
     path = scratch_path(spark, "stream-result")
     sa.drain_to_table(counts, path, scratch_path(spark, "stream-checkpoint"))
-    return spark.read.schema(counts.schema).parquet(path)
+    return read_published(spark, path)
 
 
 @query(f"WITH {BOTH} SELECT subreddit, count(*) AS count FROM l WHERE author IS NOT NULL GROUP BY subreddit")
@@ -327,6 +329,14 @@ def stream_users(spark, sf):
     return _drained(spark, sa.stream_users(_rows(spark, sf)))
 
 
+@query(f"WITH {BOTH} SELECT subreddit, count(DISTINCT author) AS count FROM l WHERE {NAMED} GROUP BY subreddit")
+def stream_users_in_buckets(spark, sf):
+    """The same, with authors numbered in buckets and a set of numbers for each subreddit."""
+    path = scratch_path(spark, "stream-result")
+    bu.drain_increments(bu.stream_new_users(_rows(spark, sf), buckets=16), path, scratch_path(spark, "stream-checkpoint"))
+    return bu.read_counts(spark, path)
+
+
 @query(f"WITH {BOTH} SELECT subreddit, count(*) AS count FROM l WHERE author IS NOT NULL GROUP BY subreddit")
 def stream_contributions_with_xz(spark, sf):
     """Comments as ``.xz`` files, submissions as ``.zst`` files."""
@@ -334,9 +344,9 @@ def stream_contributions_with_xz(spark, sf):
     return _drained(spark, sa.stream_contributions(rows))
 
 
-@query(f"WITH {BOTH} SELECT subreddit, true AS within FROM l WHERE {NAMED} GROUP BY subreddit")
+@query(f"WITH {BOTH} SELECT subreddit, count(DISTINCT author) AS count, true AS within FROM l WHERE {NAMED} GROUP BY subreddit")
 def stream_users_approx(spark, sf):
-    """Per subreddit whether the running approximate count is as near the exact one as stated."""
+    """The exact count per subreddit, and whether the running approximate one is as near as stated."""
     exact = c.users_per_subreddit(a.read_contributions(spark, i.archive(spark, sf)))
     return c.near(_drained(spark, sa.stream_users_approx(_rows(spark, sf))), exact, 0.1)
 

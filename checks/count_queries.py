@@ -7,8 +7,10 @@ from checks.registry import query
 from pyspark.sql import functions as F
 from threadloom.operators import counts as c
 from threadloom.operators import filters as f
+from threadloom.operators import user_sketches as us
 from threadloom.operators.histogram import histograms
 from threadloom.operators.parse import parse_authors
+from threadloom.plans.materialize import scratch_path, store
 from threadloom.plans.statistics import count_experiment
 
 C, L = i.CONTRIBUTIONS, i.LABELLED
@@ -52,10 +54,59 @@ def contributions_per_user_in_subreddit(spark, sf):
     return c.contributions_per_user_in_subreddit(i.contributions(spark, sf))
 
 
-@query(f"WITH {C}, {L} SELECT subreddit, true AS within FROM l WHERE author <> '[deleted]' GROUP BY subreddit")
+USERS = "SELECT subreddit, count(DISTINCT author) AS count{more} FROM l WHERE author <> '[deleted]' GROUP BY subreddit"
+NEAR_USERS = USERS.format(more=", true AS within")
+
+
+@query(f"WITH {C}, {L} {NEAR_USERS}")
 def approx_users_per_subreddit(spark, sf):
-    """Per subreddit whether the approximate count is as near the exact one as stated."""
-    return c.approx_within(i.contributions(spark, sf))
+    """The exact count per subreddit, and whether the approximate one is as near as stated."""
+    rows = i.contributions(spark, sf)
+    return c.near(c.approx_users_per_subreddit(rows), c.users_per_subreddit(rows), 5 * 0.02)
+
+
+def _by_run(spark, sf):
+    """Contributions in three runs that overlap: every row is in one, every third in two."""
+    rows = i.contributions(spark, sf)
+    runs = "array(pmod(xxhash64(author, file), 3), pmod(xxhash64(file, author), 3))"
+    return rows.selectExpr("*", f"explode(array_distinct({runs})) as part")
+
+
+def _stored_runs(spark, sf, label, make):
+    path = scratch_path(spark, label)
+    rows = _by_run(spark, sf)
+    for run in (0, 1, 2, 1):  # one of them again
+        us.store_run(make(rows.where(F.col("part") == run)), path, f"run-{run}")
+    return us.read_runs(spark, path)
+
+
+@query(f"WITH {C}, {L} {USERS.format(more='')}")
+def users_of_runs(spark, sf):
+    """Exact users over stored runs that overlap, one of them stored twice."""
+    return us.users_of_runs(_stored_runs(spark, sf, "memberships", us.members))
+
+
+@query(f"WITH {C}, {L} {NEAR_USERS}")
+def users_of_sketches(spark, sf):
+    """Merged sketches of the same runs beside the exact count of all rows."""
+    stored = _stored_runs(spark, sf, "sketches", us.user_sketches)
+    merged = us.sketched_users(us.merge_sketches(stored))
+    return c.near(merged, c.users_per_subreddit(i.contributions(spark, sf)), 5 * us.relative_error())
+
+
+@query(
+    f"""WITH {i.ORDER_CONTRIBUTIONS} SELECT substr(period, 1, 4) AS year, subreddit, count(DISTINCT author) AS count, true AS within
+    FROM c GROUP BY 1, 2"""
+)
+def users_of_month_sketches(spark, sf):
+    """Years from the stored sketches of their months, without the rows."""
+    rows = i.order_contributions(spark, sf)
+    months = store(us.user_sketches(rows, ["period"]), "month-sketches").table
+    years = months.withColumn("year", F.substring("period", 1, 4))
+    found = us.sketched_users(us.merge_sketches(years, keys=["year"])).withColumnRenamed("count", "near")
+    exact = rows.groupBy(F.substring("period", 1, 4).alias("year"), "subreddit").agg(F.countDistinct("author").alias("count"))
+    close = F.abs(F.col("near") - F.col("count")) <= F.greatest(F.col("count") * 5 * us.relative_error(), F.lit(1.0))
+    return exact.join(found, ["year", "subreddit"], "full").select("year", "subreddit", "count", close.alias("within"))
 
 
 @query(f"WITH {C} SELECT DISTINCT subreddit, author FROM c")

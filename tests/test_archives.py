@@ -19,6 +19,7 @@ from threadloom.plans import pass_through as pt
 from threadloom.plans import statistics as st
 from threadloom.plans.materialize import discard, scratch_path, shared_folder, store
 from threadloom.sinks import files, zstd_lines
+from threadloom.sinks.published import read_published
 from threadloom.sources import archive as a
 from threadloom.sources import tables as t
 from threadloom.sources.paths import open_path, qualified
@@ -322,7 +323,7 @@ def test_stored_tables_report_their_size(spark):
 
 def drained(spark, counts, path, checkpoint):
     sa.drain_to_table(counts, path, checkpoint)
-    return spark.read.schema(counts.schema).parquet(path)
+    return read_published(spark, path)
 
 
 def test_streams_equal_batch(spark, dataset):

@@ -90,27 +90,28 @@ def contributions_per_period(df: DataFrame, period: str = "period") -> DataFrame
 
 
 def users_per_period(df: DataFrame, period: str = "period") -> DataFrame:
-    """Distinct users per month, per year and in total, from one pass over the rows.
+    """Distinct users per month, per year and in total, from one pass over the rows and one wide shuffle.
 
-    Distinct counts do not add up over periods. The months are made distinct first, so that years and
-    total are found among distinct rows and not among three copies of the raw ones.
+    Distinct counts do not add up over periods, but the months in which a user is seen in a subreddit are a
+    short set, and it tells the years and the total too. So rows are grouped once, by user and subreddit, and each group is
+    counted in every period that its set names.
     """
     named = _labelled(drop_deleted_authors(df))
-    months = named.select(F.substring(F.col(period), 1, 7).alias("_month"), "subreddit", "author").distinct()
-    members = levels(months, "subreddit", "author").distinct()
-    return members.groupBy("level", "period", "subreddit").agg(F.count("*").alias("count"))
-
-
-def approx_within(df: DataFrame, rsd: float = 0.02, times: float = 5.0) -> DataFrame:
-    """Per subreddit whether the approximate users lie within ``times`` the stated error of the exact ones."""
-    return near(approx_users_per_subreddit(df, rsd), users_per_subreddit(df), rsd * times)
+    months = named.groupBy("subreddit", "author").agg(F.collect_set(F.substring(F.col(period), 1, 7)).alias("months"))
+    seen = f"""concat(
+        transform(filter(months, x -> x <> ''), x -> struct('month' as level, x as period)),
+        transform(array_distinct(transform(filter(months, x -> x <> ''), x -> substring(x, 1, 4))),
+                  x -> struct('year' as level, x as period)),
+        array(struct('{ALL_PERIODS}' as level, '{ALL_PERIODS}' as period)))"""
+    counted = months.selectExpr("subreddit", f"inline({seen})").groupBy("level", "period", "subreddit")
+    return counted.agg(F.count("*").alias("count"))
 
 
 def near(approximate: DataFrame, exact: DataFrame, share: float) -> DataFrame:
-    """Per subreddit whether two counts differ by at most ``share`` of the exact one, or by one."""
-    both = exact.withColumnRenamed("count", "_exact").join(approximate, "subreddit", "full")
-    close = F.abs(F.col("count") - F.col("_exact")) <= F.greatest(share * F.col("_exact"), F.lit(1.0))
-    return both.select("subreddit", F.coalesce(close, F.lit(False)).alias("within"))
+    """Per subreddit the exact count, and whether the other is within ``share`` of it, or one off."""
+    both = exact.join(approximate.withColumnRenamed("count", "_near"), "subreddit", "full")
+    close = F.abs(F.col("_near") - F.col("count")) <= F.greatest(share * F.col("count"), F.lit(1.0))
+    return both.select("subreddit", "count", F.coalesce(close, F.lit(False)).alias("within"))
 
 
 def accounts_per_year(authors: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from threadloom.operators.filters import (
 )
 from threadloom.operators.parse import parse_entities
 from threadloom.schemas import DIRECTORIES, PREFIXES
+from threadloom.sinks.published import publish
 from threadloom.sources import packed_lines
 from threadloom.sources.archive import name_glob
 
@@ -131,25 +132,14 @@ def stream_users_per_period(rows: DataFrame) -> DataFrame:
 def drain_to_table(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Run a running count over the files present and keep its latest complete result at ``path``.
 
-    Each micro-batch writes its result beside the last one, as parquet, and takes its place when it
-    is whole; the last one wins, also after a restart.
+    Each micro-batch publishes its result as a version (see ``sinks.published``, and read it with ``read_published``): a
+    reader sees a whole result at any time, also when the query stops at any point, and the last one wins after a restart.
     """
-
-    def replace(batch: DataFrame, number: int) -> None:
-        fresh = f"{path.rstrip('/')}-batch-{number}"
-        batch.write.mode("overwrite").parquet(fresh)
-        spark = batch.sparkSession
-        place, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, fresh))
-        system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        system.delete(place, True)
-        if not system.rename(new, place):
-            raise OSError(f"{fresh} can't take the place of {path}")
-
     query = (
         counts.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(replace)
+        .foreachBatch(lambda batch, number: publish(batch, path, number))
         .start()
     )
     query.awaitTermination()
