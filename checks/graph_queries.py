@@ -93,9 +93,7 @@ def write_dot(spark, sf):
     return document.agg(F.count("*").alias("lines"))
 
 
-@query(f"WITH {G} SELECT i, local_clustering_coefficient FROM vx")
-def clustering_by_bit_blocks(spark, sf):
-    """Clustering by the method for dense graphs."""
+def _clustering(spark, sf, method):
     edges = i.scored_graph(spark, sf).edges
     low = F.struct("degree_i", "i") < F.struct("degree_j", "j")
     ends = edges.select(
@@ -104,13 +102,25 @@ def clustering_by_bit_blocks(spark, sf):
         F.when(low, F.col("i")).otherwise(F.col("j")).cast("int").alias("lo"),
         F.when(low, F.col("j")).otherwise(F.col("i")).cast("int").alias("hi"),
     )
-    links = g.linked_neighbours(ends, method="blocks").withColumnRenamed("v", "i")
+    links = g.linked_neighbours(ends, method=method).withColumnRenamed("v", "i")
     k = F.col("degree")
     ratio = F.coalesce("links", F.lit(0)).cast("double") / (k.cast("double") * (k - 1))
     joined = i.scored_graph(spark, sf).vertices.select("i", "degree").join(links, "i", "left")
     return joined.select("i", F.when(k > 1, ratio).otherwise(0.0).alias("local_clustering_coefficient"))
 
 
+@query(f"WITH {G} SELECT i, local_clustering_coefficient FROM vx")
+def clustering_by_bit_blocks(spark, sf):
+    """Clustering by the method for dense graphs."""
+    return _clustering(spark, sf, "blocks")
+
+
+@query(f"WITH {G} SELECT i, local_clustering_coefficient FROM vx")
+def clustering_by_colours(spark, sf):
+    """Clustering by triples of colours, for dense graphs with hubs."""
+    return _clustering(spark, sf, "colours")
+
+
 @query(f"WITH {G} SELECT 'vertices' AS part, count(*) AS count FROM vx UNION ALL SELECT 'edges', count(*) FROM es")
 def graph_summary(spark, sf):
     return g.graph_summary(i.scored_graph(spark, sf))

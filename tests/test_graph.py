@@ -11,10 +11,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from threadloom.operators import coloured_triangles as ct
 from threadloom.operators import graph as g
 from threadloom.operators import reload as r
 from threadloom.operators.filters import filter_edges
-from threadloom.operators.lookup import SALTS, fits_broadcast, lookup_join
+from threadloom.operators.lookup import fits_broadcast, lookup_join
 from threadloom.plans import participation_graph as pg
 from threadloom.plans.materialize import most_tasks, scratch_path
 from threadloom.sinks import files
@@ -161,7 +162,28 @@ def test_both_triangle_methods_agree(spark):
     assert by_pairs == rows(g.linked_neighbours(ends, method="blocks"))
     assert by_pairs == rows(g.linked_neighbours(ends, limit=0, method="pairs"))
     assert by_pairs == rows(g.linked_neighbours(ends, limit=0, method="blocks"))
+    assert by_pairs == rows(g.linked_neighbours(ends, method="colours"))
+    for colours in (1, 2, 5):
+        for words in (0, 1 << 20):
+            found = ct.linked_by_colours(ends.select("lo", "hi"), colours, words)
+            assert by_pairs == rows(found), (colours, words)
     assert by_pairs
+    assert ct.linked_by_colours(ends.select("lo", "hi").limit(0), 3).count() == 0
+
+
+def test_no_colour_triple_is_large_because_of_a_hub(spark):
+    """A hub that is linked with all, and a chain among its neighbours."""
+    n = 3000
+    edges = spark.range(1, n).selectExpr("cast(id as int) as lo", "0 as hi").unionByName(
+        spark.range(1, n - 1).selectExpr("cast(id as int) as lo", "cast(id + 1 as int) as hi")
+    )
+    colours, largest = ct.colours_for(edges, 400)
+    parts = ct.coloured(edges, colours).groupBy("part").count()
+    sizes = [row["count"] for row in parts.collect()]
+    assert colours > 1 and max(sizes) == largest <= 400 or colours == ct.MOST_COLOURS
+    assert max(sizes) < 2 * n // 5  # the hub's 2,999 edges don't meet in one task
+    found = dict(rows(ct.linked_by_colours(edges, colours)))
+    assert found[0] == 2 * (n - 2) and found[1] == 2 and found[5] == 4
 
 
 def test_vertex_numbers_are_unique_over_buckets(spark, monkeypatch):
@@ -240,14 +262,27 @@ def test_tasks_stay_within_the_cluster(spark):
     assert most_tasks(spark, 3_500_000, 1_000_000) == 4 and most_tasks(spark, 0, 1_000_000) == 1
 
 
-def test_large_lookup_uses_every_salt_and_no_broadcast(spark):
-    facts = spark.range(1000).selectExpr("'bot' as key", "1 as one")
-    lookup = spark.createDataFrame([("bot", 2)], "key string, two int")
-    joined = lookup_join(facts, lookup, ["key"], False)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString() + joined._jdf.queryExecution().executedPlan().toString()
-    assert joined.count() == 1000 and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
-    salts = facts.select(F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("salt")).groupBy("salt").count()
-    assert salts.count() == SALTS
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_hot_keys_are_copied(spark):
+    facts = spark.range(1000).selectExpr("if(id < 700, 'bot', concat('k', id % 90)) as key", "id")
+    facts = facts.unionByName(spark.range(50).selectExpr("cast(null as string) as key", "-id as id"))
+    lookup = spark.createDataFrame([("bot", 2), *((f"k{k}", k) for k in range(90)), (None, 5)], "key string, two int")
+    joined = lookup_join(facts, lookup, ["key"], False, hot_rows=100)
+    assert joined.count() == 1000 and "SortMergeJoin" in plan_of(joined)
+    right = joined._jdf.queryExecution().optimizedPlan().toString().split("Generate explode")[1]
+    copied = lookup.join(spark.createDataFrame([("bot", 7)], "key string, _cuts int"), "key", "left")
+    assert copied.selectExpr("sum(coalesce(_cuts, 1))").first()[0] == len(rows(lookup)) + 6 and "sequence(0" in right
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert joined.where("key = 'bot'").select(F.spark_partition_id()).distinct().count() > 1  # one key, several tasks
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    # Without a hot key nothing is copied, and nothing is broadcast.
+    even = lookup_join(facts, lookup, ["key"], False)
+    assert "Generate" not in plan_of(even) and "BroadcastHashJoin" not in plan_of(even)
 
 
 def test_dot(spark):
@@ -271,9 +306,11 @@ def test_dot(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_paths_agree(spark, how):
-    facts = spark.range(500).selectExpr("if(id % 3 = 0, 7, id % 50) as key", "id")
-    lookup = spark.range(30).selectExpr("id as key", "id * 2 as twice")
+    facts = spark.range(500).selectExpr("if(id % 3 = 0, 7, if(id % 11 = 0, null, id % 50)) as key", "id % 2 as other", "id")
+    lookup = spark.range(30).selectExpr("if(id = 29, null, id) as key", "id % 2 as other", "id * 2 as twice")
     assert fits_broadcast(lookup) and not fits_broadcast(lookup, 10)
-    small = rows(lookup_join(facts, lookup, ["key"], True, how))
-    assert small == rows(lookup_join(facts, lookup, ["key"], False, how))
-    assert small == rows(lookup_join(facts, lookup, ["key"], False, how, salts=1))
+    for keys in (["key"], ["key", "other"]):
+        side = lookup if len(keys) == 2 else lookup.drop("other")
+        small = rows(lookup_join(facts, side, keys, True, how))
+        for hot_rows in (1_000_000, 100, 3, None):
+            assert small == rows(lookup_join(facts, side, keys, False, how, hot_rows=hot_rows)), (keys, hot_rows)

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.plans.materialize import row_bytes
+from threadloom.plans.materialize import row_bytes, store
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
+#: Facts of one key that a task takes; a key with more is dealt over several tasks.
+HOT_ROWS = 1_000_000
+#: Tasks that facts without a key, which match nothing, are dealt over.
+WITHOUT_KEY = 1024
 
 
 def fits_broadcast(lookup: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -25,21 +28,38 @@ def lookup_join(
     on: Sequence[str],
     small: bool,
     how: str = "inner",
-    salts: int = SALTS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup``; ``small`` says that its measured size allows a broadcast.
 
-    A small lookup is broadcast and the facts stay where they are. A larger one is copied
-    ``salts`` times and the facts of one key are dealt over the copies by their position, equal rows
-    too, so a key that holds a third of the facts is still shared by many tasks; adaptive execution
-    splits it further where the facts need it. ``how`` must keep the facts on the left: inner,
-    left, left_semi or left_anti.
+    A small lookup is broadcast and the facts stay where they are. For a larger one the facts of each key are counted
+    (partial sums, so a hot key costs no more than another). A key with more than ``hot_rows`` of them is dealt by position
+    over as many tasks as that takes, equal rows too, and only its rows of the lookup are copied for them; every other row of
+    both sides is joined once. There are at most facts / ``hot_rows`` such keys, so their list is small; it is
+    broadcast only if its measured size allows it. ``hot_rows=None`` leaves skew to the optimizer, for facts whose keys are
+    known to be even. ``how`` must keep the facts on the left: inner, left, left_semi or left_anti.
     """
     keys = list(on)
     if small:
         return facts.join(F.broadcast(lookup), keys, how)
-    if salts == 1:
+    if hot_rows is None:
         return facts.join(lookup, keys, how)
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = facts.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    counted = facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).dropna(subset=keys)
+    cuts = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_cuts")
+    hot = store(counted.select(*keys, cuts), "hot-keys")
+    place = F.monotonically_increasing_id()
+    unmatched = F.lit(False)
+    for key in keys:
+        unmatched = unmatched | F.col(key).isNull()
+    without = F.when(unmatched, F.pmod(place, F.lit(WITHOUT_KEY)).cast("int"))
+    if not hot.rows:
+        if how == "inner" or how == "left_semi":  # rows without a key are dropped before they are dealt
+            return facts.join(lookup.hint("merge"), keys, how)
+        salted = facts.withColumn("_salt", F.coalesce(without, F.lit(0)))
+        return salted.join(lookup.withColumn("_salt", F.lit(0)).hint("merge"), [*keys, "_salt"], how).drop("_salt")
+    listed = F.broadcast(hot.table) if hot.bytes <= BROADCAST_BYTES else hot.table
+    salt = F.coalesce(without, F.pmod(place, F.col("_cuts")).cast("int"), F.lit(0))
+    salted = facts.join(listed, keys, "left").withColumn("_salt", salt).drop("_cuts")
+    several = F.sequence(F.lit(0), F.coalesce("_cuts", F.lit(1)) - 1)
+    copies = lookup.join(listed, keys, "left").withColumn("_salt", F.explode(several)).drop("_cuts")
     return salted.join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")

@@ -2,11 +2,14 @@
 
 Input edges are ``(a, b, lo, hi)``, numbers below ``2**31``: ``a < b``, ``lo`` and ``hi`` the same ends by
 (degree, number). Ordered this way a vertex has at most ``sqrt(2 * edges)`` higher neighbours,
-also when it is a hub. Two exact ways exist, and the measured work decides:
+also when it is a hub. Three exact ways exist, and the measured work decides:
 
 * sparse graphs: the pairs of higher neighbours of every ``lo`` are looked up among the edges;
 * dense graphs: neighbours are packed into bit blocks, and every edge intersects the blocks of
-  its ends, one row per 256 neighbours instead of one per neighbour.
+  its ends, one row per 256 neighbours instead of one per neighbour;
+* dense graphs whose blocks are too large to broadcast: vertices are coloured, and every triple of colours is a task of
+  bounded size that finds its triangles by itself (``coloured_triangles``). A join with the blocks would
+  bring all edges of a hub to one task; by colours a hub never lies in one.
 """
 
 from __future__ import annotations
@@ -16,8 +19,9 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.operators.coloured_triangles import colours_for, linked_by_colours
 from threadloom.operators.lookup import BROADCAST_BYTES, lookup_join
-from threadloom.plans.materialize import most_tasks, store
+from threadloom.plans.materialize import Stored, discard, most_tasks, store
 
 LANES = 4
 BLOCK_SHIFT = 8
@@ -41,10 +45,21 @@ def linked_neighbours(edges: DataFrame, limit: int = BROADCAST_BYTES, method: st
     # higher neighbours roughly tell how many blocks there are; the estimate only chooses between two exact ways.
     blocks = math.ceil(work["vertices"] / 64 / LANES) + 1
     if method == "auto":
-        method = "pairs" if work["pairs"] <= 2 * work["edges"] * blocks else "blocks"
+        method = "pairs" if work["pairs"] <= 2 * work["edges"] * blocks else "dense"
     if method == "pairs":
         return _by_pairs(ends, small, most_tasks(ends.sparkSession, work["pairs"], ROWS_PER_TASK))
-    return _by_blocks(ends, limit)
+    if method == "colours":
+        return _by_colours(ends)
+    packed = _packed(ends)
+    if method == "dense" and packed.bytes > limit:
+        discard(ends.sparkSession, packed.path)
+        return _by_colours(ends)
+    return _by_blocks(ends, packed, packed.bytes <= limit)
+
+
+def _by_colours(edges: DataFrame) -> DataFrame:
+    arcs = edges.select("lo", "hi")
+    return linked_by_colours(arcs, colours_for(arcs)[0])
 
 
 def _by_pairs(edges: DataFrame, small: bool, tasks: int) -> DataFrame:
@@ -53,20 +68,22 @@ def _by_pairs(edges: DataFrame, small: bool, tasks: int) -> DataFrame:
     pairs = spread.selectExpr("lo", "hi as x").join(spread.selectExpr("lo", "hi as y"), "lo").where("x < y")
     pairs = pairs.selectExpr("lo", "x", "y", f"{pair_key('x', 'y')} as pair")
     closing = edges.selectExpr(f"{pair_key('a', 'b')} as pair")
-    closed = lookup_join(pairs, closing, ["pair"], small, "left_semi", salts=1)
+    closed = lookup_join(pairs, closing, ["pair"], small, "left_semi", hot_rows=None)
     return closed.selectExpr("explode(array(lo, x, y)) as v").groupBy("v").agg(F.expr("2 * count(*) as links"))
 
 
-def _by_blocks(edges: DataFrame, limit: int) -> DataFrame:
+def _packed(edges: DataFrame) -> Stored:
+    """``(v, block, l0..)``: the neighbours of every vertex as bits."""
     bits = [
         f"coalesce(bit_or(if(shiftright(w, 6) & {LANES - 1} = {n}, shiftleft(1L, cast(w & 63 as int)), 0L)), 0L) as l{n}"
         for n in range(LANES)
     ]
     neighbours = edges.selectExpr("inline(array(struct(a as v, b as w), struct(b as v, a as w)))")
     blocks = neighbours.selectExpr("v", "w", f"shiftright(w, {BLOCK_SHIFT}) as block").groupBy("v", "block")
-    vertices = F.expr("approx_count_distinct(v) as vertices")
-    packed = store(blocks.agg(*[F.expr(lane) for lane in bits]), "blocks", vertices)
-    small = packed.bytes <= limit
+    return store(blocks.agg(*[F.expr(lane) for lane in bits]), "blocks", F.expr("approx_count_distinct(v) as vertices"))
+
+
+def _by_blocks(edges: DataFrame, packed: Stored, small: bool) -> DataFrame:
     # An edge meets as many rows as its lower end has blocks; on average those that were packed.
     each = packed.rows / max(1, packed.seen["vertices"])
     tasks = most_tasks(edges.sparkSession, math.ceil(edges.count() * each), ROWS_PER_TASK)
@@ -77,8 +94,8 @@ def _by_blocks(edges: DataFrame, limit: int) -> DataFrame:
     probes = edges.select("lo", "hi")
     if tasks > 1:
         probes = probes.repartition(tasks, "lo", "hi")
-    probes = lookup_join(probes, of("lo", "x"), ["lo"], small, salts=1)
-    met = lookup_join(probes, of("hi", "y"), ["hi", "block"], small, salts=1)
+    probes = lookup_join(probes, of("lo", "x"), ["lo"], small, hot_rows=None)
+    met = lookup_join(probes, of("hi", "y"), ["hi", "block"], small, hot_rows=None)
     common = " + ".join(f"bit_count(x{n} & y{n})" for n in range(LANES))
     met = met.selectExpr("lo", "hi", f"cast({common} as bigint) as c").where("c > 0")
     ends = met.selectExpr("inline(array(struct(lo as v, c), struct(hi as v, c)))")
