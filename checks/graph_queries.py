@@ -8,6 +8,7 @@ from checks.registry import query
 from pyspark.sql import functions as F
 from threadloom.operators import filters as f
 from threadloom.operators import graph as g
+from threadloom.operators import growing_graph as gg
 from threadloom.operators import reload as r
 from threadloom.operators.histogram import histograms
 from threadloom.plans import participation_graph as pg
@@ -78,6 +79,27 @@ def vertex_scores_with_isolated_vertices(spark, sf):
     return _rounded(g.build_graph(i.memberships(spark, sf).unionByName(customers)).vertices)
 
 
+def _grown(spark, sf):
+    """The graph of two thirds of the orders, extended by the last third and by rows that it knows already."""
+
+    def make():
+        rows = i.memberships(spark, sf)
+        state = gg.start_graph(rows.where("author % 3 <> 0 or subreddit % 2 = 0"))
+        return gg.scores(gg.extend_graph(state, rows.where("author % 3 = 0 or subreddit % 5 = 1")))
+
+    return i.keep(spark, sf, "grown", make)
+
+
+@query(f"WITH {G} SELECT i, j, u_ij, {SCORES} FROM es")
+def extend_graph_edges(spark, sf):
+    return _grown(spark, sf).edges
+
+
+@query(f"WITH {G} SELECT * FROM vx")
+def extend_graph_vertices(spark, sf):
+    return _rounded(_grown(spark, sf).vertices)
+
+
 @query(f"WITH {G} SELECT v, dd, round(wdd, 6) AS wdd FROM dd")
 def neighbour_sums(spark, sf):
     graph = i.scored_graph(spark, sf)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from threadloom.operators import coloured_triangles as ct
 from threadloom.operators import graph as g
+from threadloom.operators import growing_graph as gg
 from threadloom.operators import reload as r
 from threadloom.operators.filters import filter_edges
 from threadloom.operators.lookup import fits_broadcast, lookup_join
@@ -314,3 +315,34 @@ def test_lookup_join_paths_agree(spark, how):
         small = rows(lookup_join(facts, side, keys, True, how))
         for hot_rows in (1_000_000, 100, 3, None):
             assert small == rows(lookup_join(facts, side, keys, False, how, hot_rows=hot_rows)), (keys, hot_rows)
+
+
+@pytest.mark.parametrize(("tile", "limit"), [(256, 1 << 26), (3, 0)])
+def test_a_grown_graph_equals_one_built_at_once(spark, tile, limit):
+    pairs = random_members(21, 45, 50, 2)
+    rng = random.Random(5)
+    cuts = [[pair for pair in pairs if rng.random() < share] for share in (0.6, 0.3)]
+    cuts.append([*pairs, ("only here", "new author"), ("only here", "a1"), (None, "a1"), ("s1", None), pairs[0]])
+    state = gg.start_graph(members(spark, cuts[0]), tile, limit)
+    assert scores(gg.scores(state, limit)) == brute_force(set(cuts[0]))[2]
+    path = scratch_path(spark, "grown")
+    seen = set(cuts[0])
+    for number, more in enumerate(cuts[1:]):
+        gg.save_graph(state, path, number)
+        state = gg.extend_graph(gg.open_graph(spark, path), members(spark, more), tile, limit)
+        seen |= {(s, a) for s, a in more if s is not None and a is not None}
+        u, w, expected = brute_force(seen)
+        graph = gg.scores(state, limit)
+        assert {e: row["u_ij"] for e, row in edge(graph).items()} == u
+        assert scores(graph) == expected
+    again = gg.extend_graph(state, members(spark, pairs), tile, limit)
+    assert rows(again.edges.table) == rows(state.edges.table) and rows(again.links.table) == rows(state.links.table)
+
+
+def test_growing_from_nothing(spark):
+    empty = gg.start_graph(members(spark, []))
+    assert gg.scores(empty).vertices.count() == 0
+    grown = gg.extend_graph(empty, members(spark, [(s, "u") for s in "ABC"]))
+    assert scores(gg.scores(grown)) == {s: (2, 2, 4, 4.0, 1.0) for s in "ABC"}
+    with pytest.raises(ValueError, match="no graph is kept"):
+        gg.open_graph(spark, scratch_path(spark, "nothing"))

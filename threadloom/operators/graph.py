@@ -192,15 +192,19 @@ def build_graph(memberships: DataFrame, tile: int = TILE, limit: int = BROADCAST
     return score_graph(index, edges, limit)
 
 
-def score_graph(index: Stored, edges: Stored, limit: int = BROADCAST_BYTES) -> Graph:
-    """Scores of a numbered graph: ``index(subreddit, vid)`` and ``edges(a, b, u)``."""
+def score_graph(index: Stored, edges: Stored, limit: int = BROADCAST_BYTES, links: DataFrame | None = None) -> Graph:
+    """Scores of a numbered graph: ``index(subreddit, vid)`` and ``edges(a, b, u)``.
+
+    ``links`` has the linked neighbours ``(v, links)`` where they are known already.
+    """
     named = index.table.withColumnRenamed("vid", "v")
     base = store(named.join(vertex_degrees(edges.table), "v", "left"), "vertex-base")
     small = base.bytes <= limit
     scored = store(edge_scores(edges.table, base.table, small), "edge-scores")
 
     sums = neighbour_sums(scored.table, base.table, small)
-    links = linked_neighbours(scored.table, limit)
+    if links is None:
+        links = linked_neighbours(scored.table, limit)
     vertices = (
         base.table.join(sums, "v", "left")
         .join(links, "v", "left")

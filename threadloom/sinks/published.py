@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,39 +64,59 @@ class _Folder:
         self.system.delete(self.place(name), True)
 
 
-def write_version(df: DataFrame, path: str, number: int = 0) -> str:
-    """The first step: write ``df`` as a version that nobody reads yet; returns its name."""
+def write_version(tables: DataFrame | Mapping[str, DataFrame], path: str, number: int = 0) -> str:
+    """The first step: write a version that nobody reads yet; returns its name. Several tables are one version together."""
     name = f"version-{number:012d}-{uuid.uuid4().hex}"
-    df.write.parquet(f"{path.rstrip('/')}/{name}")
+    for part, df in _parts(tables).items():
+        df.write.parquet(_place(path, name, part))
     return name
 
 
-def point_to(spark: SparkSession, path: str, name: str, schema: T.StructType, number: int = 0) -> None:
+def _parts(tables: DataFrame | Mapping[str, DataFrame]) -> Mapping[str, DataFrame]:
+    return {"": tables} if isinstance(tables, DataFrame) else tables
+
+
+def _place(path: str, name: str, part: str) -> str:
+    return f"{path.rstrip('/')}/{name}/{part}".rstrip("/")
+
+
+def point_to(spark: SparkSession, path: str, name: str, schemas: Mapping[str, T.StructType], number: int = 0) -> None:
     """The second step: make a written version the one that counts, and remove those that nobody needs any more."""
     folder = _Folder(spark, path)
     before = current(spark, path)
-    folder.replace(POINTER, json.dumps({"version": name, "number": number, "schema": schema.jsonValue()}))
+    held = {part: schema.jsonValue() for part, schema in schemas.items()}
+    folder.replace(POINTER, json.dumps({"version": name, "number": number, "schemas": held}))
     kept = {name, before["version"] if before else name}
     for other in folder.versions():
         if other not in kept:
             folder.drop(other)
 
 
-def publish(df: DataFrame, path: str, number: int = 0) -> None:
-    """Replace the table at ``path`` by ``df``, which may read that table itself."""
-    point_to(df.sparkSession, path, write_version(df, path, number), df.schema, number)
+def publish(tables: DataFrame | Mapping[str, DataFrame], path: str, number: int = 0) -> None:
+    """Replace what is at ``path`` by a table, or by several that belong together; they may read what is replaced."""
+    parts = _parts(tables)
+    spark = next(iter(parts.values())).sparkSession
+    point_to(spark, path, write_version(tables, path, number), {part: df.schema for part, df in parts.items()}, number)
 
 
 def current(spark: SparkSession, path: str) -> dict[str, Any] | None:
-    """Name, number and schema of the version that counts, None before the first."""
+    """Name, number and schemas of the version that counts, None before the first."""
     text = _Folder(spark, path).read(POINTER)
     return None if text is None else json.loads(text)
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame | None:
-    """The version that counts now, None before the first."""
+    """The table that counts now, None before the first."""
+    found = read_published_parts(spark, path)
+    return None if found is None else found[""]
+
+
+def read_published_parts(spark: SparkSession, path: str) -> dict[str, DataFrame] | None:
+    """The tables of the version that counts now, by name."""
     found = current(spark, path)
     if found is None:
         return None
-    schema = T.StructType.fromJson(found["schema"])
-    return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/{found['version']}")
+    return {
+        part: spark.read.schema(T.StructType.fromJson(schema)).parquet(_place(path, found["version"], part))
+        for part, schema in found["schemas"].items()
+    }
