@@ -240,6 +240,14 @@ def write_statistics(spark, sf):
     return t.read_counts_csv(spark, path)
 
 
+@query(f"WITH {BOTH} SELECT subreddit, count(*) AS count FROM l WHERE author IS NOT NULL GROUP BY subreddit")
+def write_statistics_file(spark, sf):
+    """The counts as one file of the experiment's name, read again."""
+    out, name = scratch_path(spark, "statistics"), "UserContributionsInSubreddits"
+    path = st.run_statistics(spark, i.archive(spark, sf), name, out, single_file=True)
+    return t.read_counts_csv(spark, path)
+
+
 # Both kinds by month, year and in total; files without a date count in the total only.
 DATED = f"""{BOTH}, d AS (SELECT subreddit, author, regexp_extract(file, '(\\d{{4}}-\\d{{2}})', 1) AS month FROM l),
 lv AS (SELECT 'month' AS level, month AS period, subreddit, author FROM d WHERE month <> ''

@@ -301,6 +301,18 @@ def test_filter_lists(spark, tmp_path):
     assert [rows(t.read_filter_list(spark, path)) for path in paths] == [[("y",)], [("y",), ("z",)]]
 
 
+def test_one_file_where_one_is_wanted(spark, dataset, tmp_path):
+    path = st.run_statistics(spark, str(dataset), "UsersInSubreddits", str(tmp_path / "out"), suffix="x", single_file=True)
+    assert os.path.isfile(path) and sorted(os.listdir(tmp_path / "out"))[-1] == "UsersInSubreddits_x.csv"
+    assert not [name for name in os.listdir(tmp_path / "out") if os.path.isdir(tmp_path / "out" / name)]
+    wanted = c.users_per_subreddit(a.read_contributions(spark, str(dataset)))
+    assert rows(t.read_counts_csv(spark, path)) == rows(wanted)
+    with pytest.raises(ValueError, match="exists already"):
+        st.run_statistics(spark, str(dataset), "UsersInSubreddits", str(tmp_path / "out"), suffix="x", single_file=True)
+    empty = spark.createDataFrame([], "subreddit string, count bigint")
+    assert os.path.getsize(files.write_statistics(empty, str(tmp_path / "out"), "Nothing", single_file=True)) == 0
+
+
 def test_counts_file_has_no_header(spark, tmp_path):
     (tmp_path / "c.csv").write_text("first,3\nsecond,2\n")
     assert rows(t.read_counts_csv(spark, str(tmp_path / "c.csv"))) == [("first", 3), ("second", 2)]

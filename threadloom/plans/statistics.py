@@ -30,11 +30,16 @@ def run_statistics(
     *,
     suffix: str = "",
     scope: str = "global",
+    single_file: bool = False,
     **names,
 ) -> str:
-    """Count one experiment over a dataset directory and write ``<experiment>[_<suffix>].csv``."""
+    """Count one experiment over a dataset directory and write ``<experiment>[_<suffix>].csv``.
+
+    That is a folder, or one file if ``single_file`` is set.
+    """
     contributions = read_contributions(spark, dataset_dir, **names)
-    return files.write_statistics(count_experiment(contributions, experiment, scope), out_dir, experiment, suffix)
+    counts = count_experiment(contributions, experiment, scope)
+    return files.write_statistics(counts, out_dir, experiment, suffix, single_file)
 
 
 def run_statistics_per_period(spark: SparkSession, dataset_dir: str, experiment: str, out_dir: str, **names) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,25 @@ def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "error
     df.write.mode(mode).options(**CSV_DIALECT).option("header", header).csv(path)
 
 
+def write_csv_file(df: DataFrame, path: str, header: bool = False) -> None:
+    """One file of that name, for readers that can't take a folder. One task writes it, row by row.
+
+    The file is written beside ``path`` and moved there when it is whole. ``path`` must not exist.
+    """
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    system = place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(place(path)):
+        raise ValueError(f"{path} exists already")
+    folder = f"{path}-{uuid.uuid4().hex}"
+    write_csv(df.repartition(1), folder, header)
+    written = [status.getPath() for status in system.globStatus(place(f"{folder}/part-*"))]
+    moved = system.rename(written[0], place(path)) if written else system.createNewFile(place(path))
+    system.delete(place(folder), True)
+    if not moved:
+        raise OSError(f"{path} can't be put in place")
+
+
 def write_zstd_lines(
     lines: DataFrame, path: str, mode: str = "append", frame_bytes: int = zstd_lines.FRAME_BYTES
 ) -> None:
@@ -47,10 +68,12 @@ def statistics_path(out_dir: str, experiment: str, suffix: str = "") -> str:
     return f"{out_dir.rstrip('/')}/{experiment}{ending}.csv"
 
 
-def write_statistics(counts: DataFrame, out_dir: str, experiment: str, suffix: str = "") -> str:
-    """Counts as headerless CSV under the experiment's name."""
+def write_statistics(
+    counts: DataFrame, out_dir: str, experiment: str, suffix: str = "", single_file: bool = False
+) -> str:
+    """Counts as headerless CSV under the experiment's name, a folder of files or ``single_file``."""
     path = statistics_path(out_dir, experiment, suffix)
-    write_csv(counts.select("subreddit", "count"), path)
+    (write_csv_file if single_file else write_csv)(counts.select("subreddit", "count"), path)
     return path
 
 
@@ -73,12 +96,12 @@ def vertex_list(vertices: DataFrame) -> DataFrame:
     return filled.selectExpr(*[f"{name} as `{out}`" for name, out in VERTEX_CSV.items()])
 
 
-def write_edge_list(edges: DataFrame, path: str) -> None:
-    write_csv(edge_list(edges), path, header=True)
+def write_edge_list(edges: DataFrame, path: str, single_file: bool = False) -> None:
+    (write_csv_file if single_file else write_csv)(edge_list(edges), path, header=True)
 
 
-def write_vertex_list(vertices: DataFrame, path: str) -> None:
-    write_csv(vertex_list(vertices), path, header=True)
+def write_vertex_list(vertices: DataFrame, path: str, single_file: bool = False) -> None:
+    (write_csv_file if single_file else write_csv)(vertex_list(vertices), path, header=True)
 
 
 def export_filter_list(top: DataFrame, path: str) -> None:
