@@ -565,16 +565,6 @@ def test_probabilities_sum_to_one(spark):
     assert out[101] > out[102] > out[104]  # b after a is more usual than c, and unknown words come last
 
 
-def test_seating_follows_the_exact_odds():
-    """Three customers: odds of 1, 2 and 3 tables from all seatings."""
-    discount, weight, rounds = 0.5, 0.7, 40_000
-    seating = pitman_yor.Seating(np.full(rounds, 3), discount, np.random.default_rng(1))
-    for _ in range(30):
-        seating.sweep(np.full(rounds, weight))
-    odds = np.array([weight * (1 - discount) * (2 - discount), 3 * weight**2 * (1 - discount), weight**3])
-    assert np.allclose(np.bincount(seating.tables, minlength=4)[1:] / rounds, odds / odds.sum(), atol=0.01)
-
-
 def test_squeezed_arrays():
     draw = np.random.default_rng(1)
     for kind in (np.int8, np.int32, np.int64, np.uint64, np.float32):

@@ -3,13 +3,15 @@
 Every word that occurs as a context is a restaurant; all of them share one parent, the restaurant of
 single words, whose own parent is uniform over the known words and one unknown. A word's customers at a context
 are its training counts there; each table they take sends one customer to the parent. The
-seating is sampled by Gibbs: a customer leaves its table and is seated again, at a table of the word
-in proportion to size - discount, or at a new one in proportion to (strength + discount * tables) * P(word) of the
-parent. After ``BURN`` sweeps, ``SAMPLES`` sweeps are averaged:
+seating is sampled by Gibbs: all customers of a word leave a restaurant together and are seated again given all other tables, which
+needs the number of their tables only; ``seating`` draws it from its exact law, however many customers there are. The parent
+is sampled in every sweep too, before the contexts. After ``BURN`` sweeps, ``SAMPLES`` sweeps are averaged:
 
     P(w | u) = mean(c_uw - d t_uw) / (s + c_u) + mean(s + d t_u) / (s + c_u) * P(w)
     P(w)     = mean(n_w - d0 t_w) / (s0 + n) + mean(s0 + d0 t) / (s0 + n) / (V + 1)
 
+Discounts and strengths are given (``Shape``). Within a sweep the restaurants of all words see the tables that the last one left.
+
 How it is spread out:
 
 1. Words that make up more than a small share of some chunk are counted: the heavy contexts.
@@ -18,18 +20,17 @@ How it is spread out:
 3. A chunk sends its distinct pairs with their training counts to buckets of contexts. A heavy
    context is spread over all buckets by the second word, so that no context is one task. A
    bucket adds the counts up.
-4. Before each sweep, buckets of words add up the tables of every word and tell them to the buckets that
-   hold it; the tables of heavy contexts are added up likewise. A bucket then sweeps its restaurants with the
+4. Before each sweep, buckets of words add up the tables of every word, seat the parent and tell both to the buckets that
+   hold the word; the tables of heavy contexts are added up likewise. A bucket then sweeps its restaurants with the
    parent of all tables, so the seating doesn't depend on the number of buckets (the distributed sampler of
    Newman and others for topic models, which synchronises after every sweep).
 5. After the last sweep a bucket answers each chunk pair by pair and passes on counts and tables of its words.
-6. Buckets of words add these up and sample the parent; chunks ask them for their words.
+6. Buckets of words add these up and seat the parent; chunks ask them for their words.
 7. Every chunk puts the answers together and sums the logarithms by document.
 
 What is sent is linear in the distinct pairs of chunks, and in each sweep in the words of buckets, and so grows with the
-corpus; all tasks hold one chunk or bucket. What a sweep leaves is deleted after the next. Nothing but totals and the heavy contexts (at most 1 / ``HEAVY`` words) comes to the driver.
-A word's customers at a context are seated one by one up to ``ONE_BY_ONE`` of them; more are
-seated afresh in each sweep, in blocks that grow with those already seated.
+corpus. All tasks hold one chunk or bucket: their numbers set the numbers of partitions, whatever the session says. What a sweep
+leaves is deleted after the next. Nothing but totals and one row for each heavy context (at most 1 / ``HEAVY`` words) comes to the driver.
 
 Null and empty texts are the end token alone. Very long texts make a larger chunk. Repeated rows count each time and
 score alike. Without training rows every probability is that of the uniform parent. An empty table
@@ -50,6 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.llm.seating import draw_tables
 from threadloom.llm.words import raw_texts
 from threadloom.plans.materialize import discard, store
 
@@ -57,7 +59,6 @@ CHUNK_TOKENS = 1_250_000
 BUCKET_TOKENS = 1_500_000
 HEAVY = 1e-5
 BURN, SAMPLES = 2, 3
-ONE_BY_ONE = 8
 SEED = 5
 END, START = np.uint64(xxhash.xxh3_64_intdigest(b"")), np.uint64(xxhash.xxh3_64_intdigest(b" "))
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -105,81 +106,20 @@ def mixed(value: np.ndarray) -> np.ndarray:
 # --- seating
 
 
-class Seating:
-    """Tables of dishes with ``customers`` each, at least one; ``seats``, ``tables``: where an earlier sweep left them."""
-
-    def __init__(
-        self,
-        customers: np.ndarray,
-        discount: float,
-        draw: np.random.Generator,
-        seats: np.ndarray | None = None,
-        tables: np.ndarray | None = None,
-    ) -> None:
-        self.customers, self.discount, self.draw = customers, discount, draw
-        self.tables = np.ones(len(customers), np.int64) if tables is None else tables.astype(np.int64)
-        self.groups, start = [], 0
-        for count in range(2, ONE_BY_ONE + 1):
-            at = np.flatnonzero(customers == count)
-            if len(at):
-                seat = np.zeros((len(at), count), np.int64)
-                if seats is not None:
-                    seat[:] = seats[start : start + seat.size].reshape(seat.shape)
-                    start += seat.size
-                place = np.arange(len(at))[:, None] * count + seat
-                sizes = np.bincount(place.ravel(), minlength=seat.size).reshape(seat.shape).astype(float)
-                self.groups.append((at, seat, sizes))
-        self.many = np.flatnonzero(customers > ONE_BY_ONE)
-
-    def seats(self) -> np.ndarray:
-        """The table of every customer that is seated one by one."""
-        return np.concatenate([np.zeros(0, np.int8), *(seat.ravel().astype(np.int8) for _, seat, _ in self.groups)])
-
-    def sweep(self, weight: np.ndarray) -> None:
-        """Seat every customer again; ``weight``: of a new table, for each dish."""
-        for at, seat, sizes in self.groups:
-            row, new = np.arange(len(at)), weight[at]
-            for customer in range(seat.shape[1]):
-                sizes[row, seat[:, customer]] -= 1
-                odds = np.where(sizes > 0, sizes - self.discount, 0.0)
-                odds[row, sizes.argmin(1)] = new  # a table without customers is always there
-                steps = odds.cumsum(1)
-                chosen = (steps < (self.draw.random(len(at)) * steps[:, -1])[:, None]).sum(1)
-                seat[:, customer] = chosen
-                sizes[row, chosen] += 1
-            self.tables[at] = (sizes > 0).sum(1)
-        left, new = self.customers[self.many] - 1, weight[self.many]
-        tables, seated = np.ones(len(left), np.int64), np.ones(len(left), np.int64)
-        while (left > 0).any():
-            block = np.minimum(left, np.maximum(1, seated // 8))
-            tables += self.draw.binomial(block, np.clip(new / (new + seated - self.discount * tables), 0, 1))
-            seated, left = seated + block, left - block
-        self.tables[self.many] = tables
-
-
 class Known(NamedTuple):
-    """Totals of the parent between two sweeps: its words, customers and expected tables."""
+    """Totals of the parent: its words, customers and tables."""
 
     v: int
     customers: int
     tables: float
 
 
-def expected_tables(customers: np.ndarray, shape: Shape) -> np.ndarray:
-    return np.minimum(customers, 1 + (customers - 1) * (1 - shape.parent_discount))
-
-
-def seat_parent(customers: np.ndarray, shape: Shape, parts: int, seed: list[int]) -> np.ndarray:
-    """Tables, averaged over the samples, of every word in one of ``parts`` buckets of words."""
-    seating = Seating(customers, shape.parent_discount, np.random.default_rng(seed))
-    total = np.zeros(len(customers))
-    for sweep in range(BURN + SAMPLES):
-        held = seating.tables.sum() * parts
-        weight = (shape.parent_strength + shape.parent_discount * held) / (len(customers) * parts + 1)
-        seating.sweep(np.full(len(customers), weight))
-        if sweep >= BURN:
-            total += seating.tables
-    return total / SAMPLES
+def seat_parent(customers: np.ndarray, known: Known, shape: Shape, seed: list[int]) -> np.ndarray:
+    """Tables of words in the parent, given those that all words had there before."""
+    others = np.full(len(customers), max(known.tables - 1.0, 0.0))
+    chance = np.full(len(customers), 1 / (known.v + 1))
+    draw = np.random.default_rng(seed)
+    return draw_tables(customers, others, chance, shape.parent_discount, shape.parent_strength, draw)
 
 
 # --- chunks
@@ -325,11 +265,12 @@ def ask_pairs(rows: DataFrame, buckets: int, heavy: np.ndarray) -> DataFrame:
 ASK_SCHEMA = pa.schema(
     [("bucket", pa.int32()), ("chunk", pa.int64()), *((name, pa.binary()) for name in ("contexts", "runs", "words", "word", "trained"))]
 )
-#: kind 0: answers to a chunk; kind 1: a bucket's words for a bucket of words; kind 2: sums of heavy contexts.
+#: kind 0: answers to a chunk; kind 1: a bucket's words for a bucket of words; kind 2: customers and tables of the heavy context ``to``.
 ANSWER_SCHEMA = pa.schema(
     [("kind", pa.int32()), ("to", pa.int64()), ("part", pa.int32()), *((name, pa.binary()) for name in "abcd")]
+    + [("held", pa.int64()), ("taken", pa.int64())]
 )
-ANSWER = "kind int, to long, part int, a binary, b binary, c binary, d binary"
+ANSWER = "kind int, to long, part int, a binary, b binary, c binary, d binary, held long, taken long"
 
 
 def _row(kind: int, to: int, part: int, *data: bytes) -> dict:
@@ -340,10 +281,10 @@ def _row(kind: int, to: int, part: int, *data: bytes) -> dict:
 #: tables; kind 2: tables (``n``) of the heavy context ``to``. Totals are over the sweeps that count.
 CELLS_SCHEMA = pa.schema(
     [("kind", pa.int32()), ("to", pa.int64()), ("part", pa.int64()), ("n", pa.int64())]
-    + [(name, pa.binary()) for name in ("contexts", "context", "words", "word", "customers", "seats", "tables", "total")]
+    + [(name, pa.binary()) for name in ("contexts", "context", "words", "word", "customers", "tables", "total")]
 )
 CELLS = "kind int, to long, part long, n long, contexts binary, context binary, words binary, word binary, "
-CELLS += "customers binary, seats binary, tables binary, total binary"
+CELLS += "customers binary, tables binary, total binary"
 
 
 def _parts(words: np.ndarray, word_bits: int) -> Iterator[tuple[int, int, int]]:
@@ -390,7 +331,7 @@ def _passed_on(row: dict, words: np.ndarray, word: np.ndarray, context: np.ndarr
     return pa.Table.from_pylist(out, CELLS_SCHEMA)
 
 
-def first_cells(word_bits: int, heavy: np.ndarray, shape: Shape) -> Callable[[pa.Table], pa.Table]:
+def first_cells(word_bits: int, heavy: np.ndarray) -> Callable[[pa.Table], pa.Table]:
     """The trained pairs of a bucket with a table each."""
 
     def add_up(group: pa.Table) -> pa.Table:
@@ -400,7 +341,7 @@ def first_cells(word_bits: int, heavy: np.ndarray, shape: Shape) -> Callable[[pa
         local, word = np.unique(found.word[used], return_inverse=True)
         own, context = np.unique(found.context[used], return_inverse=True)
         customers, words, contexts = found.customers[used], found.words[local], found.contexts[own]
-        seating = Seating(customers, shape.discount, np.random.default_rng(0))
+        tables = np.ones(len(used), np.int64)
         row = {
             "kind": 0,
             "to": rows[0]["bucket"],
@@ -409,34 +350,39 @@ def first_cells(word_bits: int, heavy: np.ndarray, shape: Shape) -> Callable[[pa
             "words": squeeze_sorted(words),
             "word": squeeze(word.astype(np.int32)),
             "customers": squeeze(customers.astype(np.int32)),
-            "seats": squeeze(seating.seats()),
-            "tables": squeeze(seating.tables.astype(np.int32)),
+            "tables": squeeze(tables.astype(np.int32)),
             "total": squeeze(np.zeros(len(used), np.int32)),
         }
-        return _passed_on(row, words, word, context, seating.tables, word_bits)
+        return _passed_on(row, words, word, context, tables, word_bits)
 
     return add_up
 
 
-TOLD = "to long, part long, below binary, v long, customers long, tables double"
+TOLD = "to long, part long, below binary, seated binary, v long, customers long, tables double"
 TOLD_SCHEMA = pa.schema(
-    [("to", pa.int64()), ("part", pa.int64()), ("below", pa.binary()), ("v", pa.int64()), ("customers", pa.int64()), ("tables", pa.float64())]
+    [("to", pa.int64()), ("part", pa.int64()), ("below", pa.binary()), ("seated", pa.binary())]
+    + [("v", pa.int64()), ("customers", pa.int64()), ("tables", pa.float64())]
 )
 
 
-def tell_tables(shape: Shape) -> Callable[[pa.Table], pa.Table]:
-    """Of one bucket of words: to every bucket the tables of its words in all buckets; ``to`` null: totals."""
+def tell_tables(sweep: int, word_bits: int, known: Known | None, shape: Shape) -> Callable[[pa.Table], pa.Table]:
+    """Of one bucket of words: to every bucket the customers and tables that its words have in the parent; ``to`` null: totals.
+
+    ``known`` is the parent as the last sweep left it; before the first one every word is taken to have one table.
+    """
 
     def tell(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
         words, place = np.unique(np.concatenate([expand_sorted(row["words"]) for row in rows]), return_inverse=True)
         below = np.bincount(place, np.concatenate([expand(row["tables"], np.int64) for row in rows])).astype(np.int64)
-        tables = float(expected_tables(below, shape).sum())
-        out: list[dict] = [{"v": len(words), "customers": int(below.sum()), "tables": tables}]
+        guess = len(words) << word_bits
+        seated = seat_parent(below, known or Known(guess, 0, guess), shape, [SEED, 2, rows[0]["to"], sweep])
+        out: list[dict] = [{"v": len(words), "customers": int(below.sum()), "tables": float(seated.sum())}]
         start = 0
         for row in rows:
             size = len(expand_sorted(row["words"]))
-            out.append({"to": row["part"], "part": row["to"], "below": squeeze(below[place[start : start + size]])})
+            own = place[start : start + size]
+            out.append({"to": row["part"], "part": row["to"], "below": squeeze(below[own]), "seated": squeeze(seated[own])})
             start += size
         return pa.Table.from_pylist(out, TOLD_SCHEMA)
 
@@ -450,48 +396,52 @@ def sweep_cells(
 
     def seat(group: pa.Table, told: pa.Table) -> pa.Table:
         row = group.to_pylist()[0]
-        below = [expand(r["below"], np.int64) for r in sorted(told.to_pylist(), key=lambda r: r["part"])]
-        below = np.concatenate([np.zeros(0, np.int64), *below])
+        parts = sorted(told.to_pylist(), key=lambda r: r["part"])
+        below, seated = (
+            np.concatenate([np.zeros(0, np.int64), *(expand(r[name], np.int64) for r in parts)]) for name in ("below", "seated")
+        )
         names, context = expand(row["contexts"], np.uint64), expand(row["context"], np.int32)
         words, word = expand_sorted(row["words"]), expand(row["word"], np.int32)
-        customers, tables = expand(row["customers"], np.int32).astype(np.int64), expand(row["tables"], np.int32)
-        draw = np.random.default_rng([SEED, row["to"], sweep])
-        seating = Seating(customers, shape.discount, draw, expand(row["seats"], np.int8), tables)
+        customers, tables = (expand(row[name], np.int32).astype(np.int64) for name in ("customers", "tables"))
 
         rest = shape.parent_strength + shape.parent_discount * known.tables
-        chance = below - shape.parent_discount * expected_tables(below, shape) + rest / (known.v + 1)
+        chance = below - shape.parent_discount * seated + rest / (known.v + 1)
         chance /= shape.parent_strength + known.customers
         here = np.bincount(context, tables, len(names))
         shared = np.flatnonzero(names)
         here[shared] = taken[np.searchsorted(heavy, names[shared])]
-        seating.sweep((shape.strength + shape.discount * here[context]) * chance[word])
+        draw = np.random.default_rng([SEED, row["to"], sweep])
+        others = here[context] - tables
+        tables = draw_tables(customers, others, chance[word], shape.discount, shape.strength, draw, tables)
 
         total = expand(row["total"], np.int32)
         if sweep >= BURN:
-            total = total + seating.tables.astype(np.int32)
-        row |= {"seats": squeeze(seating.seats()), "tables": squeeze(seating.tables.astype(np.int32)), "total": squeeze(total)}
-        return _passed_on(row, words, word, context, seating.tables, word_bits)
+            total = total + tables.astype(np.int32)
+        row |= {"tables": squeeze(tables.astype(np.int32)), "total": squeeze(total)}
+        return _passed_on(row, words, word, context, tables, word_bits)
 
     return seat
 
 
-def seat_contexts(asked: DataFrame, word_bits: int, heavy: np.ndarray, shape: Shape) -> tuple[DataFrame, str]:
-    """The pairs of every bucket after all sweeps, and where they are stored."""
-    cells = store(asked.groupBy("bucket").applyInArrow(first_cells(word_bits, heavy, shape), CELLS), "cells")
+def seat_contexts(asked: DataFrame, buckets: int, word_bits: int, heavy: np.ndarray, shape: Shape) -> tuple[DataFrame, str, Known]:
+    """The pairs of every bucket after all sweeps, where they are stored, and the parent's totals."""
+    cells = store(asked.groupBy("bucket").applyInArrow(first_cells(word_bits, heavy), CELLS), "cells")
+    known = None
     for sweep in range(BURN + SAMPLES):
-        told = cells.table.where("kind = 1").groupBy("to").applyInArrow(tell_tables(shape), TOLD)
-        told = store(told, "told-tables")
+        told = cells.table.where("kind = 1").repartition(1 << word_bits, "to").groupBy("to")
+        told = store(told.applyInArrow(tell_tables(sweep, word_bits, known, shape), TOLD), "told-tables")
         sums = told.table.where("to is null").agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in Known._fields))
         known = Known(*sums.first())
         # One row for each heavy context.
         found = dict(cells.table.where("kind = 2").groupBy("to").agg(F.sum("n")).collect())
         taken = np.array([found.get(int(name), 0) for name in heavy.view(np.int64)], np.int64)
         seat = sweep_cells(sweep, word_bits, heavy, taken, known, shape)
-        own, ours = cells.table.where("kind = 0").groupBy("to"), told.table.where("to is not null").groupBy("to")
+        own, ours = cells.table.where("kind = 0"), told.table.where("to is not null")
+        own, ours = (side.repartition(buckets, "to").groupBy("to") for side in (own, ours))
         made = store(own.cogroup(ours).applyInArrow(seat, CELLS), "cells")
         discard(asked.sparkSession, cells.path, told.path)
         cells = made
-    return cells.table.where("kind = 0").select("to", "total"), cells.path
+    return cells.table.where("kind = 0").select("to", "total"), cells.path, known
 
 
 def answer_pairs(word_bits: int, heavy: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -523,8 +473,9 @@ def answer_pairs(word_bits: int, heavy: np.ndarray) -> Callable[[pa.Table, pa.Ta
         given = np.bincount(word_used, tables[used], len(local)).astype(np.int64)
         for to, a, b in _parts(words, word_bits):
             out.append(_row(1, to, bucket, squeeze_sorted(words[a:b]), squeeze(count[a:b]), squeeze(given[a:b])))
-        if shared.any():
-            out.append(_row(2, 0, bucket, squeeze(contexts[shared]), squeeze(held[shared]), squeeze(taken[shared])))
+        for at in np.flatnonzero(shared):
+            name = int(contexts[at : at + 1].view(np.int64)[0])
+            out.append(_row(2, name, bucket) | {"held": int(held[at]), "taken": int(taken[at])})
         return pa.Table.from_pylist(out, ANSWER_SCHEMA)
 
     return answer
@@ -538,7 +489,7 @@ STATE_SCHEMA = pa.schema(
 STATE = "to long, words binary, count binary, mass binary, n long, v long, customers long, tables double"
 
 
-def word_state(word_bits: int, shape: Shape) -> Callable[[pa.Table], pa.Table]:
+def word_state(known: Known, shape: Shape) -> Callable[[pa.Table], pa.Table]:
     """Of one bucket of words: training counts, the parent's customers less discounts, and their totals."""
 
     def add_up(group: pa.Table) -> pa.Table:
@@ -547,7 +498,8 @@ def word_state(word_bits: int, shape: Shape) -> Callable[[pa.Table], pa.Table]:
         count = np.bincount(place, np.concatenate([expand(row["b"], np.int64) for row in rows])).astype(np.int64)
         given = np.bincount(place, np.concatenate([expand(row["c"], np.int64) for row in rows]))
         customers = np.maximum(1, np.rint(given / SAMPLES)).astype(np.int64)
-        tables = seat_parent(customers, shape, 1 << word_bits, [SEED, 1, rows[0]["to"]])
+        seeds = ([SEED, 1, rows[0]["to"], sample] for sample in range(SAMPLES))
+        tables = np.mean([seat_parent(customers, known, shape, seed) for seed in seeds], axis=0)
         mass = (customers - shape.parent_discount * tables).astype(np.float32)
         made = {
             "to": rows[0]["to"],
@@ -681,28 +633,27 @@ def _score(docs: DataFrame, shape: Shape) -> DataFrame:
     heavy = [row["word"] for row in often.collect()]  # at most 1 / HEAVY words
     heavy = np.unique(np.append(np.array(heavy, np.int64).view(np.uint64), START)) if buckets > 1 else np.zeros(0, np.uint64)
 
-    rows = store(chunks(docs), "chunks").table
-    asked = ask_pairs(rows, buckets, heavy)
-    seated, path = seat_contexts(asked, word_bits, heavy, shape)
+    made = store(chunks(docs), "chunks")
+    rows, count = made.table, max(1, made.rows)
+    asked = ask_pairs(rows, buckets, heavy).repartition(buckets, "bucket")
+    seated, path, known = seat_contexts(asked, buckets, word_bits, heavy, shape)
     # Of the type of the other side: an int and a long are hashed to different tasks.
-    seated = seated.select(F.col("to").cast("int").alias("bucket"), "total").groupBy("bucket")
+    seated = seated.select(F.col("to").cast("int").alias("bucket"), "total").repartition(buckets, "bucket").groupBy("bucket")
     answers = asked.groupBy("bucket").cogroup(seated).applyInArrow(answer_pairs(word_bits, heavy), ANSWER)
     answers = store(answers, "answers").table
     discard(docs.sparkSession, path)
-    found: dict[int, list[int]] = {}
-    for row in answers.where("kind = 2").select("a", "b", "c").toLocalIterator():
-        for name, *sums in zip(expand(row["a"], np.uint64), expand(row["b"], np.int64), expand(row["c"], np.int64), strict=True):
-            old = found.setdefault(int(name), [0, 0])
-            found[int(name)] = [old[0] + int(sums[0]), old[1] + int(sums[1])]
-    held, taken = (np.array([found.get(int(name), [0, 0])[k] for name in heavy], np.int64) for k in (0, 1))
-
-    state = answers.where("kind = 1").groupBy("to").applyInArrow(word_state(word_bits, shape), STATE)
+    # One row for each heavy context.
+    sums = answers.where("kind = 2").groupBy("to").agg(F.sum("held").alias("held"), F.sum("taken").alias("taken")).collect()
+    found = {row["to"]: (row["held"], row["taken"]) for row in sums}
+    held, taken = (np.array([found.get(int(name), (0, 0))[k] for name in heavy.view(np.int64)], np.int64) for k in (0, 1))
+
+    state = answers.where("kind = 1").repartition(1 << word_bits, "to").groupBy("to").applyInArrow(word_state(known, shape), STATE)
     state = store(state, "word-state").table
     sums = state.agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in Totals._fields)).first()
     totals = Totals(*(sums[name] for name in Totals._fields))
-    asked = ask_words(rows, word_bits)
-    told = asked.groupBy("to").cogroup(state.groupBy("to")).applyInArrow(answer_words, ANSWER)
-    told = store(told, "word-answers").table
+    asked = ask_words(rows, word_bits).repartition(1 << word_bits, "to")
+    ours = state.repartition(1 << word_bits, "to").groupBy("to")
+    told = store(asked.groupBy("to").cogroup(ours).applyInArrow(answer_words, ANSWER), "word-answers").table
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -713,7 +664,9 @@ def _score(docs: DataFrame, shape: Shape) -> DataFrame:
     )
     everything = answers.where("kind = 0").union(told)
     scorer = score_chunk(buckets, heavy, held, taken, totals, shape, arrow)
-    scored = rows.groupBy("chunk").cogroup(everything.withColumnRenamed("to", "chunk").groupBy("chunk")).applyInArrow(scorer, out)
+    own, ours = rows, everything.withColumnRenamed("to", "chunk")
+    own, ours = (side.repartition(count, "chunk").groupBy("chunk") for side in (own, ours))
+    scored = own.cogroup(ours).applyInArrow(scorer, out)
     return store(scored, "scores").table
 
 
