@@ -209,7 +209,7 @@ def test_text_without_id_links_documents(spark):
     assert found == sorted([(1, 1), (None, 1), (2, 1), (3, 3), (None, None), (None, None)], key=str)
 
 
-def test_components_by_both_ways(spark):
+def test_components(spark):
     draw = random.Random(8)
     links = [(draw.randrange(400), draw.randrange(400)) for _ in range(230)] + [(k, k + 1) for k in range(1000, 1100)]
     links = [(min(link) - 50, max(link)) for link in links]
@@ -226,16 +226,51 @@ def test_components_by_both_ways(spark):
             parent[high] = low
     want = {k: find(k) for link in links for k in link}
     frame = spark.createDataFrame(links, "a long, b long")
-    for limit in (0, 1 << 20):
-        found = near_dedup.components(frame, limit).collect()
-        assert len(found) == len(want) and {row["node"]: row["root"] for row in found} == want
+    found = near_dedup.components(frame).collect()
+    assert len(found) == len(want) and {row["node"]: row["root"] for row in found} == want
     assert near_dedup.components(frame.limit(0)).count() == 0
 
 
-def test_no_task_joins_all_links(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "_reached", None)  # what one task would run
-    found = near_dedup.components(spark.createDataFrame([(1, 2), (2, 3), (7, 9)], "a long, b long")).collect()
-    assert {row["node"]: row["root"] for row in found} == {1: 1, 2: 1, 3: 1, 7: 7, 9: 7}
+def boilerplate(n, seed):
+    """Texts that share most of their words by passages, and near copies of some of them."""
+    draw = random.Random(seed)
+    common = [" ".join(f"c{p}x{k}" for k in range(60)) for p in range(4)]
+    rows = []
+    for i in range(n):
+        own = " ".join(f"o{i}x{k}" for k in range(40))
+        rows.append((i, " ".join([*draw.sample(common, 2), own])))
+    for i in range(n, n + n // 10):
+        words = rows[draw.randrange(n)][1].split()
+        words[draw.randrange(len(words))] = "changed"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_shared_passages_make_no_pairs(spark):
+    """Half of each text is common to hundreds of others; only true candidates meet."""
+    rows = boilerplate(600, 4)
+    out = near_dedup.group_near_copies(table(spark, [(i, t, "en", "a") for i, t in rows])).collect()
+    assert {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in out} == brute_components(rows)
+    for n in (300, 1200):
+        some = boilerplate(n, 5)
+        sets = spark.createDataFrame(
+            [(i, sorted(map(hash, shingles(t)))) for i, t in some], "class long, shingles array<bigint>"
+        )
+        classes = sets.selectExpr("class", "class as own")
+        pairs = near_dedup.candidates(classes, sets, 85)
+        asked = {(row["a"], row["b"]) for row in pairs.collect()}
+        own = {i: shingles(t) for i, t in some}
+        held = defaultdict(set)
+        for i, words in own.items():
+            for one in words:
+                held[one].add(i)
+        linked = {
+            (a, b)
+            for i, words in own.items()
+            for a, b in {(min(i, j), max(i, j)) for one in words if len(held[one]) < 50 for j in held[one] if j != i}
+            if 100 * len(own[a] & own[b]) >= 85 * len(own[a] | own[b])
+        }
+        assert linked <= asked and len(asked) < n  # in proportion to the texts
 
 
 def test_packing_plan():

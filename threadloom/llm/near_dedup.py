@@ -3,13 +3,15 @@
 1. A document's set holds the hashes of its distinct five-word shingles (A-Z lowered; fewer words: the
    whole sequence). Documents with equal sets are one class, named by a hash of the set.
 2. Signatures: under each permutation both the smallest and the largest hash of the set are kept, two
-   values for one evaluation. ``BANDS`` bands of two permutations, so four values, make the keys; two
-   sets that are 0.85 alike share none of them with a probability of 5e-11.
+   values for one evaluation. ``BANDS`` bands of ``ROWS`` permutations, so six values, make the keys. Two
+   sets that are 0.85 alike share none of them with a probability of 3e-7; sets at 0.5 share one with 0.4, at 0.3 with 0.02.
 3. Links: classes under one key are held against a hub of that key and not against each other. Linked
    classes grow together to components, and the next round asks, per pair of components that
-   still share a key, for a few further pairs with other hubs. When rounds stop finding many links, all classes
-   of different components that still share keys are compared, block by block, inside tasks. So no
-   link that the keys show is lost, and pairs are never sent. Every link is confirmed on the two whole sets.
+   still share a key, for a few further pairs with other hubs. When rounds stop finding many links, what is left is searched
+   exactly: of each class that still shares a key with another component, the rarest shingles are listed, as many as it can't
+   do without in a link (a prefix filter); classes of different components that share one of them and are of like size are
+   the candidates. So no link that the keys show is lost, and texts that share common passages only, however many, don't
+   meet. Every link is confirmed on the two whole sets.
 4. Components of the links by alternating large and small stars, then the smallest document id of each.
 
 Exact copies meet once, in the partial sums of step 1, so a group of copies with a third of all rows is one
@@ -20,22 +22,22 @@ they reach, null if none. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.llm.words import raw_texts
-from threadloom.operators.lookup import fits_broadcast, lookup_join
-from threadloom.plans.materialize import store
+from threadloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
+from threadloom.plans.materialize import discard, store
 
 WIDTH = 5
-BANDS = 32
-PERMUTATIONS = 2 * BANDS
+BANDS, ROWS = 32, 3
+PERMUTATIONS = ROWS * BANDS
 PERCENT = 85
 SEED = 11
 KEPT_WORDS = 250_000
@@ -44,10 +46,6 @@ SHINGLES_AT_ONCE = 100_000
 TRIES = 4
 #: Hub rounds, two at least, go on while this share of the checked pairs turn out to be links.
 WORTH = 0.02
-#: Links that one task joins: none, so that every size takes the same way over the cluster.
-ONE_TASK = 0
-#: Classes of a block, and shingles that are compared at once: bounds of a task's memory.
-BLOCK, COLUMNS = 500, 4096
 
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -83,7 +81,7 @@ class Shingles:
 
 
 def band_keys(sets: list[np.ndarray]) -> np.ndarray:
-    """Sets x bands: keys made from the smallest and the largest hash under two permutations each."""
+    """Sets x bands: keys made from the smallest and the largest hash under ``ROWS`` permutations each."""
     draw = np.random.default_rng(SEED)
     factor = draw.integers(0, 1 << 63, PERMUTATIONS, np.uint64) * np.uint64(2) + np.uint64(1)
     line, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
@@ -94,7 +92,7 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
             turned ^= turned >> np.uint64(31)
             turned *= factor[k - 1]
             for value in (np.minimum.reduceat(turned, starts), np.maximum.reduceat(turned, starts)):
-                keys[:, k // 2] = _mixed(keys[:, k // 2] * STEP + value)
+                keys[:, k // ROWS] = _mixed(keys[:, k // ROWS] * STEP + value)
         return _mixed(keys * STEP + np.arange(BANDS, dtype=np.uint64))
 
 
@@ -173,36 +171,11 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     return docs.select("class", "text").mapInArrow(make, "class long, shingles array<bigint>")
 
 
-def components(links: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
-    """``node``, ``root``: the smallest node that links ``a``-``b`` reach, for every node of a link.
-
-    By alternating stars over the cluster; a caller who knows that links are few may let one task join up
-    to ``one_task`` of them, counted as they are stored, in one pass. Both give the same rows.
-    """
-    kept = store(links.select("a", "b"), "links")
-    if kept.rows <= one_task:
-        found = kept.table.coalesce(1).mapInArrow(_reached, "node long, root long")
-        return store(found, "components").table
-    return _by_stars(kept.table)
-
-
-def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    parts = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
-    ends = np.concatenate([np.zeros(0, np.int64), *(a for a, _ in parts), *(b for _, b in parts)])
-    nodes, place = np.unique(ends, return_inverse=True)
-    a, b = np.split(place, 2)
-    root, last = np.arange(len(nodes)), None
-    while last is None or (root != last).any():
-        last = root.copy()
-        low = np.minimum(root[a], root[b])
-        for end in (a, b):
-            np.minimum.at(root, end, low)
-            np.minimum.at(root, last[end], low)
-        root = root[root]
-    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root])], ["node", "root"])
-
-
-def _by_stars(pairs: DataFrame) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
+    """``node``, ``root``: the smallest node that links ``a``-``b`` reach, for every node of a link. By alternating stars."""
+    spark = links.sparkSession
+    made = store(links.select("a", "b"), "links")
+    pairs = made.table
     print_ = F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 30))).alias("print")
     last = None
     while True:
@@ -210,11 +183,13 @@ def _by_stars(pairs: DataFrame) -> DataFrame:
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
         # Large star: every larger neighbour hangs on the smallest.
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("root").alias("b"))
-        large = store(large.where("a <> b").distinct(), "large-star").table
+        stars = store(large.where("a <> b").distinct(), "large-star")
+        large = stars.table
         # Small star: a node and its smaller neighbours hang on the smallest of them.
         low = large.groupBy("a").agg(F.min("b").alias("root"))
         small = large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("root").alias("b"))
-        made = store(small.where("a <> b").distinct(), "small-star", print_)
+        before, made = made, store(small.where("a <> b").distinct(), "small-star", print_)
+        discard(spark, before.path, stars.path)
         pairs = made.table
         if (made.rows, made.seen["print"]) == last:
             roots = pairs.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -260,7 +235,8 @@ def link_classes(keyed: DataFrame, sets: DataFrame, percent: int = PERCENT) -> D
         rows = store(rows, "labelled").table
         spread = rows.groupBy("key").agg(F.min("own").alias("_low"), F.max("own").alias("_high"))
         spread = spread.where("_low <> _high").select("key")
-        held = store(rows.join(spread, "key", "left_semi"), "active")
+        spread = store(spread, "spread")
+        held = store(lookup_join(rows, spread.table, ["key"], spread.bytes <= BROADCAST_BYTES, "left_semi"), "active")
         if not held.rows:
             return roots
         rows = held.table
@@ -269,7 +245,8 @@ def link_classes(keyed: DataFrame, sets: DataFrame, percent: int = PERCENT) -> D
         hubs = rows.groupBy("key").agg(F.min(F.col("class").bitwiseXOR(salt)).alias("_hub"))
         hubs = hubs.select("key", F.col("_hub").bitwiseXOR(salt).alias("hub"))
         hubs = hubs.join(rows.select("key", F.col("class").alias("hub"), F.col("own").alias("other")), ["key", "hub"])
-        asked = store(_between(rows.join(hubs, "key")), "pairs")
+        hubs = store(hubs, "hubs")
+        asked = store(_between(lookup_join(rows, hubs.table, ["key"], hubs.bytes <= BROADCAST_BYTES)), "pairs")
         links = store(confirmed(asked.table, sets, percent), "confirmed")
         if links.rows:
             fresh = components(links.table if roots is None else _contracted(links.table, rows))
@@ -287,84 +264,46 @@ def link_classes(keyed: DataFrame, sets: DataFrame, percent: int = PERCENT) -> D
 
 
 def rest_links(active: DataFrame, roots: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components that still share a key, from comparing all classes of different ones.
-
-    Components that share keys, directly or through others, form a group. Its classes are cut into
-    blocks: a large component into blocks of its own, small ones together. Every two blocks meet
-    in one task, but for two of the same component; the task compares all pairs at once and returns
-    the few links that join components, so what is sent grows with classes x blocks and not with pairs.
-    """
+    """Links ``a``, ``b``, ``own_a``, ``own_b`` between components that still share a key."""
     if roots is None:
         rows = active.withColumn("own", F.col("class"))
     else:
         found = roots.withColumnRenamed("root", "own")
         rows = lookup_join(active, found, ["class"], fits_broadcast(found), "left")
         rows = rows.withColumn("own", F.coalesce("own", "class"))
-    low = rows.groupBy("key").agg(F.min("own").alias("_low"), F.max("own").alias("_high")).where("_low <> _high")
-    met = store(rows.join(low.select("key", "_low"), "key").select("class", "own", "_low"), "met").table
-    groups = components(met.where("own <> _low").select(F.col("own").alias("a"), F.col("_low").alias("b")).distinct())
-    groups = groups.select(F.col("node").alias("own"), F.col("root").alias("group"))
-    classes = store(met.select("class", "own").distinct().join(groups, "own"), "grouped").table
-
-    sizes = classes.groupBy("group", "own").agg(F.count(F.lit(1)).alias("_n"))
-    sizes = sizes.withColumn("_large", F.col("_n") > BLOCK // 2)
-    small = sizes.where("not _large").groupBy("group").agg(F.sum("_n").alias("_small"))
-    placed = classes.join(sizes, ["group", "own"]).join(small, "group", "left")
-    parts = F.ceil(F.when(F.col("_large"), F.col("_n")).otherwise(F.col("_small")) / BLOCK)
-    owner = F.when(F.col("_large"), F.col("own"))
-    spread = F.when(F.col("_large"), F.xxhash64("class")).otherwise(F.xxhash64("own"))
-    block = F.xxhash64("group", F.coalesce(owner, F.lit(0)), F.col("_large"), F.pmod(spread, parts))
-    placed = placed.select("group", "class", "own", owner.alias("owner"), block.alias("block"))
-    placed = store(placed.join(sets, "class"), "blocks").table
-    blocks = placed.groupBy("group", "block").agg(F.min("owner").alias("owner"))
-    other = blocks.select("group", F.col("block").alias("block2"), F.col("owner").alias("owner2"))
-    pairs = blocks.join(other, "group").where("block <= block2 and not (owner is not null and owner <=> owner2)")
-    pairs = pairs.select("group", "block", "block2").withColumn("pair", F.xxhash64("group", "block", "block2"))
-    meets = pairs.select("group", "pair", F.explode(F.array_distinct(F.array("block", "block2"))).alias("block"))
-    both = placed.join(meets, ["group", "block"]).select("pair", "class", "own", "shingles")
-    return both.groupBy("pair").applyInArrow(_compare(percent), "a long, b long, own_a long, own_b long").distinct()
-
-
-def _compare(percent: int) -> Callable[[pa.Table], pa.Table]:
-    """All pairs of two blocks by the product of their matrix of classes and shared shingles."""
-
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.sort_by("class")
-        names, own = table.column("class").to_numpy(), table.column("own").to_numpy()
-        lists = table.column("shingles").combine_chunks()
-        size = lists.value_lengths().to_numpy().astype(np.int64)
-        row = np.repeat(np.arange(len(names)), size)
-        _, column, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
-        number = np.cumsum(times > 1) - 1  # shingles of one class alone can't be shared
-        kept = times[column] > 1
-        row, column = row[kept], number[column[kept]]
-        order = np.argsort(column, kind="stable")
-        row, column = row[order], column[order]
-        shared = np.zeros((len(names), len(names)), np.float32)
-        for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            first, last = np.searchsorted(column, [start, start + COLUMNS])
-            part = np.zeros((len(names), COLUMNS), np.float32)
-            part[row[first:last], column[first:last] - start] = 1
-            shared += part @ part.T
-        union = size[:, None] + size[None, :] - shared
-        link = np.triu((100 * shared >= percent * union) & (own[:, None] != own[None, :]), 1)
-        parent: dict[int, int] = {}
-
-        def find(node: int) -> int:
-            while parent.get(node, node) != node:
-                node = parent[node]
-            return node
-
-        out = []
-        for i, j in zip(*np.nonzero(link), strict=True):
-            low, high = sorted((find(int(own[i])), find(int(own[j]))))
-            if low != high:  # links inside what has grown together say nothing new
-                parent[high] = low
-                out.append((int(names[i]), int(names[j]), int(own[i]), int(own[j])))
-        columns = np.array(out, np.int64).reshape(-1, 4)
-        return pa.Table.from_arrays([pa.array(columns[:, k]) for k in range(4)], ["a", "b", "own_a", "own_b"])
-
-    return compare
+    apart = rows.groupBy("key").agg(F.min("own").alias("_low"), F.max("own").alias("_high")).where("_low <> _high")
+    apart = store(apart.select("key"), "apart")
+    met = lookup_join(rows, apart.table, ["key"], apart.bytes <= BROADCAST_BYTES, "left_semi")
+    classes = store(met.select("class", "own").distinct(), "met").table
+    asked = store(candidates(classes, sets, percent), "candidates").table
+    return confirmed(asked, sets, percent)
+
+
+def candidates(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a`` < ``b``, ``own_a``, ``own_b``: classes of different components that can be linked, by a prefix filter.
+
+    Two sets that share ``percent`` of their union share at least ``ceil(percent * size / 100)`` shingles of each. So if the
+    shingles of all sets are put in one order, they share one among the first ``size - ceil(percent * size / 100) + 1`` of each.
+    In order of how many classes have them, these are the rarest ones; those that no other class has are only counted.
+    What is sent is one row for each shingle of a class, then one for each candidate.
+    """
+    held = classes.join(sets, "class").select("class", "own", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
+    often = held.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = held.join(often, "token")
+    first = Window.partitionBy("class").orderBy("n", "token")
+    placed = shared.withColumn("place", F.row_number().over(first))
+    counted = shared.groupBy("class").agg(F.count(F.lit(1)).alias("known"))
+    needed = F.expr(f"size - cast(ceil(size * {percent} / 100) as int) + 1 - (size - known)")
+    prefix = placed.join(counted, "class").where(F.col("place") <= needed).select("token", "class", "own", "size")
+    prefix = store(prefix, "prefixes").table
+
+    def side(mark: str) -> DataFrame:
+        return prefix.select("token", *(F.col(name).alias(f"{name}_{mark}") for name in ("class", "own", "size")))
+
+    both = side("a").join(side("b"), "token").where("class_a < class_b and own_a <> own_b")
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    both = both.where(100 * small >= percent * large)
+    return both.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "own_a", "own_b").distinct()
 
 
 def _contracted(links: DataFrame, rows: DataFrame) -> DataFrame:
