@@ -267,3 +267,34 @@ def test_op13_against_the_library(spark, library):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (place, len(ids), zlib.crc32(ids.tobytes()))
         place += len(ids)
     assert len(found) == len(docs)
+
+
+# Language identification: very long words ----------------------------------------------------------
+
+
+def test_blocks_of_a_long_word_sum_all_segmentations(monkeypatch):
+    from threadloom.llm import language_id as li
+
+    pieces = li.load_pieces()
+    assert pieces.longest == 33
+    probability = np.random.default_rng(0).random((len(pieces.keys), 3)) ** 4 / 1000 + 1e-12
+    model = li.Model(pieces, ["a", "b", "c"], probability)
+    rng = random.Random(1)
+    for length in (1, 5, 47, 48, 49, 96, 500, 3000):
+        word = "".join(rng.choice("the  ing日本語のテキスト----========") for _ in range(length)).encode()[:length]
+        for block in (1 << 14, 100, 7):
+            monkeypatch.setattr(li, "BLOCK", block)
+            assert np.allclose(li._blocked_word(model, word), li._long_word(model, word), rtol=1e-10), (length, block)
+
+
+def test_a_megabyte_without_blanks(spark):
+    import time
+
+    from threadloom.llm import language_id as li
+
+    rows = [(k, text, lang) for k, (text, lang) in enumerate([("the cat sat on the mat", "en"), ("das ist ein haus", "de")] * 20)]
+    model = li.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    began = time.time()
+    logs = next(iter(li.text_logs(model, iter([["thecatsatonthemat" * 60_000, "日本語" * 30_000]]))))
+    assert np.isfinite(logs).all() and model.languages[logs[0].argmax()] == "en"
+    assert time.time() - began < 60

@@ -10,8 +10,9 @@ expected uses of every piece over all segmentations of the training words. Train
 documented sample: per language the ``per_language`` documents with the smallest hash of their id.
 The model holds pieces x languages numbers, whatever the corpus.
 
-Words of one length are handled together in numpy; words of more than ``SHORT`` bytes one by one,
-rescaled at each byte. Null texts and texts without a letter are ``und`` with score 0. Very long texts
+Words of one length are handled together in numpy; words of more than ``SHORT`` bytes one by one, rescaled at each byte.
+A word of more than ``BLOCKED`` bytes (a text without blanks may be one) is read block by block, in bounded memory: only the
+sums of the last few bytes go on, scaled. In training, and only there, words are cut at ``TRAINED`` bytes. Null texts and texts without a letter are ``und`` with score 0. Very long texts
 are scored whole. Repeated rows score alike; an even score goes to the first language by name.
 Without a labelled row every text is ``und``. An empty table gives an empty result.
 """
@@ -35,8 +36,11 @@ from threadloom.llm.words import smallest_by_hash
 from threadloom.plans.materialize import store
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LONGEST = 24
 SHORT = 32
+#: Longer words are read in blocks of ``BLOCK`` bytes; sums are scaled after each ``SCALED`` bytes.
+BLOCKED, BLOCK, SCALED = 512, 1 << 14, 12
+#: Bytes at which training words are cut.
+TRAINED = 1024
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LETTER = regex.compile(r"\p{L}")
 #: Words whose log probabilities a task keeps at once; beyond that it starts afresh.
@@ -45,10 +49,11 @@ TOKENS_AT_ONCE = 200_000
 
 
 class Pieces(NamedTuple):
-    """Hashes of the pieces in ascending order, and a table of which top bits occur."""
+    """Hashes of the pieces in ascending order, a table of which top bits occur, and the bytes of the longest piece."""
 
     keys: np.ndarray
     present: np.ndarray
+    longest: int
 
 
 class Model(NamedTuple):
@@ -62,23 +67,20 @@ def _extend(held: np.ndarray, byte: np.ndarray) -> np.ndarray:
 
 
 def load_pieces(path: str | None = None) -> Pieces:
-    """The vocabulary's pieces of at most ``LONGEST`` bytes."""
-    found = []
+    """All pieces of the vocabulary."""
     with open(path or public_tokenizers.path(VOCABULARY), "rb") as lines:
-        for line in lines:
-            piece = base64.b64decode(line.split()[0])
-            if len(piece) <= LONGEST:
-                found.append(piece)
+        found = [base64.b64decode(line.split()[0]) for line in lines]
+    longest = max(map(len, found))
     with np.errstate(over="ignore"):
         held = np.zeros(len(found), np.uint64)
-        for k in range(LONGEST):
+        for k in range(longest):
             more = np.array([len(p) > k for p in found])
             byte = np.array([p[k] if len(p) > k else 0 for p in found], np.uint64)
             held = np.where(more, _extend(held, byte), held)
     keys = np.unique(held)
     present = np.zeros(1 << 20, bool)
     present[keys >> np.uint64(44)] = True
-    return Pieces(keys, present)
+    return Pieces(keys, present, longest)
 
 
 def _matches(pieces: Pieces, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +97,7 @@ def _steps(pieces: Pieces, letters: np.ndarray) -> list[tuple[int, int, np.ndarr
     with np.errstate(over="ignore"):
         for start in range(length):
             held = np.zeros(len(letters), np.uint64)
-            for end in range(start + 1, min(length, start + LONGEST) + 1):
+            for end in range(start + 1, min(length, start + pieces.longest) + 1):
                 held = _extend(held, letters[:, end - 1])
                 rows, numbers = _matches(pieces, held)
                 if len(rows):
@@ -103,17 +105,46 @@ def _steps(pieces: Pieces, letters: np.ndarray) -> list[tuple[int, int, np.ndarr
     return found
 
 
-def _long_word(model: Model, word: bytes, uses: np.ndarray | None = None, times: np.ndarray | None = None) -> np.ndarray:
-    """Log probabilities of one long word; adds its expected uses of pieces times ``times``."""
+def _numbers(pieces: Pieces, word: bytes) -> np.ndarray:
+    """The piece that ends at each byte with each length, -1 if there is none: by end - 1 and length - 1."""
     letters = np.frombuffer(word, np.uint8).astype(np.uint64)
-    length = len(letters)
-    numbers = np.full((length, LONGEST), -1)  # by end - 1 and piece length - 1
+    numbers = np.full((len(letters), pieces.longest), -1, np.int32)
     with np.errstate(over="ignore"):
-        held = np.zeros(length, np.uint64)
-        for size in range(1, min(LONGEST, length) + 1):
-            held = _extend(held[: length - size + 1], letters[size - 1 :])
-            at, place = _matches(model.pieces, held)
+        held = np.zeros(len(letters), np.uint64)
+        for size in range(1, min(pieces.longest, len(letters)) + 1):
+            held = _extend(held[: len(letters) - size + 1], letters[size - 1 :])
+            at, place = _matches(pieces, held)
             numbers[at + size - 1, size - 1] = place
+    return numbers
+
+
+def _blocked_word(model: Model, word: bytes) -> np.ndarray:
+    """Log probabilities of one very long word, see the module's text. Plain numbers are faster here than short arrays."""
+    longest, width = model.pieces.longest, len(model.languages)
+    recent, log = [[0.0] * width] * (longest - 1) + [[1.0] * width], np.zeros(width)  # the last sums, over exp(log)
+    for first in range(0, len(word), BLOCK):
+        before = min(first, longest - 1)
+        numbers = _numbers(model.pieces, word[first - before : first + BLOCK])[before:]
+        ends, sizes = np.nonzero(numbers >= 0)
+        chances = model.probability[numbers[ends, sizes]].tolist()
+        starts = np.searchsorted(ends, np.arange(len(numbers) + 1)).tolist()
+        back = (-1 - sizes).tolist()
+        for at in range(len(numbers)):
+            total = [0.0] * width
+            for k in range(starts[at], starts[at + 1]):
+                total = [t + f * p for t, f, p in zip(total, recent[back[k]], chances[k])]
+            recent.append(total)
+            if at % SCALED == SCALED - 1 or at == len(numbers) - 1:
+                most = [max(column) for column in zip(*recent[-longest:])]
+                recent = [[f / m for f, m in zip(row, most)] for row in recent[-longest:]]
+                log += np.log(most)
+    return log + np.log(recent[-1])
+
+
+def _long_word(model: Model, word: bytes, uses: np.ndarray | None = None, times: np.ndarray | None = None) -> np.ndarray:
+    """Log probabilities of one long word; adds its expected uses of pieces times ``times``."""
+    length, longest = len(word), model.pieces.longest
+    numbers = _numbers(model.pieces, word)
     width = len(model.languages)
     forward, logs = np.ones((length + 1, width)), np.zeros((length + 1, width))
     for end in range(1, length + 1):
@@ -124,7 +155,7 @@ def _long_word(model: Model, word: bytes, uses: np.ndarray | None = None, times:
     if uses is not None:
         after = np.zeros((length + 1, width))  # log of the backward sums
         for start in range(length - 1, -1, -1):
-            sizes = [s for s in range(1, min(LONGEST, length - start) + 1) if numbers[start + s - 1, s - 1] >= 0]
+            sizes = [s for s in range(1, min(longest, length - start) + 1) if numbers[start + s - 1, s - 1] >= 0]
             part = np.array([np.log(model.probability[numbers[start + s - 1, s - 1]]) + after[start + s] for s in sizes])
             after[start] = np.logaddexp.reduce(part, axis=0)
             for s, value in zip(sizes, part, strict=True):
@@ -142,7 +173,10 @@ def word_logs(model: Model, words: list[bytes], times: np.ndarray | None = None)
         at = np.flatnonzero(sizes == size)
         if size > SHORT:
             for k in at:
-                logs[k] = _long_word(model, words[k], uses, None if times is None else times[k])
+                if uses is None and size > BLOCKED:
+                    logs[k] = _blocked_word(model, words[k])
+                else:
+                    logs[k] = _long_word(model, words[k], uses, None if times is None else times[k])
             continue
         letters = np.frombuffer(b"".join(words[k] for k in at), np.uint8).reshape(len(at), size).astype(np.uint64)
         steps = _steps(model.pieces, letters)
@@ -180,7 +214,9 @@ def training_words(labelled: DataFrame, per_language: int) -> DataFrame:
         counts: dict[str, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.setdefault(lang, Counter()).update(words_of(text or ""))
+                for word in words_of(text or ""):
+                    own = counts.setdefault(lang, Counter())
+                    own.update(word[at : at + TRAINED] for at in range(0, len(word), TRAINED))
         for lang, words in counts.items():
             yield pa.RecordBatch.from_pydict(
                 {"lang": [lang] * len(words), "word": list(words), "n": list(words.values())},
