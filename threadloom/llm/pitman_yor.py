@@ -14,9 +14,9 @@ Discounts and strengths are given (``Shape``). Within a sweep the restaurants of
 
 How it is spread out:
 
-1. Words that make up more than a small share of some chunk are counted: the heavy contexts.
-2. Documents are read once and become chunks of about ``CHUNK_TOKENS`` tokens, stored: word hashes and the
+1. Documents are read once and become chunks of about ``CHUNK_TOKENS`` tokens, stored: word hashes and the
    text as numbers. A word is its 64-bit hash from here on.
+2. Words that make up more than a small share of some chunk are counted: the heavy contexts.
 3. A chunk sends its distinct pairs with their training counts to buckets of contexts. A heavy
    context is spread over all buckets by the second word, so that no context is one task. A
    bucket adds the counts up.
@@ -39,7 +39,6 @@ gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -125,29 +124,19 @@ def seat_parent(customers: np.ndarray, known: Known, shape: Shape, seed: list[in
 # --- chunks
 
 
-def _heavy_words(docs: DataFrame) -> DataFrame:
-    """``word``, ``n`` of words that are frequent in some part of the training texts; word null: all tokens."""
+def _heavy_words(rows: DataFrame) -> DataFrame:
+    """``word``, ``n`` of words that are frequent in some chunk; word null: all tokens."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def report(found: Counter, tokens: int) -> pa.RecordBatch:
-            often = {word: n for word, n in found.items() if n >= max(2, HEAVY * tokens)}
-            hashes = np.array([xxhash.xxh3_64_intdigest(word) for word in often], np.uint64).view(np.int64)
-            names, sums = [None, *hashes.tolist()], [tokens, *often.values()]
-            return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sums, pa.int64())], ["word", "n"])
-
-        found, tokens = Counter(), 0
         for batch in batches:
-            for text in raw_texts(batch.column(0)):
-                words = text.lower().split()
-                found.update(words)
-                tokens += len(words) + 1
-                if tokens >= CHUNK_TOKENS:
-                    yield report(found, tokens)
-                    found, tokens = Counter(), 0
-        if tokens:
-            yield report(found, tokens)
+            for words, line in zip(*(column.to_pylist() for column in batch.columns)):
+                words, line = expand_sorted(words), expand(line, np.int32)
+                found = np.bincount(line, minlength=len(words))
+                often = np.flatnonzero((found >= max(2, HEAVY * len(line))) & (words != END))
+                names, sums = [None, *words[often].view(np.int64).tolist()], [len(line), *found[often].tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sums, pa.int64())], ["word", "n"])
 
-    return docs.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.select("words", "line").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -624,7 +613,9 @@ def score_documents(
 
 
 def _score(docs: DataFrame, shape: Shape) -> DataFrame:
-    counted = store(_heavy_words(docs), "heavy-words").table
+    made = store(chunks(docs), "chunks")
+    rows, count = made.table, max(1, made.rows)
+    counted = store(_heavy_words(rows), "heavy-words").table
     tokens = counted.where("word is null").agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
     word_bits = max(0, (buckets - 1).bit_length() - 1)
@@ -633,8 +624,6 @@ def _score(docs: DataFrame, shape: Shape) -> DataFrame:
     heavy = [row["word"] for row in often.collect()]  # at most 1 / HEAVY words
     heavy = np.unique(np.append(np.array(heavy, np.int64).view(np.uint64), START)) if buckets > 1 else np.zeros(0, np.uint64)
 
-    made = store(chunks(docs), "chunks")
-    rows, count = made.table, max(1, made.rows)
     asked = ask_pairs(rows, buckets, heavy).repartition(buckets, "bucket")
     seated, path, known = seat_contexts(asked, buckets, word_bits, heavy, shape)
     # Of the type of the other side: an int and a long are hashed to different tasks.

@@ -219,16 +219,16 @@ def draw_tables(
     Discount and chance lie between 0 and 1, both excluded.
     """
     tables = np.minimum(customers, 1).astype(np.int64)
-    order = np.argsort(customers, kind="stable")
+    order = np.flatnonzero(customers > 1)  # the others have no choice
+    order = order[np.argsort(customers[order], kind="stable")]
     ordered = customers[order]
-    counts, first = np.unique(ordered, return_index=True)
-    others, chance = others.astype(float), np.maximum(chance.astype(float), 1e-300)
-    for count, a, b in zip(counts.tolist(), first.tolist(), [*first[1:].tolist(), len(ordered)]):
-        if 2 <= count <= TABULATED:
-            at = order[a:b]
-            tables[at] = _tabulated(count, others[at], chance[at], discount, strength, draw)
-    at = order[np.searchsorted(ordered, TABULATED, "right") :]
-    if len(at):
-        held = np.zeros(len(at)) if before is None else before[at].astype(float)
-        tables[at] = _proposed(customers[at].astype(float), others[at], chance[at], held, discount, strength, draw)
+    others, chance = others[order].astype(float), np.maximum(chance[order].astype(float), 1e-300)
+    first = np.flatnonzero(np.diff(ordered, prepend=0))
+    for a, b in zip(first.tolist(), [*first[1:].tolist(), len(ordered)]):
+        if ordered[a] <= TABULATED:
+            tables[order[a:b]] = _tabulated(int(ordered[a]), others[a:b], chance[a:b], discount, strength, draw)
+    at = np.searchsorted(ordered, TABULATED, "right")
+    if at < len(ordered):
+        held = np.zeros(len(ordered) - at) if before is None else before[order[at:]].astype(float)
+        tables[order[at:]] = _proposed(ordered[at:].astype(float), others[at:], chance[at:], held, discount, strength, draw)
     return tables
