@@ -653,5 +653,5 @@ def test_smallest_by_hash(spark):
 
 
 def test_every_query_is_registered():
-    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5

@@ -10,7 +10,9 @@ the documents.
 
 The counts are made twice, for the sums and for the verdicts: that is cheaper than
 keeping a copy of the texts. Null texts have no words. A null host is a host of its own. Repeated rows
-count once each. An empty table gives an empty result.
+count once each. Very long texts are counted whole; ties don't arise. An empty table gives an empty result. Columns of the input
+that are named like one of the result (``_counts``, ``base_failed``, ``host_refused``, ``kept``) give way to it; all others come
+back as they were, whatever their names.
 """
 
 from __future__ import annotations
@@ -88,16 +90,22 @@ def rules(count: dict[str, Column]) -> dict[str, Column]:
     }
 
 
+RESULT = ["_counts", "base_failed", "host_refused", "kept"]
+
+
 def _with_rules(docs: DataFrame, text: str, host: str) -> DataFrame:
-    made = docs.withColumn("_counts", text_counts(F.col(f"`{text}`")))
-    made = made.withColumn("_host", F.coalesce(F.concat(F.lit("="), F.col(f"`{host}`").cast("string")), F.lit("")))
+    """``_counts``, ``_host``, ``_failed`` and the columns of ``docs`` as ``_given``."""
+    given = F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_given")
+    named = F.coalesce(F.concat(F.lit("="), F.col(f"`{host}`").cast("string")), F.lit("")).alias("_host")
+    made = docs.select(text_counts(F.col(f"`{text}`")).alias("_counts"), named, given)
     failed = rules({name: F.col(f"_counts.{name}") for name in COUNTS})
     return made.withColumn("_failed", F.struct(*(value.alias(name) for name, value in failed.items())))
 
 
 def host_rates(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
     """Host (``_host``), rule, documents ``n``, failures ``failed``."""
-    marked = _with_rules(docs.select(F.col(f"`{text}`"), F.col(f"`{host}`")), text, host)
+    needed = dict.fromkeys([text, host])  # the same column may be both
+    marked = _with_rules(docs.select(*(F.col(f"`{name}`") for name in needed)), text, host).drop("_given")
     names = list(rules({name: F.lit(0) for name in COUNTS}))
     sums = marked.groupBy("_host").agg(
         F.count(F.lit(1)).alias("n"), *(F.sum(F.col(f"_failed.{name}").cast("long")).alias(name) for name in names)
@@ -135,11 +143,8 @@ def apply_host_rules(docs: DataFrame, text: str = "text", host: str = "source")
     refused = store(judged.where("refused").select("_host").distinct(), "hosts").table.withColumn("_refused", F.lit(True))
     small = fits_broadcast(refused)
     out = lookup_join(_with_rules(docs, text, host), refused, ["_host"], small, "left")
-    base = F.col("_failed.base")
-    host_refused = F.coalesce(F.col("_refused"), F.lit(False))
-    return (
-        out.withColumn("base_failed", base)
-        .withColumn("host_refused", host_refused)
-        .withColumn("kept", ~base & ~host_refused)
-        .drop("_failed", "_refused", "_host")
+    base, host_refused = F.col("_failed.base"), F.coalesce(F.col("_refused"), F.lit(False))
+    kept = [F.col(f"_given.`{name}`").alias(name) for name in docs.columns if name not in RESULT]
+    return out.select(
+        *kept, "_counts", base.alias("base_failed"), host_refused.alias("host_refused"), (~base & ~host_refused).alias("kept")
     )

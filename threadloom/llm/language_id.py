@@ -12,7 +12,7 @@ The model holds pieces x languages numbers, whatever the corpus.
 
 Words of one length are handled together in numpy; words of more than ``SHORT`` bytes one by one, rescaled at each byte.
 A word of more than ``BLOCKED`` bytes (a text without blanks may be one) is read block by block, in bounded memory: only the
-sums of the last few bytes go on, scaled. In training, and only there, words are cut at ``TRAINED`` bytes. Null texts and texts without a letter are ``und`` with score 0. Very long texts
+sums of the last few bytes go on, scaled. In training, and only there, words are cut at ``TRAINED`` bytes. Null texts and texts without a letter are ``und`` with score and gain 0. Very long texts
 are scored whole. Repeated rows score alike; an even score goes to the first language by name.
 Without a labelled row every text is ``und``. An empty table gives an empty result.
 """
@@ -263,7 +263,9 @@ def _expect(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
     return expect
 
 
-RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+RESULT = T.StructType(
+    [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("gain", T.DoubleType())]
+)
 
 
 def text_logs(model: Model, batches: Iterator[list[str | None]]) -> Iterator[np.ndarray]:
@@ -290,7 +292,16 @@ def text_logs(model: Model, batches: Iterator[list[str | None]]) -> Iterator[np.
 
 
 def identify(model: Model) -> Callable[[Column], Column]:
-    """A column function from text to ``lang_pred`` and ``score``."""
+    """A column function from text to ``lang_pred``, ``score`` and ``gain``.
+
+    ``score`` is the posterior of the language among the learned ones. It says nothing about texts in none of them;
+    ``gain`` does: the logarithm, for each byte, of the language's odds against a background in which all pieces of the
+    vocabulary are equally likely. Texts of other languages and letter junk are below 0, as their pieces are rarer in the language
+    than that.
+    """
+    flat = np.full((len(model.pieces.keys), 1), 1.0 / len(model.pieces.keys))
+    # The background is one more language, the last one.
+    both = model._replace(languages=[*model.languages, ""], probability=np.hstack([model.probability, flat]))
 
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         def read() -> Iterator[list[str | None]]:
@@ -299,18 +310,23 @@ def identify(model: Model) -> Callable[[Column], Column]:
                 yield held[-1]
 
         held: list[list[str | None]] = []
-        for logs in text_logs(model, read()):
+        for logs in text_logs(both, read()):
             texts = held.pop()
+            logs, background = logs[:, :-1], logs[:, -1]
             has = np.array([bool(model.languages) and text is not None and bool(LETTER.search(text)) for text in texts], bool)
-            share = np.exp(logs - logs.max(1, keepdims=True)) if model.languages else np.zeros((len(texts), 1))
+            most = logs.max(1) if model.languages else background
+            share = np.exp(logs - most[:, None]) if model.languages else np.zeros((len(texts), 1))
             best = share.argmax(1)
             top = np.where(has, 1.0 / np.maximum(share.sum(1), 1.0), 0.0)
+            sizes = np.array([max(1, len((text or "").encode(errors="replace"))) for text in texts])
+            gain = np.where(has, (most - background) / sizes, 0.0)
             names = [model.languages[k] if letter else "und" for k, letter in zip(best, has, strict=True)]
-            yield pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(top)], ["lang_pred", "score"])
+            values = [pa.array(names, pa.string()), pa.array(top), pa.array(gain)]
+            yield pa.StructArray.from_arrays(values, RESULT.fieldNames())
 
     return F.arrow_udf(score, RESULT)
 
 
-def accepted(found: Column, least: float = 0.5) -> Column:
-    """True for a text in a learned language, with at least ``least`` of the posterior."""
-    return (found["lang_pred"] != "und") & (found["score"] >= least)
+def accepted(found: Column, least: float = 0.5, gain: float = 0.0) -> Column:
+    """True for a text in a learned language: at least ``least`` of the posterior, and likelier than the background."""
+    return (found["lang_pred"] != "und") & (found["score"] >= least) & (found["gain"] > gain)

@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadloom.llm.words import raw_texts
 from threadloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
@@ -96,9 +97,18 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
         return _mixed(keys * STEP + np.arange(BANDS, dtype=np.uint64))
 
 
-def row_key(columns: list[str]) -> Column:
-    """A hash of the ``columns``, nulls told apart: the same for rows that are equal in them."""
-    return F.xxhash64(*(F.col(f"`{name}`") for name in columns), *(F.col(f"`{name}`").isNull() for name in columns))
+def row_key(rows: DataFrame) -> Column:
+    """A hash of all columns, nulls told apart: the same for rows that are equal in them.
+
+    Maps, which have no hash, count by their JSON text, so equal ones in another order are told apart.
+    """
+
+    def hashed(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        unordered = '"map"' in field.dataType.json() or "variant" in field.dataType.simpleString()
+        return F.to_json(F.struct(column)) if unordered else column
+
+    return F.xxhash64(*map(hashed, rows.schema), *(F.col(f"`{name}`").isNull() for name in rows.columns))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -328,7 +338,7 @@ def _relabelled(roots: DataFrame | None, fresh: DataFrame) -> DataFrame:
 def group_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept."""
     named = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    out = grouped_rows(named.withColumn("row_key", row_key(["doc_id", "text"])), percent)
+    out = grouped_rows(named.withColumn("row_key", row_key(named)), percent)
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     return out.select("doc_id", "n_shingles", "component_id", kept)
 

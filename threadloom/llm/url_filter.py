@@ -120,14 +120,16 @@ def judge_urls(
     sizes: Sequence[int] = (3, 4),
     buckets: int = 1 << 14,
 ) -> DataFrame:
-    """``pages`` with ``host``, ``path``, ``rule``, ``score`` (of being unwanted) and ``verdict``."""
+    """``pages`` with ``host``, ``path``, ``rule``, ``score`` (of being unwanted) and ``verdict``.
+
+    Columns of ``pages`` with one of these names give way; all others come back as they were, whatever their names.
+    """
     model = train(labelled if labelled is not None else labelled_urls(pages.sparkSession), sizes, buckets)
-    scored = model.transform(_featured(pages, url, sizes, buckets))
+    given = F.struct(*(F.col(f"`{name}`") for name in pages.columns)).alias("_given")
+    scored = model.transform(_featured(pages.select(F.col(f"`{url}`").alias("url"), given), "url", sizes, buckets))
     rule, says = winning_rule(F.col("host"), F.col("path"), rules)
     score = F.element_at(vector_to_array(F.col("_probability")), 2)
-    return (
-        scored.withColumn("rule", rule)
-        .withColumn("score", score)
-        .withColumn("verdict", F.coalesce(says, F.when(F.col("score") >= 0.5, "block").otherwise("allow")))
-        .drop("_grams", "_features", "_raw", "_probability", "_predicted")
-    )
+    verdict = F.coalesce(says, F.when(score >= 0.5, "block").otherwise("allow"))
+    made = {"host": F.col("host"), "path": F.col("path"), "rule": rule, "score": score, "verdict": verdict}
+    kept = [F.col(f"_given.`{name}`").alias(name) for name in pages.columns if name not in made]
+    return scored.select(*kept, *(value.alias(name) for name, value in made.items()))
