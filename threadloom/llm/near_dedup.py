@@ -10,8 +10,8 @@
    still share a key, for a few further pairs with other hubs. When rounds stop finding many links, what is left is searched
    exactly: of each class that still shares a key with another component, the rarest shingles are listed, as many as it can't
    do without in a link (a prefix filter); classes of different components that share one of them and are of like size are
-   the candidates. So no link that the keys show is lost, and texts that share common passages only, however many, don't
-   meet. Every link is confirmed on the two whole sets.
+   the candidates if their bitmaps allow a link too: two sets differ in at least as many shingles as their bitmaps in bits.
+   So no link that the keys show is lost, and texts that share common passages only, however many, don't meet. Every link is confirmed on the two whole sets.
 4. Components of the links by alternating large and small stars, then the smallest document id of each.
 
 Exact copies meet once, in the partial sums of step 1, so a group of copies with a third of all rows is one
@@ -45,6 +45,8 @@ KEPT_WORDS = 250_000
 SHINGLES_AT_ONCE = 100_000
 #: Pairs of classes that one round checks for one pair of components.
 TRIES = 4
+#: Bits of a set's bitmap.
+BITS = 4096
 #: Hub rounds, two at least, go on while this share of the checked pairs turn out to be links.
 WORTH = 0.02
 
@@ -295,27 +297,53 @@ def candidates(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Two sets that share ``percent`` of their union share at least ``ceil(percent * size / 100)`` shingles of each. So if the
     shingles of all sets are put in one order, they share one among the first ``size - ceil(percent * size / 100) + 1`` of each.
     In order of how many classes have them, these are the rarest ones; those that no other class has are only counted.
-    What is sent is one row for each shingle of a class, then one for each candidate.
+    What two sets of ``n`` shingles in all may differ in is ``(100 - percent) * n / (100 + percent)`` of them, and each bit
+    in which their bitmaps differ is one. What is sent is one row for each shingle of a class, then the prefixes with the
+    bitmaps, then one row for each pair that passes both tests.
     """
-    held = classes.join(sets, "class").select("class", "own", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
-    often = held.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = held.join(often, "token")
+    held = store(classes.join(sets, "class"), "met-sets").table
+    tokens = held.select("class", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = tokens.join(often, "token")
     first = Window.partitionBy("class").orderBy("n", "token")
-    placed = shared.withColumn("place", F.row_number().over(first))
-    counted = shared.groupBy("class").agg(F.count(F.lit(1)).alias("known"))
+    known = F.count(F.lit(1)).over(Window.partitionBy("class"))
+    placed = shared.withColumn("place", F.row_number().over(first)).withColumn("known", known)
     needed = F.expr(f"size - cast(ceil(size * {percent} / 100) as int) + 1 - (size - known)")
-    prefix = placed.join(counted, "class").where(F.col("place") <= needed).select("token", "class", "own", "size")
-    prefix = store(prefix, "prefixes").table
+    prefix = placed.where(F.col("place") <= needed).select("token", "class", "size").join(_bitmaps(held), "class")
+    # A token that is in one prefix only makes no pair.
+    twice = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
+    prefix = store(prefix.join(twice, "token"), "prefixes").table
 
     def side(mark: str) -> DataFrame:
-        return prefix.select("token", *(F.col(name).alias(f"{name}_{mark}") for name in ("class", "own", "size")))
+        return prefix.select("token", *(F.col(name).alias(f"{name}_{mark}") for name in ("class", "own", "size", "bits")))
 
-    both = side("a").join(side("b"), "token").where("class_a < class_b and own_a <> own_b")
     small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-    both = both.where(100 * small >= percent * large)
+    differing = F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differing, F.lit(0), lambda n, more: n + more)
+    alike = (100 * small >= percent * large) & ((100 + percent) * apart <= (100 - percent) * (small + large))
+    one, two = side("a"), side("b").withColumnRenamed("token", "token_b")
+    meet = (F.col("token") == F.col("token_b")) & F.expr("class_a < class_b and own_a <> own_b") & alike
+    both = one.join(two, meet)
     return both.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"), "own_a", "own_b").distinct()
 
 
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """``class``, ``own`` and 64-bit words in which every shingle of the set has set one of ``BITS`` bits."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy())
+            bits = np.zeros((len(batch), BITS), np.uint8)
+            bits[row, lists.flatten().to_numpy().view(np.uint64) % np.uint64(BITS)] = 1
+            words = np.packbits(bits, axis=1, bitorder="little").view("<i8")
+            ends = pa.array(np.arange(len(batch) + 1) * words.shape[1], pa.int32())
+            made = pa.ListArray.from_arrays(ends, pa.array(words.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], ["class", "own", "bits"])
+
+    return sets.select("class", "own", "shingles").mapInArrow(make, "class long, own long, bits array<bigint>")
+
+
 def _contracted(links: DataFrame, rows: DataFrame) -> DataFrame:
     """Links between classes as links between their components."""
     own = rows.select("class", "own").distinct()
