@@ -655,3 +655,23 @@ def test_smallest_by_hash(spark):
 def test_every_query_is_registered():
     assert [int(name[2:].split("_")[0]) for name in queries.QUERIES] == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
+
+def test_next_texts_with_and_without_ids(spark):
+    """Every mix of ids, null ids and repeated rows, in ranges of two rows, against a sorted list."""
+    draw = random.Random(3)
+    for kind in ("long", "string"):
+        for named, nameless in ((0, 0), (1, 0), (0, 1), (12, 0), (0, 15), (13, 14), (9, 1), (30, 3)):
+            rows = [(draw.randrange(20), f"text {draw.randrange(40)}") for _ in range(named)]
+            rows += [(None, draw.choice(["", f"none {draw.randrange(9)}"])) for _ in range(nameless)]
+            rows = [(None if i is None else i if kind == "long" else f"id{i:02d}", t) for i, t in rows]
+            df = spark.createDataFrame(rows, f"doc_id {kind}, text string")
+            hashed = df.select("doc_id", "text", F.shiftrightunsigned(F.xxhash64("text"), 1).alias("h")).collect()
+            with_id = sorted((r for r in hashed if r["doc_id"] is not None), key=lambda r: r["text"])
+            with_id = sorted(with_id, key=lambda r: r["doc_id"], reverse=True)
+            order = [(r["doc_id"], r["text"]) for r in with_id]
+            order += [(None, r["text"]) for r in sorted((r for r in hashed if r["doc_id"] is None), key=lambda r: (r["h"], r["text"]))]
+            want = Counter((i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order))
+            found = fingerprints.with_next(df, 2).select("doc_id", "text", "next_text").collect()
+            assert Counter(map(tuple, found)) == want, (kind, named, nameless)
+    many = spark.range(300).selectExpr("cast(null as bigint) as doc_id", "concat('t', id) as text")
+    assert len(fingerprints.hash_starts(many, 10)) > 20  # not one range

@@ -11,11 +11,13 @@ eight bits allow: (share - 1/256) / (1 - 1/256), at least 0.
 
 The work is DataFrame expressions over arrays of one row, whose size is that of its text. A
 null or empty text, or one without words, has the fingerprint "" and the likeness 1 to another such
-and 0 to the rest. Repeated rows get equal fingerprints.
+and 0 to the rest. Very long texts have longer arrays and nothing else. Repeated rows get equal fingerprints; where ids are equal
+the texts say what comes next. Columns other than the id and the text are left out first. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,7 +30,6 @@ BIN_BITS = 7
 WIDTH = 5
 CHANCE = 1 / 256
 ROWS_PER_RANGE = 2048
-MOST_RANGES = 16_384
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -109,62 +110,77 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(empty, F.lit(1.0)).when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(both)
 
 
-def range_ends(docs: DataFrame, rows: int = ROWS_PER_RANGE) -> list[int]:
-    """The largest ids of consecutive ranges of ids, at most ``MOST_RANGES``: that many numbers come to the driver."""
+def range_ends(docs: DataFrame, rows: int = ROWS_PER_RANGE) -> list:
+    """The largest ids of consecutive ranges of about ``rows`` ids; a number for each range comes to the driver."""
     ids = docs.select("doc_id").where("doc_id is not null")
-    ranges = min(MOST_RANGES, ids.count() // rows + 1)
-    parts = ids.repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id().alias("part"))
+    parts = ids.repartitionByRange(ids.count() // rows + 1, "doc_id").groupBy(F.spark_partition_id().alias("part"))
     return sorted(row["most"] for row in parts.agg(F.max("doc_id").alias("most")).collect())
 
 
-def range_of(doc_id: Column, ends: list[int]) -> Column:
-    """The number of ends below an id, found in two steps; null is range 0."""
+def _text_hash(text: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 1)
+
+
+def hash_starts(docs: DataFrame, rows: int = ROWS_PER_RANGE) -> list[int]:
+    """The smallest text hashes of consecutive ranges of rows without an id."""
+    hashes = docs.where("doc_id is null").select(_text_hash(F.col("text")).alias("hash"))
+    parts = F.lit(hashes.count() // rows + 1)
+    found = hashes.groupBy(F.floor(F.col("hash") / float(1 << 63) * parts).alias("part")).agg(F.min("hash").alias("least"))
+    return sorted(row["least"] for row in found.collect())
+
+
+def listed(values: list, kind: str) -> Column:
+    """Many values as one array; the optimizer reads the text once."""
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def range_of(value: Column, ends: list, kind: str = "bigint") -> Column:
+    """The number of ends below a value, found in two steps."""
     step = max(1, int(len(ends) ** 0.5))
     groups = [ends[k : k + step] for k in range(0, len(ends), step)]
     if not groups:
         return F.lit(0)
-
-    def below(numbers: str) -> Column:
-        return F.size(F.filter(F.expr(numbers), lambda end: end < doc_id))
-
-    lasts = "array(" + ", ".join(f"{group[-1]}L" for group in groups) + ")"
-    nested = "array(" + ", ".join("array(" + ", ".join(f"{end}L" for end in group) + ")" for group in groups) + ")"
-    return F.when(doc_id.isNull(), 0).otherwise(
-        _let(
-            below(lasts),
-            lambda group: group * step + F.size(F.filter(F.get(F.expr(nested), group), lambda end: end < doc_id)),
-        )
+    lasts, nested = listed([group[-1] for group in groups], f"array<{kind}>"), listed(groups, f"array<array<{kind}>>")
+    return _let(
+        F.size(F.filter(lasts, lambda end: end < value)),
+        lambda group: group * step + F.size(F.filter(F.coalesce(F.get(nested, group), F.array()), lambda end: end < value)),
     )
 
 
 def with_next(docs: DataFrame, rows: int = ROWS_PER_RANGE) -> DataFrame:
     """``doc_id``, ``text`` and ``bins`` with those of the next lower id, and after the lowest the highest.
 
-    The ids are cut into ranges; the highest id of a range also goes to the range above as its last
-    row, and the highest of all to the lowest range. So one shuffle by range puts every text next to
-    the one it needs. Rows without an id come after the others, by their text; equal ids follow
-    each other by their text.
+    The ids are cut into ranges 0, 1, ...; rows without an id come after the others, by the hash of their text and then by the text, in
+    ranges -1, -2, ... of hashes. So neither many ids nor many rows without one make a range larger. The first row of a range, in
+    descending order, also goes to the range before it as its last row, and the first of all to the last range. So one
+    shuffle by range puts every text next to the one it needs. Equal ids follow each other by their text.
     """
-    ends = range_ends(docs, rows)
-    own = range_of(F.col("doc_id"), ends)
-    ranged = docs.withColumn("bins", fingerprint(F.col("text"))).withColumn("_range", own)
-    places = F.array(F.struct(F.col("_range").alias("r"), F.lit(0).alias("guest")))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ends, starts = range_ends(docs, rows), hash_starts(docs, rows)
+    unnamed = F.col("doc_id").isNull()
+    made = docs.withColumn("bins", fingerprint(F.col("text"))).withColumn("_hash", F.when(unnamed, _text_hash(F.col("text"))))
+    by_hash = -1 - range_of(F.col("_hash"), [start - 1 for start in starts[1:]])
+    ranged = made.withColumn("_range", F.when(unnamed, by_hash).otherwise(range_of(F.col("doc_id"), ends, kind)))
+    first = F.lit(False)
     if ends:
-        listed = F.expr("array(" + ", ".join(f"{end}L" for end in ends) + ")")
-        highest = F.col("doc_id") == F.get(listed, F.col("_range"))
-        top = F.col("doc_id") == F.lit(ends[-1])
-        places = (
-            F.when(top, F.concat(places, F.array(F.struct(F.lit(0).alias("r"), F.lit(2).alias("guest")))))
-            .when(highest, F.concat(places, F.array(F.struct((F.col("_range") + 1).alias("r"), F.lit(1).alias("guest")))))
-            .otherwise(places)
-        )
-    dealt = ranged.withColumn("_place", F.explode(places)).select("doc_id", "text", "bins", "_place.r", "_place.guest")
-    order = Window.partitionBy("r").orderBy(F.col("guest") == 2, F.col("doc_id").desc_nulls_last(), "text")
+        first = ~unnamed & (F.col("doc_id") == F.get(listed(ends, f"array<{kind}>"), F.greatest(F.col("_range"), F.lit(0))))
+        top = F.col("doc_id") == listed([ends[-1]], f"array<{kind}>")[0]
+    if starts:
+        first = first | (unnamed & (F.col("_hash") == F.get(listed(starts, "array<bigint>"), F.greatest(-1 - F.col("_range"), F.lit(0)))))
+        top = top if ends else F.col("_hash") == starts[0]
+    places = F.array(F.struct(F.col("_range").alias("r"), F.lit(0).alias("guest")))
+    if ends or starts:
+        after_all = F.struct(F.lit(-len(starts)).alias("r"), F.lit(2).alias("guest"))
+        before = F.struct((F.col("_range") + 1).alias("r"), F.lit(1).alias("guest"))
+        is_top = F.coalesce(top, F.lit(False))
+        places = F.when(is_top, F.concat(places, F.array(after_all))).when(first, F.concat(places, F.array(before))).otherwise(places)
+    dealt = ranged.withColumn("_place", F.explode(places)).select("doc_id", "text", "bins", "_hash", "_place.r", "_place.guest")
+    order = Window.partitionBy("r").orderBy(F.col("guest") == 2, F.col("doc_id").desc_nulls_last(), "_hash", "text")
     return (
         dealt.withColumn("next_text", F.lead("text").over(order))
         .withColumn("next_bins", F.lead("bins").over(order))
         .where("guest = 0")
-        .drop("r", "guest")
+        .drop("r", "guest", "_hash")
     )
 
 
