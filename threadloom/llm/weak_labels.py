@@ -206,7 +206,8 @@ def fit(docs: DataFrame, sample: int = 6000) -> Quality:
     # At most `sample` ids: the bound of the broadcast and of what the driver trains on.
     chosen = smallest_by_hash(docs.select("doc_id", F.lit(0).alias("_all_docs")), "_all_docs", sample)
     chosen = chosen.select("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))  # of several texts with one id always the same
     features, rows, target = Features(), [], []
     for row in store(texts, "quality-sample").table.orderBy("doc_id").toLocalIterator():
         text = (row["text"] or "").encode(errors="replace")
