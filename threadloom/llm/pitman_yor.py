@@ -19,7 +19,7 @@ How it is spread out:
 2. Words that make up more than a small share of some chunk are counted: the heavy contexts.
 3. A chunk sends its distinct pairs with their training counts to buckets of contexts. A heavy
    context is spread over all buckets by the second word, so that no context is one task. A
-   bucket adds the counts up.
+   bucket adds the counts up and notes which of its pairs each chunk asked for.
 4. Before each sweep, buckets of words add up the tables of every word, seat the parent and tell both to the buckets that
    hold the word; the tables of heavy contexts are added up likewise. A bucket then sweeps its restaurants with the
    parent of all tables, so the seating doesn't depend on the number of buckets (the distributed sampler of
@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from threadloom.llm.seating import draw_tables
 from threadloom.llm.words import raw_texts
-from threadloom.plans.materialize import discard, store
+from threadloom.plans.materialize import Stored, discard, store
 
 CHUNK_TOKENS = 1_250_000
 BUCKET_TOKENS = 1_500_000
@@ -267,7 +267,8 @@ def _row(kind: int, to: int, part: int, *data: bytes) -> dict:
 
 
 #: kind 0: the pairs of a bucket as the last sweep left them; kind 1: its words for a bucket of words, with their
-#: tables; kind 2: tables (``n``) of the heavy context ``to``. Totals are over the sweeps that count.
+#: tables; kind 2: tables (``n``) of the heavy context ``to``; kind 3: which pairs (``word``) and contexts of the bucket the pairs of
+#: chunk ``part`` are, 0 for those without training. Totals are over the sweeps that count.
 CELLS_SCHEMA = pa.schema(
     [("kind", pa.int32()), ("to", pa.int64()), ("part", pa.int64()), ("n", pa.int64())]
     + [(name, pa.binary()) for name in ("contexts", "context", "words", "word", "customers", "tables", "total")]
@@ -330,6 +331,16 @@ def first_cells(word_bits: int, heavy: np.ndarray) -> Callable[[pa.Table], pa.Ta
         local, word = np.unique(found.word[used], return_inverse=True)
         own, context = np.unique(found.context[used], return_inverse=True)
         customers, words, contexts = found.customers[used], found.words[local], found.contexts[own]
+        at_pair, at_context = np.zeros(len(found.customers), np.int32), np.zeros(len(found.contexts), np.int32)
+        at_pair[used], at_context[own] = np.arange(1, len(used) + 1), np.arange(1, len(own) + 1)
+        of_chunks, start = [], 0
+        for asked in rows:
+            runs = expand(asked["runs"], np.int32)
+            part = found.cell[start : start + int(runs.sum())]
+            start += len(part)
+            firsts = found.context[part[np.cumsum(runs) - runs]]
+            places = {"context": squeeze(at_context[firsts]), "word": squeeze(at_pair[part])}
+            of_chunks.append({"kind": 3, "to": asked["bucket"], "part": asked["chunk"], **places})
         tables = np.ones(len(used), np.int64)
         row = {
             "kind": 0,
@@ -342,7 +353,8 @@ def first_cells(word_bits: int, heavy: np.ndarray) -> Callable[[pa.Table], pa.Ta
             "tables": squeeze(tables.astype(np.int32)),
             "total": squeeze(np.zeros(len(used), np.int32)),
         }
-        return _passed_on(row, words, word, context, tables, word_bits)
+        passed = _passed_on(row, words, word, context, tables, word_bits)
+        return pa.concat_tables([passed, pa.Table.from_pylist(of_chunks, CELLS_SCHEMA)])
 
     return add_up
 
@@ -412,9 +424,9 @@ def sweep_cells(
     return seat
 
 
-def seat_contexts(asked: DataFrame, buckets: int, word_bits: int, heavy: np.ndarray, shape: Shape) -> tuple[DataFrame, str, Known]:
-    """The pairs of every bucket after all sweeps, where they are stored, and the parent's totals."""
-    cells = store(asked.groupBy("bucket").applyInArrow(first_cells(word_bits, heavy), CELLS), "cells")
+def seat_contexts(asked: DataFrame, buckets: int, word_bits: int, heavy: np.ndarray, shape: Shape) -> tuple[Stored, Stored, Known]:
+    """The pairs of every bucket before and after all sweeps, and the parent's totals."""
+    first = cells = store(asked.groupBy("bucket").applyInArrow(first_cells(word_bits, heavy), CELLS), "cells")
     known = None
     for sweep in range(BURN + SAMPLES):
         told = cells.table.where("kind = 1").repartition(1 << word_bits, "to").groupBy("to")
@@ -428,42 +440,35 @@ def seat_contexts(asked: DataFrame, buckets: int, word_bits: int, heavy: np.ndar
         own, ours = cells.table.where("kind = 0"), told.table.where("to is not null")
         own, ours = (side.repartition(buckets, "to").groupBy("to") for side in (own, ours))
         made = store(own.cogroup(ours).applyInArrow(seat, CELLS), "cells")
-        discard(asked.sparkSession, cells.path, told.path)
+        discard(asked.sparkSession, told.path, *([] if cells is first else [cells.path]))
         cells = made
-    return cells.table.where("kind = 0").select("to", "total"), cells.path, known
+    return first, cells, known
 
 
-def answer_pairs(word_bits: int, heavy: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """Of one bucket: add up, answer every chunk and pass on the words; ``seated`` has the tables."""
+def answer_pairs(word_bits: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Of one bucket: answer every chunk and pass on the words; ``seated`` has the pairs after all sweeps."""
 
     def answer(group: pa.Table, seated: pa.Table) -> pa.Table:
-        rows = group.sort_by("chunk").to_pylist()
-        bucket = rows[0]["bucket"]
-        cell, contexts, context_of, words, word_of, customers = _cells(rows)
-        shared = np.isin(contexts, heavy)
-
-        used = np.flatnonzero(customers)
-        tables = np.zeros(len(customers), np.int64)
-        local, word_used = np.unique(word_of[used], return_inverse=True)
-        tables[used] = expand(seated.column("total")[0].as_py(), np.int32)
-        held = np.bincount(context_of, customers, len(contexts)).astype(np.int64)
-        taken = np.bincount(context_of, tables, len(contexts)).astype(np.int64)
-
-        out, start = [], 0
-        for row in rows:
-            own, sizes = expand(row["contexts"], np.uint64), expand(row["runs"], np.int32)
-            part = cell[start : start + int(sizes.sum())]
-            start += len(part)
-            at = np.searchsorted(contexts, own)
-            data = customers[part], tables[part], held[at], taken[at]
-            out.append(_row(0, row["chunk"], bucket, *map(squeeze, data)))
-        words = words[local]
-        count = np.bincount(word_used, customers[used], len(local)).astype(np.int64)
-        given = np.bincount(word_used, tables[used], len(local)).astype(np.int64)
+        row = seated.to_pylist()[0]
+        bucket, names, words = row["to"], expand(row["contexts"], np.uint64), expand_sorted(row["words"])
+        context, word = (expand(row[name], np.int32) for name in ("context", "word"))
+        customers, tables = (expand(row[name], np.int32).astype(np.int64) for name in ("customers", "total"))
+        held = np.bincount(context, customers, len(names)).astype(np.int64)
+        taken = np.bincount(context, tables, len(names)).astype(np.int64)
+
+        # The first place is for what has no training.
+        of_pair, of_context = ([np.append(0, values) for values in both] for both in ((customers, tables), (held, taken)))
+        out = []
+        for asked in group.to_pylist():
+            pairs, contexts = expand(asked["word"], np.int32), expand(asked["context"], np.int32)
+            data = [*(values[pairs] for values in of_pair), *(values[contexts] for values in of_context)]
+            out.append(_row(0, asked["part"], bucket, *map(squeeze, data)))
+        count = np.bincount(word, customers, len(words)).astype(np.int64)
+        given = np.bincount(word, tables, len(words)).astype(np.int64)
         for to, a, b in _parts(words, word_bits):
             out.append(_row(1, to, bucket, squeeze_sorted(words[a:b]), squeeze(count[a:b]), squeeze(given[a:b])))
-        for at in np.flatnonzero(shared):
-            name = int(contexts[at : at + 1].view(np.int64)[0])
+        for at in np.flatnonzero(names):
+            name = int(names[at : at + 1].view(np.int64)[0])
             out.append(_row(2, name, bucket) | {"held": int(held[at]), "taken": int(taken[at])})
         return pa.Table.from_pylist(out, ANSWER_SCHEMA)
 
@@ -625,12 +630,11 @@ def _score(docs: DataFrame, shape: Shape) -> DataFrame:
     heavy = np.unique(np.append(np.array(heavy, np.int64).view(np.uint64), START)) if buckets > 1 else np.zeros(0, np.uint64)
 
     asked = ask_pairs(rows, buckets, heavy).repartition(buckets, "bucket")
-    seated, path, known = seat_contexts(asked, buckets, word_bits, heavy, shape)
-    # Of the type of the other side: an int and a long are hashed to different tasks.
-    seated = seated.select(F.col("to").cast("int").alias("bucket"), "total").repartition(buckets, "bucket").groupBy("bucket")
-    answers = asked.groupBy("bucket").cogroup(seated).applyInArrow(answer_pairs(word_bits, heavy), ANSWER)
-    answers = store(answers, "answers").table
-    discard(docs.sparkSession, path)
+    first, last, known = seat_contexts(asked, buckets, word_bits, heavy, shape)
+    told, seated = first.table.where("kind = 3"), last.table.where("kind = 0")
+    told, seated = (side.repartition(buckets, "to").groupBy("to") for side in (told, seated))
+    answers = store(told.cogroup(seated).applyInArrow(answer_pairs(word_bits), ANSWER), "answers").table
+    discard(docs.sparkSession, first.path, last.path)
     # One row for each heavy context.
     sums = answers.where("kind = 2").groupBy("to").agg(F.sum("held").alias("held"), F.sum("taken").alias("taken")).collect()
     found = {row["to"]: (row["held"], row["taken"]) for row in sums}
