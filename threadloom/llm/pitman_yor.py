@@ -47,12 +47,12 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.llm.seating import draw_tables
 from threadloom.llm.words import raw_texts
-from threadloom.plans.materialize import Stored, discard, store
+from threadloom.plans.materialize import discard, scratch_path, store
 
 CHUNK_TOKENS = 1_250_000
 BUCKET_TOKENS = 1_500_000
@@ -424,24 +424,48 @@ def sweep_cells(
     return seat
 
 
-def seat_contexts(asked: DataFrame, buckets: int, word_bits: int, heavy: np.ndarray, shape: Shape) -> tuple[Stored, Stored, Known]:
-    """The pairs of every bucket before and after all sweeps, and the parent's totals."""
-    first = cells = store(asked.groupBy("bucket").applyInArrow(first_cells(word_bits, heavy), CELLS), "cells")
+class Kinds(NamedTuple):
+    """Rows of ``CELLS_SCHEMA`` stored by kind, so that each can be read and deleted alone."""
+
+    spark: SparkSession
+    path: str
+
+    def rows(self, kind: int) -> DataFrame:
+        found = self.spark.read.schema(f"kind int, {CELLS.partition(', ')[2]}").parquet(self.path)
+        return found.where(F.col("kind") == kind)
+
+    def drop(self, *kinds: int) -> None:
+        discard(self.spark, *(f"{self.path}/kind={kind}" for kind in kinds))
+
+
+def _by_kind(cells: DataFrame) -> Kinds:
+    path = scratch_path(cells.sparkSession, "cells")
+    cells.write.partitionBy("kind").parquet(path)
+    return Kinds(cells.sparkSession, path)
+
+
+def seat_contexts(asked: DataFrame, buckets: int, word_bits: int, heavy: np.ndarray, shape: Shape) -> tuple[Kinds, Kinds, Known]:
+    """The pairs of every bucket before (kind 3 only) and after all sweeps (kind 0 only), and the parent's totals."""
+    spark = asked.sparkSession
+    first = cells = _by_kind(asked.groupBy("bucket").applyInArrow(first_cells(word_bits, heavy), CELLS))
     known = None
     for sweep in range(BURN + SAMPLES):
-        told = cells.table.where("kind = 1").repartition(1 << word_bits, "to").groupBy("to")
+        told = cells.rows(1).repartition(1 << word_bits, "to").groupBy("to")
         told = store(told.applyInArrow(tell_tables(sweep, word_bits, known, shape), TOLD), "told-tables")
         sums = told.table.where("to is null").agg(*(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in Known._fields))
         known = Known(*sums.first())
         # One row for each heavy context.
-        found = dict(cells.table.where("kind = 2").groupBy("to").agg(F.sum("n")).collect())
+        found = dict(cells.rows(2).groupBy("to").agg(F.sum("n")).collect())
         taken = np.array([found.get(int(name), 0) for name in heavy.view(np.int64)], np.int64)
+        cells.drop(1, 2)
         seat = sweep_cells(sweep, word_bits, heavy, taken, known, shape)
-        own, ours = cells.table.where("kind = 0"), told.table.where("to is not null")
+        own, ours = cells.rows(0), told.table.where("to is not null")
         own, ours = (side.repartition(buckets, "to").groupBy("to") for side in (own, ours))
-        made = store(own.cogroup(ours).applyInArrow(seat, CELLS), "cells")
-        discard(asked.sparkSession, told.path, *([] if cells is first else [cells.path]))
+        made = _by_kind(own.cogroup(ours).applyInArrow(seat, CELLS))
+        discard(spark, told.path)
+        cells.drop(0)
         cells = made
+    cells.drop(1, 2)
     return first, cells, known
 
 
@@ -631,10 +655,10 @@ def _score(docs: DataFrame, shape: Shape) -> DataFrame:
 
     asked = ask_pairs(rows, buckets, heavy).repartition(buckets, "bucket")
     first, last, known = seat_contexts(asked, buckets, word_bits, heavy, shape)
-    told, seated = first.table.where("kind = 3"), last.table.where("kind = 0")
-    told, seated = (side.repartition(buckets, "to").groupBy("to") for side in (told, seated))
+    told, seated = (side.repartition(buckets, "to").groupBy("to") for side in (first.rows(3), last.rows(0)))
     answers = store(told.cogroup(seated).applyInArrow(answer_pairs(word_bits), ANSWER), "answers").table
-    discard(docs.sparkSession, first.path, last.path)
+    first.drop(3)
+    last.drop(0)
     # One row for each heavy context.
     sums = answers.where("kind = 2").groupBy("to").agg(F.sum("held").alias("held"), F.sum("taken").alias("taken")).collect()
     found = {row["to"]: (row["held"], row["taken"]) for row in sums}
