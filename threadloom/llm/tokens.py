@@ -14,6 +14,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, islice
 
 import pyarrow as pa
 
@@ -22,7 +23,7 @@ VOCABULARY = "byte_bpe_50k.json"
 KNOWN = 0x3000
 #: Longer words are not remembered.
 SHORT = 48
-#: Words remembered in a process before it starts anew, some 150 MB.
+#: Words remembered in a process, some 250 MB; beyond that the later half, the rarer words, is forgotten.
 REMEMBERED = 800_000
 #: Characters of the texts that are encoded together.
 TOGETHER = 1 << 20
@@ -58,11 +59,11 @@ class Encoder:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        if len(self.words) > REMEMBERED:
+            self.words = dict(islice(self.words.items(), REMEMBERED // 2))
         known = self.words
-        if len(known) > REMEMBERED:
-            known.clear()
         cut = [self.cut(text) for text in texts]
-        new = list(set().union(*cut).difference(known))
+        new = list(set(chain.from_iterable(cut)).difference(known))
         odd = {word for word in new if self.odd(word)} if new and self.odd("".join(new)) else set()
         found = self.library.encode_batch_fast(new, add_special_tokens=False)
         known.update(zip(new, [array("I", item.ids).tobytes() for item in found], strict=True))
