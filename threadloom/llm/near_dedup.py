@@ -331,7 +331,7 @@ def _bitmaps(sets: DataFrame) -> DataFrame:
     """``class``, ``own`` and 64-bit words in which every shingle of the set has set one of ``BITS`` bits."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 1000) for whole in batches for at in range(0, len(whole), 1000)):
             lists = batch.column(2)
             row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy())
             bits = np.zeros((len(batch), BITS), np.uint8)
