@@ -15,6 +15,7 @@ from threadloom.operators import coloured_triangles as ct
 from threadloom.operators import graph as g
 from threadloom.operators import growing_graph as gg
 from threadloom.operators import reload as r
+from threadloom.operators import triangles as tr
 from threadloom.operators.filters import filter_edges
 from threadloom.operators.lookup import fits_broadcast, lookup_join
 from threadloom.plans import participation_graph as pg
@@ -346,3 +347,45 @@ def test_growing_from_nothing(spark):
     assert scores(gg.scores(grown)) == {s: (2, 2, 4, 4.0, 1.0) for s in "ABC"}
     with pytest.raises(ValueError, match="no graph is kept"):
         gg.open_graph(spark, scratch_path(spark, "nothing"))
+
+
+def test_fresh_triangles_by_colours(spark):
+    """Triangles with a fresh side, against all of them less those of the old edges."""
+    draw = random.Random(11)
+    edges = {tuple(sorted(draw.sample(range(60), 2))) for _ in range(500)}
+    listed = [(lo, hi, draw.random() < 0.3) for lo, hi in sorted(edges)]
+    ends = spark.createDataFrame(listed, "lo int, hi int, fresh boolean").cache()
+
+    def links(kept):
+        near = {v: {a + b - v for a, b in kept if v in (a, b)} for v in range(60)}
+        found = {v: sum((min(p, q), max(p, q)) in kept for p in near[v] for q in near[v] if p != q) for v in near}
+        return found
+
+    whole, old = links(edges), links({(lo, hi) for lo, hi, fresh in listed if not fresh})
+    expected = {v: whole[v] - old[v] for v in whole if whole[v] > old[v]}
+    for colours, blocks in ((1, False), (3, False), (2, True)):
+        assert dict(rows(ct.linked_by_colours(ends, colours, blocks=blocks))) == expected
+    assert dict(rows(ct.linked_by_colours(ends.drop("fresh"), 3, 0, blocks=True))) == {v: n for v, n in whole.items() if n}
+
+
+def test_triangles_shuffle_no_pairs_of_neighbours(spark, monkeypatch):
+    """A graph that can't be broadcast makes no pairs by a join, whatever the method."""
+
+    def joined(*args, **kwargs):
+        raise AssertionError("pairs of neighbours are joined")
+
+    monkeypatch.setattr(tr, "lookup_join", joined)
+    n = 40
+    ends = spark.createDataFrame([(a, b, a, b) for a in range(n) for b in range(a + 1, n)], "a int, b int, lo int, hi int")
+    for method in ("auto", "pairs", "blocks", "colours"):
+        found = dict(rows(g.linked_neighbours(ends, limit=0, method=method)))
+        assert found == {v: (n - 1) * (n - 2) for v in range(n)}
+
+
+def test_new_links_beyond_twice_the_edges(spark):
+    """Fresh edges around which there is more to look at than there are edges."""
+    n = 24
+    edges = spark.createDataFrame([(a, b) for a in range(n) for b in range(a + 1, n)], "a int, b int")
+    found = dict(rows(gg.new_links(edges, edges.where("(a + b) % 2 = 0"))))
+    # All triangles have a side with both ends odd or both even.
+    assert found == {v: (n - 1) * (n - 2) for v in range(n)}
