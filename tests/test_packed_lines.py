@@ -255,3 +255,18 @@ def test_values_are_raw_bytes():
     assert pl.values(b"a\n\nbc\n").to_pylist() == ["a", "", "bc"]
     assert pl.values(b"\n").to_pylist() == [""]
     assert isinstance(pl.values(b"x\n"), pa.StringArray)
+
+
+def test_many_small_ranges_share_a_bounded_number_of_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(pl, "MOST_TASKS", 5)
+    whole = [f"{n} {'x' * (n % 50)}" for n in range(4000)]
+    for name, kept in (("RS_2008-01.zst", whole[:3000]), ("RS_2008-02.zst", whole[3000:])):
+        packed = [pa.compress("".join(f"{line}\n" for line in kept[at : at + 20]).encode(), codec="zstd", asbytes=True) for at in range(0, len(kept), 20)]
+        (tmp_path / name).write_bytes(b"".join(packed))
+    reader = pl.PackedLinesReader({"path": str(tmp_path), "split": "64"})
+    parts = reader.partitions()
+    ranges = [(r.path, r.start, r.end) for part in parts for stretch in part.stretches for r in stretch.ranges()]
+    assert len(ranges) > 100 and len(parts) <= 7
+    assert sorted(ranges) == sorted((r.path, r.start, r.end) for item in reader.files() for r in pl.cut(item.path, item.size, 64))
+    found = [line for part in parts for batch in reader.read(part) for line in batch.column("value").to_pylist()]
+    assert sorted(found) == sorted(whole)

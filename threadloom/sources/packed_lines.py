@@ -42,6 +42,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Packed bytes of a range, and of the small files that share a task.
 SPLIT_BYTES = 32 << 20
+#: Tasks beyond which ranges share them, however small ``split`` is.
+MOST_TASKS = 1024
 SCHEMA = "value string, file string, bytes bigint, period string"
 PIECE = 1 << 17
 BATCH_BYTES = 1 << 20
@@ -327,20 +329,40 @@ class Range:
     end: int
 
 
+def lines_in(data: Bytes, part: Range) -> Iterator[pa.Array]:
+    chunks = CHUNKS.get(ending(part.path), plain_chunks)(data, part.start, part.end)
+    yield from line_arrays(stitched(chunks, part.start == 0))
+
+
 def range_lines(system: fs.FileSystem, part: Range) -> Iterator[pa.Array]:
     with system.open_input_file(part.path) as file:
-        data = Bytes(file, part.bytes)
-        chunks = CHUNKS.get(ending(part.path), plain_chunks)(data, part.start, part.end)
-        yield from line_arrays(stitched(chunks, part.start == 0))
+        yield from lines_in(Bytes(file, part.bytes), part)
+
+
+def pieces(path: str, size: int, split: int) -> int:
+    """How many ranges a file has."""
+    return 1 if ending(path) in WHOLE or size <= split else -(-size // split)
 
 
 def cut(path: str, size: int, split: int) -> list[Range]:
     """The ranges of a file."""
-    if ending(path) in WHOLE or size <= split:
-        return [Range(path, size, 0, size)]
-    count = -(-size // split)
-    ends = [size * k // count for k in range(count + 1)]
-    return [Range(path, size, start, end) for start, end in zip(ends, ends[1:])]
+    return Stretch(path, size, pieces(path, size, split)).ranges()
+
+
+@dataclass
+class Stretch:
+    """Ranges of a file that follow each other, from ``first`` up to ``last`` of ``count``."""
+
+    path: str
+    bytes: int
+    count: int
+    first: int = 0
+    last: int | None = None
+
+    def ranges(self) -> list[Range]:
+        last = self.count if self.last is None else self.last
+        ends = [self.bytes * k // self.count for k in range(self.first, last + 1)]
+        return [Range(self.path, self.bytes, start, end) for start, end in zip(ends, ends[1:])]
 
 
 # The data source -----------------------------------------------------------------------------------
@@ -348,7 +370,7 @@ def cut(path: str, size: int, split: int) -> list[Range]:
 
 @dataclass
 class Ranges(InputPartition):
-    ranges: list[Range] = field(default_factory=list)
+    stretches: list[Stretch] = field(default_factory=list)
 
 
 def period(name: str) -> str:
@@ -394,29 +416,37 @@ class PackedLinesReader(DataSourceReader):
         return [item for item in infos if item.is_file and self.wanted(item.base_name, item.size)]
 
     def partitions(self) -> list[Ranges]:
-        """Ranges of large files by themselves, small files together."""
+        """Ranges of large files by themselves, small files together, and small ranges if there are very many."""
+        files = sorted(self.files(), key=lambda item: -item.size)
+        share = max(self.split, -(-sum(item.size for item in files) // MOST_TASKS))
+        least = share // 64  # opening a file has a cost of its own
         found: list[Ranges] = []
         room = 0
-        for item in sorted(self.files(), key=lambda item: -item.size):
-            for part in cut(item.path, item.size, self.split):
-                size = part.end - part.start
-                if size > room:
+        for item in files:
+            count, first = pieces(item.path, item.size, self.split), 0
+            each = max(1, -(-item.size // count))
+            while first < count:
+                if each > room:
                     found.append(Ranges())
-                    room = self.split
-                found[-1].ranges.append(part)
-                room -= max(size, self.split // 64)  # opening a file has a cost of its own
+                    room = share
+                last = min(count, first + max(1, room // each))
+                found[-1].stretches.append(Stretch(item.path, item.size, count, first, last))
+                room -= max(each * (last - first), least)
+                first = last
         return found
 
     def read(self, partition: Ranges | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark plans one empty partition when no file matches.
             return
         system = open_path(self.path)[0]
-        for part in partition.ranges:
-            name = part.path.rsplit("/", 1)[-1]
-            facts = {"file": name, "bytes": part.bytes, "period": period(name)}
-            for lines in range_lines(system, part):
-                columns = [lines, *(pa.repeat(pa.scalar(fact), len(lines)) for fact in facts.values())]
-                yield pa.RecordBatch.from_arrays(columns, ["value", *facts])
+        for stretch in partition.stretches:
+            name = stretch.path.rsplit("/", 1)[-1]
+            facts = {"file": name, "bytes": stretch.bytes, "period": period(name)}
+            with system.open_input_file(stretch.path) as file:
+                data = Bytes(file, stretch.bytes)
+                for lines in (lines for part in stretch.ranges() for lines in lines_in(data, part)):
+                    columns = [lines, *(pa.repeat(pa.scalar(fact), len(lines)) for fact in facts.values())]
+                    yield pa.RecordBatch.from_arrays(columns, ["value", *facts])
 
 
 class PackedLines(DataSource):
