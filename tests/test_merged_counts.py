@@ -180,3 +180,23 @@ def test_running_users_in_buckets_equal_the_batch(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(published, "point_to", step)
     assert run()[1] == batch()
     assert run()[1] == batch()  # nothing new
+
+
+def test_running_users_in_buckets_in_a_session_with_the_usual_state_store(spark, tmp_path):
+    """The store that Spark takes by itself can't hold a state of several tables."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    usual = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    for kind, ending in (("comments", "RC"), ("submissions", "RS")):
+        (tmp_path / kind).mkdir()
+        lines = "".join(f'{{"subreddit":"S{n % 3}","author":"u{n % 7}"}}\n' for n in range(50))
+        (tmp_path / kind / f"{ending}_2018-01.zst").write_bytes(zstandard.compress(lines.encode()))
+    path, state = scratch_path(spark, "result"), scratch_path(spark, "state")
+    before = spark.conf.get(name)
+    spark.conf.set(name, usual)
+    try:
+        rows_of = sa.stream_contribution_rows(spark, str(tmp_path), files_per_trigger=1)
+        bu.drain_increments(bu.stream_new_users(rows_of, buckets=3), path, state)
+        assert spark.conf.get(name) == usual
+    finally:
+        spark.conf.set(name, before)
+    assert rows(bu.read_counts(spark, path)) == [("S0", 7), ("S1", 7), ("S2", 7)]
