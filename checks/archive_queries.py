@@ -88,28 +88,29 @@ def split_lines(spark, sf):
 
 @query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.zst' AS file, count(*) AS count, true AS same FROM events GROUP BY 1")
 def read_archive(spark, sf):
-    lines = a.read_archive(spark, f"{i.archive(spark, sf)}/comments", "RC_")
-    return _same_lines(i.comment_lines(spark, sf), lines)
+    root = i.archive(spark, sf, "comments")
+    lines = a.read_archive(spark, f"{root}/comments", "RC_")
+    return _same_lines(i.made_lines(spark, sf, "comments"), lines)
 
 
 @query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.xz' AS file, count(*) AS count, true AS same FROM events GROUP BY 1")
 def read_xz_archive(spark, sf):
     lines = a.read_xz_archive(spark, f"{i.xz_archive(spark, sf)}/comments", "RC_")
-    return _same_lines(i.comment_lines(spark, sf), lines, ".xz")
+    return _same_lines(i.made_lines(spark, sf, "comments"), lines, ".xz")
 
 
 @query(f"WITH {S} SELECT file, count(*) AS count, true AS same FROM s GROUP BY 1")
 def read_zst_by_ranges(spark, sf):
     """Every file cut into several ranges of its frames."""
     lines = a.read_archive(spark, i.framed_archive(spark, sf), "RS_", split=1 << 12)
-    return _same_lines(i.submission_lines(spark, sf), lines)
+    return _same_lines(i.made_lines(spark, sf, "submissions"), lines)
 
 
 @query("SELECT 'RC_' || strftime(ts, '%Y-%m-%d') || '.xz' AS file, count(*) AS count, true AS same FROM events GROUP BY 1")
 def read_xz_by_ranges(spark, sf):
     """Every file cut into several ranges of its streams."""
     lines = a.read_xz_archive(spark, f"{i.xz_archive(spark, sf)}/comments", "RC_", split=1 << 12)
-    return _same_lines(i.comment_lines(spark, sf), lines, ".xz")
+    return _same_lines(i.made_lines(spark, sf, "comments"), lines, ".xz")
 
 
 @query(f"WITH {K} SELECT subreddit, id, author, body, replace(file, '.zst', '.xz') AS file FROM c")
@@ -122,7 +123,8 @@ def read_comments_from_xz(spark, sf):
     WHERE strftime(ts, '%Y-%m-%d') LIKE '%01-1%' AND strftime(ts, '%Y-%m-%d') NOT LIKE '%-15%'"""
 )
 def list_files(spark, sf):
-    return a.list_files(spark, f"{i.archive(spark, sf)}/comments", "RC_", "01-1", "-15").select("file")
+    root = i.archive(spark, sf, "comments")
+    return a.list_files(spark, f"{root}/comments", "RC_", "01-1", "-15").select("file")
 
 
 @query(
@@ -130,27 +132,27 @@ def list_files(spark, sf):
     WHERE file LIKE '%01-1%' AND file NOT LIKE '%-15%'"""
 )
 def read_comments_of_named_files(spark, sf):
-    return a.read_comments(spark, i.archive(spark, sf), contains="01-1", excludes="-15")
+    return a.read_comments(spark, i.archive(spark, sf, "comments"), contains="01-1", excludes="-15")
 
 
 @query(f"WITH {S} SELECT subreddit, id, author, title, file FROM s")
 def read_submissions(spark, sf):
-    return a.read_submissions(spark, i.archive(spark, sf))
+    return a.read_submissions(spark, i.archive(spark, sf, "submissions"))
 
 
 @query(f"WITH {K} SELECT subreddit, id, author, body, file FROM c")
 def read_comments(spark, sf):
-    return a.read_comments(spark, i.archive(spark, sf), spread=16, spread_above=1000)
+    return a.read_comments(spark, i.archive(spark, sf, "comments"), spread=16, spread_above=1000)
 
 
 @query(f"WITH {A} SELECT author, created_utc FROM a")
 def read_authors(spark, sf):
-    return a.read_authors(spark, i.archive(spark, sf)).drop("file")
+    return a.read_authors(spark, i.archive(spark, sf, "authors")).drop("file")
 
 
 @query(f"WITH {K}, {S} SELECT subreddit, author, file FROM c UNION ALL SELECT subreddit, author, file FROM s")
 def read_contributions(spark, sf):
-    return a.read_contributions(spark, i.archive(spark, sf))
+    return a.read_contributions(spark, i.archive(spark, sf, "comments", "submissions"))
 
 
 @query(f"WITH {K} SELECT subreddit, id, author, body FROM c")
@@ -160,17 +162,17 @@ def project_entity(spark, sf):
 
 @query(f"WITH {K} SELECT subreddit, id, author, body FROM c WHERE {NAMED} AND subreddit IN {LISTED}")
 def pass_through_comments(spark, sf):
-    return pt.pass_through(spark, i.archive(spark, sf), "comments", subreddits=i.filter_list(spark, sf))
+    return pt.pass_through(spark, i.archive(spark, sf, "comments"), "comments", subreddits=i.filter_list(spark, sf))
 
 
 @query(f"WITH {S} SELECT subreddit, author FROM s WHERE {NAMED}")
 def pass_through_only_users(spark, sf):
-    return pt.pass_through(spark, i.archive(spark, sf), "submissions", only_users=True)
+    return pt.pass_through(spark, i.archive(spark, sf, "submissions"), "submissions", only_users=True)
 
 
 @query(f"WITH {A} SELECT author, created_utc FROM a")
 def pass_through_authors(spark, sf):
-    return pt.pass_through(spark, i.archive(spark, sf), "authors", only_users=True)
+    return pt.pass_through(spark, i.archive(spark, sf, "authors"), "authors", only_users=True)
 
 
 @query(
@@ -191,7 +193,7 @@ def write_raw_json(spark, sf):
     """Original lines written, read and decoded again."""
     path = scratch_path(spark, "raw")
     listed = i.filter_list(spark, sf)
-    pt.run_pass_through(spark, i.archive(spark, sf), {"comments": path}, subreddits=listed, original_json=True)
+    pt.run_pass_through(spark, i.archive(spark, sf, "comments"), {"comments": path}, subreddits=listed, original_json=True)
     return p.parse_comments(a.read_archive(spark, path)).drop("file")
 
 
@@ -199,7 +201,7 @@ def write_raw_json(spark, sf):
 def write_csv(spark, sf):
     """Whole texts written as CSV and read again."""
     path = scratch_path(spark, "csv")
-    pt.run_pass_through(spark, i.archive(spark, sf), {"submissions": path})
+    pt.run_pass_through(spark, i.archive(spark, sf, "submissions"), {"submissions": path})
     return t.read_entity_csv(spark, path, "submissions")
 
 
@@ -207,7 +209,7 @@ def write_csv(spark, sf):
 def write_compressed(spark, sf):
     """Whole texts written as Zstandard CSV and read again."""
     path = scratch_path(spark, "csv-zst")
-    pt.run_pass_through(spark, i.archive(spark, sf), {"submissions": path}, compress=True)
+    pt.run_pass_through(spark, i.archive(spark, sf, "submissions"), {"submissions": path}, compress=True)
     return t.read_entity_csv(spark, path, "submissions")
 
 
@@ -228,7 +230,7 @@ def record_count(spark, sf):
 def read_user_subreddit_csv(spark, sf):
     """Memberships of two passes, read back as one table; empty names stay empty names."""
     paths = {kind: scratch_path(spark, kind) for kind in ("comments", "submissions")}
-    pt.run_pass_through(spark, i.archive(spark, sf), paths, only_users=True)
+    pt.run_pass_through(spark, i.archive(spark, sf, "comments", "submissions"), paths, only_users=True)
     return t.read_user_subreddit_csv(spark, list(paths.values()))
 
 
@@ -236,7 +238,7 @@ def read_user_subreddit_csv(spark, sf):
 def write_statistics(spark, sf):
     """Counts written under the experiment's name and read again."""
     out = scratch_path(spark, "statistics")
-    path = st.run_statistics(spark, i.archive(spark, sf), "UserContributionsInSubreddits", out, suffix="2024")
+    path = st.run_statistics(spark, i.archive(spark, sf, "comments", "submissions"), "UserContributionsInSubreddits", out, suffix="2024")
     return t.read_counts_csv(spark, path)
 
 
@@ -244,7 +246,7 @@ def write_statistics(spark, sf):
 def write_statistics_file(spark, sf):
     """The counts as one file of the experiment's name, read again."""
     out, name = scratch_path(spark, "statistics"), "UserContributionsInSubreddits"
-    path = st.run_statistics(spark, i.archive(spark, sf), name, out, single_file=True)
+    path = st.run_statistics(spark, i.archive(spark, sf, "comments", "submissions"), name, out, single_file=True)
     return t.read_counts_csv(spark, path)
 
 
@@ -261,7 +263,7 @@ GROUP BY level, period, subreddit"""
 
 def _written_periods(spark, sf, experiment):
     out = scratch_path(spark, "periods")
-    path = st.run_statistics_per_period(spark, i.archive(spark, sf), experiment, out)
+    path = st.run_statistics_per_period(spark, i.archive(spark, sf, "comments", "submissions"), experiment, out)
     back = spark.read.schema("subreddit string, count bigint, level string, period string").csv(path)
     return back.select("level", "period", "subreddit", "count")
 
@@ -286,7 +288,7 @@ def write_statistics_per_period(spark, sf):
 )
 def export_top_lists_per_period(spark, sf):
     """Five filter lists for every month, year and the whole range, read again without their headers."""
-    contributions = a.read_contributions(spark, i.archive(spark, sf))
+    contributions = a.read_contributions(spark, i.archive(spark, sf, "comments", "submissions"))
     counts = st.count_per_period(contributions, "UserContributionsInSubreddits")
     path = st.export_top_lists_per_period(counts, (2, 3, 5, 8, 13), scratch_path(spark, "lists"), "top")
     lists = spark.read.schema("value string, size int, level string, period string").text(path)
@@ -298,12 +300,12 @@ def export_top_lists_per_period(spark, sf):
     SELECT subreddit, count(*) AS count FROM n GROUP BY subreddit"""
 )
 def archive_users_by_file(spark, sf):
-    return st.count_experiment(a.read_contributions(spark, i.archive(spark, sf)), "UsersInSubreddits", "file")
+    return st.count_experiment(a.read_contributions(spark, i.archive(spark, sf, "comments", "submissions")), "UsersInSubreddits", "file")
 
 
 @query(f"WITH {DATED} {PERIOD_USERS}")
 def archive_users_per_period(spark, sf):
-    return st.count_per_period(a.read_contributions(spark, i.archive(spark, sf)), "UsersInSubreddits")
+    return st.count_per_period(a.read_contributions(spark, i.archive(spark, sf, "comments", "submissions")), "UsersInSubreddits")
 
 
 @query(
@@ -312,13 +314,13 @@ def archive_users_per_period(spark, sf):
 )
 def export_filter_list(spark, sf):
     """A top list written as a filter list and read as one."""
-    counts = c.contributions_per_subreddit(a.read_contributions(spark, i.archive(spark, sf)))
+    counts = c.contributions_per_subreddit(a.read_contributions(spark, i.archive(spark, sf, "comments", "submissions")))
     path = st.export_top_lists(counts, (5,), scratch_path(spark, "lists"), "UserContributionsInSubreddits")[0]
     return t.read_filter_list(spark, path)
 
 
 def _rows(spark, sf):
-    return sa.stream_contribution_rows(spark, i.archive(spark, sf), files_per_trigger=16)
+    return sa.stream_contribution_rows(spark, i.archive(spark, sf, "comments", "submissions"), files_per_trigger=16)
 
 
 def _drained(spark, counts):
@@ -348,14 +350,14 @@ def stream_users_in_buckets(spark, sf):
 @query(f"WITH {BOTH} SELECT subreddit, count(*) AS count FROM l WHERE author IS NOT NULL GROUP BY subreddit")
 def stream_contributions_with_xz(spark, sf):
     """Comments as ``.xz`` files, submissions as ``.zst`` files."""
-    rows = sa.stream_contribution_rows(spark, i.xz_archive(spark, sf), files_per_trigger=16)
+    rows = sa.stream_contribution_rows(spark, i.xz_archive(spark, sf, submissions=True), files_per_trigger=16)
     return _drained(spark, sa.stream_contributions(rows))
 
 
 @query(f"WITH {BOTH} SELECT subreddit, count(DISTINCT author) AS count, true AS within FROM l WHERE {NAMED} GROUP BY subreddit")
 def stream_users_approx(spark, sf):
     """The exact count per subreddit, and whether the running approximate one is as near as stated."""
-    exact = c.users_per_subreddit(a.read_contributions(spark, i.archive(spark, sf)))
+    exact = c.users_per_subreddit(a.read_contributions(spark, i.archive(spark, sf, "comments", "submissions")))
     return c.near(_drained(spark, sa.stream_users_approx(_rows(spark, sf))), exact, 0.1)
 
 
@@ -372,7 +374,7 @@ def stream_users_per_period(spark, sf):
 @query(f"WITH {K} SELECT nullif(subreddit, '') AS subreddit, author FROM c WHERE {NAMED}")
 def stream_only_users(spark, sf):
     """Missing and empty names look the same in CSV."""
-    rows = sa.stream_pass_through(spark, i.archive(spark, sf), "comments", only_users=True, files_per_trigger=16)
+    rows = sa.stream_pass_through(spark, i.archive(spark, sf, "comments"), "comments", only_users=True, files_per_trigger=16)
     path = scratch_path(spark, "stream-csv")
     sa.drain_to_csv(rows, path, scratch_path(spark, "stream-checkpoint"))
     read = t.read_entity_csv(spark, path, "user_in_subreddit")
@@ -382,7 +384,7 @@ def stream_only_users(spark, sf):
 @query(f"WITH {S} SELECT subreddit, id, author, title FROM s WHERE {NAMED}")
 def stream_pass_through_texts(spark, sf):
     """Whole texts, outer blanks and other line ends included."""
-    rows = sa.stream_pass_through(spark, i.archive(spark, sf), "submissions", files_per_trigger=16)
+    rows = sa.stream_pass_through(spark, i.archive(spark, sf, "submissions"), "submissions", files_per_trigger=16)
     path = scratch_path(spark, "stream-csv")
     sa.drain_to_csv(rows, path, scratch_path(spark, "stream-checkpoint"))
     return t.read_entity_csv(spark, path, "submissions")
@@ -391,7 +393,7 @@ def stream_pass_through_texts(spark, sf):
 @query(f"WITH {K} SELECT subreddit, id, author, body FROM c WHERE {NAMED} AND subreddit IN {LISTED}")
 def stream_pass_through(spark, sf):
     rows = sa.stream_pass_through(
-        spark, i.archive(spark, sf), "comments", subreddits=i.filter_list(spark, sf), files_per_trigger=16
+        spark, i.archive(spark, sf, "comments"), "comments", subreddits=i.filter_list(spark, sf), files_per_trigger=16
     )
     path = scratch_path(spark, "stream-csv")
     sa.drain_to_csv(rows, path, scratch_path(spark, "stream-checkpoint"))
@@ -400,7 +402,7 @@ def stream_pass_through(spark, sf):
 
 @query(f"WITH {S} SELECT file, count(*) AS count FROM s GROUP BY 1")
 def stream_archive(spark, sf):
-    lines = sa.stream_lines(spark, i.archive(spark, sf), "submissions", files_per_trigger=16)
+    lines = sa.stream_lines(spark, i.archive(spark, sf, "submissions"), "submissions", files_per_trigger=16)
     return _drained(spark, lines.groupBy("file").agg(F.count("*").alias("count")))
 
 

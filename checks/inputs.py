@@ -178,17 +178,20 @@ def author_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "authors", _make_author_lines)
 
 
-def archive(spark: SparkSession, sf_dir: str) -> str:
-    """A dataset directory of Zstandard archives written from the tables."""
+LINES = {"comments": _make_comment_lines, "submissions": _make_submission_lines, "authors": _make_author_lines}
+
+
+def made_lines(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The lines of a kind as they are made from the table, for what reads them once."""
+    return LINES[kind](spark, sf_dir)
 
-    def make() -> str:
-        root = scratch_path(spark, "dataset")
-        write_zstd_lines(comment_lines(spark, sf_dir), f"{root}/comments")
-        write_zstd_lines(submission_lines(spark, sf_dir), f"{root}/submissions")
-        write_zstd_lines(author_lines(spark, sf_dir), f"{root}/authors")
-        return root
 
-    return keep(spark, sf_dir, "archive", make)
+def archive(spark: SparkSession, sf_dir: str, *kinds: str) -> str:
+    """A dataset directory of Zstandard archives written from the tables, with the named kinds at least, all if none is named."""
+    root = keep(spark, sf_dir, "archive", lambda: scratch_path(spark, "dataset"))
+    for kind in kinds or LINES:
+        keep(spark, sf_dir, f"archive {kind}", lambda: write_zstd_lines(made_lines(spark, sf_dir, kind), f"{root}/{kind}"))
+    return root
 
 
 def framed_archive(spark: SparkSession, sf_dir: str) -> str:
@@ -196,14 +199,14 @@ def framed_archive(spark: SparkSession, sf_dir: str) -> str:
 
     def make() -> str:
         root = scratch_path(spark, "framed")
-        write_zstd_lines(submission_lines(spark, sf_dir), root, frame_bytes=1 << 14)
+        write_zstd_lines(made_lines(spark, sf_dir, "submissions"), root, frame_bytes=1 << 14)
         return root
 
     return keep(spark, sf_dir, "framed", make)
 
 
-def xz_archive(spark: SparkSession, sf_dir: str) -> str:
-    """The comment lines as ``.xz`` files, each of several concatenated streams."""
+def xz_archive(spark: SparkSession, sf_dir: str, submissions: bool = False) -> str:
+    """The comment lines as ``.xz`` files, each of several concatenated streams; ``submissions`` beside them as ``.zst`` files."""
 
     def make() -> str:
         root = qualified(spark, f"{scratch_path(spark, 'xz-dataset')}/comments")
@@ -222,12 +225,15 @@ def xz_archive(spark: SparkSession, sf_dir: str) -> str:
                         out.write(packed)
                 yield batch.slice(0, 0)
 
-        by_file = comment_lines(spark, sf_dir).repartition("file").sortWithinPartitions("file")
+        by_file = made_lines(spark, sf_dir, "comments").repartition("file").sortWithinPartitions("file")
         by_file.mapInArrow(write, "value string, file string").count()
-        write_zstd_lines(submission_lines(spark, sf_dir), f"{root.rsplit('/', 1)[0]}/submissions")
         return root.rsplit("/", 1)[0]
 
-    return keep(spark, sf_dir, "xz", make)
+    root = keep(spark, sf_dir, "xz", make)
+    if submissions:
+        lines = made_lines(spark, sf_dir, "submissions")
+        keep(spark, sf_dir, "xz submissions", lambda: write_zstd_lines(lines, f"{root}/submissions"))
+    return root
 
 
 def filter_list(spark: SparkSession, sf_dir: str) -> DataFrame:
