@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from checks import graph_queries as q
 from checks import inputs as i
 from pyspark.sql import functions as F
 
@@ -22,3 +23,12 @@ def test_only_the_named_kinds_of_an_archive_are_written(spark, tmp_path):
     for kind, stored in (("comments", i.comment_lines), ("submissions", i.submission_lines), ("authors", i.author_lines)):
         both = i.made_lines(spark, d, kind).withColumn("n", F.lit(1)).unionByName(stored(spark, d).withColumn("n", F.lit(-1)))
         assert both.groupBy("value", "file").agg(F.sum("n").alias("n")).where("n <> 0").count() == 0
+
+
+def test_only_the_named_exports_are_written(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(i, "scored_graph", lambda spark, sf: "graph")
+    monkeypatch.setattr(q.pg, "export_graph", lambda graph, **paths: made.append(sorted(paths)))
+    paths = q._exported(spark, str(tmp_path), "vertex_path")
+    assert q._exported(spark, str(tmp_path), "vertex_path", "edge_path")["vertex_path"] == paths["vertex_path"]
+    assert made == [["vertex_path"], ["edge_path"]]
