@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import random
 from collections import defaultdict
 
@@ -19,7 +20,7 @@ from threadloom.operators import triangles as tr
 from threadloom.operators.filters import filter_edges
 from threadloom.operators.lookup import fits_broadcast, lookup_join
 from threadloom.plans import participation_graph as pg
-from threadloom.plans.materialize import most_tasks, scratch_path
+from threadloom.plans.materialize import most_tasks, scratch_path, shared_folder
 from threadloom.sinks import files
 
 
@@ -389,3 +390,42 @@ def test_new_links_beyond_twice_the_edges(spark):
     found = dict(rows(gg.new_links(edges, edges.where("(a + b) % 2 = 0"))))
     # All triangles have a side with both ends odd or both even.
     assert found == {v: (n - 1) * (n - 2) for v in range(n)}
+
+
+def stored_labels(spark):
+    folder = shared_folder(spark)
+    return {name for name in os.listdir(folder)} if os.path.isdir(folder) else set()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_a_graph_keeps_only_the_tables_that_it_reads(spark, limit):
+    before = stored_labels(spark)
+    pairs = random_members(5, 40, 30, 2)
+    graph = g.build_graph(members(spark, pairs), tile=7, limit=limit)
+    edges = edge(graph)
+    labels = sorted(name.rpartition("-")[0] for name in stored_labels(spark) - before)
+    assert labels == ["edge-ends", "vertex-base"]  # no triangle has been looked for, nothing else is left
+    assert len(vertex(graph)) == len({subreddit for subreddit, _ in pairs})
+    labels = sorted(name.rpartition("-")[0] for name in stored_labels(spark) - before)
+    assert labels == ["edge-ends", "vertex-base", "vertices"]
+    assert edge(graph) == edges and graph.vertices is graph.vertices
+
+
+def test_pairs_of_a_larger_number_are_summed_where_they_are_made(spark):
+    held = spark.createDataFrame([(2, [1, 3, 8]), (1, [3, 8]), (5, [4])], "n long, tile array<int>")
+    counted = g.count_owned(g._owned_in(held), 3)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the lists are shuffled, the pairs are not
+    assert rows(counted) == [(1, 3, 2), (1, 8, 2), (3, 8, 3)]
+    met = spark.createDataFrame([([1, 9], [4, 5]), ([2], [3])], "x array<int>, y array<int>")
+    assert rows(g.count_owned(g.owned_across(met), 3)) == [(1, 4, 1), (1, 5, 1), (2, 3, 1), (4, 9, 1), (5, 9, 1)]
+
+
+def test_what_a_growing_graph_was_made_from_is_deleted(spark):
+    before = stored_labels(spark)
+    pairs = random_members(6, 40, 30, 2)
+    state = gg.extend_graph(gg.start_graph(members(spark, pairs[::2]), tile=7), members(spark, pairs), tile=7)
+    labels = [name.rpartition("-")[0] for name in stored_labels(spark) - before]
+    assert sorted(labels) == sorted(2 * gg.STATE)
+    grown, whole = gg.scores(state), g.build_graph(members(spark, pairs))
+    assert edge(grown) == edge(whole) and vertex(grown).keys() == vertex(whole).keys()
