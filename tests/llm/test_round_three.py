@@ -297,3 +297,20 @@ def test_a_megabyte_without_blanks(spark):
     began = time.time()
     logs = next(iter(li.text_logs(model, iter([["thecatsatonthemat" * 60_000, "日本語" * 30_000]]))))
     assert np.isfinite(logs).all() and time.time() - began < 60
+
+
+def test_words_encoded_in_one_go_have_the_ids_of_each():
+    encoder = Encoder(public_tokenizers.path(VOCABULARY))
+    special = encoder.special[0]
+    words = ["the", " the", "  ", "\n\n", " 12", "é", " naïve", "'ll", "<|", "|>", " <", "a" * 300, "\x00", "日本", "  "]
+    assert encoder._each([]) == []
+    for some in (words, words[:1], [*words, f"x{special}"], [special, "a"]):
+        assert encoder._each(some) == [encoder.whole(word) for word in some]
+
+
+def test_a_column_is_encoded_in_pieces_without_a_seam():
+    import pyarrow as pa
+
+    encoder = Encoder(public_tokenizers.path(VOCABULARY))
+    texts = [None if k % 97 == 0 else f"text {k} of many, {'more ' * (k % 5)}" for k in range(1000)]
+    assert [*encoder.encode_column(pa.array(texts), b"end")] == [encoder.whole(text or "") + b"end" for text in texts]
