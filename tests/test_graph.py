@@ -429,3 +429,13 @@ def test_what_a_growing_graph_was_made_from_is_deleted(spark):
     assert sorted(labels) == sorted(2 * gg.STATE)
     grown, whole = gg.scores(state), g.build_graph(members(spark, pairs))
     assert edge(grown) == edge(whole) and vertex(grown).keys() == vertex(whole).keys()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_shared_authors_are_counted_once_whatever_the_joins_look_at(spark, limit):
+    before = stored_labels(spark)
+    pairs = random_members(8, 40, 30, 2)
+    found = g.co_membership(members(spark, pairs), tile=4, limit=limit)
+    labels = {name.rpartition("-")[0] for name in stored_labels(spark) - before}
+    assert labels - {"hot-keys"} == {"edges", "vertex-index"}  # the joins for names read stored edges
+    assert rows(found) == sorted(((x, y, n) for (x, y), n in brute_force(pairs)[0].items()), key=repr)
