@@ -216,11 +216,15 @@ def xz_archive(spark: SparkSession, sf_dir: str, submissions: bool = False) -> s
         def write(batches):
             import lzma
 
+            import pyarrow.compute as pc
+
             target = open_path(root)[0]
             for batch in batches:
-                frame = batch.to_pandas()
-                for name, rows in frame.groupby("file", sort=False):
-                    packed = lzma.compress(("\n".join(rows["value"]) + "\n").encode())
+                names, values = batch.column("file"), batch.column("value")
+                for name in names.drop_null().unique().to_pylist():
+                    rows = values.filter(pc.equal(names, name)).to_pylist()
+                    # A small window: the usual one takes some 100 MB of each task.
+                    packed = lzma.compress(("\n".join(rows) + "\n").encode(), preset=1)
                     with target.open_append_stream(f"{inner}/{name.replace('.zst', '.xz')}") as out:
                         out.write(packed)
                 yield batch.slice(0, 0)
