@@ -19,8 +19,9 @@ from threadloom.operators import reload as r
 from threadloom.operators import triangles as tr
 from threadloom.operators.filters import filter_edges
 from threadloom.operators.lookup import fits_broadcast, lookup_join
+from threadloom.plans import materialize
 from threadloom.plans import participation_graph as pg
-from threadloom.plans.materialize import most_tasks, scratch_path, shared_folder
+from threadloom.plans.materialize import most_tasks, scratch_path
 from threadloom.sinks import files
 
 
@@ -392,22 +393,21 @@ def test_new_links_beyond_twice_the_edges(spark):
     assert found == {v: (n - 1) * (n - 2) for v in range(n)}
 
 
-def stored_labels(spark):
-    folder = shared_folder(spark)
-    return {name for name in os.listdir(folder)} if os.path.isdir(folder) else set()
+@pytest.fixture
+def stored_labels(monkeypatch, tmp_path):
+    """The labels of what is stored, in a folder of the test's own."""
+    monkeypatch.setattr(materialize, "shared_folder", lambda spark: str(tmp_path))
+    return lambda: sorted(name.rpartition("-")[0] for name in os.listdir(tmp_path))
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 26])
-def test_a_graph_keeps_only_the_tables_that_it_reads(spark, limit):
-    before = stored_labels(spark)
+def test_a_graph_keeps_only_the_tables_that_it_reads(spark, stored_labels, limit):
     pairs = random_members(5, 40, 30, 2)
     graph = g.build_graph(members(spark, pairs), tile=7, limit=limit)
     edges = edge(graph)
-    labels = sorted(name.rpartition("-")[0] for name in stored_labels(spark) - before)
-    assert labels == ["edge-ends", "vertex-base"]  # no triangle has been looked for, nothing else is left
+    assert stored_labels() == ["edge-ends", "vertex-base"]  # no triangle has been looked for, nothing else is left
     assert len(vertex(graph)) == len({subreddit for subreddit, _ in pairs})
-    labels = sorted(name.rpartition("-")[0] for name in stored_labels(spark) - before)
-    assert labels == ["edge-ends", "vertex-base", "vertices"]
+    assert stored_labels() == ["edge-ends", "vertex-base", "vertices"]
     assert edge(graph) == edges and graph.vertices is graph.vertices
 
 
@@ -421,21 +421,17 @@ def test_pairs_of_a_larger_number_are_summed_where_they_are_made(spark):
     assert rows(g.count_owned(g.owned_across(met), 3)) == [(1, 4, 1), (1, 5, 1), (2, 3, 1), (4, 9, 1), (5, 9, 1)]
 
 
-def test_what_a_growing_graph_was_made_from_is_deleted(spark):
-    before = stored_labels(spark)
+def test_what_a_growing_graph_was_made_from_is_deleted(spark, stored_labels):
     pairs = random_members(6, 40, 30, 2)
     state = gg.extend_graph(gg.start_graph(members(spark, pairs[::2]), tile=7), members(spark, pairs), tile=7)
-    labels = [name.rpartition("-")[0] for name in stored_labels(spark) - before]
-    assert sorted(labels) == sorted(2 * gg.STATE)
+    assert stored_labels() == sorted(2 * gg.STATE)
     grown, whole = gg.scores(state), g.build_graph(members(spark, pairs))
     assert edge(grown) == edge(whole) and vertex(grown).keys() == vertex(whole).keys()
 
 
 @pytest.mark.parametrize("limit", [0, 1 << 26])
-def test_shared_authors_are_counted_once_whatever_the_joins_look_at(spark, limit):
-    before = stored_labels(spark)
+def test_shared_authors_are_counted_once_whatever_the_joins_look_at(spark, stored_labels, limit):
     pairs = random_members(8, 40, 30, 2)
     found = g.co_membership(members(spark, pairs), tile=4, limit=limit)
-    labels = {name.rpartition("-")[0] for name in stored_labels(spark) - before}
-    assert labels - {"hot-keys"} == {"edges", "vertex-index"}  # the joins for names read stored edges
+    assert {*stored_labels()} - {"hot-keys"} == {"edges", "vertex-index"}  # the joins for names read stored edges
     assert rows(found) == sorted(((x, y, n) for (x, y), n in brute_force(pairs)[0].items()), key=repr)
