@@ -186,3 +186,48 @@ def test_repeated_ids_are_sampled_alike(spark):
     by_text = {}
     for row in scored:
         assert by_text.setdefault(row["text"], row["s"]) == row["s"]  # repeated rows score alike
+
+
+def test_all_labelled_rows_are_learnt(spark):
+    """A word that only rows of the last shards hold is learnt, and every row has its place in the thresholds."""
+    rows = [(k, t, "en", y) for k, t, y in texts(1200, 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    shard = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == 0
+    df = df.withColumn("text", F.when(shard & (F.col("toxic") == 1), F.regexp_replace("text", "idiot|fool|worthless|stupid", "zounds")).otherwise(F.col("text")))
+    one, dealt = tox.fit(df), tox.fit(df, shard_rows=300)
+    again = tox.fit(df.repartition(5, "lang", "text"), shard_rows=300)
+    assert np.array_equal(dealt.network.embedding, again.network.embedding) and dealt.threshold == again.threshold
+    for model in (one, dealt):
+        assert {tox.buckets_of(word)[0] for word in (b"zounds", b"idiot")} <= set(model.network.buckets.tolist())
+        scored = df.select("toxic", tox.scorer(model)(F.col("text")).alias("s")).collect()
+        assert sum((r["s"] >= 0.5) == r["toxic"] for r in scored) > 0.97 * len(rows)
+
+
+def test_words_are_counted_over_all_texts(spark):
+    df = spark.createDataFrame([(t,) for _, t, _ in texts(200, 6)] + [(None,), ("",)], "text string").repartition(3)
+    counted = {r["bucket"]: r["n"] for r in tox.texts_with_bucket(df.mapInArrow(tox.hashed, "words binary")).collect()}
+    wanted = Counter()
+    for row in df.collect():
+        wanted.update({b for word in (row["text"] or "").encode().lower().split() for b in tox.buckets_of(word)})
+    assert counted == wanted
+
+
+def test_a_rounds_changes_are_means_by_rows(spark):
+    """Two shards: a parameter moves by the mean of the changes of the shards that touched it, weighted by their rows."""
+    rows = texts(90, 8)
+    shards, words = [rows[:60], rows[60:]], tox.WordBuckets()
+    df = spark.createDataFrame([(s, y, t) for s, part in enumerate(shards) for _, t, y in part], "shard int, toxic int, text string")
+    df = df.coalesce(1).mapInArrow(tox.hashed, "shard int, toxic int, words binary")
+    net = tox.start([t.encode() for _, t, _ in rows], 3)
+    learner, alone = tox.Learner(net), []
+    for number, part in enumerate(shards):
+        alone.append(tox.Learner(net))
+        labels = np.array([y for *_, y in part], np.float32)
+        alone[-1].learn([words.of(t.encode()) for _, t, _ in part], labels, np.random.default_rng([5, number]))
+    tox.round_of(df, learner, 5)
+    for k, was in enumerate(tox.Learner(net).params):
+        touched = np.stack([a.touched if not k else np.ones(1) for a in alone]) * np.array([[60], [30]])
+        share = (touched / np.maximum(touched.sum(0), 1)).reshape(2, *([1] * was.ndim if k else [-1, 1]))
+        wanted = was + sum(s * (a.params[k] - was) for s, a in zip(share, alone))
+        assert np.allclose(learner.params[k], wanted, atol=1e-5), k
+    assert np.array_equal(learner.touched, alone[0].touched | alone[1].touched)

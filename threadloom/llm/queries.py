@@ -23,6 +23,7 @@ from threadloom.llm import (
     weak_labels,
 )
 from threadloom.llm.words import fold, only
+from threadloom.operators.lookup import fits_broadcast, lookup_join
 from threadloom.plans.materialize import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,7 +151,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 4) == 2)
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(fold("doc_id", 4) != 2)
-    model = toxicity.fit(docs.where("not held_out").join(labels, "doc_id"))
+    labelled = lookup_join(docs.where("not held_out"), labels, ["doc_id"], fits_broadcast(labels))
+    model = toxicity.fit(labelled)
     scored = docs.withColumn("score", toxicity.scorer(model)(F.col("text")))
     flagged = F.col("score") >= toxicity.threshold(model, F.col("lang"))
     return scored.select(
@@ -248,7 +250,8 @@ damaged AS (
 placed AS (
   SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
          left(lag(role) OVER w, 1) || left(role, 1) AS pair, lag(role) OVER w IS NOT NULL AS follows,
-         regexp_replace(text, '[ 	-]+$', '') AS ended
+         regexp_replace(text, '[ 	-
+]+$', '') AS ended
   FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
 faulted AS (
   SELECT *, CASE WHEN ended = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
