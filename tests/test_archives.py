@@ -11,6 +11,7 @@ import os
 import pyarrow as pa
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from threadloom.operators import counts as c
 from threadloom.operators import parse as p
@@ -21,6 +22,7 @@ from threadloom.plans.materialize import discard, scratch_path, shared_folder, s
 from threadloom.sinks import files, zstd_lines
 from threadloom.sinks.published import read_published
 from threadloom.sources import archive as a
+from threadloom.sources import packed_lines
 from threadloom.sources import tables as t
 from threadloom.sources.paths import open_path, qualified
 from threadloom.streaming import archives as sa
@@ -176,6 +178,25 @@ def test_zstd_files_are_named_by_their_rows(spark):
     assert a.read_archive(spark, path).count() == 5
 
 
+def test_lines_are_packed_before_they_are_dealt(spark):
+    """Frames hold lines of one file and end at the given size; null lines and null names stay."""
+    data = spark.createDataFrame([("x" * 10, "a"), (None, "a"), ("y" * 30, "a"), ("z", "b"), ("n", None)], "value string, file string")
+    packed = data.coalesce(1).mapInArrow(zstd_lines.frames(11), "frame binary, file string").collect()
+    assert [row["file"] for row in packed] == ["a", "a", "b", None]
+    plain = [pa.decompress(row["frame"], decompressed_size=n, codec="zstd", asbytes=True) for row, n in zip(packed, (11, 32, 2, 2))]
+    assert plain == [b"x" * 10 + b"\n", b"\n" + b"y" * 30 + b"\n", b"z\n", b"n\n"]
+
+
+def test_arriving_files_are_read_by_many_tasks(spark):
+    path = scratch_path(spark, "arriving")
+    data = spark.range(64).selectExpr("concat('line ', id) as value", "concat('RC_', id % 16, '.zst') as file")
+    files.write_zstd_lines(data, path)
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")
+    read = packed_lines.lines_of_files(listed)
+    assert rows(read) == rows(data)
+    assert read.select(F.spark_partition_id()).distinct().count() > 4
+
+
 def test_a_file_name_is_never_written_twice(spark):
     path = scratch_path(spark, "once")
     data = spark.range(100).selectExpr("concat('line ', id) as value", "'RC_1.zst' as file").repartition(4)

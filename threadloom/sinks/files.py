@@ -45,11 +45,16 @@ def write_csv_file(df: DataFrame, path: str, header: bool = False) -> None:
 def write_zstd_lines(
     lines: DataFrame, path: str, mode: str = "append", frame_bytes: int = zstd_lines.FRAME_BYTES
 ) -> None:
-    """Lines as Zstandard files of many frames; a ``file`` column names the files, one task writes each."""
+    """Lines as Zstandard files of many frames; a ``file`` column names the files, one task writes each.
+
+    The lines of a file are packed where they are; the task that writes the file gets its frames only.
+    """
     spark = lines.sparkSession
     zstd_lines.register(spark)
     if "file" in lines.columns:
-        lines = lines.repartition("file").sortWithinPartitions("file")
+        by_file = lines.select("value", "file").sortWithinPartitions("file")
+        packed = by_file.mapInArrow(zstd_lines.frames(frame_bytes), "frame binary, file string")
+        lines = packed.repartition("file").sortWithinPartitions("file")
     lines.write.format("zstd_lines").mode(mode).option("frame_bytes", frame_bytes).save(qualified(spark, path))
 
 

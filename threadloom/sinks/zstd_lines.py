@@ -1,8 +1,8 @@
 """A data source that writes lines as Zstandard files.
 
 Spark's text writer offers no zstd here; the written files are read back by its text reader. Rows
-are ``(value)`` or ``(value, file)``. With a ``file`` column every file name becomes one file, so
-all rows of a name must be in one partition, next to each other. A name that two tasks wrote, or
+are ``(value)``, ``(value, file)`` or ``(frame, file)``, frames of lines that ``frames`` has packed. With a ``file`` column every
+file name becomes one file, so all rows of a name must be in one partition, next to each other. A name that two tasks wrote, or
 that is there already in append mode, is refused before any file is moved. A file is a row of frames of bounded
 size, so ``packed_lines`` can read it by ranges.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -31,6 +31,49 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FRAME_BYTES = 4 << 20
 
 
+def packed(lines: list[str]) -> bytes:
+    return pa.compress("".join(lines).encode("utf-8"), codec="zstd", asbytes=True)
+
+
+def runs(batch: pa.RecordBatch, column: str) -> Iterator[tuple[str | None, pa.Array]]:
+    """Stretches of rows that go to the same file."""
+    values = batch.column(column)
+    found = pc.run_end_encode(batch.column("file").cast(pa.string()))
+    start = 0
+    for end, name in zip(found.run_ends.to_pylist(), found.values.to_pylist()):
+        yield name, values.slice(start, end - start)
+        start = end
+
+
+def ended(values: pa.Array) -> list[str]:
+    return pc.binary_join_element_wise(pc.fill_null(values, ""), "", "\n").to_pylist()
+
+
+def frames(frame_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Packs ``(value, file)``, where the rows of a file are next to each other, to ``(frame, file)``."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, pending, size = None, [], 0
+
+        def frame() -> pa.RecordBatch:
+            row = [pa.array([packed(pending)], pa.binary()), pa.array([current], pa.string())]
+            return pa.RecordBatch.from_arrays(row, ["frame", "file"])
+
+        for batch in batches:
+            for name, values in runs(batch, "value"):
+                for line in ended(values):
+                    if pending and (name != current or size >= frame_bytes):
+                        yield frame()
+                        pending, size = [], 0
+                    current = name
+                    pending.append(line)
+                    size += len(line)
+        if pending:
+            yield frame()
+
+    return pack
+
+
 @dataclass
 class WrittenFiles(WriterCommitMessage):
     attempt: str
@@ -57,7 +100,7 @@ class ZstdLinesWriter(DataSourceArrowWriter):
 
         def frame() -> None:
             if pending:
-                out.write(pa.compress("".join(pending).encode("utf-8"), codec="zstd", asbytes=True))
+                out.write(packed(pending))
                 pending.clear()
 
         try:
@@ -71,7 +114,11 @@ class ZstdLinesWriter(DataSourceArrowWriter):
                             out.close()
                         names.append(name)
                         out, size = system.open_output_stream(f"{folder}/{name}", compression=None), 0
-                    for line in pc.binary_join_element_wise(pc.fill_null(values, ""), "", "\n").to_pylist():
+                    if pa.types.is_binary(values.type):
+                        for one in values.to_pylist():
+                            out.write(one)
+                        continue
+                    for line in ended(values):
                         pending.append(line)
                         size += len(line)
                         if size >= self.frame_bytes:
@@ -87,16 +134,10 @@ class ZstdLinesWriter(DataSourceArrowWriter):
     @staticmethod
     def _runs(batch: pa.RecordBatch, single: str) -> Iterator[tuple[str, pa.Array]]:
         """Stretches of rows that go to the same file."""
-        values = batch.column("value")
-        if "file" not in batch.schema.names:
-            if len(values):
-                yield single, values
-            return
-        runs = pc.run_end_encode(batch.column("file").cast(pa.string()))
-        start = 0
-        for end, name in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
-            yield name, values.slice(start, end - start)
-            start = end
+        if "file" in batch.schema.names:
+            yield from runs(batch, "frame" if "frame" in batch.schema.names else "value")
+        elif len(batch):
+            yield single, batch.column("value")
 
     def commit(self, messages: list) -> None:
         system, root = open_path(self.path)

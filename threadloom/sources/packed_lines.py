@@ -490,5 +490,8 @@ def lines_of_files(files: DataFrame, split: int = SPLIT_BYTES) -> DataFrame:
                 for lines in range_lines(system, Range(inner, size, start, end)):
                     yield pa.RecordBatch.from_arrays([lines, pa.repeat(pa.scalar(file), len(lines))], ["value", "file"])
 
-    dealt = ranges.repartition("path", "start")
+    # By number: the names are so short that the optimizer would put all of them into one task otherwise.
+    spark = files.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    dealt = ranges.repartition(tasks, "path", "start")
     return dealt.mapInArrow(read, "value string, file string")
