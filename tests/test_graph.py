@@ -435,3 +435,29 @@ def test_shared_authors_are_counted_once_whatever_the_joins_look_at(spark, store
     found = g.co_membership(members(spark, pairs), tile=4, limit=limit)
     assert {*stored_labels()} - {"hot-keys"} == {"edges", "vertex-index"}  # the joins for names read stored edges
     assert rows(found) == sorted(((x, y, n) for (x, y), n in brute_force(pairs)[0].items()), key=repr)
+
+
+def only_measured(monkeypatch, module):
+    """Joins of edges at their ends, seen by ``lookup_join``; those without a broadcast are refused."""
+    seen, joined = [], module.lookup_join
+
+    def watched(facts, lookup, on, small, *args, **kwargs):
+        if list(on) in (["a"], ["b"]):
+            assert small, "the edges are shuffled"
+            seen.append(on[0])
+        return joined(facts, lookup, on, small, *args, **kwargs)
+
+    monkeypatch.setattr(module, "lookup_join", watched)
+    return seen
+
+
+def test_ends_are_looked_up_in_pieces(spark, monkeypatch, stored_labels):
+    """A lookup some times the limit joins the edges piece by piece, and the edges are not shuffled."""
+    only_measured(monkeypatch, g)
+    pairs = random_members(12, 40, 30, 2)
+    graph = g.build_graph(members(spark, pairs), limit=700)
+    u, w, expected = brute_force(set(pairs))
+    assert {e: (row["u_ij"], row["w_ij"]) for e, row in edge(graph).items()} == {e: (u[e], w[e]) for e in u}
+    labels = stored_labels()
+    assert set(labels) == {"edge-ends", "vertex-base"} and 2 <= labels.count("edge-ends") <= 16
+    assert scores(graph) == expected

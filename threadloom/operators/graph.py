@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadloom.operators.lookup import BROADCAST_BYTES, lookup_join
+from threadloom.operators.lookup import BROADCAST_BYTES, lookup_in_pieces, lookup_join, pieces_of
 from threadloom.operators.triangles import linked_neighbours, pair_key
 from threadloom.plans.materialize import Stored, most_tasks, passing, store
 
@@ -168,13 +168,17 @@ def _most_edges(base: DataFrame) -> int:
     return base.agg(F.max("k")).first()[0] or 0
 
 
-def edge_ends(edges: DataFrame, base: DataFrame, small: bool) -> DataFrame:
-    """Edges with the names, degrees and sums of both ends, all that their scores are made from."""
-    most = None if small else _most_edges(base)
-    for end, mark in (("a", "x"), ("b", "y")):
-        side = base.selectExpr(f"v as {end}", f"subreddit as name_{mark}", f"k as k_{mark}", f"ui as ui_{mark}")
-        edges = lookup_join(edges, side, [end], small, most=most)
-    return edges
+def edge_ends(edges: DataFrame, base: Stored, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Stored edges with the names, degrees and sums of both ends, all that their scores are made from; stored as ``edge-ends``."""
+    pieces = pieces_of(base.bytes, limit)
+    most = None if pieces else _most_edges(base.table)
+    for end, mark, label in (("a", "x", "half-ends"), ("b", "y", "edge-ends")):
+        side = base.table.selectExpr(f"v as {end}", f"subreddit as name_{mark}", f"k as k_{mark}", f"ui as ui_{mark}")
+        if pieces > 1:
+            edges = lookup_in_pieces(edges, side, end, pieces, label, PACKED)
+        else:
+            edges = lookup_join(edges, side, [end], pieces == 1, most=most)
+    return edges if pieces > 1 else store(edges, "edge-ends", compression=PACKED).table
 
 
 def edge_scores(ends: DataFrame) -> DataFrame:
@@ -248,9 +252,9 @@ def score_graph(index: Stored, edges: Stored, limit: int = BROADCAST_BYTES, link
     """
     spark = edges.table.sparkSession
     named = index.table.withColumnRenamed("vid", "v")
-    base = store(named.join(vertex_degrees(edges.table).drop("avg"), "v", "left"), "vertex-base")
-    ends = store(edge_ends(edges.table, base.table, base.bytes <= limit), "edge-ends", compression=PACKED)
-    scored = edge_scores(ends.table)
+    with passing(spark, "vertex-base", "edge-ends"):
+        base = store(named.join(vertex_degrees(edges.table).drop("avg"), "v", "left"), "vertex-base")
+        scored = edge_scores(edge_ends(edges.table, base, limit))
 
     def vertices() -> DataFrame:
         with passing(spark, "vertices"):
