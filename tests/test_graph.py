@@ -461,3 +461,14 @@ def test_ends_are_looked_up_in_pieces(spark, monkeypatch, stored_labels):
     labels = stored_labels()
     assert set(labels) == {"edge-ends", "vertex-base"} and 2 <= labels.count("edge-ends") <= 16
     assert scores(graph) == expected
+
+
+def test_edges_of_a_growing_graph_are_directed_by_measured_lookups(spark, monkeypatch):
+    pairs = random_members(13, 40, 30, 2)
+    for limit, directed in ((1 << 26, ["a", "b"] * 2), (300, [])):
+        seen = only_measured(monkeypatch, gg)
+        state = gg.start_graph(members(spark, pairs[::2]), limit=limit)
+        state = gg.extend_graph(state, members(spark, pairs), limit=limit)
+        assert seen == directed  # in pieces beyond the limit
+        monkeypatch.undo()
+        assert scores(gg.scores(state)) == brute_force(set(pairs))[2]
