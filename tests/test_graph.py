@@ -472,3 +472,33 @@ def test_edges_of_a_growing_graph_are_directed_by_measured_lookups(spark, monkey
         assert seen == directed  # in pieces beyond the limit
         monkeypatch.undo()
         assert scores(gg.scores(state)) == brute_force(set(pairs))[2]
+
+
+def test_names_travel_with_the_lists(spark, monkeypatch):
+    """Names join the edges only where many pairs become one edge."""
+    seen = only_measured(monkeypatch, g)
+    sparse = [(f"s{draw}", f"a{n}") for n in range(12) for draw in random.Random(n).sample(range(60), 9)]
+    found = g.co_membership(members(spark, sparse), tile=4, limit=0)
+    assert rows(found) == sorted(((x, y, n) for (x, y), n in brute_force(sparse)[0].items()), key=repr) and not seen
+    dense = [(s, f"a{n}") for n in range(40) for s in "ZYXWV"]
+    assert rows(g.co_membership(members(spark, dense), tile=2)) == [
+        (x, y, 40) for x, y in itertools.combinations("VWXYZ", 2)
+    ]
+    assert seen == ["a", "b"]
+
+
+def test_pairs_are_summed_in_portions(spark, monkeypatch):
+    """A larger number whose pairs come in several portions is counted once."""
+    monkeypatch.setattr(g, "PAIRS_AT_ONCE", 3)
+    draw = random.Random(4)
+    tiles = [(draw.randint(1, 3), sorted(draw.sample(range(12), draw.randint(2, 6)))) for _ in range(60)]
+    expected = defaultdict(int)
+    for n, tile in tiles:
+        for pair in itertools.combinations(tile, 2):
+            expected[pair] += n
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        held = spark.createDataFrame(tiles, "n long, tile array<int>")
+        assert rows(g.count_owned(g._owned_in(held), 2)) == sorted(((*pair, n) for pair, n in expected.items()), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
