@@ -8,6 +8,8 @@ import os
 import random
 from collections import defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -502,3 +504,25 @@ def test_pairs_are_summed_in_portions(spark, monkeypatch):
         assert rows(g.count_owned(g._owned_in(held), 2)) == sorted(((*pair, n) for pair, n in expected.items()), key=repr)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_counts_of_triangles_are_shuffled_as_lists(spark):
+    """All ways through a triple agree on sparse and dense graphs, with fresh edges too, and no vertex is shuffled by itself."""
+    draw = np.random.default_rng(3)
+    for n, share in ((150, 0.05), (300, 0.7)):
+        upper = np.triu(draw.random((n, n)) < share, 1)
+        new = upper & (draw.random((n, n)) < 0.4)
+
+        def links(held):
+            near = (held | held.T).astype(np.int64)
+            return ((near @ near) * near).sum(axis=1)
+
+        lo, hi = np.nonzero(upper)
+        held = pd.DataFrame({"lo": lo.astype(np.int32) * 7, "hi": hi.astype(np.int32) * 7, "fresh": new[lo, hi]})
+        ends = spark.createDataFrame(held).cache()
+        whole, fresh = links(upper), links(upper) - links(upper & ~new)
+        for words, blocks in ((0, False), (1 << 20, False), (0, True)):
+            for given, expected in ((ends.drop("fresh"), whole), (ends, fresh)):
+                found = ct.linked_by_colours(given, 2, words, blocks)
+                assert "HashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+                assert dict(rows(found)) == {7 * v: k for v, k in enumerate(expected.tolist()) if k}, (n, words, blocks)
