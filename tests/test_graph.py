@@ -14,6 +14,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from threadloom.operators import author_blocks as ab
 from threadloom.operators import coloured_triangles as ct
 from threadloom.operators import graph as g
 from threadloom.operators import growing_graph as gg
@@ -526,3 +527,17 @@ def test_counts_of_triangles_are_shuffled_as_lists(spark):
                 found = ct.linked_by_colours(given, 2, words, blocks)
                 assert "HashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
                 assert dict(rows(found)) == {7 * v: k for v, k in enumerate(expected.tolist()) if k}, (n, words, blocks)
+
+
+def test_pairs_of_authors_with_many_subreddits_are_not_shuffled(spark, monkeypatch, stored_labels):
+    """Subreddits meet in blocks where the lists would be many times the memberships, and only the memberships are stored."""
+    monkeypatch.setattr(g, "MOST_LISTED_PAIRS", 0)
+    monkeypatch.setattr(ab, "PAIRS_OF_TASK", 200)
+    monkeypatch.setattr(ab, "PAIRS_AT_ONCE", 50)
+    draw = random.Random(7)
+    busy = [(f"s{n}", f"a{m}") for m in range(9) for n in draw.sample(range(60), draw.randint(20, 40))] + [("s1", "alone"), ("t", "b")]
+    found = g.co_membership(members(spark, busy), tile=4, limit=0)
+    assert rows(found) == sorted(((x, y, n) for (x, y), n in brute_force(busy)[0].items()), key=repr)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {*stored_labels()} - {"hot-keys"} == {"author-blocks", "vertex-index"}
+    assert scores(g.build_graph(members(spark, busy), tile=4)) == brute_force(busy)[2]

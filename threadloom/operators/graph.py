@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadloom.operators.author_blocks import count_in_blocks, groups_for
 from threadloom.operators.lookup import BROADCAST_BYTES, lookup_in_pieces, lookup_join, pieces_of
 from threadloom.operators.triangles import linked_neighbours, pair_key
 from threadloom.plans.materialize import Stored, most_tasks, passing, store
@@ -29,6 +30,9 @@ PAIR_TASKS = 256
 PAIRS_AT_ONCE = 1 << 20
 #: Names join stored edges where the authors make so many pairs for each two subreddits that there are; else they travel in the lists.
 PAIRS_PER_EDGE = 4
+#: Memberships are met in blocks, not shuffled as lists, where there are so many pairs for each of them, and so many pairs in all.
+BLOCKED_PAIRS = 8
+MOST_LISTED_PAIRS = 20_000_000
 #: Of the tables that have a row for every membership or edge.
 PACKED = "zstd"
 
@@ -142,15 +146,34 @@ def _met_tiles(tiles: DataFrame) -> DataFrame:
     return left.join(right, ["author", "_p", "_q"]).drop("author", "_p", "_q")
 
 
+def _blocked(members: DataFrame, per_author: DataFrame, limit: int) -> DataFrame | None:
+    """The pairs by blocks, if lists would be many times the memberships."""
+    pairs = F.expr("coalesce(sum(cast(_n as double) * _n / 2), 0D) as pairs")
+    rows, most = F.expr("coalesce(sum(_n), 0) as members"), F.expr("coalesce(max(_n), 0) as most")
+    numbered = per_author.where("_n > 1").withColumn("id", F.monotonically_increasing_id())
+    sizes = store(numbered, "author-numbers", pairs, rows, most)
+    if sizes.seen["pairs"] <= BLOCKED_PAIRS * sizes.seen["members"]:
+        return None
+    held = lookup_join(members, sizes.table.drop("_n"), ["author"], sizes.bytes <= limit, most=sizes.seen["most"])
+    groups = groups_for(sizes.seen["pairs"], members.sparkSession.sparkContext.defaultParallelism)
+    return count_in_blocks(held.drop("author"), groups)
+
+
 def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Shared authors ``(a, b, u)``, ``a < b``, of distinct ``(vid, author)`` rows.
+    """``(a, b, u)`` of ``paired``."""
+    return paired(members, tile, limit)[0]
+
+
+def paired(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """Shared authors ``(a, b, u)``, ``a < b``, of distinct ``(vid, author)`` rows, and whether they were met in blocks.
 
     Of rows with a ``subreddit`` too, ``a`` and ``b`` are the names of those numbers.
 
     Authors are cut into tiles of about ``tile`` subreddits. An ordinary author is one tile, and
     authors with the same tile collapse into one weighted row before any pair is made. An author
     with more subreddits is cut by a hash of the subreddit. Lists of subreddits are shuffled, not pairs;
-    pairs are made in the tasks that sum them.
+    pairs are made in the tasks that sum them. Where the lists would be many times the memberships, all authors are cut by groups of
+    subreddits instead (``count_in_blocks``), and what is found is made anew whenever it is read.
     """
     spark = members.sparkSession
     named = "subreddit" in members.columns
@@ -166,6 +189,11 @@ def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_
     across = F.expr("coalesce(sum(cast(_n as double) * _n / 2), 0D) as pairs")
     heavy = store(per_author.where(f"_n > {tile}"), "heavy-authors", across)
 
+    if heavy.rows and heavy.seen["pairs"] > MOST_LISTED_PAIRS:
+        blocked = _blocked(members, per_author, limit)
+        if blocked is not None:
+            return blocked, True
+
     if heavy.rows:
         cuts = heavy.table.selectExpr("author", f"cast(ceil(_n / {tile}) as int) as _cuts")
         cut = lookup_join(members, cuts, ["author"], heavy.bytes <= limit, "left")
@@ -184,7 +212,7 @@ def shared_authors(members: DataFrame, tile: int = TILE, limit: int = BROADCAST_
         met = _met_tiles(tiles.where("_cuts IS NOT NULL"))
         owned = owned.unionByName(named_across(met) if named else owned_across(met))
     pairs = profiles.seen["pairs"] + heavy.seen["pairs"]
-    return count_owned(owned, most_tasks(spark, pairs, ROWS_PER_TASK, PAIR_TASKS))
+    return count_owned(owned, most_tasks(spark, pairs, ROWS_PER_TASK, PAIR_TASKS)), False
 
 
 def _numbered(memberships: DataFrame, limit: int, *names: str) -> tuple[Stored, DataFrame]:
@@ -204,13 +232,18 @@ def co_membership(memberships: DataFrame, tile: int = TILE, limit: int = BROADCA
 
     ``memberships`` are (subreddit, author) rows, repeated ones count once; ``i < j`` by name.
     """
-    with passing(memberships.sparkSession, "vertex-index", "edges"):
+    with passing(memberships.sparkSession, "vertex-index", "edges", "author-blocks"):
         index, numbered = _numbered(memberships, limit, "subreddit")
         sizes = numbered.groupBy("author").agg(F.expr("cast(count(*) as double) as n"))
         pairs = sizes.selectExpr("coalesce(sum(n * (n - 1) / 2), 0D) as pairs").first()["pairs"]
         dense = pairs > PAIRS_PER_EDGE * index.rows * (index.rows - 1) / 2
-        # Stored, as they may be read more than once.
-        edges = store_edges(shared_authors(numbered.drop("subreddit") if dense else numbered, tile, limit)).table
+        if dense:
+            with passing(memberships.sparkSession, "edges"):
+                edges = store_edges(shared_authors(numbered.drop("subreddit"), tile, limit)).table
+        else:
+            edges, blocked = paired(numbered, tile, limit)
+            # Stored, as they may be read more than once; those met in blocks would be many times what they are made from.
+            edges = edges if blocked else store_edges(edges).table
     if not dense:
         return edges.selectExpr("least(a, b) as i", "greatest(a, b) as j", "u as u_ij")
     for end, name in (("a", "_x"), ("b", "_y")):
