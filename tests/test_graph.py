@@ -541,3 +541,28 @@ def test_pairs_of_authors_with_many_subreddits_are_not_shuffled(spark, monkeypat
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
     assert {*stored_labels()} - {"hot-keys"} == {"author-blocks", "vertex-index"}
     assert scores(g.build_graph(members(spark, busy), tile=4)) == brute_force(busy)[2]
+
+
+def test_loaded_edges_are_grouped_and_joined_only_where_needed(spark, monkeypatch):
+    """Edges without repeats and unknown ends are stored as they are read; of the others only repeated ones are grouped."""
+    graph = g.build_graph(members(spark, random_members(5, 40, 30, 2)))
+    grouped, unique = [], r.unique_edges
+    monkeypatch.setattr(r, "unique_edges", lambda edges: grouped.append(edges.count()) or unique(edges))
+    monkeypatch.setattr(r, "lookup_join", lambda *args: pytest.fail("edges are joined to names"))
+    again = r.load_graph(graph.vertices, graph.edges)
+    assert edge(again) == edge(graph) and vertex(again).keys() == vertex(graph).keys() and not grouped
+    assert {v: row["degree"] for v, row in vertex(again).items()} == {v: row["degree"] for v, row in vertex(graph).items()}
+    swapped = graph.edges.orderBy("i", "j").limit(3).selectExpr("j as i", "i as j", *graph.edges.columns[2:])
+    for limit in (1 << 26, 0):
+        again = r.load_graph(graph.vertices, graph.edges.unionByName(swapped), limit=limit)
+        assert edge(again) == edge(graph) and sum(row["degree"] for row in vertex(again).values()) == 2 * len(edge(graph))
+    assert grouped == [6, 3 + len(edge(graph))]
+    monkeypatch.undo()
+    named = [row["i"] for row in graph.vertices.collect()][:20]
+    nameless = graph.edges.limit(2).withColumn("i", F.lit(None).cast("string"))
+    fewer = graph.vertices.where(F.col("i").isin(named))
+    for limit in (1 << 26, 0):
+        again = r.load_graph(fewer, graph.edges.unionByName(nameless), strict=False, limit=limit)
+        assert set(edge(again)) == {(x, y) for x, y in edge(graph) if x in named and y in named}
+        with pytest.raises(ValueError, match="unknown vertex"):
+            r.load_graph(graph.vertices, graph.edges.unionByName(nameless), limit=limit)
